@@ -6,11 +6,12 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import JOIN_KEY, MergeRules
 from tidemark.functions.keys import any_changed, is_active, is_delete
 from tidemark.operators.sizing import broadcast_if
-from tidemark.operators.staging import DEFAULT_RULES, MERGE_KEY, as_versions
+from tidemark.operators.staging import DEFAULT_RULES, MERGE_KEY, as_versions, versions_of
 
 # Clause numbers reported in the tag column.
 UNTOUCHED, CLOSED_CHANGED, CLOSED_DELETED, OVERWRITTEN, INSERTED = 0, 1, 2, 3, 4
@@ -41,74 +42,76 @@ def _clause(scd_cols: Sequence[str], upd_cols: Sequence[str], rules: MergeRules)
     return clause.otherwise(UNTOUCHED)
 
 
-def merge_parts(
+def updated_rows(
     target: DataFrame,
     staged: DataFrame,
     scd_cols: Sequence[str],
     upd_cols: Sequence[str],
     rules: MergeRules = DEFAULT_RULES,
-    present: DataFrame | None = None,
     small: bool = False,
     origin: str | None = None,
-) -> tuple[DataFrame, DataFrame]:
-    """(existing rows after the merge, rows to insert), both with the clause tag.
-
-    ``origin`` adds that column's value from before the merge (null for inserts).
+) -> DataFrame:
+    """Existing rows after the merge, tagged with the clause that took them.
 
     ``staged`` has at most one row per non-null merge key, so no target row can
-    match twice. ``present``: all versions of the staged keys, when ``target`` is
-    only a part of the table. ``small``: staged rows were measured and may be
-    broadcast, so the target is scanned but not shuffled; otherwise Spark joins
-    by shuffle and AQE may split a skewed target key.
+    match twice. ``small``: staged rows were measured and may be broadcast, so
+    the target is scanned but not shuffled; otherwise Spark joins by shuffle and
+    AQE may split a skewed target key. ``origin`` adds that column's value from
+    before the merge.
     """
-    keyed = staged.where(F.col(MERGE_KEY).isNotNull())
-    right = keyed.select(*[F.col(c).alias(_STAGED + c) for c in keyed.columns])
+    right = staged.where(F.col(MERGE_KEY).isNotNull())
+    right = right.toDF(*[_STAGED + c for c in right.columns])
     joined = target.join(
         broadcast_if(right, small), F.col(JOIN_KEY) == F.col(_STAGED + MERGE_KEY), "left"
     ).withColumn(CLAUSE, _clause(scd_cols, upd_cols, rules))
 
-    closing = F.col(CLAUSE).isin(CLOSED_CHANGED, CLOSED_DELETED)
-    new_values: dict[str, tuple[Column, Column]] = {
-        c: (F.col(CLAUSE) == OVERWRITTEN, F.col(_STAGED + c)) for c in upd_cols
-    }
-    new_values["ActiveIndicator"] = (closing, F.lit(False))
-    new_values["EndDate"] = (closing, F.col(_STAGED + "ds"))
-    new_values["Action"] = (closing, F.col(_STAGED + "op_type"))
-
-    def merged(field) -> Column:
-        if field.name not in new_values:
-            return F.col(field.name)
-        when, value = new_values[field.name]
-        return (
-            F.when(when, value.cast(field.dataType)).otherwise(F.col(field.name)).alias(field.name)
-        )
+    closing = f"{CLAUSE} IN ({CLOSED_CHANGED}, {CLOSED_DELETED})"
+    overwriting = f"{CLAUSE} = {OVERWRITTEN}"
+    new_values = {c: (overwriting, f"`{_STAGED}{c}`") for c in upd_cols}
+    new_values["ActiveIndicator"] = (closing, "false")
+    new_values["EndDate"] = (closing, f"`{_STAGED}ds`")
+    new_values["Action"] = (closing, f"`{_STAGED}op_type`")
 
-    before = [F.col(origin).alias(ORIGIN)] if origin else []
-    updated = joined.select(*[merged(f) for f in target.schema.fields], CLAUSE, *before)
-
-    # Null merge keys match nothing; keeping them out of the join also keeps
-    # them from meeting in one shuffle partition.
-    if present is None:
-        present = target
-        if small:
-            keys = keyed.select(F.col(MERGE_KEY).alias("_n_key"))
-            present = target.join(
-                broadcast_if(keys, small), F.col(JOIN_KEY) == F.col("_n_key"), "left_semi"
-            )
-    known = present.select(F.col(JOIN_KEY).alias("_t_key"))
+    def merged(name: str, kind: str) -> str:
+        if name not in new_values:
+            return f"`{name}`"
+        when, value = new_values[name]
+        return f"CASE WHEN {when} THEN CAST({value} AS {kind}) ELSE `{name}` END AS `{name}`"
+
+    before = [f"`{origin}` AS {ORIGIN}"] if origin else []
+    return joined.selectExpr(*[merged(n, k) for n, k in target.dtypes], CLAUSE, *before)
+
+
+def inserted_rows(
+    staged: DataFrame,
+    present: DataFrame,
+    target_schema: T.StructType,
+    rules: MergeRules = DEFAULT_RULES,
+    small: bool = False,
+) -> DataFrame:
+    """Staged rows whose merge key is not in ``present``, as new active versions.
+
+    ``present`` has all table versions of the staged keys (more does no harm).
+    With ``small`` it has no other keys, so its distinct keys may be broadcast too.
+
+    Null merge keys match nothing; keeping them out of the join also keeps them
+    from meeting in one shuffle partition.
+    """
+    keyed = staged.where(F.col(MERGE_KEY).isNotNull())
+    known = present.select(F.col(JOIN_KEY).alias("_t_key")).distinct()
     unmatched = keyed.join(
-        broadcast_if(known.distinct(), small), F.col(MERGE_KEY) == F.col("_t_key"), "left_anti"
+        broadcast_if(known, small), F.col(MERGE_KEY) == F.col("_t_key"), "left_anti"
     )
     if rules.honor_deletes:
-        unmatched = unmatched.where(~F.coalesce(is_delete(F.col("op_type")), F.lit(False)))
+        unmatched = unmatched.where("op_type IS NULL OR op_type <> 'd'")
     fresh = as_versions(staged.where(F.col(MERGE_KEY).isNull()).unionByName(unmatched))
-    none = [F.lit(None).cast(target.schema[origin].dataType).alias(ORIGIN)] if origin else []
-    inserts = fresh.select(
-        *[F.col(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields],
-        F.lit(INSERTED).alias(CLAUSE),
-        *none,
+    return fresh.selectExpr(
+        *[
+            f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+            for f in target_schema.fields
+        ],
+        f"{INSERTED} AS {CLAUSE}",
     )
-    return updated, inserts
 
 
 def merge(
@@ -127,7 +130,12 @@ def merge(
     """
     if not scd_cols and not upd_cols:
         return target
-    updated, inserts = merge_parts(target, staged, scd_cols, upd_cols, rules, small=small)
+    updated = updated_rows(target, staged, scd_cols, upd_cols, rules, small)
+    present = target
+    if small:
+        keys = staged.select(F.col(MERGE_KEY).alias(JOIN_KEY)).where(F.col(JOIN_KEY).isNotNull())
+        present = versions_of(keys, target, small)
+    inserts = inserted_rows(staged, present, target.schema, rules, small)
     return updated.unionByName(inserts).drop(CLAUSE)
 
 

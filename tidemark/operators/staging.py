@@ -92,10 +92,10 @@ def as_versions(staged: DataFrame) -> DataFrame:
     payload = [
         c for c in drop_bookkeeping(staged).columns if c != MERGE_KEY and c not in SCD_COLUMNS
     ]
-    return staged.select(
-        *payload,
-        F.lit(True).alias("ActiveIndicator"),
-        F.col("ds").alias("EffectiveDate"),
-        F.lit(None).cast("date").alias("EndDate"),
-        F.col("op_type").alias("Action"),
+    return staged.selectExpr(
+        *[f"`{c}`" for c in payload],
+        "true AS ActiveIndicator",
+        "ds AS EffectiveDate",
+        "CAST(NULL AS DATE) AS EndDate",
+        "op_type AS Action",
     )

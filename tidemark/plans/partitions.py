@@ -10,7 +10,8 @@ when the table is next written.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,15 @@ from tidemark.sources.tables import TableRef, _text
 PENDING = "tidemark.pending"
 APPLIED = "tidemark.applied_batch"
 _NO_BATCH = -1
+_MOVES = "_moves"
+
+
+@dataclass(frozen=True)
+class Move:
+    """A partition (dates as text, null as None) whose files are replaced or gone."""
+
+    part: str | None
+    emptied: bool = False
 
 
 def distinct_values(df: DataFrame, column: str) -> list:
@@ -54,10 +64,6 @@ def set_properties(spark: SparkSession, table: TableRef, **values: str) -> None:
     spark.sql(f"ALTER TABLE {table.sql_name} SET TBLPROPERTIES ({pairs})")
 
 
-def applied_batch(spark: SparkSession, table: TableRef) -> int:
-    return int(properties(spark, table).get(APPLIED, _NO_BATCH))
-
-
 def mark_applied(spark: SparkSession, table: TableRef, batch_id: int | None) -> None:
     if batch_id is not None:
         set_properties(spark, table, **{APPLIED: str(batch_id)})
@@ -67,30 +73,60 @@ def replace_partitions(
     spark: SparkSession,
     table: TableRef,
     folder: str,
-    moves: DataFrame,
+    moves: Sequence[Move],
     batch_id: int | None,
 ) -> None:
-    """Point partitions at ``folder``. ``moves``: ``part STRING, path STRING, emptied BOOLEAN``."""
-    moves.coalesce(1).write.parquet(f"{folder}/_moves")
+    """Point the partitions in ``moves`` at their folders below ``folder``."""
+    values = ", ".join(
+        f"({'null' if m.part is None else _text(m.part)}, {str(m.emptied).lower()})" for m in moves
+    )
+    listed = spark.sql(f"SELECT * FROM VALUES {values} AS moves(part, emptied)")
+    listed.selectExpr("CAST(part AS STRING) AS part", "emptied").coalesce(1).write.parquet(
+        f"{folder}/{_MOVES}"
+    )
     batch = _NO_BATCH if batch_id is None else batch_id
     set_properties(spark, table, **{PENDING: f"{batch}|{folder}"})
-    finish_pending(spark, table)
+    _move(spark, table, folder, moves, batch)
 
 
-def finish_pending(spark: SparkSession, table: TableRef) -> None:
-    """Carry out the stored move, if any. Safe to repeat."""
-    batch, _, folder = properties(spark, table).get(PENDING, "").partition("|")
+def finish_pending(spark: SparkSession, table: TableRef) -> int:
+    """Carry out a move a lost driver left behind; returns the last applied batch."""
+    stored = properties(spark, table)
+    batch, _, folder = stored.get(PENDING, "").partition("|")
     if not folder:
-        return
-    for move in spark.read.parquet(f"{folder}/_moves").collect():
-        spec = _spec(table, move["part"])
-        if move["emptied"]:
-            spark.sql(f"ALTER TABLE {table.sql_name} DROP IF EXISTS {spec}")
-            continue
-        where = _text(f"{folder}/{move['path']}")
-        spark.sql(f"ALTER TABLE {table.sql_name} ADD IF NOT EXISTS {spec} LOCATION {where}")
-        spark.sql(f"ALTER TABLE {table.sql_name} {spec} SET LOCATION {where}")
+        return int(stored.get(APPLIED, _NO_BATCH))
+    listed = spark.read.schema("part STRING, emptied BOOLEAN").parquet(f"{folder}/{_MOVES}")
+    moves = [Move(r["part"], r["emptied"]) for r in listed.collect()]
+    _move(spark, table, folder, moves, int(batch))
+    return max(int(batch), int(stored.get(APPLIED, _NO_BATCH)))
+
+
+def _move(
+    spark: SparkSession, table: TableRef, folder: str, moves: Sequence[Move], batch: int
+) -> None:
+    """Repeatable: every statement states where a partition is, not how it changes."""
+    name = table.sql_name
+
+    def folder_of(part: str | None) -> str:
+        text = "__HIVE_DEFAULT_PARTITION__" if part is None else part
+        return f"{table.partition_col}={text}"
+
+    def location(part: str | None) -> str:
+        return _text(f"{folder}/{folder_of(part)}")
+
+    existing = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    added = []
+    for move in moves:
+        spec = _spec(table, move.part)
+        if move.emptied:
+            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
+        elif folder_of(move.part) in existing:
+            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {location(move.part)}")
+        else:
+            added.append(f"{spec} LOCATION {location(move.part)}")
+    if added:
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
     done = {PENDING: ""}
-    if int(batch) != _NO_BATCH:
-        done[APPLIED] = batch
+    if batch != _NO_BATCH:
+        done[APPLIED] = str(batch)
     set_properties(spark, table, **done)

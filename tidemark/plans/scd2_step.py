@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import CdcFeed
@@ -18,14 +18,15 @@ from tidemark.operators.merge import (
     ORIGIN,
     OVERWRITTEN,
     UNTOUCHED,
+    inserted_rows,
     merge,
-    merge_parts,
+    updated_rows,
 )
 from tidemark.operators.sizing import measure
 from tidemark.operators.staging import staged_updates, versions_of
 from tidemark.plans.merge_into import merge_into, supports_merge
 from tidemark.plans.partitions import (
-    applied_batch,
+    Move,
     distinct_values,
     finish_pending,
     in_partitions,
@@ -81,12 +82,12 @@ def apply_scd2_batch(
 
     With a batch small enough to broadcast the table is never shuffled.
     """
-    finish_pending(spark, table)
-    if feed.batch_ledger and batch_id is not None and applied_batch(spark, table) >= batch_id:
+    applied = finish_pending(spark, table)
+    if feed.batch_ledger and batch_id is not None and applied >= batch_id:
         return Scd2Report(skipped=True)
 
     newest = newest_changes(batch, feed).persist()
-    hits = None
+    kept = [newest]
     try:
         size = measure(newest)
         small = size.within(feed.broadcast_bytes)
@@ -107,90 +108,68 @@ def apply_scd2_batch(
         hits = versions_of(newest, target.where(in_partitions(part, touched)), small).persist()
         staged = staged_updates(newest, hits, scd, feed.rules, small)
 
-        effects = _effects(hits, staged, scd, upd, feed, small, part)
+        inserts = inserted_rows(staged, hits, target.schema, feed.rules, small).persist()
+        kept += [hits, inserts]
+
+        changed_hits = updated_rows(hits, staged, scd, upd, feed.rules, small, origin=part)
+        effects = _effects(changed_hits, inserts, part)
         parts = {r["part"]: r["text"] for r in effects}
-        counts = {}
-        for r in effects:
-            if r["lands"]:
-                counts[r[CLAUSE]] = counts.get(r[CLAUSE], 0) + r["n"]
-        report = Scd2Report(
-            keys=size.rows,
-            inserted=counts.get(INSERTED, 0),
-            closed=counts.get(CLOSED_CHANGED, 0) + counts.get(CLOSED_DELETED, 0),
-            overwritten=counts.get(OVERWRITTEN, 0),
-            partitions=len(parts),
-        )
+        report = _report(size.rows, effects, len(parts))
         if not parts:
             mark_applied(spark, table, batch_id)
             return report
 
-        updated, inserts = merge_parts(
-            target.where(in_partitions(part, parts)),
-            staged,
-            scd,
-            upd,
-            feed.rules,
-            present=hits,
-            small=small,
-        )
-        inserts = inserts.hint("rebalance", part)
+        affected = target.where(in_partitions(part, parts))
+        updated = updated_rows(affected, staged, scd, upd, feed.rules, small)
         if not small:
             # The join left the rows hashed by key, i.e. every task holds every partition.
             updated = updated.hint("rebalance", part)
         folder = f"{table.location}/_versions/{run_id()}"
-        updated.unionByName(inserts).drop(CLAUSE).write.partitionBy(part).parquet(folder)
+        rows = updated.unionByName(inserts.hint("rebalance", part)).drop(CLAUSE)
+        rows.write.partitionBy(part).parquet(folder)
 
         # Only rows that moved between partitions can leave one empty.
         emptied: set = set()
         if any(not r["lands"] for r in effects):
             emptied = set(parts) - set(distinct_values(spark.read.parquet(folder), part))
-        moves = spark.createDataFrame(
-            [(text, _folder_name(part, text), value in emptied) for value, text in parts.items()],
-            "part STRING, path STRING, emptied BOOLEAN",
-        )
+        moves = [Move(text, value in emptied) for value, text in parts.items()]
         replace_partitions(spark, table, folder, moves, batch_id)
         return report
     finally:
-        newest.unpersist()
-        if hits is not None:
-            hits.unpersist()
+        for df in kept:
+            df.unpersist()
+
+
+def _report(keys: int, effects: list[Row], partitions: int) -> Scd2Report:
+    counts = dict.fromkeys((INSERTED, CLOSED_CHANGED, CLOSED_DELETED, OVERWRITTEN), 0)
+    for r in effects:
+        if r["lands"]:
+            counts[r[CLAUSE]] += r["n"]
+    return Scd2Report(
+        keys=keys,
+        inserted=counts[INSERTED],
+        closed=counts[CLOSED_CHANGED] + counts[CLOSED_DELETED],
+        overwritten=counts[OVERWRITTEN],
+        partitions=partitions,
+    )
 
 
-def _effects(
-    hits: DataFrame,
-    staged: DataFrame,
-    scd: list[str],
-    upd: list[str],
-    feed: CdcFeed,
-    small: bool,
-    part: str,
-) -> list[Row]:
+def _effects(changed_hits: DataFrame, inserts: DataFrame, part: str) -> list[Row]:
     """Row counts per clause and partition: at most a few rows per table partition.
 
     A row that moves counts in both partitions, and ``lands`` in the second only.
     """
-    updated, inserts = merge_parts(
-        hits, staged, scd, upd, feed.rules, present=hits, small=small, origin=part
-    )
-
-    def place(column: str, lands: bool) -> Column:
-        return F.struct(F.col(column).alias("part"), F.lit(lands).alias("lands"))
-
-    stays = (F.col(CLAUSE) == INSERTED) | F.col(ORIGIN).eqNullSafe(F.col(part))
-    places = F.when(stays, F.array(place(part, True))).otherwise(
-        F.array(place(ORIGIN, False), place(part, True))
+    there = f"named_struct('part', `{part}`, 'lands', true)"
+    gone = f"named_struct('part', {ORIGIN}, 'lands', false)"
+    moved = changed_hits.where(f"{CLAUSE} <> {UNTOUCHED}").selectExpr(
+        CLAUSE,
+        f"inline(IF({ORIGIN} <=> `{part}`, array({there}), array({gone}, {there})))",
     )
+    added = inserts.selectExpr(CLAUSE, f"`{part}` AS part", "true AS lands")
     return (
-        updated.where(F.col(CLAUSE) != UNTOUCHED)
-        .unionByName(inserts)
-        .select(CLAUSE, F.inline(places))
+        moved.unionByName(added)
         .groupBy(CLAUSE, "part", "lands")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("text", F.col("part").cast("string"))
         .collect()
     )
-
-
-def _folder_name(part: str, text: str | None) -> str:
-    """Folder of a partition value as the writer names it (partition columns are dates)."""
-    return f"{part}={'__HIVE_DEFAULT_PARTITION__' if text is None else text}"

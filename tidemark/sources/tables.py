@@ -60,6 +60,8 @@ def create_table(
     comment: str | None = None,
 ) -> TableRef:
     """Table with an explicit schema at a location, unless it exists."""
+    if spark.catalog.tableExists(quoted(name)):
+        return open_table(spark, name)
     ddl = schema if isinstance(schema, str) else schema.toDDL()
     by = f" PARTITIONED BY ({quoted(partition_col)})" if partition_col else ""
     note = f" COMMENT {_text(comment)}" if comment else ""
@@ -67,7 +69,7 @@ def create_table(
         f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({ddl}) USING {table_format}"
         f"{by} LOCATION {_text(location)}{note}"
     )
-    return open_table(spark, name)
+    return TableRef(name, partition_col, location, table_format)
 
 
 def create_scd2_table(
