@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -50,18 +49,40 @@ def key_first(df: DataFrame) -> DataFrame:
     return df.select(JOIN_KEY, *columns_except(df.columns, [JOIN_KEY]))
 
 
-def any_changed(pairs: Iterable[tuple[Column, Column]], null_safe: bool = False) -> Column:
-    """True when any pair differs; by default a null on either side is no change."""
-    tests = [~a.eqNullSafe(b) if null_safe else a != b for a, b in pairs]
-    return reduce(lambda x, y: x | y, tests, F.lit(False))
+# Predicates are SQL text: conditions over many columns stay one expression to
+# build, and the same text serves joined frames and MERGE.
 
+ACTIVE = "ActiveIndicator = true"
 
-def is_active(prefix: str = "") -> Column:
-    return F.col(f"{prefix}ActiveIndicator") == F.lit(True)
 
+def any_changed(
+    columns: Iterable[str], old: str, new: str, null_safe: bool = False
+) -> str:
+    """True when any column differs; by default a null on either side is no change.
 
-def is_delete(op_type: Column) -> Column:
-    return op_type == F.lit(DELETE_OP)
+    ``old`` and ``new`` are prefixes up to the column name, e.g. ``"t."`` and ``"s."``.
+    """
+    form = "NOT ({a} <=> {b})" if null_safe else "{a} <> {b}"
+    tests = [
+        form.format(a=prefixed(old, c), b=prefixed(new, c)) for c in columns if c != JOIN_KEY
+    ]
+    return "(" + " OR ".join(tests) + ")" if tests else "false"
+
+
+def prefixed(prefix: str, column: str) -> str:
+    """Quoted column behind a qualifier (``"t."``) or a name prefix (``"_s_"``)."""
+    qualifier, dot, start = prefix.rpartition(".")
+    return f"{qualifier}{dot}`{start}{column}`"
+
+
+def delete_event(op_type: str = "op_type") -> str:
+    """Lower-case code only; other spellings are ordinary changes."""
+    return f"{op_type} = '{DELETE_OP}'"
+
+
+def not_a_delete(op_type: str = "op_type") -> str:
+    """True for null codes too."""
+    return f"({op_type} IS NULL OR {op_type} <> '{DELETE_OP}')"
 
 
 def history_columns(columns: Iterable[str], transport: Iterable[str] = ()) -> list[str]:

@@ -1,85 +1,75 @@
-"""Ordered merge clauses as one left join, one CASE and one anti join."""
+"""Ordered merge clauses as one join, one CASE and one anti join."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import JOIN_KEY, MergeRules
-from tidemark.functions.keys import any_changed, is_active, is_delete
+from tidemark.functions.keys import ACTIVE, any_changed, delete_event, not_a_delete
 from tidemark.operators.sizing import broadcast_if
-from tidemark.operators.staging import DEFAULT_RULES, MERGE_KEY, as_versions, versions_of
+from tidemark.operators.staging import (
+    DEFAULT_RULES,
+    MERGE_KEY,
+    NEW,
+    insert_values,
+    match_versions,
+    versions_of,
+)
 
 # Clause numbers reported in the tag column.
 UNTOUCHED, CLOSED_CHANGED, CLOSED_DELETED, OVERWRITTEN, INSERTED = 0, 1, 2, 3, 4
 CLAUSE = "_clause"
 ORIGIN = "_origin"
-_STAGED = "_s_"
 
 
-def _clause(scd_cols: Sequence[str], upd_cols: Sequence[str], rules: MergeRules) -> Column:
-    """Number of the first clause that holds; an unknown condition does not hold."""
-
-    def differs(columns: Sequence[str]) -> Column:
-        pairs = [(F.col(c), F.col(_STAGED + c)) for c in columns if c != JOIN_KEY]
-        return any_changed(pairs, rules.null_safe) & F.col(_STAGED + MERGE_KEY).isNotNull()
-
-    deleted = is_active() & is_delete(F.col(_STAGED + "op_type"))
+def clause_number(scd_cols: Sequence[str], upd_cols: Sequence[str], rules: MergeRules) -> str:
+    """CASE giving the first clause that holds; an unknown condition does not hold."""
+    whens = [f"WHEN `{NEW}{JOIN_KEY}` IS NULL THEN {UNTOUCHED}"]
     if scd_cols:
-        clause = F.when(is_active() & differs(scd_cols), CLOSED_CHANGED).when(
-            deleted, CLOSED_DELETED
-        )
-    else:
-        clause = F.when(deleted, CLOSED_DELETED)
+        changed = any_changed(scd_cols, "", NEW, rules.null_safe)
+        whens.append(f"WHEN {ACTIVE} AND {changed} THEN {CLOSED_CHANGED}")
+    whens.append(f"WHEN {ACTIVE} AND {delete_event(NEW + 'op_type')} THEN {CLOSED_DELETED}")
     if upd_cols:
-        changed = differs(upd_cols)
-        if rules.active_only_overwrite:
-            changed = is_active() & changed
-        clause = clause.when(changed, OVERWRITTEN)
-    return clause.otherwise(UNTOUCHED)
+        changed = any_changed(upd_cols, "", NEW, rules.null_safe)
+        only = f"{ACTIVE} AND " if rules.active_only_overwrite else ""
+        whens.append(f"WHEN {only}{changed} THEN {OVERWRITTEN}")
+    return f"CASE {' '.join(whens)} ELSE {UNTOUCHED} END"
 
 
-def updated_rows(
-    target: DataFrame,
-    staged: DataFrame,
+def apply_clauses(
+    matched: DataFrame,
+    columns: Sequence[tuple[str, str]],
     scd_cols: Sequence[str],
     upd_cols: Sequence[str],
     rules: MergeRules = DEFAULT_RULES,
-    small: bool = False,
     origin: str | None = None,
 ) -> DataFrame:
-    """Existing rows after the merge, tagged with the clause that took them.
+    """Matched versions after the merge, tagged with the clause that took them.
 
-    ``staged`` has at most one row per non-null merge key, so no target row can
-    match twice. ``small``: staged rows were measured and may be broadcast, so
-    the target is scanned but not shuffled; otherwise Spark joins by shuffle and
-    AQE may split a skewed target key. ``origin`` adds that column's value from
-    before the merge.
+    ``columns``: (name, type) pairs of the table. ``origin`` adds that column's
+    value from before the merge.
     """
-    right = staged.where(F.col(MERGE_KEY).isNotNull())
-    right = right.toDF(*[_STAGED + c for c in right.columns])
-    joined = target.join(
-        broadcast_if(right, small), F.col(JOIN_KEY) == F.col(_STAGED + MERGE_KEY), "left"
-    ).withColumn(CLAUSE, _clause(scd_cols, upd_cols, rules))
-
     closing = f"{CLAUSE} IN ({CLOSED_CHANGED}, {CLOSED_DELETED})"
     overwriting = f"{CLAUSE} = {OVERWRITTEN}"
-    new_values = {c: (overwriting, f"`{_STAGED}{c}`") for c in upd_cols}
+    new_values = {c: (overwriting, f"`{NEW}{c}`") for c in upd_cols}
     new_values["ActiveIndicator"] = (closing, "false")
-    new_values["EndDate"] = (closing, f"`{_STAGED}ds`")
-    new_values["Action"] = (closing, f"`{_STAGED}op_type`")
+    new_values["EndDate"] = (closing, f"`{NEW}ds`")
+    new_values["Action"] = (closing, f"`{NEW}op_type`")
 
-    def merged(name: str, kind: str) -> str:
+    def after(name: str, kind: str) -> str:
         if name not in new_values:
             return f"`{name}`"
         when, value = new_values[name]
         return f"CASE WHEN {when} THEN CAST({value} AS {kind}) ELSE `{name}` END AS `{name}`"
 
     before = [f"`{origin}` AS {ORIGIN}"] if origin else []
-    return joined.selectExpr(*[merged(n, k) for n, k in target.dtypes], CLAUSE, *before)
+    return matched.withColumn(CLAUSE, F.expr(clause_number(scd_cols, upd_cols, rules))).selectExpr(
+        *[after(name, kind) for name, kind in columns], CLAUSE, *before
+    )
 
 
 def inserted_rows(
@@ -91,23 +81,23 @@ def inserted_rows(
 ) -> DataFrame:
     """Staged rows whose merge key is not in ``present``, as new active versions.
 
-    ``present`` has all table versions of the staged keys (more does no harm).
-    With ``small`` it has no other keys, so its distinct keys may be broadcast too.
+    ``present`` has all table versions of the staged keys. With ``small`` it has
+    no other keys, so its distinct keys may be broadcast as well.
 
     Null merge keys match nothing; keeping them out of the join also keeps them
     from meeting in one shuffle partition.
     """
-    keyed = staged.where(F.col(MERGE_KEY).isNotNull())
     known = present.select(F.col(JOIN_KEY).alias("_t_key")).distinct()
-    unmatched = keyed.join(
+    unmatched = staged.where(f"{MERGE_KEY} IS NOT NULL").join(
         broadcast_if(known, small), F.col(MERGE_KEY) == F.col("_t_key"), "left_anti"
     )
     if rules.honor_deletes:
-        unmatched = unmatched.where("op_type IS NULL OR op_type <> 'd'")
-    fresh = as_versions(staged.where(F.col(MERGE_KEY).isNull()).unionByName(unmatched))
+        unmatched = unmatched.where(not_a_delete())
+    fresh = staged.where(f"{MERGE_KEY} IS NULL").unionByName(unmatched)
+    values = insert_values(staged.columns)
     return fresh.selectExpr(
         *[
-            f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+            f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`"
             for f in target_schema.fields
         ],
         f"{INSERTED} AS {CLAUSE}",
@@ -130,22 +120,25 @@ def merge(
     """
     if not scd_cols and not upd_cols:
         return target
-    updated = updated_rows(target, staged, scd_cols, upd_cols, rules, small)
-    present = target
-    if small:
-        keys = staged.select(F.col(MERGE_KEY).alias(JOIN_KEY)).where(F.col(JOIN_KEY).isNotNull())
-        present = versions_of(keys, target, small)
+    keyed = staged.where(f"{MERGE_KEY} IS NOT NULL")
+    matched = match_versions(target, keyed, "left", small)
+    updated = apply_clauses(matched, target.dtypes, scd_cols, upd_cols, rules)
+    present = versions_of(keyed, target, small) if small else target
     inserts = inserted_rows(staged, present, target.schema, rules, small)
     return updated.unionByName(inserts).drop(CLAUSE)
 
 
-def merge_scd_and_overwrite(target, staged, scd_cols, upd_cols, rules=DEFAULT_RULES):
-    return merge(target, staged, scd_cols, upd_cols, rules)
+def merge_scd_and_overwrite(
+    target: DataFrame, staged: DataFrame, scd_cols: Sequence[str], upd_cols: Sequence[str]
+) -> DataFrame:
+    return merge(target, staged, scd_cols, upd_cols)
 
 
-def merge_scd_only(target, staged, scd_cols, rules=DEFAULT_RULES):
-    return merge(target, staged, scd_cols, (), rules)
+def merge_scd_only(target: DataFrame, staged: DataFrame, scd_cols: Sequence[str]) -> DataFrame:
+    return merge(target, staged, scd_cols, ())
 
 
-def merge_overwrite_only(target, staged, upd_cols, rules=DEFAULT_RULES):
-    return merge(target, staged, (), upd_cols, rules)
+def merge_overwrite_only(
+    target: DataFrame, staged: DataFrame, upd_cols: Sequence[str]
+) -> DataFrame:
+    return merge(target, staged, (), upd_cols)

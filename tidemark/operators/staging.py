@@ -7,13 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import JOIN_KEY, SCD_COLUMNS, MergeRules
-from tidemark.functions.keys import any_changed, drop_bookkeeping, is_active, is_delete
+from tidemark.config import BOOKKEEPING, JOIN_KEY, SCD_COLUMNS, MergeRules
+from tidemark.functions.keys import ACTIVE, any_changed, columns_except, not_a_delete
 from tidemark.operators.sizing import broadcast_if
 
 MERGE_KEY = "mergeKey"
 DEFAULT_RULES = MergeRules()
 
+# In a matched row the columns of the newest change carry this prefix.
+NEW = "_s_"
+
 
 def versions_of(newest: DataFrame, target: DataFrame, small: bool = False) -> DataFrame:
     """All table versions of the keys in ``newest``."""
@@ -23,6 +26,36 @@ def versions_of(newest: DataFrame, target: DataFrame, small: bool = False) -> Da
     )
 
 
+def match_versions(
+    target: DataFrame, newest: DataFrame, how: str = "inner", small: bool = False
+) -> DataFrame:
+    """Table versions next to the newest change of their key (``_s_`` columns).
+
+    ``newest`` has one row per key, so no version can match twice. ``small``:
+    it was measured and may be broadcast, so the table is scanned but not
+    shuffled; otherwise Spark joins by shuffle and AQE may split a hot key of
+    the table, whose side is the one that can be skewed.
+    """
+    right = newest.toDF(*[NEW + c for c in newest.columns])
+    return target.join(
+        broadcast_if(right, small), F.col(JOIN_KEY) == F.col(NEW + JOIN_KEY), how
+    )
+
+
+def changed_among(
+    matched: DataFrame,
+    newest_columns: Sequence[str],
+    scd_cols: Sequence[str],
+    rules: MergeRules = DEFAULT_RULES,
+) -> DataFrame:
+    """Newest rows of matched versions that are active and differ in a versioned column."""
+    changed = any_changed(scd_cols, "", NEW, rules.null_safe)
+    rows = matched.where(f"{ACTIVE} AND {changed}").selectExpr(
+        *[f"`{NEW}{c}` AS `{c}`" for c in newest_columns]
+    )
+    return rows.where(not_a_delete()) if rules.honor_deletes else rows
+
+
 def changed_keys(
     newest: DataFrame,
     target: DataFrame,
@@ -31,37 +64,37 @@ def changed_keys(
     small: bool = False,
 ) -> DataFrame:
     """Newest rows whose key has an active version with different versioned columns."""
-    watched = [c for c in scd_cols if c != JOIN_KEY]
-    current = target.where(is_active()).select(
-        F.col(JOIN_KEY).alias("_t_key"), *[F.col(c).alias(f"_t_{c}") for c in watched]
-    )
-    changed = any_changed([(F.col(f"_t_{c}"), F.col(c)) for c in watched], rules.null_safe)
-    rows = current.join(
-        broadcast_if(newest, small), F.col("_t_key") == F.col(JOIN_KEY), "inner"
-    ).where(changed)
-    if rules.honor_deletes:
-        rows = rows.where(~F.coalesce(is_delete(F.col("op_type")), F.lit(False)))
-    return rows.select(*newest.columns)
+    matched = match_versions(target.where(ACTIVE), newest, "inner", small)
+    return changed_among(matched, newest.columns, scd_cols, rules)
 
 
-def reopened_keys(
+def reopened_among(
     newest: DataFrame,
-    target: DataFrame,
+    versions: DataFrame,
     rules: MergeRules = DEFAULT_RULES,
     small: bool = False,
 ) -> DataFrame:
-    """Newest rows of keys that are in the table with closed versions only."""
-    versions = versions_of(newest, target, small)
+    """Newest rows of keys all of whose ``versions`` are closed.
+
+    ``versions`` has no keys beyond those of ``newest`` when ``small`` is set.
+    """
     state = versions.groupBy(F.col(JOIN_KEY).alias("_t_key")).agg(
-        F.max(F.coalesce(is_active(), F.lit(False))).alias("_has_active")
+        F.expr(f"coalesce(bool_or({ACTIVE}), false)").alias("_open")
     )
-    closed = state.where(~F.col("_has_active")).select("_t_key")
     rows = newest.join(
-        broadcast_if(closed, small), F.col(JOIN_KEY) == F.col("_t_key"), "left_semi"
+        broadcast_if(state.where("NOT _open"), small),
+        F.col(JOIN_KEY) == F.col("_t_key"),
+        "left_semi",
     )
-    if rules.honor_deletes:
-        rows = rows.where(~F.coalesce(is_delete(F.col("op_type")), F.lit(False)))
-    return rows
+    return rows.where(not_a_delete()) if rules.honor_deletes else rows
+
+
+def stage(newest: DataFrame, again: DataFrame | None) -> DataFrame:
+    """Re-inserts under a null merge key, then every newest row under its own key."""
+    staged = newest.selectExpr(f"`{JOIN_KEY}` AS {MERGE_KEY}", "*")
+    if again is None:
+        return staged
+    return again.selectExpr(f"CAST(NULL AS STRING) AS {MERGE_KEY}", "*").unionByName(staged)
 
 
 def staged_updates(
@@ -71,31 +104,20 @@ def staged_updates(
     rules: MergeRules = DEFAULT_RULES,
     small: bool = False,
 ) -> DataFrame:
-    """Re-inserts under a null merge key, then every newest row under its own key.
-
-    ``target`` needs to hold all versions of the keys in ``newest``; other keys
-    do not matter. ``small`` states that ``newest`` may be broadcast (everything
-    broadcast here has at most one row per key of ``newest``).
-    """
-    again = changed_keys(newest, target, scd_cols, rules, small)
+    """The staged rows for a whole table."""
+    again = changed_keys(newest, target, scd_cols, rules, small) if scd_cols else None
     if rules.reopen:
-        again = again.unionByName(reopened_keys(newest, target, rules, small))
-    no_key = F.lit(None).cast("string").alias(MERGE_KEY)
-    staged = newest.select(F.col(JOIN_KEY).alias(MERGE_KEY), "*")
-    if not scd_cols and not rules.reopen:
-        return staged
-    return again.select(no_key, "*").unionByName(staged)
-
-
-def as_versions(staged: DataFrame) -> DataFrame:
-    """Staged rows in the shape of freshly inserted active versions."""
-    payload = [
-        c for c in drop_bookkeeping(staged).columns if c != MERGE_KEY and c not in SCD_COLUMNS
-    ]
-    return staged.selectExpr(
-        *[f"`{c}`" for c in payload],
-        "true AS ActiveIndicator",
-        "ds AS EffectiveDate",
-        "CAST(NULL AS DATE) AS EndDate",
-        "op_type AS Action",
-    )
+        closed = reopened_among(newest, versions_of(newest, target, small), rules, small)
+        again = closed if again is None else again.unionByName(closed)
+    return stage(newest, again)
+
+
+def insert_values(row_columns: Sequence[str]) -> dict[str, str]:
+    """What a newly inserted version holds, as SQL text per table column."""
+    payload = columns_except(row_columns, [*BOOKKEEPING, *SCD_COLUMNS, MERGE_KEY])
+    return {c: f"`{c}`" for c in payload} | {
+        "ActiveIndicator": "true",
+        "EffectiveDate": "ds",
+        "EndDate": "NULL",
+        "Action": "op_type",
+    }

@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidemark.config import JOIN_KEY, SCD_COLUMNS, MergeRules
-from tidemark.functions.keys import any_changed, is_delete
-from tidemark.operators.staging import MERGE_KEY
+from tidemark.config import JOIN_KEY, MergeRules
+from tidemark.functions.keys import ACTIVE, any_changed, delete_event, not_a_delete, prefixed
+from tidemark.operators.staging import MERGE_KEY, insert_values
 from tidemark.sources.tables import TableRef
 
 # Formats whose tables accept MERGE.
@@ -27,43 +26,33 @@ def merge_into(
     table: TableRef,
     scd_cols: Sequence[str],
     upd_cols: Sequence[str],
-    target_schema: T.StructType,
     rules: MergeRules,
 ) -> None:
-    target_name = table.name.split(".")[-1]
-
-    def old(c: str) -> Column:
-        return F.col(f"`{target_name}`.`{c}`")
-
-    def new(c: str) -> Column:
-        return F.col(f"{_SOURCE}.`{c}`")
-
-    def differs(columns: Sequence[str]) -> Column:
-        pairs = [(old(c), new(c)) for c in columns if c != JOIN_KEY]
-        return any_changed(pairs, rules.null_safe)
-
-    active = old("ActiveIndicator") == F.lit(True)
-    close = {"ActiveIndicator": F.lit(False), "EndDate": new("ds"), "Action": new("op_type")}
-    insert = {c: new(c) for c in target_schema.names if c not in SCD_COLUMNS}
-    insert.update(
-        ActiveIndicator=F.lit(True),
-        EffectiveDate=new("ds"),
-        EndDate=F.lit(None).cast("date"),
-        Action=new("op_type"),
+    old, new = f"`{table.name.split('.')[-1]}`.", f"{_SOURCE}."
+    active = f"{old}{ACTIVE}"
+    op_type = prefixed(new, "op_type")
+    close = {
+        "ActiveIndicator": F.lit(False),
+        "EndDate": F.expr(prefixed(new, "ds")),
+        "Action": F.expr(op_type),
+    }
+    insert = {c: F.expr(v) for c, v in insert_values(staged.columns).items()}
+
+    writer = staged.alias(_SOURCE).mergeInto(
+        table.sql_name, F.expr(f"{prefixed(old, JOIN_KEY)} = {prefixed(new, MERGE_KEY)}")
     )
-
-    writer = staged.alias(_SOURCE).mergeInto(table.sql_name, old(JOIN_KEY) == new(MERGE_KEY))
     if scd_cols:
-        writer = writer.whenMatched(active & differs(scd_cols)).update(close)
-    writer = writer.whenMatched(active & is_delete(new("op_type"))).update(close)
+        changed = any_changed(scd_cols, old, new, rules.null_safe)
+        writer = writer.whenMatched(F.expr(f"{active} AND {changed}")).update(close)
+    writer = writer.whenMatched(F.expr(f"{active} AND {delete_event(op_type)}")).update(close)
     if upd_cols:
-        changed = differs(upd_cols)
-        if rules.active_only_overwrite:
-            changed = active & changed
-        writer = writer.whenMatched(changed).update({c: new(c) for c in upd_cols})
+        changed = any_changed(upd_cols, old, new, rules.null_safe)
+        only = f"{active} AND " if rules.active_only_overwrite else ""
+        writer = writer.whenMatched(F.expr(only + changed)).update(
+            {c: F.expr(prefixed(new, c)) for c in upd_cols}
+        )
     if rules.honor_deletes:
-        keep = ~F.coalesce(is_delete(new("op_type")), F.lit(False))
-        writer = writer.whenNotMatched(keep).insert(insert)
+        writer = writer.whenNotMatched(F.expr(not_a_delete(op_type))).insert(insert)
     else:
         writer = writer.whenNotMatched().insert(insert)
     writer.merge()

@@ -11,6 +11,7 @@ when the table is next written.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
@@ -23,6 +24,7 @@ PENDING = "tidemark.pending"
 APPLIED = "tidemark.applied_batch"
 _NO_BATCH = -1
 _MOVES = "_moves"
+_CATALOG_THREADS = 8
 
 
 @dataclass(frozen=True)
@@ -115,17 +117,20 @@ def _move(
         return _text(f"{folder}/{folder_of(part)}")
 
     existing = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    added = []
+    added, statements = [], []
     for move in moves:
         spec = _spec(table, move.part)
         if move.emptied:
-            spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
+            statements.append(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
         elif folder_of(move.part) in existing:
-            spark.sql(f"ALTER TABLE {name} {spec} SET LOCATION {location(move.part)}")
+            statements.append(f"ALTER TABLE {name} {spec} SET LOCATION {location(move.part)}")
         else:
             added.append(f"{spec} LOCATION {location(move.part)}")
     if added:
-        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
+        statements.append(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
+    # Catalog round trips, one per existing partition: overlap them.
+    with ThreadPoolExecutor(_CATALOG_THREADS) as pool:
+        list(pool.map(spark.sql, statements))
     done = {PENDING: ""}
     if batch != _NO_BATCH:
         done[APPLIED] = str(batch)

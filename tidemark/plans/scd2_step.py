@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import CdcFeed
+from tidemark.config import JOIN_KEY, CdcFeed
 from tidemark.functions.keys import key_first, overwrite_columns
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import (
@@ -18,12 +18,19 @@ from tidemark.operators.merge import (
     ORIGIN,
     OVERWRITTEN,
     UNTOUCHED,
+    apply_clauses,
     inserted_rows,
     merge,
-    updated_rows,
 )
-from tidemark.operators.sizing import measure
-from tidemark.operators.staging import staged_updates, versions_of
+from tidemark.operators.sizing import broadcast_if, measure
+from tidemark.operators.staging import (
+    changed_among,
+    match_versions,
+    reopened_among,
+    stage,
+    staged_updates,
+    versions_of,
+)
 from tidemark.plans.merge_into import merge_into, supports_merge
 from tidemark.plans.partitions import (
     Move,
@@ -76,9 +83,11 @@ def apply_scd2_batch(
 
     1. newest change per key, measured;
     2. key and partition column of the table: which partitions hold these keys;
-    3. the versions of these keys, from those partitions only;
-    4. merge them to learn which partitions change;
-    5. rewrite these partitions (and the ones that receive rows), swap them in.
+    3. the versions of these keys, from those partitions only, next to the
+       newest change: every clause is decided on this one join;
+    4. which partitions change or receive rows;
+    5. rewrite those: rows of other keys unchanged, merged versions, new versions;
+       then swap them in.
 
     With a batch small enough to broadcast the table is never shuffled.
     """
@@ -99,33 +108,43 @@ def apply_scd2_batch(
 
         if supports_merge(table):
             staged = staged_updates(newest, target, scd, feed.rules, small)
-            merge_into(staged, table, scd, upd, target.schema, feed.rules)
+            merge_into(staged, table, scd, upd, feed.rules)
             mark_applied(spark, table, batch_id)
             return Scd2Report(keys=size.rows)
 
         part = table.partition_col
         touched = distinct_values(versions_of(newest, target, small), part)
-        hits = versions_of(newest, target.where(in_partitions(part, touched)), small).persist()
-        staged = staged_updates(newest, hits, scd, feed.rules, small)
-
-        inserts = inserted_rows(staged, hits, target.schema, feed.rules, small).persist()
-        kept += [hits, inserts]
-
-        changed_hits = updated_rows(hits, staged, scd, upd, feed.rules, small, origin=part)
-        effects = _effects(changed_hits, inserts, part)
+        matched = match_versions(
+            target.where(in_partitions(part, touched)), newest, "inner", small
+        ).persist()
+        again = changed_among(matched, newest.columns, scd, feed.rules) if scd else None
+        if feed.rules.reopen:
+            closed = reopened_among(newest, matched, feed.rules, small)
+            again = closed if again is None else again.unionByName(closed)
+        inserts = inserted_rows(
+            stage(newest, again), matched, target.schema, feed.rules, small
+        ).persist()
+        kept += [matched, inserts]
+
+        updated = apply_clauses(matched, target.dtypes, scd, upd, feed.rules, origin=part)
+        effects = _effects(updated, inserts, part)
         parts = {r["part"]: r["text"] for r in effects}
         report = _report(size.rows, effects, len(parts))
         if not parts:
             mark_applied(spark, table, batch_id)
             return report
 
-        affected = target.where(in_partitions(part, parts))
-        updated = updated_rows(affected, staged, scd, upd, feed.rules, small)
+        # Rows of other keys are carried over; the merged versions replace the rest.
+        affected = in_partitions(part, parts)
+        carried = target.where(affected).join(
+            broadcast_if(newest.select(JOIN_KEY), small), JOIN_KEY, "left_anti"
+        )
         if not small:
-            # The join left the rows hashed by key, i.e. every task holds every partition.
-            updated = updated.hint("rebalance", part)
+            # That join hashes rows by key, i.e. every task would hold every partition.
+            carried = carried.select(*target.columns).hint("rebalance", part)
+        merged = updated.drop(ORIGIN).where(affected).unionByName(inserts).drop(CLAUSE)
         folder = f"{table.location}/_versions/{run_id()}"
-        rows = updated.unionByName(inserts.hint("rebalance", part)).drop(CLAUSE)
+        rows = carried.unionByName(merged.hint("rebalance", part))
         rows.write.partitionBy(part).parquet(folder)
 
         # Only rows that moved between partitions can leave one empty.
@@ -154,14 +173,14 @@ def _report(keys: int, effects: list[Row], partitions: int) -> Scd2Report:
     )
 
 
-def _effects(changed_hits: DataFrame, inserts: DataFrame, part: str) -> list[Row]:
+def _effects(updated: DataFrame, inserts: DataFrame, part: str) -> list[Row]:
     """Row counts per clause and partition: at most a few rows per table partition.
 
     A row that moves counts in both partitions, and ``lands`` in the second only.
     """
     there = f"named_struct('part', `{part}`, 'lands', true)"
     gone = f"named_struct('part', {ORIGIN}, 'lands', false)"
-    moved = changed_hits.where(f"{CLAUSE} <> {UNTOUCHED}").selectExpr(
+    moved = updated.where(f"{CLAUSE} <> {UNTOUCHED}").selectExpr(
         CLAUSE,
         f"inline(IF({ORIGIN} <=> `{part}`, array({there}), array({gone}, {there})))",
     )

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import BOOKKEEPING, JOIN_KEY, SCD_COLUMNS
-from tidemark.functions.keys import columns_except, is_active
+from tidemark.functions.keys import ACTIVE, columns_except
 from tidemark.functions.naming import quoted
 
 
@@ -117,7 +117,7 @@ def open_table(spark: SparkSession, name: str) -> TableRef:
 
 def active_rows(spark: SparkSession, name: str) -> DataFrame:
     """Current state of a versioned table."""
-    return spark.table(quoted(name)).where(is_active())
+    return spark.table(quoted(name)).where(ACTIVE)
 
 
 def query_table(spark: SparkSession, name: str, columns: str = "*") -> DataFrame:
