@@ -1,0 +1,98 @@
+import datetime as dt
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import feed
+from tidemark.functions.frames import (
+    date_from_days,
+    date_from_millis,
+    decode_payload,
+    decode_topic,
+    envelope_ddl,
+    strip_frame,
+    unwrap_change,
+    unwrap_change_raw_time,
+    unwrap_flat,
+)
+from tidemark.streaming.feeds import change_rows
+
+DDL = "id BIGINT, op STRING, day INT"
+
+
+def message(payload):
+    return None if payload is None else bytes([0, 0, 0, 0, 7]) + json.dumps(payload).encode()
+
+
+def topic(spark, *payloads):
+    rows = [(message(p), "t", 0, i, None) for i, p in enumerate(payloads)]
+    return spark.createDataFrame(
+        rows, "value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
+    )
+
+
+def change(after, op="u", ms=86_400_000, before=None):
+    return {"before": before, "after": after, "op": op, "source": {"ts_ms": ms}, "ts_ms": ms + 5}
+
+
+def test_frame_is_five_bytes(spark):
+    df = spark.createDataFrame([(b"\x00\x00\x00\x00\x01abc",), (b"\x00\x00\x00\x00\x01",)], "v BINARY")
+    assert [bytes(r[0]) for r in df.select(strip_frame(F.col("v"))).collect()] == [b"abc", b""]
+
+
+def test_unwrap_keeps_rows_without_image_and_payload_column_called_op(spark):
+    frames = topic(spark, change({"id": 1, "op": "x", "day": 3}), change(None, op="d"), None)
+    out = unwrap_change(decode_topic(frames, envelope_ddl(DDL)))
+    assert out.columns == ["id", "op", "day", "op_type", "ds"]
+    assert [tuple(r) for r in out.collect()] == [
+        (1, "x", 3, "u", dt.date(1970, 1, 2)),
+        (None, None, None, "d", dt.date(1970, 1, 2)),
+        (None, None, None, None, None),
+    ]
+
+
+def test_raw_time_and_flat_variants(spark):
+    frames = topic(spark, change({"id": 1, "op": "x", "day": 3}, ms=1000))
+    raw = unwrap_change_raw_time(decode_topic(frames, envelope_ddl(DDL)))
+    assert raw.columns == ["id", "op", "day", "op_type", "op_ts"]
+    assert raw.first()["op_ts"] == 1005
+    flat = unwrap_flat(decode_topic(topic(spark, {"id": 4, "op": "y", "day": 1}), DDL))
+    row = flat.withColumn("today", F.current_date()).first()
+    assert (row["id"], row["ds"]) == (4, row["today"])
+
+
+def test_dates_from_encoded_numbers(spark):
+    df = spark.createDataFrame([(-500, -1), (86_399_999, 0), (1_704_067_200_000, 19723)], "m BIGINT, d BIGINT")
+    got = df.select(date_from_millis(F.col("m")), date_from_days(F.col("d"))).collect()
+    assert [tuple(r) for r in got] == [
+        # milliseconds are cut towards zero before the date is taken
+        (dt.date(1970, 1, 1), dt.date(1969, 12, 31)),
+        (dt.date(1970, 1, 1), dt.date(1970, 1, 1)),
+        (dt.date(2024, 1, 1), dt.date(2024, 1, 1)),
+    ]
+
+
+@pytest.mark.parametrize(
+    "name, encoding, value", [("dna.x.y", None, 86_400_000 * 3), ("app.x.y", None, 3), ("app.x.y", "millis", 86_400_000 * 3)]
+)
+def test_partition_date_encoding_follows_topic_or_setting(spark, name, encoding, value):
+    a_feed = feed(
+        topic=name, after_ddl="id BIGINT, p BIGINT", scd_cols=(), partition_col="p", partition_encoding=encoding
+    )
+    out = change_rows(topic(spark, change({"id": 1, "p": value})), a_feed)
+    assert out.columns == ["id", "p", "op_type", "ds", "p_PARTITION", "_offset", "JoinKey"]
+    assert out.first()["p_PARTITION"] == dt.date(1970, 1, 4)
+
+
+def test_delete_key_is_empty_unless_the_old_image_is_used(spark):
+    frames = topic(spark, change(None, "d", before={"id": 9, "op": None, "day": None}))
+    by_default = change_rows(frames, feed(after_ddl=DDL, scd_cols=()))
+    from_before = change_rows(frames, feed(after_ddl=DDL, scd_cols=(), delete_image="before"))
+    assert by_default.first()["JoinKey"] == ""
+    assert from_before.first()["JoinKey"] == "9"
+
+
+def test_unknown_payload_format(spark):
+    with pytest.raises(ValueError):
+        decode_payload(F.lit(None), DDL, "xml")
