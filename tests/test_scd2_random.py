@@ -52,12 +52,16 @@ def draw(rng, n):
     return out
 
 
-@pytest.mark.parametrize("seed, limit", [(1, 1 << 26), (2, 0)])
-def test_batches_match_merge(spark, tmp_path, seed, limit):
+@pytest.mark.parametrize("seed, settings", [
+    (1, {}),
+    (2, {"broadcast_bytes": 0}),
+    (3, {"broadcast_bytes": 0, "hot_versions": 2}),
+])
+def test_batches_match_merge(spark, tmp_path, seed, settings):
     rng = random.Random(seed)
     con = duckdb.connect()
     con.execute(SETUP)
-    a_feed = feed(broadcast_bytes=limit)
+    a_feed = feed(**settings)
     table = plain = None
     for number in range(5):
         batch = draw(rng, rng.choice([3, 8, 40]))

@@ -18,6 +18,10 @@ DEFAULT_CARRY = (("partition", "_partition"), ("offset", "_offset"))
 # A side is broadcast only when its measured size is at most this many bytes.
 DEFAULT_BROADCAST_BYTES = 64 * 1024 * 1024
 
+# A key with at least this many versions is spread over several tasks when the
+# table has to be shuffled.
+DEFAULT_HOT_VERSIONS = 1_000_000
+
 
 @dataclass(frozen=True)
 class MergeRules:
@@ -47,6 +51,7 @@ class CdcFeed:
     table_format: str = "parquet"  # "delta"/"iceberg": the format's own MERGE is used
     batch_ledger: bool = False  # skip a batch id that was already applied
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
+    hot_versions: int = DEFAULT_HOT_VERSIONS
     rules: MergeRules = field(default_factory=MergeRules)
 
     @property

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.config import BOOKKEEPING, JOIN_KEY, SCD_COLUMNS, MergeRules
 from tidemark.functions.keys import ACTIVE, any_changed, columns_except, not_a_delete
 from tidemark.operators.sizing import broadcast_if
+from tidemark.operators.skew import join_on_key
 
 MERGE_KEY = "mergeKey"
 DEFAULT_RULES = MergeRules()
@@ -18,28 +19,34 @@ DEFAULT_RULES = MergeRules()
 NEW = "_s_"
 
 
-def versions_of(newest: DataFrame, target: DataFrame, small: bool = False) -> DataFrame:
+def versions_of(
+    newest: DataFrame, target: DataFrame, small: bool = False, hot: DataFrame | None = None
+) -> DataFrame:
     """All table versions of the keys in ``newest``."""
     keys = newest.select(F.col(JOIN_KEY).alias("_n_key"))
-    return target.join(
-        broadcast_if(keys, small), F.col(JOIN_KEY) == F.col("_n_key"), "left_semi"
-    )
+    return join_on_key(target, keys, "_n_key", "left_semi", small, hot)
+
+
+def versions_of_other_keys(
+    newest: DataFrame, target: DataFrame, small: bool = False, hot: DataFrame | None = None
+) -> DataFrame:
+    keys = newest.select(F.col(JOIN_KEY).alias("_n_key"))
+    return join_on_key(target, keys, "_n_key", "left_anti", small, hot)
 
 
 def match_versions(
-    target: DataFrame, newest: DataFrame, how: str = "inner", small: bool = False
+    target: DataFrame,
+    newest: DataFrame,
+    how: str = "inner",
+    small: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Table versions next to the newest change of their key (``_s_`` columns).
 
-    ``newest`` has one row per key, so no version can match twice. ``small``:
-    it was measured and may be broadcast, so the table is scanned but not
-    shuffled; otherwise Spark joins by shuffle and AQE may split a hot key of
-    the table, whose side is the one that can be skewed.
+    ``newest`` has one row per key, so no version can match twice.
     """
     right = newest.toDF(*[NEW + c for c in newest.columns])
-    return target.join(
-        broadcast_if(right, small), F.col(JOIN_KEY) == F.col(NEW + JOIN_KEY), how
-    )
+    return join_on_key(target, right, NEW + JOIN_KEY, how, small, hot)
 
 
 def changed_among(

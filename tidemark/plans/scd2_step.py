@@ -22,7 +22,8 @@ from tidemark.operators.merge import (
     inserted_rows,
     merge,
 )
-from tidemark.operators.sizing import broadcast_if, measure
+from tidemark.operators.sizing import measure
+from tidemark.operators.skew import hot_keys
 from tidemark.operators.staging import (
     changed_among,
     match_versions,
@@ -30,6 +31,7 @@ from tidemark.operators.staging import (
     stage,
     staged_updates,
     versions_of,
+    versions_of_other_keys,
 )
 from tidemark.plans.merge_into import merge_into, supports_merge
 from tidemark.plans.partitions import (
@@ -113,9 +115,13 @@ def apply_scd2_batch(
             return Scd2Report(keys=size.rows)
 
         part = table.partition_col
-        touched = distinct_values(versions_of(newest, target, small), part)
+        hot = None if small else hot_keys(target, feed.hot_versions)
+        if hot is not None:
+            kept.append(hot)
+        located = target.select(JOIN_KEY, part)
+        touched = distinct_values(versions_of(newest, located, small, hot), part)
         matched = match_versions(
-            target.where(in_partitions(part, touched)), newest, "inner", small
+            target.where(in_partitions(part, touched)), newest, "inner", small, hot
         ).persist()
         again = changed_among(matched, newest.columns, scd, feed.rules) if scd else None
         if feed.rules.reopen:
@@ -136,12 +142,10 @@ def apply_scd2_batch(
 
         # Rows of other keys are carried over; the merged versions replace the rest.
         affected = in_partitions(part, parts)
-        carried = target.where(affected).join(
-            broadcast_if(newest.select(JOIN_KEY), small), JOIN_KEY, "left_anti"
-        )
+        carried = versions_of_other_keys(newest, target.where(affected), small, hot)
         if not small:
             # That join hashes rows by key, i.e. every task would hold every partition.
-            carried = carried.select(*target.columns).hint("rebalance", part)
+            carried = carried.hint("rebalance", part)
         merged = updated.drop(ORIGIN).where(affected).unionByName(inserts).drop(CLAUSE)
         folder = f"{table.location}/_versions/{run_id()}"
         rows = carried.unionByName(merged.hint("rebalance", part))
