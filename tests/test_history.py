@@ -94,7 +94,9 @@ def test_small_batch_does_not_shuffle_history(spark, tmp_path, plan_of):
     a_feed = feed()
     first = rows(spark, (1, "10", "a", "c", 1))
     hist = tables(spark, first.drop("_offset"), a_feed, tmp_path).history
-    apply_history_batch(spark, first, hist, a_feed.transport, a_feed.key_cols)
+    for inserted in (1, 0):
+        report = apply_history_batch(spark, first, hist, a_feed.transport, a_feed.key_cols)
+        assert (report.batch_rows, report.inserted) == (1, inserted)
     batch = rows(spark, (1, "10", "a", "c", 2)).drop("JoinKey", "_offset")
     text = plan_of(unseen_rows(batch, spark.table(hist.sql_name), history_columns(batch.columns), small=True), "simple")
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text

@@ -48,6 +48,7 @@ class CdcFeed:
     key_sep: str = ""
     delete_image: str = "after"  # "before": take the key of deletes from the old image
     payload_format: str = "json"  # "avro" where Spark's avro package is loaded
+    avro_schema: str | None = None  # envelope schema as JSON text, for "avro"
     table_format: str = "parquet"  # "delta"/"iceberg": the format's own MERGE is used
     batch_ledger: bool = False  # skip a batch id that was already applied
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
@@ -85,6 +86,7 @@ class FlatFeed:
     topic: str
     record_ddl: str
     payload_format: str = "json"
+    avro_schema: str | None = None
     table_format: str = "parquet"
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     rules: MergeRules = field(default_factory=MergeRules)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import DEFAULT_BROADCAST_BYTES, JOIN_KEY, MergeRules
@@ -19,6 +19,7 @@ from tidemark.sources.tables import TableRef
 @dataclass(frozen=True)
 class HistoryReport:
     batch_rows: int
+    inserted: int
 
 
 def apply_history_batch(
@@ -58,5 +59,7 @@ def apply_history_batch(
     if part:
         # Few, evenly sized files per partition; AQE splits a partition that is too big.
         fresh = fresh.hint("rebalance", part)
-    fresh.write.insertInto(table.sql_name)
-    return HistoryReport(batch_rows=size.rows)
+    # Counted while writing, so no count of the table before and after is needed.
+    written = Observation()
+    fresh.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(table.sql_name)
+    return HistoryReport(batch_rows=size.rows, inserted=written.get["n"])

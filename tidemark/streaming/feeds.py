@@ -19,8 +19,8 @@ from tidemark.functions.frames import (
 from tidemark.functions.keys import with_business_key
 from tidemark.functions.naming import flat_name, history_name, scd2_name
 from tidemark.operators.sizing import measure
-from tidemark.plans.history_step import apply_history_batch
-from tidemark.plans.scd2_step import apply_scd2_batch
+from tidemark.plans.history_step import HistoryReport, apply_history_batch
+from tidemark.plans.scd2_step import Scd2Report, apply_scd2_batch
 from tidemark.sources.tables import (
     TableRef,
     create_history_table,
@@ -41,7 +41,7 @@ class FeedTables:
 
 def change_rows(frames: DataFrame, feed: CdcFeed) -> DataFrame:
     """Topic rows to normalised change rows with the business key."""
-    schema = envelope_ddl(feed.after_ddl) if feed.payload_format == "json" else feed.after_ddl
+    schema = feed.avro_schema or envelope_ddl(feed.after_ddl)
     decoded = decode_topic(frames, schema, feed.payload_format, feed.carry)
     rows = unwrap_change(
         decoded,
@@ -54,7 +54,8 @@ def change_rows(frames: DataFrame, feed: CdcFeed) -> DataFrame:
 
 
 def flat_rows(frames: DataFrame, feed: FlatFeed) -> DataFrame:
-    return unwrap_flat(decode_topic(frames, feed.record_ddl, feed.payload_format))
+    schema = feed.avro_schema or feed.record_ddl
+    return unwrap_flat(decode_topic(frames, schema, feed.payload_format))
 
 
 def _ensure_parent(spark: SparkSession, name: str, root: str) -> None:
@@ -95,12 +96,15 @@ def apply_change_batch(
     feed: CdcFeed,
     tables: FeedTables,
     batch_id: int | None = None,
-):
-    """History first, then the versioned table; the batch is decoded once."""
+) -> tuple[HistoryReport, Scd2Report]:
+    """History first, then the versioned table; the batch is decoded once.
+
+    Returns what happened to each table.
+    """
     batch = batch.persist()
     try:
         size = measure(batch)
-        apply_history_batch(
+        appended = apply_history_batch(
             spark,
             batch,
             tables.history,
@@ -110,14 +114,14 @@ def apply_change_batch(
             feed.broadcast_bytes,
             size,
         )
-        return apply_scd2_batch(spark, batch, tables.scd2, feed, batch_id)
+        return appended, apply_scd2_batch(spark, batch, tables.scd2, feed, batch_id)
     finally:
         batch.unpersist()
 
 
 def apply_flat_batch(
     spark: SparkSession, batch: DataFrame, feed: FlatFeed, tables: FeedTables
-):
+) -> HistoryReport:
     batch = batch.persist()
     try:
         return apply_history_batch(

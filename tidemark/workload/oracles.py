@@ -172,6 +172,7 @@ ORACLES: dict[str, str] = {
         "l_linestatus DESC NULLS LAST) = 1"
     ),
     "history_append": f"{_history(_THREE_STEPS)} SELECT * FROM h3",
+    "history_shuffled": f"{_history(_THREE_STEPS)} SELECT * FROM h3",
     "history_replay": f"{_history(((1,), (1, 2, 3)), nulls=True)} SELECT * FROM h2",
     "history_replay_null_safe": (
         f"{_history(((1,), (1, 2, 3)), nulls=True, null_safe=True)} SELECT * FROM h2"
@@ -196,6 +197,7 @@ ORACLES: dict[str, str] = {
         f'SELECT "JoinKey" AS "mergeKey", {_NEW_COLS} FROM n3'
     ),
     "scd2_three_batches": _table(),
+    "scd2_shuffled": _table(),
     "scd2_scd_only": _table(scd=("tier", "event_type"), upd=()),
     "scd2_update_only": _table(scd=(), upd=("tier", "event_type")),
     "scd2_null_default": _table(nulls=True),

@@ -174,6 +174,12 @@ def scd2_three_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, table)
 
 
+def scd2_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As for a batch too big to broadcast, with keys of three versions and more salted."""
+    _, table, _ = _events_scd2(spark, sf_dir, broadcast_bytes=0, hot_versions=3)
+    return _rows(spark, table)
+
+
 def scd2_scd_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All payload columns versioned, nothing overwritten."""
     _, table, _ = _events_scd2(spark, sf_dir, scd_cols=("tier", "event_type"))
@@ -300,7 +306,13 @@ def _events_history(
     for numbers in steps:
         batch = changes.where(F.col("batch_no").isin(*numbers)).drop("batch_no")
         apply_history_batch(
-            spark, batch, tables.history, feed.transport, feed.key_cols, feed.rules
+            spark,
+            batch,
+            tables.history,
+            feed.transport,
+            feed.key_cols,
+            feed.rules,
+            feed.broadcast_bytes,
         )
     return tables.history
 
@@ -309,6 +321,12 @@ def history_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, _events_history(spark, sf_dir, ((1,), (2,), (3,))))
 
 
+def history_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As for batches too big to broadcast."""
+    table = _events_history(spark, sf_dir, ((1,), (2,), (3,)), broadcast_bytes=0)
+    return _rows(spark, table)
+
+
 def history_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     """First batch, then the whole topic again, with nulls: null rows come in twice."""
     return _rows(spark, _events_history(spark, sf_dir, ((1,), (1, 2, 3)), nulls=True))
@@ -323,10 +341,9 @@ def history_replay_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def history_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _events_history(spark, sf_dir, ((1,), (2,), (3,)))
-    query_table(spark, table.name).createOrReplaceTempView("tm_history_sql")
     return spark.sql(
         "SELECT ds, op_type, count(*) AS n, count(DISTINCT user_id) AS users "
-        "FROM tm_history_sql GROUP BY ds, op_type"
+        f"FROM {table.sql_name} GROUP BY ds, op_type"
     )
 
 
@@ -462,6 +479,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "table_names": table_names,
     "latest_per_key": latest_per_key_lineitem,
     "history_append": history_append,
+    "history_shuffled": history_shuffled,
     "history_replay": history_replay,
     "history_replay_null_safe": history_replay_null_safe,
     "history_sql": history_sql,
@@ -469,6 +487,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_changed_keys": scd2_changed_keys,
     "scd2_staged": scd2_staged,
     "scd2_three_batches": scd2_three_batches,
+    "scd2_shuffled": scd2_shuffled,
     "scd2_scd_only": scd2_scd_only,
     "scd2_update_only": scd2_update_only,
     "scd2_null_default": scd2_null_default,
