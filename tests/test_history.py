@@ -52,7 +52,8 @@ def test_insert_if_absent(spark, tmp_path, limit):
 
 @pytest.mark.parametrize("limit", [1 << 26, 0])
 def test_null_safe_replay_adds_nothing(spark, tmp_path, limit):
-    batch = [(1, None, "a", "c", 1), (2, "5", None, None, None), (None, None, None, "d", 1)]
+    # the row without a key is alone in its partition
+    batch = [(1, None, "a", "c", 1), (2, "5", None, None, None), (None, None, None, "d", 7)]
     got = run(spark, tmp_path, [batch, batch], rules=MergeRules(null_safe=True), broadcast_bytes=limit)
     assert len(got) == 3
 

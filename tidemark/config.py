@@ -87,6 +87,8 @@ class FlatFeed:
     record_ddl: str
     payload_format: str = "json"
     avro_schema: str | None = None
+    # Selective columns, if any: they tell which partitions can hold an equal row.
+    key_cols: tuple[str, ...] = ()
     table_format: str = "parquet"
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     rules: MergeRules = field(default_factory=MergeRules)

@@ -49,7 +49,10 @@ def apply_history_batch(
         history = history.where(in_partitions(part, distinct_values(rows, part)))
     elif part and key_cols and small:
         keys = [k for k in key_cols if k in compare]
-        held = history.join(F.broadcast(rows.select(*keys).distinct()), keys, "left_semi")
+        wanted = rows.select(*[F.col(k).alias(f"_w_{k}") for k in keys]).distinct()
+        sign = "<=>" if rules.null_safe else "="
+        same = " AND ".join(f"`{k}` {sign} `_w_{k}`" for k in keys)
+        held = history.join(F.broadcast(wanted), F.expr(same), "left_semi")
         history = history.where(in_partitions(part, distinct_values(held, part)))
 
     shared_dir(spark)  # checkpoint() below writes there

@@ -128,6 +128,7 @@ def apply_flat_batch(
             spark,
             batch,
             tables.history,
+            key_cols=feed.key_cols,
             rules=feed.rules,
             broadcast_bytes=feed.broadcast_bytes,
         )
@@ -197,7 +198,11 @@ def start_feeds(
     checkpoint_root: str | None,
     trigger: dict | None = None,
 ) -> list[StreamingQuery]:
-    """An independent query per topic; for a repeated topic the first entry counts."""
+    """An independent query per topic; for a repeated topic the first entry counts.
+
+    Each query has its own scheduler pool: with ``spark.scheduler.mode=FAIR`` a
+    feed that replays a long topic does not hold up the others.
+    """
     first = {}
     for feed in feeds:
         first.setdefault(feed.topic, feed)
@@ -205,7 +210,9 @@ def start_feeds(
     for topic, feed in first.items():
         start = start_change_feed if isinstance(feed, CdcFeed) else start_flat_feed
         checkpoint = f"{checkpoint_root}/{topic}" if checkpoint_root else None
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", topic)
         queries.append(start(spark, source(feed), feed, root, checkpoint, trigger))
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
     return queries
 
 

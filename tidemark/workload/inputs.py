@@ -38,7 +38,7 @@ def events_feed(topic: str = "app.dbo.events", **changes) -> CdcFeed:
 
 
 def orders_feed(topic: str = "orders") -> FlatFeed:
-    return FlatFeed(topic=topic, record_ddl=ORDERS_DDL)
+    return FlatFeed(topic=topic, record_ddl=ORDERS_DDL, key_cols=("o_orderkey",))
 
 
 def tier(value: Column) -> Column:
