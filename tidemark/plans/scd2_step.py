@@ -132,8 +132,10 @@ def apply_scd2_batch(
         ).persist()
         kept += [matched, inserts]
 
+        # Two actions on purpose: the first one fills the cache of ``matched``, which
+        # the second reads in several stages that would otherwise compute it side by side.
         updated = apply_clauses(matched, target.dtypes, scd, upd, feed.rules, origin=part)
-        effects = _effects(updated, inserts, part)
+        effects = _changes(updated, part) + _arrivals(inserts, part)
         parts = {r["part"]: r["text"] for r in effects}
         report = _report(size.rows, effects, len(parts))
         if not parts:
@@ -177,21 +179,24 @@ def _report(keys: int, effects: list[Row], partitions: int) -> Scd2Report:
     )
 
 
-def _effects(updated: DataFrame, inserts: DataFrame, part: str) -> list[Row]:
-    """Row counts per clause and partition: at most a few rows per table partition.
+def _changes(updated: DataFrame, part: str) -> list[Row]:
+    """Changed rows per clause and partition: at most a few rows per table partition.
 
     A row that moves counts in both partitions, and ``lands`` in the second only.
     """
     there = f"named_struct('part', `{part}`, 'lands', true)"
     gone = f"named_struct('part', {ORIGIN}, 'lands', false)"
-    moved = updated.where(f"{CLAUSE} <> {UNTOUCHED}").selectExpr(
-        CLAUSE,
-        f"inline(IF({ORIGIN} <=> `{part}`, array({there}), array({gone}, {there})))",
-    )
-    added = inserts.selectExpr(CLAUSE, f"`{part}` AS part", "true AS lands")
+    places = f"inline(IF({ORIGIN} <=> `{part}`, array({there}), array({gone}, {there})))"
+    return _counted(updated.where(f"{CLAUSE} <> {UNTOUCHED}").selectExpr(CLAUSE, places))
+
+
+def _arrivals(inserts: DataFrame, part: str) -> list[Row]:
+    return _counted(inserts.selectExpr(CLAUSE, f"`{part}` AS part", "true AS lands"))
+
+
+def _counted(rows: DataFrame) -> list[Row]:
     return (
-        moved.unionByName(added)
-        .groupBy(CLAUSE, "part", "lands")
+        rows.groupBy(CLAUSE, "part", "lands")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("text", F.col("part").cast("string"))
         .collect()
