@@ -57,10 +57,10 @@ def test_change_predicate_ignores_nulls_unless_told(spark):
 @pytest.mark.parametrize(
     "topic, base",
     [
-        ("kondor.dbo.CptyDefT", "kondor.CptyDefT"),
-        ("bankserver1.bank.holding", "bankserver1.holding"),
+        ("shop.dbo.ItemsT", "shop.ItemsT"),
+        ("srv1.bank.holding", "srv1.holding"),
         ("a.b", "a.b"),
-        ("kondor-1", "kondor_1"),
+        ("shop-1", "shop_1"),
         ("a.b.c.d-e", "a.d_e"),
     ],
 )
