@@ -2,19 +2,22 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir`` of the session; a temporary folder only where it is unset."""
+    """``spark.checkpoint.dir``, else the context's checkpoint folder, else one in the warehouse.
+
+    All of these are shared by driver and executors; no setting of the session is changed.
+    """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        configured = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", configured)
-        spark.sparkContext.setCheckpointDir(configured)
+        current = spark.sparkContext._jsc.sc().getCheckpointDir()
+        configured = current.get() if current.isDefined() else None
+    if not configured:
+        configured = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidemark_work"
     return configured.rstrip("/")
 
 
