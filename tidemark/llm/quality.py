@@ -35,6 +35,7 @@ SPREAD = 2  # entries of a random vector that are not 0
 FAN_IN = 8
 FOLDS, HELD_OUT = 3, 1
 HIDDEN = 32
+STEPS = 400  # at least so many updates, over however few rows
 
 _CLASS = np.full(256, 2, dtype=np.int8)  # 0 space, 1 letters and digits, 2 other signs
 _CLASS[[9, 10, 11, 12, 13, 32]] = 0
@@ -184,7 +185,7 @@ def fit(x: np.ndarray, y: np.ndarray, seed: int = 11) -> Network:
     params = [rng.normal(0, 1 / np.sqrt(z.shape[1]), (z.shape[1], HIDDEN)), np.zeros(HIDDEN), np.zeros(HIDDEN), np.array([np.log(share / (1 - share))])]
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     step = 0
-    for _ in range(30):
+    for _ in range(max(30, STEPS * 256 // max(len(rest), 1))):
         rng.shuffle(rest)
         for lo in range(0, len(rest), 256):
             pick = rest[lo : lo + 256]

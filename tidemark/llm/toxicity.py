@@ -29,7 +29,9 @@ TERMS = 2048
 RANK = 8
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
+STEPS = 400  # at least so many updates, over however few rows
 MIN_DOCUMENTS = 5
+MIN_CHI_SQUARE = 15.0  # weaker associations are chance among so many terms
 
 _GAPS = np.ones(256, dtype=bool)
 _GAPS[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
@@ -96,7 +98,7 @@ def _fit(x_rows: np.ndarray, x_terms: np.ndarray, y: np.ndarray, width: int, see
     moments = [(np.zeros_like(p), np.zeros_like(p)) for p in params]
     cut = np.searchsorted(x_rows, np.arange(n + 1))
     step = 0
-    for epoch in range(12):
+    for _ in range(max(12, STEPS * 512 // max(n, 1))):
         order = rng.permutation(n)
         for lo in range(0, n, 512):
             pick = order[lo : lo + 512]
@@ -124,15 +126,15 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", folds: int =
     n1, n0 = (rows.agg(F.sum("label"), F.sum(1 - F.col("label"))).first() or (None, None))
     if not n1 or not n0:
         return None
-    # Association of each hashed term with the label, over all training rows.
+    # Chi-square of each hashed term with the label, over all training rows.
     share1, share0 = F.col("d1") / n1, F.col("d0") / n0
     pooled = (F.col("d1") + F.col("d0")) / (n1 + n0)
-    strength = F.abs(share1 - share0) / F.sqrt(pooled * (1 - pooled) + 1e-6)
+    strength = (share1 - share0) ** 2 / (pooled * (1 - pooled) * (1 / n1 + 1 / n0) + 1e-12)
     best = (
         rows.select("label", F.explode("terms").alias("term"))
         .groupBy("term")
         .agg(F.sum("label").alias("d1"), F.sum(1 - F.col("label")).alias("d0"))
-        .where(F.col("d1") + F.col("d0") >= MIN_DOCUMENTS)
+        .where((F.col("d1") + F.col("d0") >= MIN_DOCUMENTS) & (strength >= MIN_CHI_SQUARE))
         .orderBy(strength.desc(), "term")
         .limit(TERMS)
         .select("term")
