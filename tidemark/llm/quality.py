@@ -14,16 +14,15 @@ empty texts are pooled to zeros. Without labels of both kinds every score is 0.5
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm import partsum
 from tidemark.llm.labelled import fold, training_texts
 from tidemark.llm.tables import documents, kept
 from tidemark.llm.textops import LOWER, mix, text_chunks, word_hashes
@@ -32,7 +31,6 @@ BUCKETS = 1 << 13
 DIM = 32
 WINDOW = 2
 SPREAD = 2  # entries of a random vector that are not 0
-FAN_IN = 8
 FOLDS, HELD_OUT = 3, 1
 HIDDEN = 32
 STEPS = 400  # at least so many updates, over however few rows
@@ -75,8 +73,6 @@ def _bucket(hashes: np.ndarray) -> np.ndarray:
 
 
 def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    from pyspark import TaskContext
-
     table = np.zeros(BUCKETS * DIM, dtype=np.int64)
     for batch in batches:
         for _, _, data, offsets in text_chunks(batch.column("text")):
@@ -89,33 +85,15 @@ def _context_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
                 for k in range(SPREAD):
                     cells += [bucket[near] + places[k][near + gap], bucket[near + gap] + places[k][near]]
                     weights += [signs[k][near + gap], signs[k][near]]
-            if cells:
-                sums = np.bincount(np.concatenate(cells), np.concatenate(weights), BUCKETS * DIM)
-                table += sums.astype(np.int64)
-    part = TaskContext.get().partitionId()
-    packed = zlib.compress(table.tobytes(), 1)
-    yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.array([packed], pa.binary())], ["part", "sums"])
-
-
-def _added(frame: pd.DataFrame) -> pd.DataFrame:
-    total = np.zeros(BUCKETS * DIM, dtype=np.int64)
-    for packed in frame["sums"]:
-        total += np.frombuffer(zlib.decompress(packed), dtype=np.int64)
-    return pd.DataFrame({"part": [int(frame["part"].min()) // FAN_IN], "sums": [zlib.compress(total.tobytes(), 1)]})
+            sums = np.bincount(np.concatenate(cells), np.concatenate(weights), BUCKETS * DIM)
+            table += sums.astype(np.int64)
+    yield partsum.part_batch(table)
 
 
 def word_vectors(docs: DataFrame) -> np.ndarray:
     """The BUCKETS x DIM table over all documents, rows scaled to length 1 (or 0)."""
-    parts = kept(documents(docs).mapInArrow(_context_sums, "part long, sums binary"), "contexts")
-    widest = parts.agg(F.max("part")).first()[0]
-    while widest:
-        grouped = parts.groupBy(F.floor(F.col("part") / FAN_IN).alias("g"))
-        parts = kept(grouped.applyInPandas(_added, "part long, sums binary"), "contexts")
-        widest //= FAN_IN
-    total = np.zeros(BUCKETS * DIM, dtype=np.int64)
-    for (packed,) in parts.select("sums").collect():  # one row of fixed size
-        total += np.frombuffer(zlib.decompress(packed), dtype=np.int64)
-    table = total.reshape(BUCKETS, DIM).astype(np.float64)
+    parts = kept(documents(docs).mapInArrow(_context_sums, partsum.PART_SCHEMA), "contexts")
+    table = partsum.total(parts, BUCKETS * DIM).reshape(BUCKETS, DIM).astype(np.float64)
     length = np.linalg.norm(table, axis=1, keepdims=True)
     return (table / np.maximum(length, 1e-9)).astype(np.float32)
 

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, quality, secret_scan, toxicity
+from tidemark.llm import exact_dedup, mixing, ngram_join, quality, secret_scan, toxicity
 from tidemark.llm.tables import read
 
 
@@ -30,6 +30,10 @@ def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
 
 
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.join(read(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read(spark, sf_dir, "documents"))
 
@@ -44,12 +48,37 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
+OP9_SQL = r"""
+WITH RECURSIVE t AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS g
+  FROM t
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * m >= 80 * (x.n + y.n - m)
+), e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+r(node, root) AS (
+  SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM r JOIN e ON e.a = r.node
+)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, c.component_id
+FROM documents d LEFT JOIN n USING (doc_id)
+JOIN (SELECT node AS doc_id, min(root) AS component_id FROM r GROUP BY node) c USING (doc_id)
+"""
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
     "op3_secret_scan": op3_secret_scan,
     "op8_toxicity": op8_toxicity,
+    "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
-LLM_ORACLES: dict[str, str] = {"op10_exact_dedup": OP10_SQL}
+LLM_ORACLES: dict[str, str] = {"op9_ngram_join": OP9_SQL, "op10_exact_dedup": OP10_SQL}
