@@ -7,7 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import exact_dedup, mixing, ngram_join, quality, secret_scan, toxicity
+from tidemark.llm import (
+    decontamination,
+    exact_dedup,
+    license_scan,
+    mixing,
+    ngram_join,
+    quality,
+    secret_scan,
+    toxicity,
+    url_filter,
+)
 from tidemark.llm.tables import read
 
 
@@ -25,6 +35,19 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_assign", "n_access", "n_hex", sha.alias("base_sha256"), "spans")
 
 
+def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filter.judge(url_filter.dated_captures(pages), url_filter.dated_entries(pages))
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(read(spark, sf_dir, "documents"))
+
+
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, read(spark, sf_dir, "labels")))
@@ -48,6 +71,34 @@ SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
 FROM t WINDOW w AS (PARTITION BY text_sha256)
 """
 
+OP4_SQL = r"""
+WITH u AS (
+  SELECT page_id, nullif(regexp_replace(regexp_replace(regexp_extract(regexp_replace(
+    translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^[a-z][a-z0-9+.-]*://', ''),
+    '^[^/?#]*', 0), '^.*@|:[0-9]*$', '', 'g'), '\.$', ''), '') AS host
+  FROM pages
+), c AS (
+  SELECT page_id, host, DATE '2020-01-01' + CAST((page_id * 7919) % 1461 AS INTEGER) AS fetched FROM u
+), l AS (
+  SELECT CASE WHEN page_id % 5 = 0 THEN regexp_extract(host, '([^.]+\.[^.]+)$', 1) ELSE host END AS suffix,
+    DATE '2020-01-01' + CAST((page_id * 104729) % 1461 AS INTEGER) AS day,
+    CASE WHEN page_id % 3 = 0 THEN 'allow' ELSE 'block' END AS action
+  FROM u WHERE host IS NOT NULL
+), d AS (SELECT suffix, day, max(action) AS action FROM l WHERE suffix <> '' GROUP BY ALL),
+i AS (
+  SELECT suffix, action, day AS valid_from,
+    coalesce(lead(day) OVER (PARTITION BY suffix ORDER BY day), DATE '9999-12-31') AS valid_to
+  FROM d
+), h AS (
+  SELECT c.page_id, arg_max(struct_pack(s := i.suffix, f := i.valid_from, a := i.action), length(i.suffix)) AS b
+  FROM c JOIN i ON (c.host = i.suffix OR ends_with(c.host, '.' || i.suffix))
+    AND i.valid_from <= c.fetched AND c.fetched < i.valid_to
+  GROUP BY c.page_id
+)
+SELECT c.page_id, c.host, c.fetched, b.s AS suffix, b.f AS valid_from, coalesce(b.a, 'unlisted') AS verdict
+FROM c LEFT JOIN h USING (page_id)
+"""
+
 OP9_SQL = r"""
 WITH RECURSIVE t AS (
   SELECT doc_id, list_filter(regexp_split_to_array(
@@ -76,9 +127,12 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
     "op3_secret_scan": op3_secret_scan,
+    "op4_url_filter": op4_url_filter,
+    "op6_license_scan": op6_license_scan,
+    "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
-LLM_ORACLES: dict[str, str] = {"op9_ngram_join": OP9_SQL, "op10_exact_dedup": OP10_SQL}
+LLM_ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL, "op9_ngram_join": OP9_SQL, "op10_exact_dedup": OP10_SQL}
