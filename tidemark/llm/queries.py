@@ -15,6 +15,7 @@ from tidemark.llm import (
     ngram_join,
     quality,
     secret_scan,
+    suffix_dedup,
     toxicity,
     url_filter,
 )
@@ -40,6 +41,10 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(url_filter.dated_captures(pages), url_filter.dated_entries(pages))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.deduplicate(read(spark, sf_dir, "documents"))
+
+
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan(read(spark, sf_dir, "documents"))
 
@@ -128,6 +133,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_mixing": op2_mixing,
     "op3_secret_scan": op3_secret_scan,
     "op4_url_filter": op4_url_filter,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_license_scan": op6_license_scan,
     "op7_decontamination": op7_decontamination,
     "op8_toxicity": op8_toxicity,
