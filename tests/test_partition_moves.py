@@ -9,6 +9,7 @@ from helpers import feed, rows, tables, versions
 from tidemark.functions.keys import with_business_key
 from tidemark.plans import partitions as moves
 from tidemark.plans.merge_into import merge_into
+from tidemark.plans.partitions import Delivery, remove_stale_versions
 from tidemark.plans.scd2_step import apply_scd2_batch, newest_changes
 from tidemark.operators.staging import stage
 from tidemark.sources.tables import open_table
@@ -19,7 +20,7 @@ def two_batches(spark, tmp_path, **settings):
     first = rows(spark, (1, "10", "a", "c", 1), (2, "10", "a", "c", 2), (3, "10", "a", "c", 3))
     second = rows(spark, (2, "20", "a", "u", 9))
     table = tables(spark, first.drop("_offset"), a_feed, tmp_path).scd2
-    apply_scd2_batch(spark, first, table, a_feed, 0)
+    apply_scd2_batch(spark, first, table, a_feed, Delivery("q", 0))
     return a_feed, table, second
 
 
@@ -33,7 +34,7 @@ def files_by_day(spark, table):
 def test_only_partitions_with_a_change_are_rewritten(spark, tmp_path):
     a_feed, table, second = two_batches(spark, tmp_path)
     before = files_by_day(spark, table)
-    apply_scd2_batch(spark, second, table, a_feed, 1)
+    apply_scd2_batch(spark, second, table, a_feed)
     after = files_by_day(spark, table)
     assert before["2024-01-01"] == after["2024-01-01"]
     assert before["2024-01-03"] == after["2024-01-03"]
@@ -44,7 +45,7 @@ def test_only_partitions_with_a_change_are_rewritten(spark, tmp_path):
 def test_unchanged_batch_writes_nothing(spark, tmp_path):
     a_feed, table, _ = two_batches(spark, tmp_path)
     before = files_by_day(spark, table)
-    report = apply_scd2_batch(spark, rows(spark, (2, "10", "a", "u", 9)), table, a_feed, 1)
+    report = apply_scd2_batch(spark, rows(spark, (2, "10", "a", "u", 9)), table, a_feed)
     assert report.partitions == 0 and files_by_day(spark, table) == before
 
 
@@ -53,18 +54,18 @@ def test_interrupted_move_is_finished_by_the_next_batch(spark, tmp_path, monkeyp
     a_feed, table, second = two_batches(spark, tmp_path, batch_ledger=True)
     original = moves._move
 
-    def die(session, ref, folder, listed, batch):
+    def die(session, ref, folder, listed, delivery):
         if lost_after:  # some partitions already moved
-            original(session, ref, folder, listed[:lost_after], moves._NO_BATCH)
-            moves.set_properties(session, ref, **{moves.PENDING: f"{batch}|{folder}"})
+            original(session, ref, folder, listed[:lost_after], None)
+            moves.set_properties(session, ref, **{moves.PENDING: f"{delivery.text}|{folder}"})
         raise RuntimeError("driver lost")
 
     monkeypatch.setattr(moves, "_move", die)
     with pytest.raises(RuntimeError):
-        apply_scd2_batch(spark, second, table, a_feed, 1)
+        apply_scd2_batch(spark, second, table, a_feed, Delivery("q", 1))
     monkeypatch.setattr(moves, "_move", original)
 
-    again = apply_scd2_batch(spark, second, open_table(spark, table.name), a_feed, 1)
+    again = apply_scd2_batch(spark, second, open_table(spark, table.name), a_feed, Delivery("q", 1))
     assert again.skipped
     assert versions(spark.table(table.sql_name)) == [
         ("1", "10", "a", True, 1, None, "c"),
@@ -87,8 +88,8 @@ def test_row_that_moves_leaves_no_stale_partition(spark, tmp_path):
 
     first = batch((1, "10", 5), (2, "10", 6), (4, "10", 6))
     table = tables(spark, first.drop("_offset"), a_feed, tmp_path).scd2
-    apply_scd2_batch(spark, first, table, a_feed, 0)
-    apply_scd2_batch(spark, batch((1, "10", 6), (2, "10", None)), table, a_feed, 1)
+    apply_scd2_batch(spark, first, table, a_feed)
+    apply_scd2_batch(spark, batch((1, "10", 6), (2, "10", None)), table, a_feed)
     # a null is no change by default, so key 2 stays where it is
     assert sorted(tuple(r) for r in spark.table(table.sql_name).select("JoinKey", "day").collect()) == [
         ("1", 6), ("2", 6), ("4", 6),
@@ -98,6 +99,40 @@ def test_row_that_moves_leaves_no_stale_partition(spark, tmp_path):
     ]
 
 
+def test_moved_row_survives_without_partition_type_inference(spark, tmp_path):
+    a_feed = feed(after_ddl="id BIGINT, price STRING, day INT", partition_col="day")
+
+    def batch(day):
+        df = spark.createDataFrame(
+            [(k, "10", day, "u", dt.date(2024, 1, 1), k) for k in (1, 2)],
+            "id BIGINT, price STRING, day INT, op_type STRING, ds DATE, _offset BIGINT",
+        ).withColumn("day_PARTITION", F.date_from_unix_date("day"))
+        return with_business_key(df, ["id"])
+
+    table = tables(spark, batch(5).drop("_offset"), a_feed, tmp_path).scd2
+    name = "spark.sql.sources.partitionColumnTypeInference.enabled"
+    spark.conf.set(name, "false")
+    try:
+        apply_scd2_batch(spark, batch(5), table, a_feed)
+        apply_scd2_batch(spark, batch(6), table, a_feed)
+        assert sorted(tuple(r) for r in spark.table(table.sql_name).select("id", "day").collect()) == [(1, 6), (2, 6)]
+    finally:
+        spark.conf.unset(name)
+
+
+def test_stale_folders_are_listed_and_live_ones_stay(spark, tmp_path):
+    a_feed, table, second = two_batches(spark, tmp_path)
+    apply_scd2_batch(spark, second, table, a_feed)
+    apply_scd2_batch(spark, rows(spark, (2, "30", "a", "u", 10), (1, "11", "a", "u", 10), (3, "9", "a", "u", 10)), table, a_feed)
+    before = versions(spark.table(table.sql_name))
+    stale = remove_stale_versions(spark, table)
+    assert stale and remove_stale_versions(spark, table) == stale  # a dry run changes nothing
+    assert remove_stale_versions(spark, table, dry_run=False) == stale
+    spark.catalog.refreshTable(table.sql_name)
+    assert versions(spark.table(table.sql_name)) == before
+    assert remove_stale_versions(spark, table) == []
+
+
 def test_open_table_reads_the_catalog(spark, tmp_path):
     _, table, _ = two_batches(spark, tmp_path)
     opened = open_table(spark, table.name)

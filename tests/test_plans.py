@@ -6,6 +6,7 @@ from helpers import feed, rows, tables
 from tidemark.operators.merge import merge
 from tidemark.operators.sizing import measure
 from tidemark.operators.staging import match_versions, staged_updates
+from tidemark.plans import history_step
 from tidemark.plans.history_step import apply_history_batch
 from tidemark.plans.scd2_step import apply_scd2_batch, newest_changes
 
@@ -47,10 +48,33 @@ def test_size_is_measured(spark):
     assert measure(df.limit(0)).bytes == 0
 
 
-def test_history_scan_is_limited_to_partitions_that_can_match(spark, tmp_path):
-    """Appending reads the table, so watch which partitions the comparison may open."""
+def append(spark, a_feed, made, *changes, **settings):
+    batch = rows(spark, *changes)
+    apply_history_batch(spark, batch, made.history, a_feed.transport, a_feed.key_cols, **settings)
+
+
+@pytest.mark.parametrize("settings", [{}, {"broadcast_bytes": 0}])
+def test_history_comparison_reads_only_partitions_that_can_match(spark, tmp_path, monkeypatch, plan_of, settings):
     a_feed, made, _ = setup(spark, tmp_path)
-    apply_history_batch(spark, rows(spark, (1, "10", "a", "c", 1), (2, "10", "a", "c", 2)), made.history, a_feed.transport, a_feed.key_cols)
-    apply_history_batch(spark, rows(spark, (1, "10", "a", "c", 5), (1, "11", "a", "c", 5)), made.history, a_feed.transport, a_feed.key_cols)
+    append(spark, a_feed, made, (1, "10", "a", "c", 1), (2, "10", "a", "c", 2))
+    seen = []
+    original = history_step.unseen_rows
+
+    def watch(batch, history, *more):
+        seen.append(plan_of(history))
+        return original(batch, history, *more)
+
+    monkeypatch.setattr(history_step, "unseen_rows", watch)
+    append(spark, a_feed, made, (1, "10", "a", "c", 5), (1, "11", "a", "c", 5), **settings)
+    assert "PartitionFilters: [isnotnull(ds" in seen[0] and "2024-01-01" in seen[0] and "2024-01-02" not in seen[0]
     got = sorted((r["id"], r["price"], r["ds"].day) for r in spark.table(made.history.sql_name).collect())
     assert got == [(1, "10", 1), (1, "11", 5), (2, "10", 2)]
+
+
+@pytest.mark.parametrize("keys", [("row_id",), ("ID",)])
+def test_history_with_bookkeeping_or_other_case_keys(spark, tmp_path, keys):
+    a_feed, made, _ = setup(spark, tmp_path)
+    for _ in range(2):
+        batch = rows(spark, (1, "10", "a", "c", 1))
+        apply_history_batch(spark, batch, made.history, a_feed.transport, keys)
+    assert spark.table(made.history.sql_name).count() == 1

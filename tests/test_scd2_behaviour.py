@@ -4,12 +4,9 @@ import pytest
 
 from helpers import day, feed, rows, tables, versions
 from tidemark.config import MergeRules
-from tidemark.operators.merge import (
-    merge_overwrite_only,
-    merge_scd_and_overwrite,
-    merge_scd_only,
-)
+from tidemark.operators.merge import merge
 from tidemark.operators.staging import staged_updates
+from tidemark.plans.partitions import Delivery
 from tidemark.plans.scd2_step import apply_scd2_batch, newest_changes, scd2_step
 from tidemark.sources.tables import active_rows
 
@@ -122,10 +119,10 @@ def test_ledger_skips_an_applied_batch(spark, tmp_path):
     a_feed = feed(batch_ledger=True)
     first, second = rows(spark, (1, "10", "a", "c", 1)), rows(spark, (1, "20", "a", "d", 2))
     table = tables(spark, first.drop("_offset"), a_feed, tmp_path).scd2
-    apply_scd2_batch(spark, first, table, a_feed, 0)
-    apply_scd2_batch(spark, second, table, a_feed, 1)
+    apply_scd2_batch(spark, first, table, a_feed, Delivery("q", 0))
+    apply_scd2_batch(spark, second, table, a_feed, Delivery("q", 1))
     before = versions(spark.table(table.sql_name))
-    assert apply_scd2_batch(spark, second, table, a_feed, 1).skipped
+    assert apply_scd2_batch(spark, second, table, a_feed, Delivery("q", 1)).skipped
     assert versions(spark.table(table.sql_name)) == before
 
 
@@ -170,10 +167,10 @@ def test_merge_operators_directly(spark, tmp_path):
     keys = sorted((r["mergeKey"], r["JoinKey"]) for r in staged.where("mergeKey is not null").collect())
     assert keys == [("1", "1"), ("3", "3")]
     assert [r["JoinKey"] for r in staged.where("mergeKey is null").collect()] == ["1"]
-    assert len(versions(merge_scd_and_overwrite(target, staged, ["price"], ["name"]))) == 3
-    assert len(versions(merge_scd_only(target, staged, ["price"]))) == 3
+    assert len(versions(merge(target, staged, ["price"], ["name"]))) == 3
+    assert len(versions(merge(target, staged, ["price"], ()))) == 3
     plain = staged_updates(newest, target, [])
-    assert versions(merge_overwrite_only(target, plain, ["price", "name"])) == [
+    assert versions(merge(target, plain, (), ["price", "name"])) == [
         ("1", "20", "b", True, 1, None, "c"),
         ("3", "1", "c", True, 2, None, "c"),
     ]

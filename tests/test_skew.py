@@ -1,8 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import skew
-from tidemark.operators.skew import hot_keys, join_on_key
+from tidemark.operators.skew import hot_keys, join_on_key, versions_per_key
 
 
 def table(spark):
@@ -11,16 +10,21 @@ def table(spark):
     return spark.range(3000).select(key.alias("JoinKey"), F.col("id").alias("v"))
 
 
+def held(spark, keys=None):
+    every = table(spark)
+    newest = every.select("JoinKey").distinct()
+    return versions_per_key(newest.where(keys) if keys else newest, every.withColumn("p", F.lit(1)), "p")
+
+
 def test_hot_keys_and_their_pieces(spark):
-    hot = hot_keys(table(spark), 300)
+    hot = hot_keys(held(spark), 300)
     assert [tuple(r) for r in hot.collect()] == [("hot", 4)]
-    assert hot_keys(table(spark), 1001) is None
-    assert hot_keys(table(spark), 10_000) is None
+    assert hot_keys(held(spark), 1001) is None
+    assert hot_keys(held(spark), 10_000) is None
 
 
-def test_list_of_hot_keys_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(skew, "MAX_HOT_KEYS", 3)
-    assert [r[0] for r in hot_keys(table(spark), 1).collect()] == ["hot"]
+def test_only_keys_of_the_batch_can_be_hot(spark):
+    assert hot_keys(held(spark, "JoinKey <> 'hot'"), 300) is None
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -28,7 +32,7 @@ def test_salted_join_equals_plain_join(spark, how):
     target = table(spark)
     right = spark.createDataFrame([("hot", 1), ("7", 2), ("nowhere", 3)], "k STRING, n INT")
     plain = join_on_key(target, right, "k", how)
-    salted = join_on_key(target, right, "k", how, hot=hot_keys(target, 300))
+    salted = join_on_key(target, right, "k", how, hot=hot_keys(held(spark), 300))
     assert salted.columns == plain.columns
     assert sorted(map(repr, salted.collect())) == sorted(map(repr, plain.collect()))
 
@@ -39,7 +43,7 @@ def test_hot_rows_reach_several_tasks(spark):
     try:
         right = spark.createDataFrame([("hot", 1)], "k STRING, n INT")
         target = table(spark)
-        hot = hot_keys(target, 100)
+        hot = hot_keys(held(spark), 100)
 
         def tasks(df):
             return df.select(F.spark_partition_id()).distinct().count()

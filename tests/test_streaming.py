@@ -1,9 +1,13 @@
 import json
 import time
 
+import pytest
+
 from helpers import AFTER, feed, versions
 from tidemark.config import FlatFeed
 from tidemark.functions.naming import quoted, scd2_name
+from tidemark.plans import history_step
+from tidemark.plans.partitions import Delivery
 from tidemark.sources.topics import (
     kafka_options,
     read_topic_files,
@@ -14,6 +18,7 @@ from tidemark.sources.topics import (
 from tidemark.sources.tables import create_table, query_table
 from tidemark.streaming.feeds import (
     apply_change_batch,
+    await_any,
     change_rows,
     prepare_tables,
     preview_rows,
@@ -63,7 +68,7 @@ def test_stream_equals_batches_and_resumes(spark, tmp_path):
         run(spark, path, a_feed, root, f"{root}/cp")
         rows = change_rows(arrived, folded)
         made = made or prepare_tables(spark, rows, folded, root)
-        apply_change_batch(spark, rows, folded, made, n)
+        apply_change_batch(spark, rows, folded, made)
     streamed = spark.table(quoted(scd2_name(a_feed.topic)))
     expected = versions(spark.table(made.scd2.sql_name))
     assert versions(streamed) == expected and len(expected) == 3
@@ -156,3 +161,108 @@ def test_default_trigger_keeps_running(spark, tmp_path):
         assert query.isActive
     finally:
         query.stop()
+
+
+def history_of(spark, a_feed):
+    return query_table(spark, a_feed.topic.split(".")[0] + ".items_hist")
+
+
+def test_ledger_goes_by_checkpoint(spark, tmp_path):
+    """A new checkpoint counts its batches from the start; none of them was applied before."""
+    a_feed = feed(batch_ledger=True)
+    path, root = str(tmp_path / "topic"), str(tmp_path)
+    write_topic_files(frames(spark, *BATCHES[0][:1]), path)
+    run(spark, path, a_feed, root, f"{root}/cp1")
+    write_topic_files(frames(spark, *BATCHES[0][1:], start=10), path)
+    run(spark, path, a_feed, root, f"{root}/cp2")
+    assert len(versions(spark.table(quoted(scd2_name(a_feed.topic))))) == 2
+    assert history_of(spark, a_feed).count() == 2
+    with pytest.raises(ValueError, match="checkpoint"):
+        run(spark, path, a_feed, root, None)
+
+
+def test_ledger_covers_history_with_nulls(spark, tmp_path):
+    a_feed = feed(batch_ledger=True)
+    rows = change_rows(frames(spark, (1, None, "a", "c", 1), (2, "5", "a", "c", 1)), a_feed)
+    made = prepare_tables(spark, rows, a_feed, str(tmp_path))
+    for _ in range(2):
+        apply_change_batch(spark, rows, a_feed, made, Delivery("q", 0))
+    assert history_of(spark, a_feed).count() == 2
+    apply_change_batch(spark, rows, a_feed, made, Delivery("other", 0))  # another checkpoint
+    assert history_of(spark, a_feed).count() == 3
+
+
+def test_history_of_a_lost_driver_is_not_doubled(spark, tmp_path, monkeypatch):
+    a_feed = feed(batch_ledger=True)
+    rows = change_rows(frames(spark, (1, None, "a", "c", 1), (2, "5", "a", "c", 1)), a_feed)
+    made = prepare_tables(spark, rows, a_feed, str(tmp_path))
+
+    def die(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as lost:
+        lost.setattr(history_step, "mark_applied", die)
+        with pytest.raises(RuntimeError):
+            apply_change_batch(spark, rows, a_feed, made, Delivery("q", 0))
+    apply_change_batch(spark, rows, a_feed, made, Delivery("q", 0))
+    assert history_of(spark, a_feed).count() == 2
+
+
+def test_reader_in_another_session_sees_what_a_stream_appended(spark, tmp_path):
+    a_feed = feed()
+    path, root = str(tmp_path / "topic"), str(tmp_path)
+    write_topic_files(frames(spark, *BATCHES[0][:1]), path)
+    run(spark, path, a_feed, root, f"{root}/cp")
+    assert history_of(spark, a_feed).count() == 1  # this session has listed the files now
+    write_topic_files(frames(spark, *BATCHES[0][1:], start=10), path)
+    run(spark, path, a_feed, root, f"{root}/cp")
+    assert history_of(spark, a_feed).count() == 2
+    rows = change_rows(scan_topic_files(spark, path), a_feed)
+    made = prepare_tables(spark, rows, a_feed, root)
+    history, _ = apply_change_batch(spark, rows, a_feed, made)
+    assert history.inserted == 0 and history_of(spark, a_feed).count() == 2
+
+
+@pytest.mark.parametrize("payload", [b"garbage", b'{"after": {"id": "x7", "price": "1", "name": "a"}, "op": "c"}'])
+def test_malformed_payload_fails_the_batch(spark, tmp_path, payload):
+    a_feed = feed()
+    bad = spark.createDataFrame([(bytes(5) + payload, "t", 0, 0, None)], TOPIC)
+    rows = change_rows(bad, a_feed)
+    made = prepare_tables(spark, rows, a_feed, str(tmp_path))
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        apply_change_batch(spark, rows, a_feed, made)
+    assert history_of(spark, a_feed).count() == 0
+
+
+def test_one_failed_feed_ends_the_wait(spark, tmp_path):
+    good, bad = feed(), feed()
+    root = str(tmp_path)
+    write_topic_files(frames(spark, *BATCHES[0]), f"{root}/{good.topic}")
+    write_topic_files(spark.createDataFrame([(bytes(5) + b"garbage", "t", 0, 0, None)], TOPIC), f"{root}/{bad.topic}")
+    spark.streams.resetTerminated()
+    queries = start_feeds(
+        spark, [good, bad], lambda f: read_topic_files(spark, f"{root}/{f.topic}"), root, f"{root}/cp"
+    )
+    try:
+        with pytest.raises(Exception, match="MALFORMED_RECORD|terminated with exception"):
+            await_any(spark, timeout=120)
+    finally:
+        for query in queries:
+            query.stop()
+        spark.streams.resetTerminated()
+
+
+def test_feeds_start_together_or_not_at_all(spark, tmp_path):
+    good, bad = feed(), feed()
+    root = str(tmp_path)
+    write_topic_files(frames(spark, *BATCHES[0]), f"{root}/{good.topic}")
+
+    def source(a_feed):
+        if a_feed is bad:
+            raise OSError("no such topic")
+        return read_topic_files(spark, f"{root}/{a_feed.topic}")
+
+    with pytest.raises(OSError):
+        start_feeds(spark, [good, bad], source, root, f"{root}/cp")
+    assert good.topic not in [q.name for q in spark.streams.active]
+    assert spark.sparkContext.getLocalProperty("spark.scheduler.pool") is None

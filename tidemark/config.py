@@ -9,7 +9,9 @@ JOIN_KEY = "JoinKey"
 BOOKKEEPING = ("op_type", "ds", "table", "scn", "current_ts", "row_id", "username")
 SCD_COLUMNS = ("ActiveIndicator", "EffectiveDate", "EndDate", "Action")
 PARTITION_SUFFIX = "_PARTITION"
+# Code of a delete, and the start of topics whose partition column is in milliseconds.
 DELETE_OP = "d"
+MILLIS_TOPICS = "dna"
 
 # Transport columns kept next to the decoded row so that "latest" has a total
 # order. They are used for ordering only and never reach a table.
@@ -50,7 +52,7 @@ class CdcFeed:
     payload_format: str = "json"  # "avro" where Spark's avro package is loaded
     avro_schema: str | None = None  # envelope schema as JSON text, for "avro"
     table_format: str = "parquet"  # "delta"/"iceberg": the format's own MERGE is used
-    batch_ledger: bool = False  # skip a batch id that was already applied
+    batch_ledger: bool = False  # apply a batch of a checkpoint once, in both tables
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     hot_versions: int = DEFAULT_HOT_VERSIONS
     rules: MergeRules = field(default_factory=MergeRules)
@@ -65,10 +67,10 @@ class CdcFeed:
 
     @property
     def partition_in_millis(self) -> bool:
-        """Topics starting with ``dna`` carry epoch milliseconds, all others epoch days."""
+        """Some topics carry epoch milliseconds, all others epoch days."""
         if self.partition_encoding is not None:
             return self.partition_encoding == "millis"
-        return self.topic.startswith("dna")
+        return self.topic.startswith(MILLIS_TOPICS)
 
     @property
     def scd2_partition(self) -> str:

@@ -19,11 +19,12 @@ def strip_frame(value: Column) -> Column:
 def decode_payload(payload: Column, schema: str, payload_format: str) -> Column:
     """Payload bytes to a struct; a null message becomes a null struct.
 
+    A payload that does not fit the schema fails the batch, in either format.
     ``json``: ``schema`` is DDL. ``avro``: ``schema`` is the writer schema as JSON
     text and Spark's avro package must be on the classpath.
     """
     if payload_format == "json":
-        return F.from_json(F.decode(payload, "UTF-8"), schema)
+        return F.from_json(F.decode(payload, "UTF-8"), schema, {"mode": "FAILFAST"})
     if payload_format == "avro":
         from pyspark.sql.avro.functions import from_avro
 

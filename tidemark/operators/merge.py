@@ -127,18 +127,3 @@ def merge(
     inserts = inserted_rows(staged, present, target.schema, rules, small)
     return updated.unionByName(inserts).drop(CLAUSE)
 
-
-def merge_scd_and_overwrite(
-    target: DataFrame, staged: DataFrame, scd_cols: Sequence[str], upd_cols: Sequence[str]
-) -> DataFrame:
-    return merge(target, staged, scd_cols, upd_cols)
-
-
-def merge_scd_only(target: DataFrame, staged: DataFrame, scd_cols: Sequence[str]) -> DataFrame:
-    return merge(target, staged, scd_cols, ())
-
-
-def merge_overwrite_only(
-    target: DataFrame, staged: DataFrame, upd_cols: Sequence[str]
-) -> DataFrame:
-    return merge(target, staged, (), upd_cols)

@@ -5,32 +5,47 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.config import JOIN_KEY
+from tidemark.config import DEFAULT_BROADCAST_BYTES, JOIN_KEY
+from tidemark.operators.sizing import measure
 
 _HOT_KEY, _COPIES, _SALT, _RIGHT_SALT = "_hot_key", "_copies", "_salt", "_r_salt"
+_VERSIONS = "_versions_held"
 
-# No more hot keys than this are ever listed, whatever the size of the table.
-MAX_HOT_KEYS = 100_000
 
+def versions_per_key(newest: DataFrame, located: DataFrame, part: str) -> DataFrame:
+    """Versions that the table holds of each key of the batch, per partition.
 
-def hot_keys(target: DataFrame, hot_versions: int) -> DataFrame | None:
+    Counted below the shuffle, so that a key with very many versions travels once per map task.
+    """
+    counted = located.groupBy(JOIN_KEY, part).agg(F.count(F.lit(1)).alias(_VERSIONS))
+    keys = newest.select(F.col(JOIN_KEY).alias("_n_key"))
+    return counted.join(keys, F.col(JOIN_KEY) == F.col("_n_key"), "left_semi")
+
+
+def hot_keys(
+    held: DataFrame, hot_versions: int, broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
+) -> DataFrame | None:
     """Keys with at least ``hot_versions`` versions and how many pieces each is cut into.
 
-    Only the key column is read, and counted below the shuffle. The floor rises
-    with the table, so the list is bounded and may be broadcast.
+    ``held`` comes from :func:`versions_per_key`. The list is broadcast later; should it be
+    bigger than ``broadcast_bytes`` (64 MB at least), the floor doubles until it fits.
     """
-    total = target.count()
-    floor = max(hot_versions, total // MAX_HOT_KEYS)
-    if total < floor:
-        return None
-    hot = (
-        target.groupBy(F.col(JOIN_KEY).alias(_HOT_KEY))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= floor)
-        .select(_HOT_KEY, F.ceil(F.col("n") / floor).cast("int").alias(_COPIES))
-        .persist()
-    )
-    return None if hot.isEmpty() else hot
+    per_key = held.groupBy(F.col(JOIN_KEY).alias(_HOT_KEY)).agg(F.sum(_VERSIONS).alias("n"))
+    limit = max(broadcast_bytes, DEFAULT_BROADCAST_BYTES)
+    floor = hot_versions
+    while True:
+        hot = (
+            per_key.where(F.col("n") >= floor)
+            .select(_HOT_KEY, F.ceil(F.col("n") / floor).cast("int").alias(_COPIES))
+            .persist()
+        )
+        size = measure(hot)
+        if size.rows and size.within(limit):
+            return hot
+        hot.unpersist()
+        if not size.rows:
+            return None
+        floor *= 2
 
 
 def join_on_key(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +10,17 @@ from pyspark.sql import functions as F
 from tidemark.config import DEFAULT_BROADCAST_BYTES, JOIN_KEY, MergeRules
 from tidemark.functions.keys import history_columns
 from tidemark.operators.history import unseen_rows
-from tidemark.operators.sizing import Size, measure
-from tidemark.plans.partitions import distinct_values, in_partitions
-from tidemark.session import shared_dir
+from tidemark.operators.sizing import Size, broadcast_if, measure
+from tidemark.plans.partitions import (
+    Delivery,
+    distinct_values,
+    in_partitions,
+    mark_applied,
+    properties,
+    set_properties,
+    was_applied,
+)
+from tidemark.session import remove_dir, run_dir
 from tidemark.sources.tables import TableRef
 
 
@@ -20,6 +28,10 @@ from tidemark.sources.tables import TableRef
 class HistoryReport:
     batch_rows: int
     inserted: int
+    skipped: bool = False
+
+
+STARTED = "tidemark.started."
 
 
 def apply_history_batch(
@@ -31,13 +43,27 @@ def apply_history_batch(
     rules: MergeRules = MergeRules(),
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
     size: Size | None = None,
+    delivery: Delivery | None = None,
 ) -> HistoryReport:
     """Append the batch rows that the table does not hold yet.
 
     The table is narrowed before the full comparison: equal rows are in the same
     partition when the partition column is compared; otherwise a scan of key and
     partition column alone finds the partitions that can hold an equal row.
+
+    With ``delivery`` a batch that was applied is skipped; one that was started but not finished may
+    have left its rows, so it is compared with nulls equal, lest its null rows come in twice.
     """
+    if delivery is not None:
+        stored = properties(spark, table)
+        if was_applied(stored, delivery):
+            return HistoryReport(batch_rows=0, inserted=0, skipped=True)
+        if stored.get(STARTED + delivery.query) == str(delivery.batch):
+            rules = replace(rules, null_safe=True)
+        else:
+            set_properties(spark, table, **{STARTED + delivery.query: str(delivery.batch)})
+    # Another session may have appended: this one's file list is renewed before comparing.
+    spark.catalog.refreshTable(table.sql_name)
     rows = batch.drop(JOIN_KEY, *transport)
     size = size or measure(rows)
     small = size.within(broadcast_bytes)
@@ -47,22 +73,35 @@ def apply_history_batch(
     part = table.partition_col
     if part in compare:
         history = history.where(in_partitions(part, distinct_values(rows, part)))
-    elif part and key_cols and small:
-        keys = [k for k in key_cols if k in compare]
+    elif part and (keys := _compared_keys(key_cols, compare)):
         wanted = rows.select(*[F.col(k).alias(f"_w_{k}") for k in keys]).distinct()
         sign = "<=>" if rules.null_safe else "="
         same = " AND ".join(f"`{k}` {sign} `_w_{k}`" for k in keys)
-        held = history.join(F.broadcast(wanted), F.expr(same), "left_semi")
+        # Keys and partitions only: a big batch shuffles these few columns, not the whole table.
+        located = history.select(*keys, part) if small else history.select(*keys, part).distinct()
+        held = located.join(broadcast_if(wanted, small), F.expr(same), "left_semi")
         history = history.where(in_partitions(part, distinct_values(held, part)))
 
-    shared_dir(spark)  # checkpoint() below writes there
-    fresh = unseen_rows(
-        rows, history, compare, rules.null_safe, small, cut=lambda df: df.checkpoint()
-    ).select(*history.columns)
+    work = run_dir(spark, "history-matches")
+
+    def cut(df: DataFrame) -> DataFrame:
+        df.write.parquet(work)
+        return spark.read.schema(df.schema).parquet(work)
+
+    fresh = unseen_rows(rows, history, compare, rules.null_safe, small, cut).select(*history.columns)
     if part:
         # Few, evenly sized files per partition; AQE splits a partition that is too big.
         fresh = fresh.hint("rebalance", part)
     # Counted while writing, so no count of the table before and after is needed.
     written = Observation()
     fresh.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(table.sql_name)
+    if not small:
+        remove_dir(spark, work)
+    mark_applied(spark, table, delivery)
     return HistoryReport(batch_rows=size.rows, inserted=written.get["n"])
+
+
+def _compared_keys(key_cols: tuple[str, ...], compare: list[str]) -> list[str]:
+    """The key columns that are compared, by the names of the rows; case does not matter."""
+    wanted = {k.lower() for k in key_cols}
+    return [c for c in compare if c.lower() in wanted]

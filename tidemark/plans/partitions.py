@@ -21,12 +21,31 @@ from pyspark.sql import functions as F
 from tidemark.sources.tables import TableRef, _text
 
 PENDING = "tidemark.pending"
-APPLIED = "tidemark.applied_batch"
-_NO_BATCH = -1
+APPLIED = "tidemark.applied."
 _MOVES = "_moves"
 _CATALOG_THREADS = 8
 
 
+@dataclass(frozen=True)
+class Delivery:
+    """A batch of a streaming query; batch numbers of different checkpoints are unrelated.
+
+    ``query`` is the id kept in the query's checkpoint.
+    """
+
+    query: str
+    batch: int
+
+    @property
+    def text(self) -> str:
+        return f"{self.batch}@{self.query}"
+
+    @staticmethod
+    def parse(text: str) -> Delivery | None:
+        batch, _, query = text.partition("@")
+        return Delivery(query, int(batch)) if batch else None
+
+
 @dataclass(frozen=True)
 class Move:
     """A partition (dates as text, null as None) whose files are replaced or gone."""
@@ -66,9 +85,17 @@ def set_properties(spark: SparkSession, table: TableRef, **values: str) -> None:
     spark.sql(f"ALTER TABLE {table.sql_name} SET TBLPROPERTIES ({pairs})")
 
 
-def mark_applied(spark: SparkSession, table: TableRef, batch_id: int | None) -> None:
-    if batch_id is not None:
-        set_properties(spark, table, **{APPLIED: str(batch_id)})
+def was_applied(stored: dict[str, str], delivery: Delivery | None) -> bool:
+    return delivery is not None and int(stored.get(APPLIED + delivery.query, -1)) >= delivery.batch
+
+
+def _applied(delivery: Delivery | None) -> dict[str, str]:
+    return {APPLIED + delivery.query: str(delivery.batch)} if delivery else {}
+
+
+def mark_applied(spark: SparkSession, table: TableRef, delivery: Delivery | None) -> None:
+    if delivery is not None:
+        set_properties(spark, table, **_applied(delivery))
 
 
 def replace_partitions(
@@ -76,7 +103,7 @@ def replace_partitions(
     table: TableRef,
     folder: str,
     moves: Sequence[Move],
-    batch_id: int | None,
+    delivery: Delivery | None,
 ) -> None:
     """Point the partitions in ``moves`` at their folders below ``folder``."""
     values = ", ".join(
@@ -86,25 +113,25 @@ def replace_partitions(
     listed.selectExpr("CAST(part AS STRING) AS part", "emptied").coalesce(1).write.parquet(
         f"{folder}/{_MOVES}"
     )
-    batch = _NO_BATCH if batch_id is None else batch_id
-    set_properties(spark, table, **{PENDING: f"{batch}|{folder}"})
-    _move(spark, table, folder, moves, batch)
+    set_properties(spark, table, **{PENDING: f"{delivery.text if delivery else ''}|{folder}"})
+    _move(spark, table, folder, moves, delivery)
 
 
-def finish_pending(spark: SparkSession, table: TableRef) -> int:
-    """Carry out a move a lost driver left behind; returns the last applied batch."""
+def finish_pending(spark: SparkSession, table: TableRef) -> dict[str, str]:
+    """Carry out a move a lost driver left behind; returns the table's properties."""
     stored = properties(spark, table)
-    batch, _, folder = stored.get(PENDING, "").partition("|")
+    text, _, folder = stored.get(PENDING, "").partition("|")
     if not folder:
-        return int(stored.get(APPLIED, _NO_BATCH))
+        return stored
+    delivery = Delivery.parse(text)
     listed = spark.read.schema("part STRING, emptied BOOLEAN").parquet(f"{folder}/{_MOVES}")
     moves = [Move(r["part"], r["emptied"]) for r in listed.collect()]
-    _move(spark, table, folder, moves, int(batch))
-    return max(int(batch), int(stored.get(APPLIED, _NO_BATCH)))
+    _move(spark, table, folder, moves, delivery)
+    return stored | _applied(delivery)
 
 
 def _move(
-    spark: SparkSession, table: TableRef, folder: str, moves: Sequence[Move], batch: int
+    spark: SparkSession, table: TableRef, folder: str, moves: Sequence[Move], delivery: Delivery | None
 ) -> None:
     """Repeatable: every statement states where a partition is, not how it changes."""
     name = table.sql_name
@@ -131,7 +158,35 @@ def _move(
     # Catalog round trips, one per existing partition: overlap them.
     with ThreadPoolExecutor(_CATALOG_THREADS) as pool:
         list(pool.map(spark.sql, statements))
-    done = {PENDING: ""}
-    if batch != _NO_BATCH:
-        done[APPLIED] = str(batch)
-    set_properties(spark, table, **done)
+    set_properties(spark, table, **{PENDING: ""}, **_applied(delivery))
+
+
+def stale_versions(spark: SparkSession, table: TableRef) -> list[str]:
+    """Folders of earlier merges that no partition points at any more, and no pending move either."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(f"{table.location}/_versions")
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(root):
+        return []
+    folders = {s.getPath().getName(): s.getPath().toString() for s in files.listStatus(root)}
+    live = {properties(spark, table).get(PENDING, "").rpartition("/")[2]}
+    for row in spark.sql(f"SHOW PARTITIONS {table.sql_name}").collect():
+        value = row[0].partition("=")[2]
+        text = None if value == "__HIVE_DEFAULT_PARTITION__" else value
+        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table.sql_name} {_spec(table, text)}")
+        for place in detail.where("col_name = 'Location'").collect():
+            _, found, rest = place["data_type"].partition("/_versions/")
+            if found:
+                live.add(rest.split("/")[0])
+    return sorted(path for name, path in folders.items() if name not in live)
+
+
+def remove_stale_versions(spark: SparkSession, table: TableRef, dry_run: bool = True) -> list[str]:
+    """Delete those folders; with ``dry_run`` (the default) only list them.
+
+    Queries that were planned before the last merges may still read them: run it when none is.
+    """
+    stale = stale_versions(spark, table)
+    for folder in [] if dry_run else stale:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return stale

@@ -23,7 +23,7 @@ from tidemark.operators.merge import (
     merge,
 )
 from tidemark.operators.sizing import measure
-from tidemark.operators.skew import hot_keys
+from tidemark.operators.skew import hot_keys, versions_per_key
 from tidemark.operators.staging import (
     changed_among,
     match_versions,
@@ -35,12 +35,14 @@ from tidemark.operators.staging import (
 )
 from tidemark.plans.merge_into import merge_into, supports_merge
 from tidemark.plans.partitions import (
+    Delivery,
     Move,
     distinct_values,
     finish_pending,
     in_partitions,
     mark_applied,
     replace_partitions,
+    was_applied,
 )
 from tidemark.session import run_id
 from tidemark.sources.tables import TableRef
@@ -79,7 +81,7 @@ def apply_scd2_batch(
     batch: DataFrame,
     table: TableRef,
     feed: CdcFeed,
-    batch_id: int | None = None,
+    delivery: Delivery | None = None,
 ) -> Scd2Report:
     """Merge a batch, rewriting only the partitions in which a row changes.
 
@@ -93,8 +95,9 @@ def apply_scd2_batch(
 
     With a batch small enough to broadcast the table is never shuffled.
     """
-    applied = finish_pending(spark, table)
-    if feed.batch_ledger and batch_id is not None and applied >= batch_id:
+    stored = finish_pending(spark, table)
+    delivery = delivery if feed.batch_ledger else None
+    if was_applied(stored, delivery):
         return Scd2Report(skipped=True)
 
     newest = newest_changes(batch, feed).persist()
@@ -104,22 +107,29 @@ def apply_scd2_batch(
         small = size.within(feed.broadcast_bytes)
         scd, upd = column_sets(newest, feed)
         if not scd and not upd:
-            mark_applied(spark, table, batch_id)
+            mark_applied(spark, table, delivery)
             return Scd2Report(keys=size.rows)
         target = spark.table(table.sql_name)
 
         if supports_merge(table):
             staged = staged_updates(newest, target, scd, feed.rules, small)
             merge_into(staged, table, scd, upd, feed.rules)
-            mark_applied(spark, table, batch_id)
+            mark_applied(spark, table, delivery)
             return Scd2Report(keys=size.rows)
 
         part = table.partition_col
-        hot = None if small else hot_keys(target, feed.hot_versions)
-        if hot is not None:
-            kept.append(hot)
         located = target.select(JOIN_KEY, part)
-        touched = distinct_values(versions_of(newest, located, small, hot), part)
+        hot = None
+        if small:
+            touched = distinct_values(versions_of(newest, located, small), part)
+        else:
+            # One narrow pass: versions per key of the batch and partition.
+            held = versions_per_key(newest, located, part).persist()
+            kept.append(held)
+            touched = distinct_values(held, part)
+            hot = hot_keys(held, feed.hot_versions, feed.broadcast_bytes)
+            if hot is not None:
+                kept.append(hot)
         matched = match_versions(
             target.where(in_partitions(part, touched)), newest, "inner", small, hot
         ).persist()
@@ -139,7 +149,7 @@ def apply_scd2_batch(
         parts = {r["part"]: r["text"] for r in effects}
         report = _report(size.rows, effects, len(parts))
         if not parts:
-            mark_applied(spark, table, batch_id)
+            mark_applied(spark, table, delivery)
             return report
 
         # Rows of other keys are carried over; the merged versions replace the rest.
@@ -153,12 +163,14 @@ def apply_scd2_batch(
         rows = carried.unionByName(merged.hint("rebalance", part))
         rows.write.partitionBy(part).parquet(folder)
 
-        # Only rows that moved between partitions can leave one empty.
-        emptied: set = set()
+        # Only rows that moved between partitions can leave one empty. The folders are read with
+        # the table's own types, whatever the session infers.
+        written = set(parts.values())
         if any(not r["lands"] for r in effects):
-            emptied = set(parts) - set(distinct_values(spark.read.parquet(folder), part))
-        moves = [Move(text, value in emptied) for value, text in parts.items()]
-        replace_partitions(spark, table, folder, moves, batch_id)
+            files = spark.read.schema(target.schema).parquet(folder)
+            written = set(distinct_values(files.select(F.col(part).cast("string").alias(part)), part))
+        moves = [Move(text, text not in written) for text in parts.values()]
+        replace_partitions(spark, table, folder, moves, delivery)
         return report
     finally:
         for df in kept:

@@ -28,3 +28,9 @@ def run_id() -> str:
 def run_dir(spark: SparkSession, label: str, rid: str | None = None) -> str:
     """A fresh folder name below the shared folder."""
     return f"{shared_dir(spark)}/tidemark/{label}-{rid or run_id()}"
+
+
+def remove_dir(spark: SparkSession, path: str) -> None:
+    """Delete a folder of working data; a missing one is fine."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

@@ -99,7 +99,8 @@ def create_history_table(
 
 
 def open_table(spark: SparkSession, name: str) -> TableRef:
-    """Look a table up in the catalog."""
+    """Look a table up in the catalog; what other sessions wrote is seen from here on."""
+    spark.catalog.refreshTable(quoted(name))
     partitions = [c.name for c in spark.catalog.listColumns(quoted(name)) if c.isPartition]
     detail = {
         r["col_name"]: r["data_type"]
@@ -117,9 +118,11 @@ def open_table(spark: SparkSession, name: str) -> TableRef:
 
 def active_rows(spark: SparkSession, name: str) -> DataFrame:
     """Current state of a versioned table."""
+    spark.catalog.refreshTable(quoted(name))
     return spark.table(quoted(name)).where(ACTIVE)
 
 
 def query_table(spark: SparkSession, name: str, columns: str = "*") -> DataFrame:
     """Plain SQL over a table of the catalog."""
+    spark.catalog.refreshTable(quoted(name))
     return spark.sql(f"SELECT {columns} FROM {quoted(name)}")

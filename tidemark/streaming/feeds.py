@@ -20,6 +20,8 @@ from tidemark.functions.keys import with_business_key
 from tidemark.functions.naming import flat_name, history_name, scd2_name
 from tidemark.operators.sizing import measure
 from tidemark.plans.history_step import HistoryReport, apply_history_batch
+from tidemark.plans.merge_into import MERGE_FORMATS
+from tidemark.plans.partitions import Delivery
 from tidemark.plans.scd2_step import Scd2Report, apply_scd2_batch
 from tidemark.sources.tables import (
     TableRef,
@@ -95,12 +97,13 @@ def apply_change_batch(
     batch: DataFrame,
     feed: CdcFeed,
     tables: FeedTables,
-    batch_id: int | None = None,
+    delivery: Delivery | None = None,
 ) -> tuple[HistoryReport, Scd2Report]:
     """History first, then the versioned table; the batch is decoded once.
 
-    Returns what happened to each table.
+    ``delivery`` counts with ``batch_ledger`` only. Returns what happened to each table.
     """
+    delivery = delivery if feed.batch_ledger else None
     batch = batch.persist()
     try:
         size = measure(batch)
@@ -113,8 +116,9 @@ def apply_change_batch(
             feed.rules,
             feed.broadcast_bytes,
             size,
+            delivery,
         )
-        return appended, apply_scd2_batch(spark, batch, tables.scd2, feed, batch_id)
+        return appended, apply_scd2_batch(spark, batch, tables.scd2, feed, delivery)
     finally:
         batch.unpersist()
 
@@ -154,6 +158,14 @@ def _start(
     return writer.start()
 
 
+def _query_id(session: SparkSession) -> str:
+    """Id of the streaming query whose batch runs in this thread, as kept in its checkpoint."""
+    found = session.sparkContext.getLocalProperty("sql.streaming.queryId")
+    if not found:
+        raise RuntimeError("not inside a streaming batch")
+    return found
+
+
 def start_change_feed(
     spark: SparkSession,
     frames: DataFrame,
@@ -162,12 +174,21 @@ def start_change_feed(
     checkpoint: str | None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Start one change feed. Without a checkpoint a restart replays the whole topic."""
+    """Start one change feed. Without a checkpoint a restart replays the whole topic.
+
+    The ledger goes by the id in the checkpoint, so it needs one; a new checkpoint starts anew.
+    """
+    if feed.batch_ledger and not checkpoint:
+        raise ValueError("batch_ledger needs a checkpoint")
+    if feed.batch_ledger and feed.table_format in MERGE_FORMATS:
+        raise ValueError(f"batch_ledger is not for {feed.table_format} tables")
     rows = change_rows(frames, feed)
     tables = prepare_tables(spark, rows, feed, root)
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        apply_change_batch(batch.sparkSession, batch, feed, tables, batch_id)
+        session = batch.sparkSession
+        delivery = Delivery(_query_id(session), batch_id) if feed.batch_ledger else None
+        apply_change_batch(session, batch, feed, tables, delivery)
 
     return _start(rows, feed.topic, checkpoint, on_batch, trigger)
 
@@ -206,13 +227,20 @@ def start_feeds(
     first = {}
     for feed in feeds:
         first.setdefault(feed.topic, feed)
-    queries = []
-    for topic, feed in first.items():
-        start = start_change_feed if isinstance(feed, CdcFeed) else start_flat_feed
-        checkpoint = f"{checkpoint_root}/{topic}" if checkpoint_root else None
-        spark.sparkContext.setLocalProperty("spark.scheduler.pool", topic)
-        queries.append(start(spark, source(feed), feed, root, checkpoint, trigger))
-    spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+    queries: list[StreamingQuery] = []
+    try:
+        for topic, feed in first.items():
+            start = start_change_feed if isinstance(feed, CdcFeed) else start_flat_feed
+            checkpoint = f"{checkpoint_root}/{topic}" if checkpoint_root else None
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", topic)
+            queries.append(start(spark, source(feed), feed, root, checkpoint, trigger))
+    except BaseException:
+        # All or none: a feed that cannot start takes those before it along.
+        for query in queries:
+            query.stop()
+        raise
+    finally:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
     return queries
 
 

@@ -92,11 +92,18 @@ def frame(payload: Column) -> Column:
 
 
 def change_frames(rows: DataFrame, after: list[str], ts: Column, op: Column, offset: Column,
-                  topic: str) -> DataFrame:
-    """Kafka-shaped rows with a change envelope as payload."""
+                  topic: str, old_image: bool = False) -> DataFrame:
+    """Kafka-shaped rows with a change envelope as payload.
+
+    With ``old_image`` a delete has its columns in ``before`` and no ``after``.
+    """
     millis = F.unix_millis(ts.cast("timestamp"))
+    images = [F.struct(*after).alias("after")]
+    if old_image:
+        gone = op == "d"
+        images = [F.when(gone, F.struct(*after)).alias("before"), F.when(~gone, F.struct(*after)).alias("after")]
     envelope = F.struct(
-        F.struct(*after).alias("after"),
+        *images,
         op.alias("op"),
         F.struct(millis.alias("ts_ms")).alias("source"),
         millis.alias("ts_ms"),
@@ -110,7 +117,9 @@ def change_frames(rows: DataFrame, after: list[str], ts: Column, op: Column, off
     )
 
 
-def event_frames(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+def event_frames(
+    spark: SparkSession, sf_dir: str, topic: str, old_image: bool = False
+) -> DataFrame:
     """The feed of :func:`event_changes` as framed messages, plus ``batch_no``."""
     rows = table(spark, sf_dir, "events").withColumn("tier", tier(F.col("value")))
     frames = change_frames(
@@ -120,10 +129,27 @@ def event_frames(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
         op_code(F.col("event_type")),
         F.col("event_id"),
         topic,
+        old_image,
     )
     return frames.withColumn("batch_no", batch_number(F.col("timestamp")))
 
 
+def order_changes_feed(topic: str) -> CdcFeed:
+    return events_feed(
+        topic=topic,
+        after_ddl="o_custkey BIGINT, o_orderpriority STRING, o_orderkey BIGINT",
+        key_cols=("o_custkey",),
+        scd_cols=("o_orderpriority",),
+    )
+
+
+def order_frames(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """Every order as a change of its customer's last priority."""
+    columns = ["o_custkey", "o_orderpriority", "o_orderkey"]
+    orders = table(spark, sf_dir, "orders")
+    return change_frames(orders, columns, F.col("o_orderdate"), F.lit("u"), F.col("o_orderkey"), topic)
+
+
 def flat_frames(rows: DataFrame, topic: str, offset: Column) -> DataFrame:
     return rows.select(
         frame(F.struct(*rows.columns)).alias("value"),

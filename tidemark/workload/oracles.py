@@ -56,9 +56,10 @@ def _chain(
     ]
     not_delete = " AND n.op_type <> 'd'" if honor_deletes else ""
     for i, batch in enumerate(batches, start=1):
+        listed = ", ".join(map(str, batch if isinstance(batch, tuple) else (batch,)))
         prev = f"s{i - 1}"
         ctes.append(
-            f"n{i} AS (SELECT * FROM e WHERE batch_no = {batch} QUALIFY row_number() OVER "
+            f"n{i} AS (SELECT * FROM e WHERE batch_no IN ({listed}) QUALIFY row_number() OVER "
             '(PARTITION BY "JoinKey" ORDER BY ds DESC NULLS LAST, event_id DESC) = 1)'
         )
         whens = []
@@ -153,6 +154,21 @@ ORACLES: dict[str, str] = {
         "SELECT o_orderkey, CAST(o_orderdate AS DATE) AS from_millis, "
         "CAST(o_orderdate AS DATE) AS from_days FROM orders"
     ),
+    "envelope_partition_date": (
+        "WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS ds, epoch_us(o_orderdate) // 1000 AS ms, "
+        "date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS days FROM orders) "
+        "SELECT 'dna.dbo.orders' AS topic, o_orderkey, ms AS day, ds AS \"day_PARTITION\", "
+        "CAST(o_orderkey AS VARCHAR) AS \"JoinKey\", ds FROM o UNION ALL "
+        "SELECT 'app.dbo.orders', o_orderkey, days, ds, CAST(o_orderkey AS VARCHAR), ds FROM o"
+    ),
+    "delete_before_image": (
+        f"WITH {_changes()} SELECT user_id, tier, event_type, op_type, ds, event_id AS _offset, "
+        '"JoinKey" FROM e'
+    ),
+    "key_separator": (
+        "SELECT l_orderkey, l_linenumber, 'c' AS op_type, CAST(l_shipdate AS DATE) AS ds, "
+        "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS \"JoinKey\" FROM lineitem"
+    ),
     "join_key": (
         "SELECT l_orderkey, l_linenumber, nullif(l_returnflag, 'N') AS flag, "
         "CAST(l_orderkey AS VARCHAR) || CAST(l_linenumber AS VARCHAR) || "
@@ -177,6 +193,7 @@ ORACLES: dict[str, str] = {
     "history_replay_null_safe": (
         f"{_history(((1,), (1, 2, 3)), nulls=True, null_safe=True)} SELECT * FROM h2"
     ),
+    "history_upper_case_key": f"{_history(((1,), (1, 2), (3,)))} SELECT * FROM h3",
     "history_sql": (
         f"{_history(_THREE_STEPS)} SELECT ds, op_type, count(*) AS n, "
         "count(DISTINCT user_id) AS users FROM h3 GROUP BY ds, op_type"
@@ -224,10 +241,8 @@ ORACLES: dict[str, str] = {
         "WHERE \"day_PARTITION\" BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'"
     ),
     "explicit_schema_table": (
-        "SELECT l_orderkey AS holding_id, l_suppkey AS user_id, "
-        "'P' || CAST(l_partkey AS VARCHAR) AS holding_stock, "
-        "CAST(trunc(l_quantity) AS INTEGER) AS holding_quantity, "
-        "CAST(l_shipdate AS DATE) AS datetime_created, lower(l_returnflag) AS op_type FROM lineitem"
+        "SELECT l_orderkey, l_linenumber, l_suppkey, l_extendedprice, "
+        "CAST(l_shipdate AS DATE) AS l_shipdate FROM lineitem"
     ),
     "csv_scan": (
         "SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority FROM orders"
@@ -238,6 +253,15 @@ ORACLES: dict[str, str] = {
     ),
     "stream_history": f"{_history(_THREE_STEPS)} SELECT * FROM h3",
     "stream_scd2": _table(),
+    "stream_new_checkpoint": _table(batches=((1,), (1, 2), (3,))),
+    "two_change_feeds": (
+        f"WITH {_changes()}, n AS (SELECT * FROM e QUALIFY row_number() OVER "
+        '(PARTITION BY "JoinKey" ORDER BY ds DESC NULLS LAST, event_id DESC) = 1), '
+        "o AS (SELECT *, CAST(o_orderdate AS DATE) AS ds FROM orders QUALIFY row_number() OVER "
+        "(PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC NULLS LAST, o_orderkey DESC) = 1) "
+        "SELECT 'events' AS feed, \"JoinKey\", tier AS versioned, ds AS \"EffectiveDate\" FROM n UNION ALL "
+        "SELECT 'orders', CAST(o_custkey AS VARCHAR), o_orderpriority, ds FROM o"
+    ),
     "multi_feed_counts": (
         "SELECT 'events_hist' AS feed_table, count(*) AS rows FROM events UNION ALL "
         "SELECT 'events_scd2', count(DISTINCT user_id) FROM events UNION ALL "

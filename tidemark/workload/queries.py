@@ -24,11 +24,12 @@ from tidemark.functions.keys import (
     overwrite_columns,
     with_business_key,
 )
-from tidemark.functions.naming import base_name_column
+from tidemark.functions.naming import base_name_column, scd2_name
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.sizing import measure
 from tidemark.operators.staging import changed_keys, staged_updates
 from tidemark.plans.history_step import apply_history_batch
+from tidemark.plans.partitions import Delivery
 from tidemark.plans.scd2_step import apply_scd2_batch, newest_changes
 from tidemark.session import run_dir, run_id
 from tidemark.sources.tables import (
@@ -100,6 +101,43 @@ def partition_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _dated_frames(spark: SparkSession, sf_dir: str, millis: bool) -> DataFrame:
+    """Order changes whose payload has the order date encoded one way or the other."""
+    at = F.col("o_orderdate").cast("timestamp")
+    encoded = F.unix_millis(at) if millis else F.unix_date(F.to_date("o_orderdate"))
+    rows = inputs.table(spark, sf_dir, "orders").withColumn("day", encoded.cast("bigint"))
+    columns = ["o_orderkey", "o_orderstatus", "day"]
+    return inputs.change_frames(rows, columns, F.col("o_orderdate"), F.lit("u"), F.col("o_orderkey"), "t")
+
+
+def envelope_partition_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The partition date out of the envelope: milliseconds for one kind of topic, days for the other."""
+    ddl = "o_orderkey BIGINT, o_orderstatus STRING, day BIGINT"
+    parts = []
+    for topic in ("dna.dbo.orders", "app.dbo.orders"):
+        feed = inputs.events_feed(topic=topic, after_ddl=ddl, key_cols=("o_orderkey",), partition_col="day")
+        rows = change_rows(_dated_frames(spark, sf_dir, feed.partition_in_millis), feed)
+        parts.append(rows.select(F.lit(topic).alias("topic"), "o_orderkey", "day", "day_PARTITION", JOIN_KEY, "ds"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+def delete_before_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deletes without an after-image take key and payload from the old one."""
+    feed = inputs.events_feed(delete_image="before")
+    return change_rows(inputs.event_frames(spark, sf_dir, feed.topic, old_image=True), feed)
+
+
+def key_separator(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two key parts behind a separator, through the envelope."""
+    feed = inputs.events_feed(
+        after_ddl="l_orderkey BIGINT, l_linenumber INT", key_cols=("l_orderkey", "l_linenumber"), key_sep="|"
+    )
+    lines = inputs.table(spark, sf_dir, "lineitem")
+    columns = ["l_orderkey", "l_linenumber"]
+    frames = inputs.change_frames(lines, columns, F.col("l_shipdate"), F.lit("c"), F.col("l_orderkey"), feed.topic)
+    return change_rows(frames, feed).drop("_offset")
+
+
 def join_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = inputs.table(spark, sf_dir, "lineitem").select(
         "l_orderkey",
@@ -161,7 +199,8 @@ def _events_scd2(
     changes = inputs.event_changes(spark, sf_dir, nulls=nulls, day=day)
     feed, tables = _event_tables(spark, changes, **settings)
     for number in batches:
-        apply_scd2_batch(spark, inputs.event_batch(changes, number), tables.scd2, feed, number)
+        delivery = Delivery("events", number)
+        apply_scd2_batch(spark, inputs.event_batch(changes, number), tables.scd2, feed, delivery)
     return feed, tables.scd2, changes
 
 
@@ -339,6 +378,12 @@ def history_replay_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, table)
 
 
+def history_upper_case_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The key configured in another case than the column has."""
+    table = _events_history(spark, sf_dir, ((1,), (1, 2), (3,)), key_cols=("USER_ID",))
+    return _rows(spark, table)
+
+
 def history_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _events_history(spark, sf_dir, ((1,), (2,), (3,)))
     return spark.sql(
@@ -366,24 +411,18 @@ def flat_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def explicit_schema_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Holdings-like history table with a declared schema at a location, read by SQL."""
+    """Order lines in a table declared by DDL at a place of its own, read back by SQL."""
     root, name = _workspace(spark)
     ensure_database(spark, name, f"{root}/{name}")
     table = create_table(
         spark,
-        f"{name}.holdings",
-        "holding_id BIGINT, user_id BIGINT, holding_stock STRING, holding_quantity INT, "
-        "datetime_created DATE, op_type STRING",
-        f"{root}/holdings",
-        comment="holdings history",
+        f"{name}.order_lines",
+        "l_orderkey BIGINT, l_linenumber INT, l_suppkey BIGINT, l_extendedprice DOUBLE, l_shipdate DATE",
+        f"{root}/order_lines",
+        comment="one row per order line",
     )
     inputs.table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("holding_id"),
-        F.col("l_suppkey").alias("user_id"),
-        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("holding_stock"),
-        F.col("l_quantity").cast("int").alias("holding_quantity"),
-        F.to_date("l_shipdate").alias("datetime_created"),
-        F.lower("l_returnflag").alias("op_type"),
+        "l_orderkey", "l_linenumber", "l_suppkey", "l_extendedprice", F.to_date("l_shipdate")
     ).write.insertInto(table.sql_name)
     return query_table(spark, table.name)
 
@@ -404,20 +443,22 @@ def preview_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
 # Streaming ----------------------------------------------------------------------
 
 
-def _stream_events(spark: SparkSession, sf_dir: str) -> FeedTables:
-    """Three deliveries to a file topic; after each, the feed resumes from its checkpoint."""
+def _stream_events(
+    spark: SparkSession, sf_dir: str, checkpoints: tuple[int, ...] = (1, 1, 1), **settings
+) -> FeedTables:
+    """Three deliveries to a file topic; after each, the feed goes on from the given checkpoint."""
     root, name = _workspace(spark)
-    feed = inputs.events_feed(topic=f"{name}.dbo.events")
+    feed = inputs.events_feed(topic=f"{name}.dbo.events", **settings)
     frames = inputs.event_frames(spark, sf_dir, feed.topic)
     topic = f"{root}/topic"
-    for number in BATCHES:
+    for number, checkpoint in zip(BATCHES, checkpoints, strict=True):
         write_topic_files(frames.where(F.col("batch_no") == number).drop("batch_no"), topic)
         query = start_change_feed(
             spark,
             read_topic_files(spark, topic),
             feed,
             root,
-            f"{root}/checkpoint",
+            f"{root}/checkpoint-{checkpoint}",
             {"availableNow": True},
         )
         query.awaitTermination()
@@ -432,6 +473,41 @@ def stream_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, _stream_events(spark, sf_dir).history)
 
 
+def stream_new_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ledger on, and a fresh checkpoint after the first delivery: its first batch is the topic so far."""
+    return _rows(spark, _stream_events(spark, sf_dir, (1, 2, 2), batch_ledger=True).scd2)
+
+
+def two_change_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two change feeds side by side: events by user, orders by customer; their current states."""
+    root, name = _workspace(spark)
+    events = inputs.events_feed(topic=f"{name}.dbo.events")
+    orders = inputs.order_changes_feed(topic=f"{name}.dbo.orders")
+    frames = {
+        events.topic: inputs.event_frames(spark, sf_dir, events.topic).drop("batch_no"),
+        orders.topic: inputs.order_frames(spark, sf_dir, orders.topic),
+    }
+    for topic, rows in frames.items():
+        write_topic_files(rows, f"{root}/{topic}")
+    started = start_feeds(
+        spark,
+        [events, orders],
+        lambda feed: read_topic_files(spark, f"{root}/{feed.topic}"),
+        root,
+        f"{root}/checkpoint",
+        {"availableNow": True},
+    )
+    for query in started:
+        query.awaitTermination()
+    parts = [
+        active_rows(spark, scd2_name(feed.topic)).select(
+            F.lit(label).alias("feed"), JOIN_KEY, F.col(feed.scd_cols[0]).alias("versioned"), "EffectiveDate"
+        )
+        for label, feed in (("events", events), ("orders", orders))
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def multi_feed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change feed and a flat feed side by side; row counts per table afterwards."""
     root, name = _workspace(spark)
@@ -475,6 +551,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "frame_roundtrip": frame_roundtrip,
     "unwrap_raw_time": unwrap_raw_time,
     "partition_dates": partition_dates,
+    "envelope_partition_date": envelope_partition_date,
+    "delete_before_image": delete_before_image,
+    "key_separator": key_separator,
     "join_key": join_key,
     "table_names": table_names,
     "latest_per_key": latest_per_key_lineitem,
@@ -482,6 +561,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_shuffled": history_shuffled,
     "history_replay": history_replay,
     "history_replay_null_safe": history_replay_null_safe,
+    "history_upper_case_key": history_upper_case_key,
     "history_sql": history_sql,
     "flat_history": flat_history,
     "scd2_changed_keys": scd2_changed_keys,
@@ -506,5 +586,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "preview_batch": preview_batch,
     "stream_history": stream_history,
     "stream_scd2": stream_scd2,
+    "stream_new_checkpoint": stream_new_checkpoint,
+    "two_change_feeds": two_change_feeds,
     "multi_feed_counts": multi_feed_counts,
 }
