@@ -7,14 +7,14 @@ mixtures of the two, so that they mean the same in every task. Only suffixes tha
 another are carried on:
 
 1. Anchors. Of the 128-byte buckets in a 400-byte string the least is its anchor, so equal strings have
-   equal anchors at equal offsets. A run is the strings around one anchor. Every text gives its runs
-   once: bucket of the anchor, bucket of the whole run, places. Texts are addressed by their SHA-256, so
-   copies of a whole text are one.
+   equal anchors at equal offsets. A run is the strings around one anchor. Every text gives its
+   runs: bucket of the anchor, bucket of the whole run, places. Texts are addressed by their SHA-256.
 2. An anchor bucket with one member is done: nothing there repeats. Of the others, a run whose whole
    bucket is shared repeats in all its strings.
-3. Runs that share an anchor, but not the whole, are refined: the core that sixteen neighbouring strings
-   have in common has its bucket, and only where a core is shared the strings themselves get theirs, of
-   400 bytes. Shared ones repeat.
+3. Runs that share an anchor, but not the whole, are refined in blocks of sixteen strings. Where the core
+   that the strings of a block have in common is not shared, none repeats; where the hull around them is
+   shared, all do. Only blocks in between, at the ends of a repetition, get the buckets of their
+   strings, of 400 bytes; shared ones repeat.
 4. Repeating strings are merged to spans, cut out, and what is left is digested.
 
 All groups are counts or extremes, combined before the shuffle; no group is gathered. Texts move by
@@ -34,13 +34,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import documents, kept, shrink
+from tidemark.llm.tables import BROADCAST_NUMBERS, documents, kept, shrink
 from tidemark.llm.textops import mix, text_chunks, text_column, word_hashes
 
 LENGTH = 400
 GRAM = 128
 Q = 8
-BLOCK = 16  # neighbouring strings that are tested by one core
+BLOCK = 16  # neighbouring strings that are tested together
+HALF = 256  # bytes of the last bucket that all places get
 _POSITION_BITS = 30
 _U = np.uint64
 _PAIR = _U(0x9DDFEA08EB382D69)
@@ -131,37 +132,80 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "sha", "n_bytes", "anchor", "whole", "at", "first", "last"])
 
 
-_REFINED = "whole long, resolved boolean, core long, at int, block int, strings array<long>"
+def _at(buckets: np.ndarray, have: int, places: np.ndarray, want: int) -> np.ndarray:
+    """Buckets of strings of ``want`` bytes at some places alone, from those of ``have`` bytes."""
+    with np.errstate(over="ignore"):
+        return mix(buckets[places] * _PAIR + buckets[places + want - have])
+
+
+def _listed(batch: pa.RecordBatch, lo: int, hi: int, offsets: np.ndarray) -> dict[str, np.ndarray]:
+    """The struct fields listed for rows lo..hi-1, flat, places shifted to the chunk; with ``row``."""
+    lists = batch.column("runs").slice(lo, hi - lo)
+    counts = np.diff(lists.offsets.to_numpy())
+    row = np.repeat(np.arange(hi - lo), counts)
+    flat = lists.flatten()
+    out = {f.name: flat.field(k).to_numpy(zero_copy_only=False) for k, f in enumerate(flat.type)}
+    for name in ("at", "first", "last"):
+        out[name] = out[name].astype(np.int64) + offsets[row]
+    out["row"] = row
+    return out
+
+
+def _half(data: np.ndarray) -> np.ndarray:
+    return buckets_of(data, HALF)
+
+
+_BLOCKS = "whole long, resolved boolean, block int, core long, hull long"
+
 
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per block of the runs listed for a text: buckets of its core and of its hull.
 
-def _refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One row per block of the runs listed for a text: bucket of its core, buckets of its strings."""
-    names = ["whole", "resolved", "core", "at", "block", "strings"]
+    A hull that would pass the text's ends is named after its run alone, and so is shared with none.
+    """
+    for batch in batches:
+        for lo, hi, data, offsets in text_chunks(batch.column("text")):
+            runs = _listed(batch, lo, hi, offsets)
+            if not len(runs["at"]):
+                continue
+            half = _half(data)
+            least = (runs["at"] - runs["last"]) // BLOCK
+            many = (runs["at"] - runs["first"]) // BLOCK - least + 1
+            run = np.repeat(np.arange(len(many)), many)
+            block = least[run] + np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
+            inner = runs["at"][run] - BLOCK * block  # the block's last string starts here
+            outer = inner - (BLOCK - 1)  # and its first here
+            with np.errstate(over="ignore"):
+                shift = block.astype(np.uint64)
+                core = mix(_at(half, HALF, inner, LENGTH - BLOCK + 1) + shift)
+                whole = runs["whole"][run]
+                hull = mix(whole.view(np.uint64) * _PAIR + shift)
+                inside = (outer >= offsets[runs["row"][run]]) & (inner + LENGTH <= offsets[runs["row"][run] + 1])
+                hull[inside] = mix(_at(half, HALF, outer[inside], LENGTH + BLOCK - 1) + shift[inside])
+            arrays = [pa.array(whole), pa.array(runs["resolved"][run]), pa.array(block.astype(np.int32)), _signed(core), _signed(hull)]
+            yield pa.RecordBatch.from_arrays(arrays, ["whole", "resolved", "block", "core", "hull"])
+
+
+_STRINGS = "whole long, start int, core long, string long"
+
+
+def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per string of the blocks listed for a text."""
     for batch in batches:
-        for k, raw in enumerate(_encoded(batch.column("text"))):
-            data = np.frombuffer(raw, dtype=np.uint8)
-            out: list[list] = [[] for _ in names]
-            for run in batch.column("runs")[k].as_py():
-                at, first, last = run["at"], run["first"], run["last"]
-                strings = buckets_of(data[first : last + LENGTH], LENGTH).view(np.int64)
-                offset = at - np.arange(first, last + 1)  # of the anchor within each string
-                block = offset // BLOCK
-                for b in np.unique(block):
-                    start = at - BLOCK * int(b)
-                    core = data[start : start + LENGTH - BLOCK + 1]
-                    name = buckets_of(core, len(core))[0]
-                    with np.errstate(over="ignore"):
-                        name = mix(np.array([name + _U(b)], dtype=np.uint64))
-                    inside = np.zeros(BLOCK, dtype=np.int64)
-                    there = block == b
-                    inside[offset[there] % BLOCK] = strings[there]
-                    # Strings of the block that are not in this run: 0.
-                    row = (run["whole"], run["resolved"], int(name.view(np.int64)[0]), at, int(b), inside)
-                    for column, value in zip(out, row, strict=True):
-                        column.append(value)
-            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64())]
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], names)
+        for lo, hi, data, offsets in text_chunks(batch.column("text")):
+            runs = _listed(batch, lo, hi, offsets)
+            if not len(runs["at"]):
+                continue
+            half = _half(data)
+            inner = runs["at"] - BLOCK * runs["block"]
+            begin = np.maximum(runs["first"], inner - (BLOCK - 1))
+            many = np.minimum(runs["last"], inner) - begin + 1
+            run = np.repeat(np.arange(len(many)), many)
+            start = begin[run] + np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
+            own = (start - offsets[runs["row"][run]]).astype(np.int32)
+            core = runs["core"][run]
+            arrays = [pa.array(runs["whole"][run]), pa.array(own), pa.array(core), _signed(_at(half, HALF, start, LENGTH))]
+            yield pa.RecordBatch.from_arrays(arrays, ["whole", "start", "core", "string"])
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,45 +226,51 @@ def _texts(docs: DataFrame) -> DataFrame:
     return text.select(F.unhex(F.sha2(F.col("text").cast("binary"), 256)).alias("sha"), "text")
 
 
+def _of_texts(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """text, runs: the texts that ``listed`` (sha, run) names, each with all its runs."""
+    wanted = kept(listed.groupBy(F.col("sha").alias("wanted")).agg(F.collect_list("run").alias("runs")), "wanted")
+    return _texts(docs).join(shrink(wanted, wanted.count()), F.col("sha") == F.col("wanted")).select("text", "runs")
+
+
 def repeated_spans(docs: DataFrame, survey: DataFrame) -> DataFrame:
-    """(sha, lo, hi): merged spans of bytes to remove, of texts that are not copies as a whole."""
-    runs = survey.dropDuplicates(["sha"]).select(
-        "sha", F.explode(F.arrays_zip("anchor", "whole", "at", "first", "last")).alias("r")
-    ).select("sha", "r.*")
-    live = kept(
-        survey.select("sha", "anchor").dropDuplicates(["sha"]).select(F.explode("anchor").alias("anchor"))
-        .groupBy("anchor").count().where("count > 1").select(F.col("anchor").alias("name")),
-        "live",
-    )
-    runs = kept(runs.join(shrink(live, live.count()), F.col("anchor") == F.col("name")).drop("name"), "runs")
+    """(sha, lo, hi): merged spans of bytes to remove."""
+    live = survey.select(F.explode("anchor").alias("anchor")).groupBy("anchor").count()
+    live = kept(live.where("count > 1").select(F.col("anchor").alias("name")), "live")
+    runs = survey.select("sha", F.explode(F.arrays_zip("anchor", "whole", "at", "first", "last")).alias("r")).select("sha", "r.*")
+    runs = kept(runs.join(shrink(live, live.count(), BROADCAST_NUMBERS), F.col("anchor") == F.col("name")).drop("name"), "runs")
     wholes = kept(
-        runs.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("sha", "at", "first", "last")).alias("rep")),
+        runs.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("sha", "at", "first", "last")).alias("r")).select("anchor", "whole", "n", "r.*"),
         "wholes",
     )
     crowded = wholes.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor")
-    wanted = wholes.join(crowded, "anchor", "left_semi").select(
-        F.col("rep.sha").alias("wanted"),
-        F.struct("whole", (F.col("n") > 1).alias("resolved"), F.col("rep.at").alias("at"), F.col("rep.first").alias("first"), F.col("rep.last").alias("last")).alias("run"),
-    )
-    wanted = kept(wanted.groupBy("wanted").agg(F.collect_list("run").alias("runs")), "wanted")
-    texts = _texts(docs).join(shrink(wanted, wanted.count()), F.col("sha") == F.col("wanted")).select("text", "runs")
-    blocks = kept(texts.mapInArrow(_refine, _REFINED), "blocks")
-    # A run stands for itself however often its text occurs: shared means by different runs.
+    places = kept(wholes.join(crowded, "anchor", "left_semi").drop("anchor"), "places")
+    run = F.struct("whole", (F.col("n") > 1).alias("resolved"), "at", "first", "last")
+    # A text that occurs twice gives its blocks twice: shared means by different runs, not by rows.
     apart = F.min("whole") != F.max("whole")
-    cores = kept(blocks.groupBy("core").agg(apart.alias("shared")).where("shared").select(F.col("core").alias("name")), "cores")
-    near = blocks.join(shrink(cores, cores.count()), F.col("core") == F.col("name"))
-    strings = kept(
-        near.select("whole", "resolved", "core", "at", "block", F.posexplode("strings").alias("k", "string"))
-        .where("string <> 0")
-        .select("whole", "resolved", "core", (F.col("at") - F.col("block") * BLOCK - F.col("k")).alias("start"), "string"),
-        "strings",
+    blocks = kept(_of_texts(docs, places.select("sha", run.alias("run"))).mapInArrow(_blocks, _BLOCKS), "blocks")
+    hulls = kept(
+        blocks.groupBy("core", "hull", "block").agg(apart.alias("shared"), F.min("resolved").alias("done"), F.min("whole").alias("least"), F.max("whole").alias("most")),
+        "hulls",
+    )
+    alone = ~F.col("shared") & ~F.col("done")
+    cores = hulls.groupBy("core").agg((F.min("least") != F.max("most")).alias("met"), F.max(alone).alias("open")).where("met AND open")
+    # One run stands for all that share a hull.
+    edge = hulls.join(cores.select("core"), "core", "left_semi").select(F.col("least").alias("whole"), "core", "block")
+    edge = edge.join(places, "whole").select("sha", F.struct("whole", "at", "first", "last", "block", "core").alias("run"))
+    strings = kept(_of_texts(docs, edge).mapInArrow(_strings, _STRINGS), "strings")
+    same = strings.groupBy("core", "string").agg(apart.alias("shared")).where("shared").select("core", "string")
+    # A run that occurs once has one text.
+    single = kept(places.where("n = 1").select("whole", "sha", "at", "first", "last"), "single")
+    few = strings.join(same, ["core", "string"], "left_semi").select("whole", "start").distinct()
+    few = few.join(single.select("whole", "sha"), "whole").select("sha", F.col("start").alias("lo"), (F.col("start") + LENGTH).alias("hi"))
+    whole_blocks = blocks.where("NOT resolved").join(hulls.where("shared").select("core", "hull", "block"), ["core", "hull", "block"], "left_semi")
+    inner = F.col("at") - F.col("block") * BLOCK
+    some = whole_blocks.select("whole", "block").distinct().join(single, "whole").select(
+        "sha", F.greatest(F.col("first"), inner - (BLOCK - 1)).alias("lo"), (F.least(F.col("last"), inner) + LENGTH).alias("hi")
     )
-    shared = strings.groupBy("core", "string").agg(apart.alias("shared"), F.min("resolved").alias("done")).where("shared AND NOT done")
-    found = strings.where("NOT resolved").join(shared.select("core", "string"), ["core", "string"], "left_semi")
-    single = wholes.where("n = 1").select("whole", F.col("rep.sha").alias("sha"))
-    one = found.select("whole", "start").distinct().join(single, "whole").select("sha", F.col("start").alias("lo"), (F.col("start") + LENGTH).alias("hi"))
     many = runs.join(wholes.where("n > 1").select("anchor", "whole"), ["anchor", "whole"], "left_semi")
-    spans = one.unionByName(many.select("sha", F.col("first").alias("lo"), (F.col("last") + LENGTH).alias("hi")))
+    spans = few.unionByName(some).unionByName(many.select("sha", F.col("first").alias("lo"), (F.col("last") + LENGTH).alias("hi")))
+    spans = spans.distinct()
     order = Window.partitionBy("sha").orderBy("lo", "hi")
     reach = F.max("hi").over(order.rowsBetween(Window.unboundedPreceding, -1))
     marked = spans.withColumn("begins", F.coalesce((F.col("lo") > reach), F.lit(True)).cast("int"))

@@ -11,6 +11,8 @@ from tidemark.session import run_dir
 
 # A side is broadcast only when it was counted and has at most this many rows of a few dozen bytes.
 BROADCAST_ROWS = 1 << 18
+# The same for rows of a single number.
+BROADCAST_NUMBERS = 1 << 20
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -26,9 +28,9 @@ def kept(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def shrink(df: DataFrame, rows: int) -> DataFrame:
+def shrink(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` marked for broadcast if its counted rows are few, else for a hash join by shuffle."""
-    return F.broadcast(df) if rows <= BROADCAST_ROWS else df.hint("shuffle_hash")
+    return F.broadcast(df) if rows <= limit else df.hint("shuffle_hash")
 
 
 def documents(docs: DataFrame) -> DataFrame:
