@@ -1,0 +1,91 @@
+import random
+
+import numpy as np
+import pytest
+
+from llm_fixtures import as_rows, empty, messy, plain_texts, prose
+from tidemark.llm import ngram_join
+from tidemark.llm.components import components
+from tidemark.llm.ngram_join import join
+
+COLUMNS = ("doc_id", "n_shingles", "component_id")
+
+
+def shingles(text):
+    words = text.encode().lower().split()
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[k : k + 5]) for k in range(len(words) - 4)}
+
+
+def expected(rows):
+    """Components by plain search over all pairs of ids."""
+    sets = [(d, shingles(t)) for d, t in rows]
+    root = {d: d for d, _ in sets if d is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if a is None or b is None or not x or not y:
+                continue
+            both = len(x & y)
+            if 100 * both >= 80 * (len(x) + len(y) - both):
+                lo, hi = sorted((find(a), find(b)))
+                root[hi] = lo
+    return sorted(((d, len(s), find(d)) for d, s in sets if d is not None), key=repr)
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
+
+
+def test_messy_table_equals_brute_force(spark):
+    got = as_rows(join(messy(spark)).where("doc_id IS NOT NULL"), *COLUMNS)
+    assert got == expected([(d, t) for d, t, _ in plain_texts()])
+    assert join(messy(spark)).count() == len(plain_texts())
+    assert join(empty(spark)).count() == 0
+
+
+def near_group(seed, n, words, most):
+    """Copies of one text with more and more words changed."""
+    rng = random.Random(seed)
+    base = prose(seed, words).split()
+    out = []
+    for k in range(n):
+        copy = list(base)
+        for place in rng.sample(range(words), rng.randint(0, most)):
+            copy[place] = f"w{rng.random()}"
+        out.append(" ".join(copy))
+    return out
+
+
+@pytest.mark.parametrize("split_class", [12, 1])
+def test_near_groups_and_common_passages_equal_brute_force(spark, monkeypatch, split_class):
+    """Also with nearly every crowded column split in parts."""
+    monkeypatch.setattr(ngram_join, "SPLIT_CLASS", split_class)
+    texts = near_group(1, 60, 80, 6) + near_group(2, 40, 200, 9) + near_group(3, 30, 30, 3)
+    passage = prose(9, 40)
+    texts += [prose(100 + k, 20 + k) + " " + passage + " " + prose(200 + k, 30) for k in range(40)]
+    texts += ["short one", "short one", "Short  ONE", "four words in all"]
+    random.Random(5).shuffle(texts)
+    rows = [(k * 3, t) for k, t in enumerate(texts)]
+    assert as_rows(join(frame(spark, rows)), *COLUMNS) == expected(rows)
+
+
+def test_bound_is_exact():
+    a = np.arange(100, dtype=np.uint64) << np.uint64(57)
+    a = np.sort(np.unique(a + np.arange(100, dtype=np.uint64)))
+    for common in range(80, 100):
+        b = np.sort(np.concatenate((a[:common], np.arange(100 - common, dtype=np.uint64) + np.uint64(1 << 40))))
+        assert ngram_join._linked(a, b) == (100 * common >= 80 * (200 - common))
+
+
+def test_components_of_chains_stars_and_rings(spark):
+    links = [(k, k + 1) for k in range(0, 60)] + [(100, 100 + k) for k in range(1, 20)] + [(205, 200), (200, 203), (203, 205)]
+    got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a BIGINT, b BIGINT")).collect()}
+    assert got == {**{k: 0 for k in range(1, 61)}, **{100 + k: 100 for k in range(1, 20)}, 203: 200, 205: 200}
+    assert components(spark.createDataFrame([], "a BIGINT, b BIGINT")).count() == 0

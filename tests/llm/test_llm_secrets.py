@@ -1,0 +1,47 @@
+import hashlib
+import re
+
+from llm_fixtures import as_rows, empty, messy, plain_texts
+from tidemark.llm.secret_scan import find_spans, fresh_ledger, read_ledger, scan, scan_unseen, version_digests
+
+ASSIGN = re.compile(r"""(?ai)(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+KINDS = ("assign", "access", "hex")
+
+
+def base(text):
+    found = [("assign", *m.span()) for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return sorted(found, key=lambda x: (x[1], KINDS.index(x[0])))
+
+
+def test_base_spans_equal_plain_search(spark):
+    got = as_rows(scan(messy(spark), fresh_ledger(spark)), "doc_id", "n_assign", "n_access", "n_hex", "base_spans")
+    wanted = []
+    for doc, text, _ in plain_texts():
+        spans = base(text)
+        counts = [sum(s[0] == k for s in spans) for k in KINDS]
+        wanted.append((doc, *counts, ",".join(f"{k}:{a}:{b}" for k, a, b in spans)))
+    assert got == sorted(wanted, key=repr)
+    assert any(r[-1] for r in got)
+
+
+def test_further_kinds_and_their_order():
+    text = "-----BEGIN RSA PRIVATE KEY----- ghp_" + "a1" * 18 + " xoxb-123456789012"
+    assert [s[0] for s in find_spans(text) if s[0] not in KINDS] == ["pem", "github", "slack"]
+
+
+def test_ledger_scans_a_blob_once_per_rules(spark):
+    docs, path = messy(spark), fresh_ledger(spark)
+    first = as_rows(scan(docs, path), "doc_id", "spans")
+    blobs = read_ledger(spark, path).count()
+    assert blobs == len({hashlib.sha256(t.encode()).digest() for _, t, _ in plain_texts()})
+    assert scan_unseen(docs, version_digests(docs), read_ledger(spark, path), "2024-1").count() == 0
+    assert as_rows(scan(docs, path), "doc_id", "spans") == first  # nothing is scanned, all is joined
+    assert read_ledger(spark, path).count() == blobs
+    scan(docs, path, rules="other").count()
+    assert read_ledger(spark, path).count() == 2 * blobs
+
+
+def test_empty_table(spark):
+    assert scan(empty(spark), fresh_ledger(spark)).count() == 0
