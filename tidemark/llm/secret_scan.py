@@ -132,7 +132,8 @@ def scan(docs: DataFrame, ledger_path: str, rules: str = RULES_VERSION) -> DataF
     versions = kept(version_digests(docs), "versions")
     scan_unseen(docs, versions, read_ledger(spark, ledger_path), rules).write.mode("append").parquet(ledger_path)
     known = read_ledger(spark, ledger_path).where(F.col("rules") == rules).dropDuplicates(["digest"])
-    hits = known.where("all_spans <> ''")
+    # Written first: a join on top of the grouping could not be split where one content has very many versions.
+    hits = kept(known.where("all_spans <> ''"), "hits")
     rows = versions.join(hits, "digest", "left")
     zero = F.lit(0).cast("long")
     return rows.select(
