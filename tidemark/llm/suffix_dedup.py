@@ -242,8 +242,10 @@ def repeated_spans(docs: DataFrame, survey: DataFrame) -> DataFrame:
         runs.groupBy("anchor", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("sha", "at", "first", "last")).alias("r")).select("anchor", "whole", "n", "r.*"),
         "wholes",
     )
-    crowded = wholes.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select("anchor")
-    places = kept(wholes.join(crowded, "anchor", "left_semi").drop("anchor"), "places")
+    crowded = wholes.groupBy("anchor").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1").select(F.col("anchor").alias("name"))
+    crowded = kept(crowded, "crowded")  # first, so that the join can split an anchor of very many runs
+    places = wholes.join(shrink(crowded, crowded.count(), BROADCAST_NUMBERS), F.col("anchor") == F.col("name"), "left_semi")
+    places = kept(places.drop("anchor"), "places")
     run = F.struct("whole", (F.col("n") > 1).alias("resolved"), "at", "first", "last")
     # A text that occurs twice gives its blocks twice: shared means by different runs, not by rows.
     apart = F.min("whole") != F.max("whole")
