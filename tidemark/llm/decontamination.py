@@ -4,7 +4,7 @@ Words are cut at white space. In a template, numbers, names and units are typed
 digits is <num>, a unit after a number is <unit>, a capitalised word within a sentence is <name>; all
 others are lower-cased (A-Z) without the punctuation around them. Every run of ``WINDOW`` template words
 of a benchmark item is a template window (an item with fewer words is one window), unless it has fewer
-than ``PLAIN`` plain words.
+than ``PLAIN`` plain words with more in them than punctuation.
 
 Of each window the longest plain word is its anchor. Documents are read word by word and joined with
 the anchors; only around an anchor are templates made, hashed and joined with the template windows, and
@@ -36,6 +36,7 @@ UNITS = (
     " usd eur gbp dollar dollars euro euros cent cents percent % degree degrees mile miles meter meters metre metres"
     " inch inches foot feet pound pounds gram grams kilogram kilograms liter liters litre litres"
 ).split()
+_SLOT = "^<(num|name|unit|num><unit)>$"
 _EDGE = ".,;:!?()[]{}\"'`*_<>|~-/\\“”‘’„«»…¿¡"
 
 
@@ -50,6 +51,11 @@ def plain_word(word: Column) -> Column:
     return F.when(bare == "", ascii_lower(word)).otherwise(bare)
 
 
+def _key(word: Column) -> Column:
+    """What anchors are looked up by: coarser than :func:`plain_word`, and cheap; never null."""
+    return F.coalesce(F.btrim(F.lower(word), F.lit(_EDGE)), F.lit(""))
+
+
 def _typed(word: Column, before: Column, named: bool) -> Column:
     bare = F.btrim(word, F.lit(_EDGE + "+$€£"))
     number = r"^[0-9]+(?:[.,:/][0-9]+)*%?$"
@@ -71,12 +77,8 @@ def templates(words: Column, named: bool) -> Column:
     )
 
 
-def _window_hash(full: Column, unnamed: Column, at: Column, width: Column) -> Column:
-    """Hash of a window; its first word is never taken as a name, as what precedes it may differ."""
-    return F.xxhash64(F.concat(F.array(F.get(unnamed, at)), F.slice(full, at + 2, width - 1)))
-
-
 def _window(full: Column, unnamed: Column, at: Column, width: Column) -> Column:
+    """A window's templates; its first word is never taken as a name, as what precedes it may differ."""
     return F.concat(F.array(F.get(unnamed, at)), F.slice(full, at + 2, width - 1))
 
 
@@ -98,49 +100,59 @@ def template_windows(benchmark: DataFrame) -> DataFrame:
         _window(F.col("full"), F.col("unnamed"), F.col("start"), F.col("width")).alias("window"),
         F.slice("w", F.col("start") + 1, F.col("width")).alias("raw"),
     )
-    is_plain = F.transform("window", lambda x: ~x.rlike("^<(num|name|unit|num><unit)>$"))
+    is_plain = F.transform("window", lambda x: ~x.rlike(_SLOT) & (_key(x) != ""))
     places = F.filter(F.sequence(F.lit(0), F.size("window") - 1), lambda i: F.get(is_plain, i))
-    best = F.array_max(F.transform(places, lambda i: F.struct(F.length(F.get("window", i)).alias("len"), F.get("window", i).alias("word"), (-i).alias("neg"))))
+    key = F.transform("window", _key)
+    best = F.array_max(F.transform(places, lambda i: F.struct(F.length(F.get(key, i)).alias("len"), F.get(key, i).alias("word"), (-i).alias("neg"))))
+    # A plain word next to the anchor, if there is one: it is looked at before anything is typed.
+    side = F.when(F.coalesce(F.get("is_plain", F.col("offset") + 1), F.lit(False)), 1).when(F.coalesce(F.get("is_plain", F.col("offset") - 1), F.lit(False)), -1).otherwise(0)
     return (
         windows.withColumn("plain", F.size(places))
-        .where((F.col("plain") >= F.least(F.lit(PLAIN), F.col("width"))))
+        .where(F.col("plain") >= PLAIN)
         .withColumn("best", best)
+        .withColumn("key", key)
+        .withColumn("is_plain", is_plain)
         .select(
             "item_id", "n_words", "start", "width", "window", "raw",
-            F.xxhash64("window").alias("hash"), F.col("best.word").alias("anchor"), (-F.col("best.neg")).alias("offset"),
+            F.xxhash64("window").alias("hash"), F.col("best.word").alias("anchor"), (-F.col("best.neg")).alias("offset"), "key", "is_plain",
         )
+        .withColumn("side", side)
+        .withColumn("beside", F.when(F.col("side") != 0, F.get("key", F.col("offset") + F.col("side"))).otherwise(F.lit("")))
+        .drop("key", "is_plain")
     )
 
 
 def matched_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_words, start, width, at, raw, seen): windows found in documents, ``at`` in words."""
-    anchors = kept(windows.select("anchor", "offset", "width").groupBy("anchor").agg(F.collect_set(F.struct("offset", "width")).alias("shapes")), "anchors")
+    """(doc_id, item_id, n_words, start, width, at, window, raw, seen): windows found, ``at`` in words."""
+    shape = F.struct("offset", "width", "side", "beside")
+    anchors = kept(windows.groupBy("anchor").agg(F.collect_set(shape).alias("shapes")), "anchors")
     words = documents(docs).where("doc_id IS NOT NULL").select("doc_id", _words(F.col("text")).alias("words"))
+    n, least = anchors.agg(F.count(F.lit(1)), F.coalesce(F.min(F.octet_length("anchor")), F.lit(1))).first()
     every = words.select("doc_id", "words", F.posexplode("words").alias("pos", "word"))
-    near = every.join(shrink(anchors, anchors.count()), plain_word(F.col("word")) == F.col("anchor"))
-    # The words around the anchor, one more in front as context for the first of them.
-    lead = F.col("pos") - (WINDOW - 1)
-    begin = F.greatest(lead - 1, F.lit(0))
-    around = F.slice("words", begin + 1, F.col("pos") + WINDOW - begin)
-    near = near.select(
-        "doc_id", "pos", "shapes", begin.alias("begin"),
-        F.when(lead - 1 >= 0, around).otherwise(F.concat(F.array(F.lit(".")), around)).alias("led"),
-        F.when(lead - 1 >= 0, F.col("pos") - begin - 1).otherwise(F.col("pos")).alias("mid"),
-    )
-    near = near.select(
-        "doc_id", "pos", "shapes", "mid", F.slice("led", 2, F.size("led")).alias("own"),
-        templates(F.col("led"), True).alias("full"), templates(F.col("led"), False).alias("unnamed"),
+    # A word is at least as long as its key.
+    every = every.where(F.octet_length("word") >= least).select("doc_id", "words", "pos", _key(F.col("word")).alias("key"))
+    near = every.join(shrink(anchors, n), F.col("key") == F.col("anchor")).select("doc_id", "words", "pos", F.explode("shapes").alias("s"))
+    at = F.col("pos") - F.col("s.offset")
+    fits = (at >= 0) & (at + F.col("s.width") <= F.size("words"))
+    beside = (F.col("s.side") == 0) | (_key(F.get("words", F.col("pos") + F.col("s.side"))) == F.col("s.beside"))
+    # The words of the window, with the one in front as context.
+    before = F.coalesce(F.get("words", at - 1), F.lit("."))
+    # (The optimizer may put this ahead of the filter, where a slice from 0 would fail.)
+    led = F.concat(F.array(before), F.slice("words", F.greatest(at + 1, F.lit(1)), F.col("s.width")))
+    # Kept, so that nothing is typed before the neighbour was looked at, and each window once.
+    tried = kept(near.where(fits & beside).select("doc_id", at.alias("at"), led.alias("led")).distinct(), "near")
+    tried = tried.select(
+        "doc_id", "at", "led", templates(F.col("led"), True).alias("full"),
+        _typed(F.get("led", F.lit(1)), F.get("led", F.lit(0)), False).alias("unnamed"),
     )
-    tried = near.select("*", F.explode("shapes").alias("shape")).withColumn("from", F.col("mid") - F.col("shape.offset"))
-    tried = tried.where((F.col("from") >= 0) & (F.col("from") + F.col("shape.width") <= F.size("own")))
     tried = tried.select(
         "doc_id",
-        (F.col("pos") - F.col("shape.offset")).alias("at"),
-        _window(F.col("full"), F.col("unnamed"), F.col("from"), F.col("shape.width")).alias("seen_window"),
-        F.slice("own", F.col("from") + 1, F.col("shape.width")).alias("seen"),
+        "at",
+        F.concat(F.array("unnamed"), F.slice("full", 2, F.greatest(F.size("full") - 1, F.lit(0)))).alias("seen_window"),
+        F.slice("led", 2, F.size("led")).alias("seen"),
     ).withColumn("hash", F.xxhash64("seen_window"))
     hit = tried.join(shrink(windows, windows.count()), "hash").where(F.col("seen_window") == F.col("window"))
-    return hit.select("doc_id", "item_id", "n_words", "start", "width", "at", "raw", "seen").distinct()
+    return hit.select("doc_id", "item_id", "n_words", "start", "width", "at", "window", "raw", "seen").distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -156,9 +168,12 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         .groupBy(*key, "n_words")
         .agg(F.count_distinct("place").alias("covered"))
     )
-    # Slots: words whose template is a placeholder on either side, told by differing or typed words.
-    pairs = F.transform(F.sequence(F.lit(0), F.size("raw") - 1), lambda i: F.struct((F.col("start") + i).alias("place"), plain_word(F.get("raw", i)).alias("item"), plain_word(F.get("seen", i)).alias("doc")))
-    slots = hits.select(*key, F.explode(pairs).alias("p")).where("p.item <> p.doc OR p.item RLIKE '[0-9]'").select(*key, "p.place", "p.item", "p.doc").distinct()
+    # Slots: words whose template is a placeholder.
+    pairs = F.transform(
+        F.filter(F.sequence(F.lit(0), F.size("window") - 1), lambda i: F.get("window", i).rlike(_SLOT)),
+        lambda i: F.struct((F.col("start") + i).alias("place"), plain_word(F.get("raw", i)).alias("item"), plain_word(F.get("seen", i)).alias("doc")),
+    )
+    slots = hits.select(*key, F.explode(pairs).alias("p")).select(*key, "p.place", "p.item", "p.doc").distinct()
     # One value of the item, one value in the document.
     values = slots.groupBy(*key, "item").agg(F.count_distinct("doc").alias("docs"), F.max((F.col("item") != F.col("doc")).cast("int")).alias("differs"), F.count_distinct("place").alias("places"))
     slot = values.groupBy(*key).agg(F.max("docs").alias("most"), F.max("differs").alias("differs"), F.sum("places").alias("n_slots"))
