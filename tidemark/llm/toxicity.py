@@ -1,7 +1,7 @@
 """Toxicity by a factorization machine over hashed terms.
 
-A document is the set of its hashed terms (runs of letters and digits, A-Z lower-cased, and pairs of
-neighbours). The model is w0 + sum of weights + sum over pairs of <v_i, v_j>, so that two harmless terms
+A document is the set of its hashed terms: runs of letters and digits (A-Z lower-cased), pairs of
+neighbours, and the first four and five bytes of longer runs. The model is w0 + sum of weights + sum over pairs of <v_i, v_j>, so that two harmless terms
 can be harmful together. Which hashed terms the model knows is decided by their association with the
 label over the training rows; at most ``TERMS`` of 2^20. Training runs on the driver over the bounded
 sample of ``labelled.TRAIN_ROWS`` rows, each reduced to the known terms.
@@ -22,34 +22,46 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.labelled import fold, training_texts
 from tidemark.llm.tables import documents, kept
-from tidemark.llm.textops import LOWER, mix, text_chunks, word_hashes, words_of
+from tidemark.llm.textops import LOWER, RangeHashes, mix, text_chunks, words_of
 
 HASH_BITS = 20
+STARTS = (4, 5)  # bytes of a word's start that are terms of their own: stems under many endings
 TERMS = 2048
 RANK = 8
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 4, 2
-STEPS = 400  # at least so many updates, over however few rows
+STEPS = 1200  # at least so many updates, over however few rows
 MIN_DOCUMENTS = 5
-MIN_CHI_SQUARE = 15.0  # weaker associations are chance among so many terms
+MIN_CHI_SQUARE = 25.0  # weaker associations are chance among so many terms
 
 _GAPS = np.ones(256, dtype=bool)
 _GAPS[[*range(48, 58), *range(97, 123), *range(128, 256)]] = False
 _MASK = np.uint64((1 << HASH_BITS) - 1)
 
 
-def term_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hashed term) without repeats, sorted by row."""
+def terms_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hashed term), with repeats: words, pairs of neighbours, and the starts of longer words."""
     data = LOWER[data]
     first, last, row = words_of(data, offsets, _GAPS)
     if not len(first):
         return row, np.zeros(0, np.int64)
-    one = word_hashes(data, first, last)
+    ranges = RangeHashes(data)
+    one = ranges.of(first, last)
     with np.errstate(over="ignore"):
         two = mix(one[:-1] * np.uint64(0x9DDFEA08EB382D69) + one[1:])
     together = row[:-1] == row[1:]
-    terms = np.concatenate((one & _MASK, two[together] & _MASK)).astype(np.int64)
-    rows = np.concatenate((row, row[:-1][together])).astype(np.int64)
+    terms, rows = [one, two[together]], [row, row[:-1][together]]
+    for size in STARTS:
+        longer = np.flatnonzero(last - first > size)
+        # Apart from the word of the same bytes.
+        terms.append(mix(ranges.of(first[longer], first[longer] + size) ^ np.uint64(size)))
+        rows.append(row[longer])
+    return np.concatenate(rows).astype(np.int64), (np.concatenate(terms) & _MASK).astype(np.int64)
+
+
+def term_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same without repeats, sorted by row."""
+    rows, terms = terms_of(data, offsets)
     packed = np.unique(rows << HASH_BITS | terms)
     return packed >> HASH_BITS, packed & int(_MASK)
 
@@ -110,7 +122,7 @@ def _fit(x_rows: np.ndarray, x_terms: np.ndarray, y: np.ndarray, width: int, see
             z = b[0] + x @ w + 0.5 * (inner**2 - x @ (v * v)).sum(axis=1)
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[pick]) / len(pick)
             xg = x.T @ g
-            grads = [np.array([g.sum()]), xg + 1e-4 * w, x.T @ (g[:, None] * inner) - v * xg[:, None] + 1e-4 * v]
+            grads = [np.array([g.sum()]), xg + 1e-5 * w, x.T @ (g[:, None] * inner) - v * xg[:, None] + 1e-5 * v]
             step += 1
             for p, grad, (m, s) in zip(params, grads, moments, strict=True):
                 m += 0.1 * (grad - m)
@@ -156,10 +168,11 @@ def _batch_scores(model: Machine | None, place: np.ndarray | None, column: pa.Ar
     out = np.zeros(len(column))
     if model is not None:
         for lo, hi, data, offsets in text_chunks(column):
-            rows, terms = term_sets(data, offsets)
-            at = place[terms]
+            rows, terms = terms_of(data, offsets)
+            at = place[terms].astype(np.int64)
             have = at >= 0
-            out[lo:hi] = model.scores(rows[have], at[have], hi - lo)
+            known = np.unique(rows[have] << HASH_BITS | at[have])
+            out[lo:hi] = model.scores(known >> HASH_BITS, known & int(_MASK), hi - lo)
     return out
 
 
