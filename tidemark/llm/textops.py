@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text worked on at once; a longer single text is its own chunk.
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 20
 
 _U = np.uint64
 LOWER = np.arange(256, dtype=np.uint8)
@@ -87,14 +87,24 @@ def words_of(
     return first, last, row
 
 
+class RangeHashes:
+    """A 64-bit hash per byte range of ``data``, a function of its bytes alone."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        self._sums = np.zeros(n + 1, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            np.cumsum(_BYTE_CODES[data] * _power_table(_MULTIPLIER, n + 1)[:n], out=self._sums[1:])
+        self._inverse = _power_table(_INVERSE, n + 1)
+
+    def of(self, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        with np.errstate(over="ignore"):
+            raw = (self._sums[last] - self._sums[first]) * self._inverse[first]
+            return mix(raw + (last - first).astype(np.uint64))
+
+
 def word_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
-    """A 64-bit hash per byte range, a function of its bytes alone."""
-    n = len(data)
-    with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE_CODES[data] * _power_table(_MULTIPLIER, n + 1)[:n], out=sums[1:])
-        raw = (sums[last] - sums[first]) * _power_table(_INVERSE, n + 1)[first]
-        return mix(raw + (last - first).astype(np.uint64))
+    return RangeHashes(data).of(first, last)
 
 
 def shingles_of(
