@@ -34,7 +34,8 @@ def files_by_day(spark, table):
 def test_only_partitions_with_a_change_are_rewritten(spark, tmp_path):
     a_feed, table, second = two_batches(spark, tmp_path)
     before = files_by_day(spark, table)
-    apply_scd2_batch(spark, second, table, a_feed)
+    report = apply_scd2_batch(spark, second, table, a_feed)
+    assert (report.inserted, report.closed, report.rewritten) == (1, 1, 2)
     after = files_by_day(spark, table)
     assert before["2024-01-01"] == after["2024-01-01"]
     assert before["2024-01-03"] == after["2024-01-03"]
@@ -120,6 +121,23 @@ def test_moved_row_survives_without_partition_type_inference(spark, tmp_path):
         spark.conf.unset(name)
 
 
+def test_key_buckets_narrow_what_is_rewritten(spark, tmp_path):
+    first = rows(spark, *[(k, "10", "a", "c", 1 + k % 2) for k in range(40)])
+    second = rows(spark, (7, "20", "a", "u", 9))
+    seen = {}
+    for buckets in (0, 8):
+        a_feed = feed(key_buckets=buckets)
+        table = tables(spark, first.drop("_offset"), a_feed, tmp_path).scd2
+        apply_scd2_batch(spark, first, table, a_feed)
+        opened = open_table(spark, table.name)
+        assert opened.key_buckets == buckets
+        report = apply_scd2_batch(spark, second, opened, a_feed)
+        seen[buckets] = (report.rewritten, versions(spark.table(table.sql_name)))
+        assert (report.inserted, report.closed) == (1, 1)
+        assert remove_stale_versions(spark, opened, dry_run=False) == []  # one folder of each batch is live
+    assert seen[0][1] == seen[8][1] and seen[8][0] < seen[0][0] == 21
+
+
 def test_stale_folders_are_listed_and_live_ones_stay(spark, tmp_path):
     a_feed, table, second = two_batches(spark, tmp_path)
     apply_scd2_batch(spark, second, table, a_feed)

@@ -9,6 +9,7 @@ JOIN_KEY = "JoinKey"
 BOOKKEEPING = ("op_type", "ds", "table", "scn", "current_ts", "row_id", "username")
 SCD_COLUMNS = ("ActiveIndicator", "EffectiveDate", "EndDate", "Action")
 PARTITION_SUFFIX = "_PARTITION"
+KEY_BUCKET = "_key_bucket"
 # Code of a delete, and the start of topics whose partition column is in milliseconds.
 DELETE_OP = "d"
 MILLIS_TOPICS = "dna"
@@ -52,6 +53,9 @@ class CdcFeed:
     payload_format: str = "json"  # "avro" where Spark's avro package is loaded
     avro_schema: str | None = None  # envelope schema as JSON text, for "avro"
     table_format: str = "parquet"  # "delta"/"iceberg": the format's own MERGE is used
+    # Versioned table only: a second partition level by a hash of the key, so that a merge rewrites
+    # date x bucket instead of whole dates. Fixed when the table is created.
+    key_buckets: int = 0
     batch_ledger: bool = False  # apply a batch of a checkpoint once, in both tables
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     hot_versions: int = DEFAULT_HOT_VERSIONS

@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import JOIN_KEY, MergeRules
+from tidemark.config import JOIN_KEY, KEY_BUCKET, MergeRules
 from tidemark.functions.keys import ACTIVE, any_changed, delete_event, not_a_delete
 from tidemark.operators.sizing import broadcast_if
 from tidemark.operators.staging import (
     DEFAULT_RULES,
     MERGE_KEY,
     NEW,
+    bucket_of,
     insert_values,
     match_versions,
     versions_of,
@@ -78,6 +79,7 @@ def inserted_rows(
     target_schema: T.StructType,
     rules: MergeRules = DEFAULT_RULES,
     small: bool = False,
+    key_buckets: int = 0,
 ) -> DataFrame:
     """Staged rows whose merge key is not in ``present``, as new active versions.
 
@@ -95,6 +97,8 @@ def inserted_rows(
         unmatched = unmatched.where(not_a_delete())
     fresh = staged.where(f"{MERGE_KEY} IS NULL").unionByName(unmatched)
     values = insert_values(staged.columns)
+    if key_buckets:
+        values[KEY_BUCKET] = bucket_of(f"`{JOIN_KEY}`", key_buckets)
     return fresh.selectExpr(
         *[
             f"CAST({values[f.name]} AS {f.dataType.simpleString()}) AS `{f.name}`"

@@ -12,12 +12,12 @@ _HOT_KEY, _COPIES, _SALT, _RIGHT_SALT = "_hot_key", "_copies", "_salt", "_r_salt
 _VERSIONS = "_versions_held"
 
 
-def versions_per_key(newest: DataFrame, located: DataFrame, part: str) -> DataFrame:
+def versions_per_key(newest: DataFrame, located: DataFrame, *parts: str) -> DataFrame:
     """Versions that the table holds of each key of the batch, per partition.
 
     Counted below the shuffle, so that a key with very many versions travels once per map task.
     """
-    counted = located.groupBy(JOIN_KEY, part).agg(F.count(F.lit(1)).alias(_VERSIONS))
+    counted = located.groupBy(JOIN_KEY, *parts).agg(F.count(F.lit(1)).alias(_VERSIONS))
     keys = newest.select(F.col(JOIN_KEY).alias("_n_key"))
     return counted.join(keys, F.col(JOIN_KEY) == F.col("_n_key"), "left_semi")
 

@@ -128,3 +128,8 @@ def insert_values(row_columns: Sequence[str]) -> dict[str, str]:
         "EndDate": "NULL",
         "Action": "op_type",
     }
+
+
+def bucket_of(key: str, buckets: int) -> str:
+    """Bucket of a key, as SQL text."""
+    return f"pmod(hash({key}), {buckets})"

@@ -18,11 +18,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.config import KEY_BUCKET
 from tidemark.sources.tables import TableRef, _text
 
 PENDING = "tidemark.pending"
 APPLIED = "tidemark.applied."
 _MOVES = "_moves"
+_NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
 _CATALOG_THREADS = 8
 
 
@@ -52,6 +54,7 @@ class Move:
 
     part: str | None
     emptied: bool = False
+    bucket: str | None = None  # of tables with key buckets
 
 
 def distinct_values(df: DataFrame, column: str) -> list:
@@ -70,9 +73,26 @@ def in_partitions(column: str, values: Iterable) -> Column:
     return reduce(lambda a, b: a | b, tests, F.lit(False))
 
 
-def _spec(table: TableRef, text: str | None) -> str:
+def distinct_places(df: DataFrame, columns: Sequence[str]) -> list[tuple]:
+    """As :func:`distinct_values`, for one or two partition columns."""
+    return [tuple(r) for r in df.select(*columns).distinct().collect()]
+
+
+def in_places(columns: Sequence[str], places: Iterable[tuple]) -> Column:
+    """Static partition filter over one or two partition columns."""
+    if len(columns) == 1:
+        return in_partitions(columns[0], [p[0] for p in places])
+    by_bucket: dict[int, list] = {}
+    for part, bucket in places:
+        by_bucket.setdefault(bucket, []).append(part)
+    tests = [(F.col(columns[1]) == b) & in_partitions(columns[0], parts) for b, parts in by_bucket.items()]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
+def _spec(table: TableRef, text: str | None, bucket: str | None = None) -> str:
     value = "null" if text is None else _text(text)
-    return f"PARTITION (`{table.partition_col}` = {value})"
+    more = "" if bucket is None else f", `{KEY_BUCKET}` = {bucket}"
+    return f"PARTITION (`{table.partition_col}` = {value}{more})"
 
 
 def properties(spark: SparkSession, table: TableRef) -> dict[str, str]:
@@ -98,6 +118,10 @@ def mark_applied(spark: SparkSession, table: TableRef, delivery: Delivery | None
         set_properties(spark, table, **_applied(delivery))
 
 
+def _or_null(text: str | None) -> str:
+    return "null" if text is None else _text(text)
+
+
 def replace_partitions(
     spark: SparkSession,
     table: TableRef,
@@ -107,10 +131,11 @@ def replace_partitions(
 ) -> None:
     """Point the partitions in ``moves`` at their folders below ``folder``."""
     values = ", ".join(
-        f"({'null' if m.part is None else _text(m.part)}, {str(m.emptied).lower()})" for m in moves
+        f"({_or_null(m.part)}, {str(m.emptied).lower()}, {_or_null(m.bucket)})" for m in moves
     )
-    listed = spark.sql(f"SELECT * FROM VALUES {values} AS moves(part, emptied)")
-    listed.selectExpr("CAST(part AS STRING) AS part", "emptied").coalesce(1).write.parquet(
+    listed = spark.sql(f"SELECT * FROM VALUES {values} AS moves(part, emptied, bucket)")
+    texts = [f"CAST({c} AS STRING) AS {c}" for c in ("part", "bucket")]
+    listed.selectExpr("emptied", *texts).coalesce(1).write.parquet(
         f"{folder}/{_MOVES}"
     )
     set_properties(spark, table, **{PENDING: f"{delivery.text if delivery else ''}|{folder}"})
@@ -124,8 +149,9 @@ def finish_pending(spark: SparkSession, table: TableRef) -> dict[str, str]:
     if not folder:
         return stored
     delivery = Delivery.parse(text)
-    listed = spark.read.schema("part STRING, emptied BOOLEAN").parquet(f"{folder}/{_MOVES}")
-    moves = [Move(r["part"], r["emptied"]) for r in listed.collect()]
+    schema = "part STRING, emptied BOOLEAN, bucket STRING"
+    listed = spark.read.schema(schema).parquet(f"{folder}/{_MOVES}")
+    moves = [Move(r["part"], r["emptied"], r["bucket"]) for r in listed.collect()]
     _move(spark, table, folder, moves, delivery)
     return stored | _applied(delivery)
 
@@ -136,23 +162,24 @@ def _move(
     """Repeatable: every statement states where a partition is, not how it changes."""
     name = table.sql_name
 
-    def folder_of(part: str | None) -> str:
-        text = "__HIVE_DEFAULT_PARTITION__" if part is None else part
-        return f"{table.partition_col}={text}"
+    def folder_of(move: Move) -> str:
+        text = _NULL_FOLDER if move.part is None else move.part
+        below = "" if move.bucket is None else f"/{KEY_BUCKET}={move.bucket}"
+        return f"{table.partition_col}={text}{below}"
 
-    def location(part: str | None) -> str:
-        return _text(f"{folder}/{folder_of(part)}")
+    def location(move: Move) -> str:
+        return _text(f"{folder}/{folder_of(move)}")
 
     existing = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
     added, statements = [], []
     for move in moves:
-        spec = _spec(table, move.part)
+        spec = _spec(table, move.part, move.bucket)
         if move.emptied:
             statements.append(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
-        elif folder_of(move.part) in existing:
-            statements.append(f"ALTER TABLE {name} {spec} SET LOCATION {location(move.part)}")
+        elif folder_of(move) in existing:
+            statements.append(f"ALTER TABLE {name} {spec} SET LOCATION {location(move)}")
         else:
-            added.append(f"{spec} LOCATION {location(move.part)}")
+            added.append(f"{spec} LOCATION {location(move)}")
     if added:
         statements.append(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
     # Catalog round trips, one per existing partition: overlap them.
@@ -170,9 +197,9 @@ def stale_versions(spark: SparkSession, table: TableRef) -> list[str]:
     folders = {s.getPath().getName(): s.getPath().toString() for s in files.listStatus(root)}
     live = {properties(spark, table).get(PENDING, "").rpartition("/")[2]}
     for row in spark.sql(f"SHOW PARTITIONS {table.sql_name}").collect():
-        value = row[0].partition("=")[2]
-        text = None if value == "__HIVE_DEFAULT_PARTITION__" else value
-        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table.sql_name} {_spec(table, text)}")
+        value, *more = (level.partition("=")[2] for level in row[0].split("/"))
+        spec = _spec(table, None if value == _NULL_FOLDER else value, *more)
+        detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table.sql_name} {spec}")
         for place in detail.where("col_name = 'Location'").collect():
             _, found, rest = place["data_type"].partition("/_versions/")
             if found:

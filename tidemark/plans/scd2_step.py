@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import JOIN_KEY, CdcFeed
+from tidemark.config import JOIN_KEY, KEY_BUCKET, CdcFeed
 from tidemark.functions.keys import key_first, overwrite_columns
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import (
@@ -37,9 +37,9 @@ from tidemark.plans.merge_into import merge_into, supports_merge
 from tidemark.plans.partitions import (
     Delivery,
     Move,
-    distinct_values,
+    distinct_places,
     finish_pending,
-    in_partitions,
+    in_places,
     mark_applied,
     replace_partitions,
     was_applied,
@@ -55,6 +55,7 @@ class Scd2Report:
     closed: int = 0
     overwritten: int = 0
     partitions: int = 0
+    rewritten: int = 0  # rows written, those of other keys in the same partitions included
     skipped: bool = False
 
 
@@ -117,59 +118,67 @@ def apply_scd2_batch(
             mark_applied(spark, table, delivery)
             return Scd2Report(keys=size.rows)
 
-        part = table.partition_col
-        located = target.select(JOIN_KEY, part)
+        part, parts_of = table.partition_col, table.partition_cols
+        located = target.select(JOIN_KEY, *parts_of)
         hot = None
         if small:
-            touched = distinct_values(versions_of(newest, located, small), part)
+            touched = distinct_places(versions_of(newest, located, small), parts_of)
         else:
             # One narrow pass: versions per key of the batch and partition.
-            held = versions_per_key(newest, located, part).persist()
+            held = versions_per_key(newest, located, *parts_of).persist()
             kept.append(held)
-            touched = distinct_values(held, part)
+            touched = distinct_places(held, parts_of)
             hot = hot_keys(held, feed.hot_versions, feed.broadcast_bytes)
             if hot is not None:
                 kept.append(hot)
         matched = match_versions(
-            target.where(in_partitions(part, touched)), newest, "inner", small, hot
+            target.where(in_places(parts_of, touched)), newest, "inner", small, hot
         ).persist()
         again = changed_among(matched, newest.columns, scd, feed.rules) if scd else None
         if feed.rules.reopen:
             closed = reopened_among(newest, matched, feed.rules, small)
             again = closed if again is None else again.unionByName(closed)
         inserts = inserted_rows(
-            stage(newest, again), matched, target.schema, feed.rules, small
+            stage(newest, again), matched, target.schema, feed.rules, small, table.key_buckets
         ).persist()
         kept += [matched, inserts]
 
         # Two actions on purpose: the first one fills the cache of ``matched``, which
         # the second reads in several stages that would otherwise compute it side by side.
         updated = apply_clauses(matched, target.dtypes, scd, upd, feed.rules, origin=part)
-        effects = _changes(updated, part) + _arrivals(inserts, part)
-        parts = {r["part"]: r["text"] for r in effects}
+        bucket = KEY_BUCKET if table.key_buckets else None
+        effects = _changes(updated, part, bucket) + _arrivals(inserts, part, bucket)
+        # Value(s) of the partition, and the same as text.
+        parts = {
+            (r["part"], r["bucket"])[: len(parts_of)]: (r["text"], str(r["bucket"]) if bucket else None)
+            for r in effects
+        }
         report = _report(size.rows, effects, len(parts))
         if not parts:
             mark_applied(spark, table, delivery)
             return report
 
         # Rows of other keys are carried over; the merged versions replace the rest.
-        affected = in_partitions(part, parts)
+        affected = in_places(parts_of, parts)
         carried = versions_of_other_keys(newest, target.where(affected), small, hot)
         if not small:
             # That join hashes rows by key, i.e. every task would hold every partition.
-            carried = carried.hint("rebalance", part)
+            carried = carried.hint("rebalance", *parts_of)
         merged = updated.drop(ORIGIN).where(affected).unionByName(inserts).drop(CLAUSE)
         folder = f"{table.location}/_versions/{run_id()}"
-        rows = carried.unionByName(merged.hint("rebalance", part))
-        rows.write.partitionBy(part).parquet(folder)
+        rows = carried.unionByName(merged.hint("rebalance", *parts_of))
+        written = Observation()
+        rows.observe(written, F.count(F.lit(1)).alias("n")).write.partitionBy(*parts_of).parquet(folder)
+        report = replace(report, rewritten=written.get["n"])
 
         # Only rows that moved between partitions can leave one empty. The folders are read with
         # the table's own types, whatever the session infers.
-        written = set(parts.values())
+        filled = set(parts.values())
         if any(not r["lands"] for r in effects):
             files = spark.read.schema(target.schema).parquet(folder)
-            written = set(distinct_values(files.select(F.col(part).cast("string").alias(part)), part))
-        moves = [Move(text, text not in written) for text in parts.values()]
+            texts = [F.col(c).cast("string").alias(c) for c in parts_of]
+            filled = {(*place, None)[:2] for place in distinct_places(files.select(*texts), parts_of)}
+        moves = [Move(text[0], text not in filled, text[1]) for text in parts.values()]
         replace_partitions(spark, table, folder, moves, delivery)
         return report
     finally:
@@ -191,24 +200,27 @@ def _report(keys: int, effects: list[Row], partitions: int) -> Scd2Report:
     )
 
 
-def _changes(updated: DataFrame, part: str) -> list[Row]:
+def _changes(updated: DataFrame, part: str, bucket: str | None) -> list[Row]:
     """Changed rows per clause and partition: at most a few rows per table partition.
 
     A row that moves counts in both partitions, and ``lands`` in the second only.
     """
     there = f"named_struct('part', `{part}`, 'lands', true)"
     gone = f"named_struct('part', {ORIGIN}, 'lands', false)"
+    kept = bucket or "CAST(NULL AS INT)"
     places = f"inline(IF({ORIGIN} <=> `{part}`, array({there}), array({gone}, {there})))"
-    return _counted(updated.where(f"{CLAUSE} <> {UNTOUCHED}").selectExpr(CLAUSE, places))
+    changed = updated.where(f"{CLAUSE} <> {UNTOUCHED}")
+    return _counted(changed.selectExpr(CLAUSE, f"{kept} AS bucket", places))
 
 
-def _arrivals(inserts: DataFrame, part: str) -> list[Row]:
-    return _counted(inserts.selectExpr(CLAUSE, f"`{part}` AS part", "true AS lands"))
+def _arrivals(inserts: DataFrame, part: str, bucket: str | None) -> list[Row]:
+    kept = bucket or "CAST(NULL AS INT)"
+    return _counted(inserts.selectExpr(CLAUSE, f"{kept} AS bucket", f"`{part}` AS part", "true AS lands"))
 
 
 def _counted(rows: DataFrame) -> list[Row]:
     return (
-        rows.groupBy(CLAUSE, "part", "lands")
+        rows.groupBy(CLAUSE, "part", "bucket", "lands")
         .agg(F.count(F.lit(1)).alias("n"))
         .withColumn("text", F.col("part").cast("string"))
         .collect()

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import BOOKKEEPING, JOIN_KEY, SCD_COLUMNS
+from tidemark.config import BOOKKEEPING, JOIN_KEY, KEY_BUCKET, SCD_COLUMNS
 from tidemark.functions.keys import ACTIVE, columns_except
 from tidemark.functions.naming import quoted
 
@@ -19,6 +19,13 @@ class TableRef:
     partition_col: str | None
     location: str
     format: str = "parquet"
+    key_buckets: int = 0
+
+    @property
+    def partition_cols(self) -> list[str]:
+        if not self.partition_col:
+            return []
+        return [self.partition_col, KEY_BUCKET] if self.key_buckets else [self.partition_col]
 
     @property
     def sql_name(self) -> str:
@@ -29,6 +36,10 @@ def _text(value: str) -> str:
     return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+# Table property holding the number of key buckets.
+BUCKETS = "tidemark.key_buckets"
+
+
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
     where = f" LOCATION {_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {quoted(name)}{where}")
@@ -58,18 +69,21 @@ def create_table(
     partition_col: str | None = None,
     table_format: str = "parquet",
     comment: str | None = None,
+    key_buckets: int = 0,
 ) -> TableRef:
     """Table with an explicit schema at a location, unless it exists."""
     if spark.catalog.tableExists(quoted(name)):
         return open_table(spark, name)
     ddl = schema if isinstance(schema, str) else schema.toDDL()
-    by = f" PARTITIONED BY ({quoted(partition_col)})" if partition_col else ""
+    table = TableRef(name, partition_col, location, table_format, key_buckets)
+    by = f" PARTITIONED BY ({', '.join(map(quoted, table.partition_cols))})" if partition_col else ""
+    kept = f" TBLPROPERTIES ({_text(BUCKETS)} = {_text(str(key_buckets))})" if key_buckets else ""
     note = f" COMMENT {_text(comment)}" if comment else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({ddl}) USING {table_format}"
-        f"{by} LOCATION {_text(location)}{note}"
+        f"{by} LOCATION {_text(location)}{note}{kept}"
     )
-    return TableRef(name, partition_col, location, table_format)
+    return table
 
 
 def create_scd2_table(
@@ -79,9 +93,13 @@ def create_scd2_table(
     partition_col: str,
     location: str,
     table_format: str = "parquet",
+    key_buckets: int = 0,
 ) -> TableRef:
+    schema = scd2_schema(row_schema)
+    if key_buckets:
+        schema = T.StructType([*schema.fields, T.StructField(KEY_BUCKET, T.IntegerType())])
     return create_table(
-        spark, name, scd2_schema(row_schema), location, partition_col, table_format
+        spark, name, schema, location, partition_col, table_format, key_buckets=key_buckets
     )
 
 
@@ -113,13 +131,19 @@ def open_table(spark: SparkSession, name: str) -> TableRef:
         partition_col=partitions[0] if partitions else None,
         location=detail["Location"],
         format=detail["Provider"].lower(),
+        key_buckets=_key_buckets(spark, name) if KEY_BUCKET in partitions else 0,
     )
 
 
+def _key_buckets(spark: SparkSession, name: str) -> int:
+    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)} ({_text(BUCKETS)})").collect()
+    return int(rows[0]["value"])
+
+
 def active_rows(spark: SparkSession, name: str) -> DataFrame:
     """Current state of a versioned table."""
     spark.catalog.refreshTable(quoted(name))
-    return spark.table(quoted(name)).where(ACTIVE)
+    return spark.table(quoted(name)).where(ACTIVE).drop(KEY_BUCKET)
 
 
 def query_table(spark: SparkSession, name: str, columns: str = "*") -> DataFrame:

@@ -76,7 +76,7 @@ def prepare_tables(spark: SparkSession, rows: DataFrame, feed: CdcFeed, root: st
             spark, hist, schema, feed.history_partition, f"{root}/{hist}", feed.table_format
         ),
         scd2=create_scd2_table(
-            spark, scd2, schema, feed.scd2_partition, f"{root}/{scd2}", feed.table_format
+            spark, scd2, schema, feed.scd2_partition, f"{root}/{scd2}", feed.table_format, feed.key_buckets
         ),
     )
 

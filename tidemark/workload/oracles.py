@@ -215,6 +215,7 @@ ORACLES: dict[str, str] = {
     ),
     "scd2_three_batches": _table(),
     "scd2_shuffled": _table(),
+    "scd2_bucketed": _table(),
     "scd2_scd_only": _table(scd=("tier", "event_type"), upd=()),
     "scd2_update_only": _table(scd=(), upd=("tier", "event_type")),
     "scd2_null_default": _table(nulls=True),

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import BOOKKEEPING, JOIN_KEY, MergeRules
+from tidemark.config import BOOKKEEPING, JOIN_KEY, KEY_BUCKET, MergeRules
 from tidemark.functions.frames import (
     date_from_days,
     date_from_millis,
@@ -219,6 +219,12 @@ def scd2_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, table)
 
 
+def scd2_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second partition level by key: merges rewrite date x bucket."""
+    _, table, _ = _events_scd2(spark, sf_dir, key_buckets=4)
+    return _rows(spark, table).drop(KEY_BUCKET)
+
+
 def scd2_scd_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All payload columns versioned, nothing overwritten."""
     _, table, _ = _events_scd2(spark, sf_dir, scd_cols=("tier", "event_type"))
@@ -568,6 +574,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_staged": scd2_staged,
     "scd2_three_batches": scd2_three_batches,
     "scd2_shuffled": scd2_shuffled,
+    "scd2_bucketed": scd2_bucketed,
     "scd2_scd_only": scd2_scd_only,
     "scd2_update_only": scd2_update_only,
     "scd2_null_default": scd2_null_default,
