@@ -10,11 +10,12 @@ sequence as one; without words, empty and linked with nothing. Two documents lin
    linked pair shares a column among the first n - ceil(0.8 n) + 1 of each row, and its first shared
    column leaves enough to come on either side. Only these entries are shuffled, by column; a block of
    columns is one task. Columns met once are dropped there.
-3. In every column the row with the fewest rarer n-grams is the hub. Products of rows with their hubs
-   are accumulated stripe by stripe; a pair is discarded as soon as its overlap so far plus what
-   is left falls below the bound of its sizes. What remains is linked exactly.
-4. Pairs that share a column but are not yet in one component are multiplied the same way, so that
-   no link between components is lost, while a group of copies never meets itself pair by pair.
+3. In every column the row with the fewest rarer n-grams is the hub. Rows are multiplied with their
+   hubs: first by sketches of 256 counts, then by whole sets, accumulated stripe by stripe; a pair is
+   discarded as soon as its overlap so far plus what is left falls below the bound of its sizes. What
+   remains is linked exactly.
+4. Pairs that share a column but are not yet connected through a common neighbour are multiplied the
+   same way, so that no link is lost, while a group of copies never meets itself pair by pair.
 
 Columns whose cell is crowded are split by a hash of the row, and their hubs meet once more. Only a
 column held by rows of several components gives pairs in step 4. Null and empty texts have size 0 and
@@ -33,8 +34,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import partsum
-from tidemark.llm.components import components
-from tidemark.llm.tables import documents, kept, shrink
+from tidemark.llm.components import components, near_roots
+from tidemark.llm.tables import BROADCAST_NUMBERS, documents, kept, shrink
 from tidemark.llm.textops import shingles_of, text_chunks
 
 WIDTH = 5
@@ -42,7 +43,8 @@ CELLS = 1 << 22
 ENTRIES_PER_BLOCK = 1 << 19
 SPLIT_CLASS = 12  # columns with more than about 2^12 rows are split
 STRIPES = 4
-FLUSH = 1 << 21
+FLUSH = 1 << 20
+SKETCH = 256  # counts per row, by a part of the hash, each up to 255
 
 
 def _row_sets(column: pa.Array) -> Iterator[tuple[int, np.ndarray]]:
@@ -64,26 +66,30 @@ def _cell(hashes: np.ndarray) -> np.ndarray:
     return (hashes >> np.uint64(20)).astype(np.int64) & (CELLS - 1)
 
 
-_SURVEY = "doc_id long, n long, mark binary, part long, sums binary"
+_SURVEY = "doc_id long, n long, mark binary, sketch binary, part long, sums binary"
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and fingerprint per document; at the end the task's n-gram counts."""
     counts = np.zeros(CELLS, dtype=np.int64)
     waiting, held = [], 0
-    names = ["doc_id", "n", "mark", "part", "sums"]
+    names = ["doc_id", "n", "mark", "sketch", "part", "sums"]
     for batch in batches:
-        size, mark = np.zeros(batch.num_rows, dtype=np.int64), [b""] * batch.num_rows
+        size = np.zeros(batch.num_rows, dtype=np.int64)
+        mark, sketch = [b""] * batch.num_rows, [b""] * batch.num_rows
         for row, hashes in _row_sets(batch.column("text")):
             size[row] = len(hashes)
             mark[row] = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
-            waiting.append(_cell(hashes))
-            held += len(hashes)
+            sketch[row] = _sketch(hashes)
+            # By hash, the first of a set are those that can come into its prefix.
+            front = hashes[: _prefix(len(hashes)) * 3 // 2]
+            waiting.append(_cell(front))
+            held += len(front)
             if held >= FLUSH:
                 counts += np.bincount(np.concatenate(waiting), minlength=CELLS)
                 waiting, held = [], 0
         none = [pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.binary())]
-        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(mark, pa.binary()), *none], names)
+        yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(mark, pa.binary()), pa.array(sketch, pa.binary()), *none], names)
     if waiting:
         counts += np.bincount(np.concatenate(waiting), minlength=CELLS)
     yield pa.RecordBatch.from_arrays(
@@ -91,6 +97,7 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             pa.nulls(1, pa.int64()),
             pa.nulls(1, pa.int64()),
             pa.nulls(1, pa.binary()),
+            pa.nulls(1, pa.binary()),
             pa.array([partsum.part_number()], pa.int64()),
             pa.array([partsum.packed(counts)], pa.binary()),
         ],
@@ -98,10 +105,19 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _sketch(hashes: np.ndarray) -> bytes:
+    counts = np.bincount((hashes >> np.uint64(48)).astype(np.int64) % SKETCH, minlength=SKETCH)
+    return np.minimum(counts, 255).astype(np.uint8).tobytes()
+
+
 def column_classes(counts: np.ndarray) -> np.ndarray:
-    """0 for cells as full as chance makes them, else 1 + log2 of the excess."""
+    """0 for cells as full as chance makes them, else 1 + log2 of the excess.
+
+    What goes unnoticed grows with the root of n-grams per cell; give a larger corpus more ``CELLS``.
+    The order of columns has no bearing on the result, only on the work.
+    """
     mean = counts.mean()
-    excess = counts - (mean + 8 * np.sqrt(mean) + 8)
+    excess = counts - (mean + 5 * np.sqrt(mean) + 4)
     return np.where(excess > 0, 1 + np.floor(np.log2(np.maximum(excess, 1))), 0).astype(np.uint8)
 
 
@@ -253,19 +269,49 @@ def _products(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(keep))
 
 
-def _multiplied(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The pairs (a, b) that link, by whole sets."""
-    wanted = kept(pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted")
-    rows = docs.join(shrink(wanted, wanted.count()), F.col("doc_id") == F.col("wanted")).select("doc_id", "text")
+def _within_reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sketches leave room for a link: their counts differ by no more than sets that link do.
+
+    The difference of two rows' counts is at most that of their sets, which for a link is at most
+    (n_a + n_b) / 9.
+    """
+    for batch in batches:
+        if batch.num_rows:
+            one, two = (
+                np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint8).reshape(-1, SKETCH).astype(np.int16)
+                for c in ("sketch_a", "sketch_b")
+            )
+            apart = np.abs(one - two).sum(axis=1, dtype=np.int64)
+            size = batch.column("n_a").to_numpy() + batch.column("n_b").to_numpy()
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], ["a", "b"]).filter(pa.array(9 * apart <= size))
+
+
+def _multiplied(docs: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The pairs (a, b) that link: by their sketches first, then by whole sets."""
+
+    def ids(of: DataFrame) -> tuple[DataFrame, int]:
+        wanted = kept(of.select(F.explode(F.array("a", "b")).alias("wanted")).distinct(), "wanted")
+        return wanted, wanted.count()
+
+    def both(of: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+        left = rows.select(F.col("doc").alias("a"), *[F.col(c).alias(f"{c}_a") for c in columns])
+        right = rows.select(F.col("doc").alias("b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+        return of.join(left, "a").join(right, "b").select("a", "b", *[f"{c}_{x}" for c in columns for x in "ab"])
+
+    few = shrink(*ids(pairs), BROADCAST_NUMBERS)
+    near = both(pairs, sketches.join(few, F.col("doc") == F.col("wanted"), "left_semi"), "n", "sketch")
+    near = kept(near.mapInArrow(_within_reach, "a long, b long").distinct(), "near")
+    few = shrink(*ids(near), BROADCAST_NUMBERS)
+    rows = docs.join(few, F.col("doc_id") == F.col("wanted"), "left_semi").select("doc_id", "text")
     sets = kept(rows.mapInArrow(_set_bytes, "doc long, grams binary"), "sets")
-    left = sets.select(F.col("doc").alias("a"), F.col("grams").alias("grams_a"))
-    right = sets.select(F.col("doc").alias("b"), F.col("grams").alias("grams_b"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "grams_a", "grams_b")
-    return kept(joined.mapInArrow(_products, "a long, b long"), "linked")
+    return kept(both(near, sets, "grams").mapInArrow(_products, "a long, b long").distinct(), "linked")
 
 
-def jaccard_links(reps: DataFrame, total_shingles: int, classes: np.ndarray) -> DataFrame:
-    """Links (a, b) that connect all documents of a component; ``reps`` has doc_id, text."""
+def jaccard_links(reps: DataFrame, sketches: DataFrame, total_shingles: int, classes: np.ndarray) -> DataFrame:
+    """Links (a, b) that connect all documents of a component.
+
+    ``reps`` has doc_id and text, ``sketches`` doc, n and sketch.
+    """
     blocks = max(1, -(-total_shingles // (5 * ENTRIES_PER_BLOCK)))
     entries = reps.mapInArrow(_entries(classes), _ENTRIES)
     part = F.when(F.col("split") > 1, F.pmod(F.xxhash64("doc"), F.col("split"))).otherwise(0).cast("int")
@@ -282,9 +328,9 @@ def jaccard_links(reps: DataFrame, total_shingles: int, classes: np.ndarray) ->
     met = parts.join(tops, "col").select("hub", "hub_n", "hub_pos", F.col("top.hub").alias("t"), F.col("top.hub_n").alias("tn"), F.col("top.hub_pos").alias("tp"))
     met = met.where(_possible("hub", "hub_n", "hub_pos", "t", "tn", "tp")).select(*_pair("hub", "t"))
     tried = kept(hubs.unionByName(met).distinct(), "tried")
-    links = _multiplied(reps, tried)
+    links = _multiplied(reps, sketches, tried)
     # What is left: columns that hold rows of several components.
-    comps = components(links)
+    comps = near_roots(links)
     named = shared.join(comps, F.col("doc") == F.col("node"), "left").select(
         "col", "doc", "n", "pos", F.coalesce("component", "doc").alias("comp")
     )
@@ -299,7 +345,7 @@ def jaccard_links(reps: DataFrame, total_shingles: int, classes: np.ndarray) ->
         & _possible("x_doc", "x_n", "x_pos", "doc", "n", "pos")
     )
     rest = cross.select(*_pair("x_doc", "doc")).distinct().join(tried, ["a", "b"], "left_anti")
-    return links.unionByName(_multiplied(reps, kept(rest, "rest")))
+    return links.unionByName(_multiplied(reps, sketches, kept(rest, "rest")))
 
 
 def join(docs: DataFrame) -> DataFrame:
@@ -307,7 +353,7 @@ def join(docs: DataFrame) -> DataFrame:
     plain = documents(docs)
     survey = kept(plain.mapInArrow(_survey, _SURVEY), "survey")
     classes = column_classes(partsum.total(survey.where("part IS NOT NULL").select("part", "sums"), CELLS))
-    rows = survey.where("part IS NULL").select("doc_id", "n", "mark")
+    rows = survey.where("part IS NULL").select("doc_id", "n", "mark", "sketch")
     known = rows.where("doc_id IS NOT NULL AND n > 0")
     # One representative per set; an id repeated over several texts represents none but its first.
     sets = kept(known.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n"), F.count(F.lit(1)).alias("copies")), "classes")
@@ -321,7 +367,8 @@ def join(docs: DataFrame) -> DataFrame:
     )
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     reps = plain.where("doc_id IS NOT NULL").join(shrink(spare, spare.count()), F.col("doc_id") == F.col("spare"), "left_anti")
-    comps = components(jaccard_links(reps, total, classes))
+    sketches = known.select(F.col("doc_id").alias("doc"), "n", "sketch")
+    comps = components(jaccard_links(reps, sketches, total, classes))
     return (
         rows.join(sets.select("mark", "rep"), "mark", "left")
         .join(comps, F.col("rep") == F.col("node"), "left")

@@ -12,16 +12,26 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.tables import kept
 
-FAN_IN = 8
+FAN_IN = 16
 PART_SCHEMA = "part long, sums binary"
 
 
 def packed(table: np.ndarray) -> bytes:
-    return zlib.compress(table.astype(np.int64).tobytes(), 1)
+    """Compressed; by the filled cells alone where they are few."""
+    filled = np.flatnonzero(table)
+    if len(filled) * 8 < len(table):
+        return b"s" + zlib.compress(np.concatenate((filled, table[filled])).astype(np.int64).tobytes(), 1)
+    return b"d" + zlib.compress(table.astype(np.int64).tobytes(), 1)
 
 
-def unpacked(raw: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(raw), dtype=np.int64)
+def add_to(total: np.ndarray, raw: bytes) -> None:
+    """Add a packed table to ``total`` in place."""
+    values = np.frombuffer(zlib.decompress(raw[1:]), dtype=np.int64)
+    if raw[:1] == b"d":
+        total += values
+    else:
+        half = len(values) // 2
+        total[values[:half]] += values[half:]
 
 
 def part_number() -> int:
@@ -37,20 +47,24 @@ def part_batch(table: np.ndarray) -> pa.RecordBatch:
     )
 
 
-def _added(frame: pd.DataFrame) -> pd.DataFrame:
-    total = unpacked(frame["sums"].iloc[0]).copy()
-    for raw in frame["sums"].iloc[1:]:
-        total += unpacked(raw)
-    return pd.DataFrame({"part": [int(frame["part"].min()) // FAN_IN], "sums": [packed(total)]})
+def _adder(cells: int):
+    def added(frame: pd.DataFrame) -> pd.DataFrame:
+        sums = np.zeros(cells, dtype=np.int64)
+        for raw in frame["sums"]:
+            add_to(sums, raw)
+        return pd.DataFrame({"part": [int(frame["part"].min()) // FAN_IN], "sums": [packed(sums)]})
+
+    return added
 
 
 def total(parts: DataFrame, cells: int) -> np.ndarray:
     """The sum of all parts; what reaches the driver is one table of ``cells`` numbers."""
     widest = parts.agg(F.max("part")).first()[0]
-    if widest is None:
-        return np.zeros(cells, dtype=np.int64)
     while widest:
         grouped = parts.groupBy(F.floor(F.col("part") / FAN_IN).alias("group"))
-        parts = kept(grouped.applyInPandas(_added, PART_SCHEMA), "partsum")
+        parts = kept(grouped.applyInPandas(_adder(cells), PART_SCHEMA), "partsum")
         widest //= FAN_IN
-    return sum((unpacked(raw) for (raw,) in parts.select("sums").collect()), np.zeros(cells, dtype=np.int64))
+    sums = np.zeros(cells, dtype=np.int64)
+    for (raw,) in parts.select("sums").collect():
+        add_to(sums, raw)
+    return sums
