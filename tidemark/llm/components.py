@@ -45,13 +45,3 @@ def components(links: DataFrame, most_rounds: int = 64) -> DataFrame:
         stars = kept(_small_star(_large_star(stars)), "links")
     raise RuntimeError("components did not settle")
 
-
-def near_roots(links: DataFrame) -> DataFrame:
-    """(node, component) with a cheap root: nodes of one root are connected, but not the other way round.
-
-    The least neighbour of the least neighbour, of every node that has a smaller one.
-    """
-    both = links.select("a", "b").unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = kept(both.groupBy("a").agg(F.least("a", F.min("b")).alias("root")), "roots")
-    next_root = least.select(F.col("a").alias("root"), F.col("root").alias("component"))
-    return least.join(next_root, "root").where("component < a").select(F.col("a").alias("node"), "component")

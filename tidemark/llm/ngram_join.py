@@ -14,8 +14,8 @@ sequence as one; without words, empty and linked with nothing. Two documents lin
    hubs: first by sketches of 256 counts, then by whole sets, accumulated stripe by stripe; a pair is
    discarded as soon as its overlap so far plus what is left falls below the bound of its sizes. What
    remains is linked exactly.
-4. Pairs that share a column but are not yet connected through a common neighbour are multiplied the
-   same way, so that no link is lost, while a group of copies never meets itself pair by pair.
+4. Pairs that share a column but are not yet in one component are multiplied the same way, so that
+   no link is lost, while a group of copies never meets itself pair by pair.
 
 Columns whose cell is crowded are split by a hash of the row, and their hubs meet once more. Only a
 column held by rows of several components gives pairs in step 4. Null and empty texts have size 0 and
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm import partsum
-from tidemark.llm.components import components, near_roots
+from tidemark.llm.components import components
 from tidemark.llm.tables import BROADCAST_NUMBERS, documents, kept, shrink
 from tidemark.llm.textops import shingles_of, text_chunks
 
@@ -330,7 +330,7 @@ def jaccard_links(reps: DataFrame, sketches: DataFrame, total_shingles: int, cla
     tried = kept(hubs.unionByName(met).distinct(), "tried")
     links = _multiplied(reps, sketches, tried)
     # What is left: columns that hold rows of several components.
-    comps = near_roots(links)
+    comps = components(links)
     named = shared.join(comps, F.col("doc") == F.col("node"), "left").select(
         "col", "doc", "n", "pos", F.coalesce("component", "doc").alias("comp")
     )
