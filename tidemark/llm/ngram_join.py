@@ -81,10 +81,8 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             size[row] = len(hashes)
             mark[row] = hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
             sketch[row] = _sketch(hashes)
-            # By hash, the first of a set are those that can come into its prefix.
-            front = hashes[: _prefix(len(hashes)) * 3 // 2]
-            waiting.append(_cell(front))
-            held += len(front)
+            waiting.append(_cell(hashes))
+            held += len(hashes)
             if held >= FLUSH:
                 counts += np.bincount(np.concatenate(waiting), minlength=CELLS)
                 waiting, held = [], 0
