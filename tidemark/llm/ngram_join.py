@@ -6,7 +6,7 @@ sequence as one; without words, empty and linked with nothing. Two documents lin
 
 1. One pass gives every document its size and a fingerprint of its set, and counts n-grams in a fixed
    table of 2^22 cells. Documents with the same set are one row of the matrix from here on.
-2. Columns (n-grams) are ordered by the class of their cell's count, then by hash, rare ones first. A
+2. Columns (n-grams) are ordered by the count of their cell, then by hash, rare ones first. A
    linked pair shares a column among the first n - ceil(0.8 n) + 1 of each row, and its first shared
    column leaves enough to come on either side. Only these entries are shuffled, by column; a block of
    columns is one task. Columns met once are dropped there.
@@ -108,15 +108,20 @@ def _sketch(hashes: np.ndarray) -> bytes:
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
-def column_classes(counts: np.ndarray) -> np.ndarray:
-    """0 for cells as full as chance makes them, else 1 + log2 of the excess.
+def column_classes(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(class per cell, parts per class): emptier cells have lower classes, in steps of one per cent.
 
-    What goes unnoticed grows with the root of n-grams per cell; give a larger corpus more ``CELLS``.
-    The order of columns has no bearing on the result, only on the work.
+    An n-gram of many documents is in a full cell, and so comes into a prefix only where a set has
+    nothing rarer. What can hide among the others grows with n-grams per cell; give a larger corpus
+    more ``CELLS``. The order of columns has no bearing on the result, only on the work.
+
+    A class fuller than chance makes it by more than 2^SPLIT_CLASS rows is split into parts.
     """
+    classes = np.floor(64 * np.log2(counts + 1.0)).astype(np.uint16)
     mean = counts.mean()
-    excess = counts - (mean + 5 * np.sqrt(mean) + 4)
-    return np.where(excess > 0, 1 + np.floor(np.log2(np.maximum(excess, 1))), 0).astype(np.uint8)
+    excess = 2.0 ** (np.arange(4096) / 64) - (mean + 8 * np.sqrt(mean) + 8)
+    parts = np.maximum(np.floor(np.log2(np.maximum(excess, 1))) - SPLIT_CLASS, 0)
+    return classes, np.left_shift(1, np.minimum(parts, 20).astype(np.int32)).astype(np.int32)
 
 
 def _prefix(size: int) -> int:
@@ -133,7 +138,7 @@ def _ordered(hashes: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, np.nd
 _ENTRIES = "col long, split int, doc long, n int, pos int"
 
 
-def _entries(classes: np.ndarray):
+def _entries(classes: np.ndarray, parts: np.ndarray):
     """Prefix entries of every row, with the number of parts its column is split into."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +164,7 @@ def _entries(classes: np.ndarray):
                 p = _prefix(size)
                 col, kind = _ordered(hashes, classes)
                 cols.append(col[:p])
-                splits.append(np.left_shift(1, np.maximum(kind[:p].astype(np.int32) - SPLIT_CLASS, 0)).astype(np.int32))
+                splits.append(parts[kind[:p]])
                 docs.append(np.full(p, ids[row], dtype=np.int64))
                 sizes.append(np.full(p, size, dtype=np.int32))
                 places.append(np.arange(p, dtype=np.int32))
@@ -305,13 +310,15 @@ def _multiplied(docs: DataFrame, sketches: DataFrame, pairs: DataFrame) -> DataF
     return kept(both(near, sets, "grams").mapInArrow(_products, "a long, b long").distinct(), "linked")
 
 
-def jaccard_links(reps: DataFrame, sketches: DataFrame, total_shingles: int, classes: np.ndarray) -> DataFrame:
+def jaccard_links(
+    reps: DataFrame, sketches: DataFrame, total_shingles: int, classes: tuple[np.ndarray, np.ndarray]
+) -> DataFrame:
     """Links (a, b) that connect all documents of a component.
 
     ``reps`` has doc_id and text, ``sketches`` doc, n and sketch.
     """
     blocks = max(1, -(-total_shingles // (5 * ENTRIES_PER_BLOCK)))
-    entries = reps.mapInArrow(_entries(classes), _ENTRIES)
+    entries = reps.mapInArrow(_entries(*classes), _ENTRIES)
     part = F.when(F.col("split") > 1, F.pmod(F.xxhash64("doc"), F.col("split"))).otherwise(0).cast("int")
     placed = (
         entries.withColumn("part", part)
