@@ -65,6 +65,8 @@ def text_chunks(
         hi = min(max(hi, lo + 1), n)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
+    # Workers live on after a task; what Arrow keeps for reuse would count against the executor.
+    pa.default_memory_pool().release_unused()
 
 
 def words_of(
