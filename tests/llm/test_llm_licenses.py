@@ -75,3 +75,43 @@ def test_there_are_hundreds_of_rules_in_order():
 def test_plan_is_native_and_without_shuffle(spark, plan_of, banned):
     docs = spark.createDataFrame([(1, "x")], "doc_id BIGINT, text STRING")
     assert banned not in plan_of(scan(docs), "simple")
+
+
+def shortest(tokens, pick):
+    """A match of a parsed pattern: optional parts left out, of alternatives the first or the last one."""
+    out = ""
+    for op, arg in tokens:
+        match str(op):
+            case "LITERAL":
+                out += chr(arg)
+            case "IN":
+                out += chr(arg[pick][1])
+            case "BRANCH":
+                out += shortest(arg[1][pick], pick)
+            case "SUBPATTERN":
+                out += shortest(arg[-1], pick)
+            case "MAX_REPEAT":
+                out += shortest(arg[2], pick) * arg[0]
+            case "ASSERT" | "ASSERT_NOT":
+                pass
+            case _:
+                raise AssertionError(op)
+    return out
+
+
+@pytest.mark.parametrize("pick", [0, -1])
+def test_every_rule_finds_a_text_of_its_own_match_alone(spark, pick):
+    from re import _parser
+
+    texts = {k: shortest(_parser.parse(pattern), pick) for k, _, _, pattern, _ in signature_rules()}
+    assert all(re.search(pattern, f" {texts[k]} ") for k, _, _, pattern, _ in signature_rules())
+    got = {r["doc_id"]: r for r in scan(spark.createDataFrame(list(texts.items()), "doc_id BIGINT, text STRING")).collect()}
+    for k, text in texts.items():
+        wanted = method(text) | {x for x in base(text)[-1].split(",") if x}
+        assert wanted and got[k]["labels"] == ",".join(sorted(wanted)) and got[k]["score"] > 0, text
+
+
+def test_statements_without_the_word_license(spark):
+    texts = ["released under MIT", "Distributed under Apache 2.0", "Apache version 2.0", "3-clause BSD", "CDDL 1.0", "in the public  domain", "submit a commit"]
+    got = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")).orderBy("doc_id").collect()
+    assert [r["labels"] for r in got] == ["mit", "apache-2.0", "apache-2.0", "bsd", "cddl-1.0", "public-domain", ""]

@@ -11,6 +11,7 @@ Null and empty texts have no words, no labels and score 0.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -63,6 +64,9 @@ CC_PARTS = ("", " sa", " nc", " nd", " nc sa", " nc nd")
 CC_WORDS = {"sa": "share ?alike", "nc": "non ?commercial", "nd": "no ?deriv(?:ative)?s?(?: works)?"}
 CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 
+# Labels whose name is a single word and yet counts by itself.
+SINGLE_WORDS = ("unlicense", "wtfpl", "cc0")
+
 TAG, STATEMENT, VERSIONED, BARE = 3, 2, 1, 0
 CONFIDENCE = {TAG: 1.0, STATEMENT: 0.95, VERSIONED: 0.8, BARE: 0.5}
 _GRANT = "(?:licen[cs]ed|released|distributed|available|published|provided) under (?:the )?(?:terms of )?(?:the )?(?:an? )?"
@@ -92,11 +96,24 @@ def signature_rules() -> list[tuple[int, str, str, str, int]]:
                 found.append((f"{label}-{version}", keyword, f"{name}{number}", VERSIONED))
             found.append((label, keyword, f"spdx licen[cs]e identifier {name}", TAG))
             found.append((label, keyword, f"{_GRANT}{name}", STATEMENT))
-            if " " in name or label in ("unlicense", "wtfpl", "cc0"):
+            if " " in name or label in SINGLE_WORDS:
                 found.append((label, keyword, name, BARE))
     return [(k, label, keyword, f"(?<= ){pattern}(?= )", priority) for k, (label, keyword, pattern, priority) in enumerate(found)]
 
 
+def text_needs() -> list[frozenset[str]]:
+    """Sets of strings, derived from each rule; every text with a match of any rule contains one set whole."""
+    needs = set()
+    for label, keyword, names, versions in _families():
+        for name in names:
+            # Optional groups of a name need nothing.
+            own = {keyword} | ({"licen"} if "licen" in re.sub(r"\(\?:[^()]*\)\?", "", name) else set())
+            needs |= {frozenset(own | {"spdx", "licen"}), frozenset(own | {" under "})}
+            if versions or " " in name or label in SINGLE_WORDS:
+                needs.add(frozenset(own))
+    return sorted((n for n in needs if not any(m < n for m in needs)), key=sorted)
+
+
 _SEPARATORS = "".join(map(chr, [*range(0x30), *range(0x3A, 0x41), *range(0x5B, 0x61), *range(0x7B, 0x80)]))
 
 
@@ -170,16 +187,14 @@ def scan(docs: DataFrame) -> DataFrame:
             for k, label, keyword, pattern, priority in signature_rules()
         ]
     )
-    gates = sorted({keyword for _, _, keyword, _, _ in signature_rules()})
     rows = documents(docs).select("doc_id", _spaced(F.col("text")).alias("spaced"))
     padded = F.concat(F.lit(" "), F.col("spaced"), F.lit(" "))
-    # What the rules and base phrases need: one of the words that introduce a license at all.
-    mentions = reduce(lambda a, b: a | b, [padded.contains(w) for w in ("licen", " cc ", "spdx", "gpl", "cc0", "wtfpl", "commons", "public domain")])
-    named = reduce(lambda a, b: a | b, [padded.contains(w) for w in gates])
+    # A text that meets the needs of no rule holds no match, and no base phrase either.
+    near = reduce(lambda a, b: a | b, [reduce(lambda a, b: a & b, [padded.contains(w) for w in sorted(needs)]) for needs in text_needs()])
     rows = rows.select(
         "doc_id",
         F.when(F.col("spaced") == "", F.array().cast("array<string>")).otherwise(F.split("spaced", " +")).alias("words"),
-        (mentions & named).alias("near"),
+        near.alias("near"),
     )
     flat = F.concat(F.lit(" "), F.array_join("words", " "), F.lit(" "))
     rows = rows.select("doc_id", F.size("words").alias("n_words"), F.when(F.col("near"), F.col("words")).alias("words"), F.when(F.col("near"), flat).alias("flat"))
