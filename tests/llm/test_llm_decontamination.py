@@ -68,3 +68,16 @@ def test_main_path_is_native(spark, plan_of):
     windows = template_windows(bench(spark, [(9, ITEM)]))
     text = plan_of(matched_windows(docs_of(spark, [OTHER]), windows), "simple")
     assert not any(word in text for word in ("Python", "Arrow", "Pandas", "Cartesian", "NestedLoop"))
+
+
+def test_verbatim_copies_are_found_by_raw_words(spark):
+    items = [
+        (1, "Which of the rivers Rhine, Elbe, Oder, Main, Saar ends 1233 km"),
+        (2, "Who wrote Anna Karenina?"),
+        (3, "Calculate 12 + 7 * 3 - 4"),
+        (4, "\u4e3a\u4ec0\u4e48\u5929\u7a7a\u662f\u84dd\u8272\u7684\uff1f"),
+    ]
+    texts = [prose(1, 20) + ". " + t + " " + prose(2, 20) for _, t in items[:3]]
+    texts += ["\u8bf7\u95ee\u4e3a\u4ec0\u4e48\u5929\u7a7a\u662f\u84dd\u8272\u7684\uff0c\u8c22\u8c22", "Calculate 12 + 8 * 3 - 4"]
+    got = leaks(docs_of(spark, texts), bench(spark, items)).collect()
+    assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(0, 1), (1, 2), (2, 3), (3, 4)]

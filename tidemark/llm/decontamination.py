@@ -2,12 +2,14 @@
 
 Words are cut at white space. In a template, numbers, names and units are typed placeholders: a word of
 digits is <num>, a unit after a number is <unit>, a capitalised word within a sentence is <name>; all
-others are lower-cased (A-Z) without the punctuation around them. Every run of ``WINDOW`` template words
-of a benchmark item is a template window (an item with fewer words is one window), unless it has fewer
-than ``PLAIN`` plain words with more in them than punctuation.
-
-Of each window the longest plain word is its anchor. Documents are read word by word and joined with
-the anchors; only around an anchor are templates made, hashed and joined with the template windows, and
+others are lower-cased (A-Z) without the punctuation around them. Each letter of a script written without spaces
+is a word. Every run of ``WINDOW`` words of a benchmark item is a window (an item with fewer words is one
+window). It is looked up by its raw words, lower-cased, and, if it has at least ``PLAIN`` plain words with
+more in them than punctuation, by its template. Items of fewer than ``PLAIN`` words, and items of numbers,
+units and punctuation alone, match nothing.
+
+Of each window the longest plain word (of its raw words, where it has no template) is its anchor. Documents are read word by word and joined with
+the anchors; only around an anchor are templates made, hashed and joined with the windows, and
 compared word by word. Windows of one document and item that lie on one diagonal are then counted: the
 pair is a leak when they cover at least ``COVER`` words or the whole item, and its slots are consistent,
 i.e. each value of the item always meets the same value in the document. Values that differ show a
@@ -40,8 +42,15 @@ _SLOT = "^<(num|name|unit|num><unit)>$"
 _EDGE = ".,;:!?()[]{}\"'`*_<>|~-/\\“”‘’„«»…¿¡"
 
 
+# A letter of a script without spaces, with the punctuation behind it.
+_UNSPACED = (
+    r"([\p{IsHan}\p{IsHiragana}\p{IsKatakana}\p{IsThai}\p{IsLao}\p{IsKhmer}\p{IsMyanmar}])"
+    r"[\u3000-\u3004\u3008-\u3020\uFF01-\uFF0F\uFF1A-\uFF20\u2018-\u201F\u2026!?,.;:\"'()]*+"
+)
+
+
 def _words(text: Column) -> Column:
-    plain = F.regexp_replace(text, r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
+    plain = F.regexp_replace(F.regexp_replace(text, _UNSPACED, " $1 "), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
     return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, r"[\x20\x09-\x0D]+"))
 
 
@@ -70,6 +79,10 @@ def _typed(word: Column, before: Column, named: bool) -> Column:
     return typed.otherwise(plain_word(word))
 
 
+def _is_plain(template: Column) -> Column:
+    return ~template.rlike(_SLOT) & (_key(template) != "")
+
+
 def templates(words: Column, named: bool) -> Column:
     """The template of each word but the first of ``words``, which is context only."""
     return F.transform(
@@ -83,38 +96,42 @@ def _window(full: Column, unnamed: Column, at: Column, width: Column) -> Column:
 
 
 def template_windows(benchmark: DataFrame) -> DataFrame:
-    """item_id, n_words, start, width, window, raw words and anchor place of every template window."""
+    """item_id, n_words, start, width, window, raw words, forms and anchor place of every window."""
     items = (
         benchmark.select(F.col("item_id").cast("long").alias("item_id"), _words(F.coalesce(F.col("text").cast("string"), F.lit(""))).alias("w"))
         .where("item_id IS NOT NULL AND size(w) > 0")
         .withColumn("led", F.concat(F.array(F.lit(".")), F.col("w")))
         .select("item_id", "w", templates(F.col("led"), True).alias("full"), templates(F.col("led"), False).alias("unnamed"))
+        .withColumn("exact", F.transform("w", plain_word))
+        .where(F.exists("unnamed", _is_plain))
     )
     width = F.least(F.size("w"), F.lit(WINDOW))
     windows = items.select(
-        "item_id", "w", "full", "unnamed", F.size("w").alias("n_words"), width.alias("width"),
+        "item_id", "w", "full", "unnamed", "exact", F.size("w").alias("n_words"), width.alias("width"),
         F.explode(F.sequence(F.lit(0), F.size("w") - width)).alias("start"),
     )
     windows = windows.select(
         "item_id", "n_words", "width", "start",
         _window(F.col("full"), F.col("unnamed"), F.col("start"), F.col("width")).alias("window"),
-        F.slice("w", F.col("start") + 1, F.col("width")).alias("raw"),
+        *[F.slice(c, F.col("start") + 1, F.col("width")).alias(name) for c, name in (("w", "raw"), ("unnamed", "unnamed"), ("exact", "exact"))],
     )
-    is_plain = F.transform("window", lambda x: ~x.rlike(_SLOT) & (_key(x) != ""))
+    windows = windows.withColumn("typed", F.size(F.filter("window", _is_plain)) >= PLAIN)
+    # Without a template, any word can be the anchor.
+    is_plain = F.when(F.col("typed"), F.transform("window", _is_plain)).otherwise(F.transform("exact", lambda x: F.lit(True)))
     places = F.filter(F.sequence(F.lit(0), F.size("window") - 1), lambda i: F.get(is_plain, i))
-    key = F.transform("window", _key)
+    key = F.transform(F.when(F.col("typed"), F.col("window")).otherwise(F.col("exact")), _key)
+    forms = F.when(F.col("typed"), F.array("window", "exact")).otherwise(F.array("exact"))
     best = F.array_max(F.transform(places, lambda i: F.struct(F.length(F.get(key, i)).alias("len"), F.get(key, i).alias("word"), (-i).alias("neg"))))
     # A plain word next to the anchor, if there is one: it is looked at before anything is typed.
     side = F.when(F.coalesce(F.get("is_plain", F.col("offset") + 1), F.lit(False)), 1).when(F.coalesce(F.get("is_plain", F.col("offset") - 1), F.lit(False)), -1).otherwise(0)
     return (
-        windows.withColumn("plain", F.size(places))
-        .where(F.col("plain") >= PLAIN)
+        windows.where(F.col("width") >= PLAIN)
         .withColumn("best", best)
         .withColumn("key", key)
         .withColumn("is_plain", is_plain)
         .select(
             "item_id", "n_words", "start", "width", "window", "raw",
-            F.xxhash64("window").alias("hash"), F.col("best.word").alias("anchor"), (-F.col("best.neg")).alias("offset"), "key", "is_plain",
+            F.array_distinct(forms).alias("forms"), F.exists("unnamed", _is_plain).alias("has_plain"), F.col("best.word").alias("anchor"), (-F.col("best.neg")).alias("offset"), "key", "is_plain",
         )
         .withColumn("side", side)
         .withColumn("beside", F.when(F.col("side") != 0, F.get("key", F.col("offset") + F.col("side"))).otherwise(F.lit("")))
@@ -123,7 +140,7 @@ def template_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def matched_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_words, start, width, at, window, raw, seen): windows found, ``at`` in words."""
+    """(doc_id, item_id, n_words, start, width, at, window, raw, seen, has_plain): windows found, ``at`` in words."""
     shape = F.struct("offset", "width", "side", "beside")
     anchors = kept(windows.groupBy("anchor").agg(F.collect_set(shape).alias("shapes")), "anchors")
     words = documents(docs).where("doc_id IS NOT NULL").select("doc_id", _words(F.col("text")).alias("words"))
@@ -148,11 +165,14 @@ def matched_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     tried = tried.select(
         "doc_id",
         "at",
-        F.concat(F.array("unnamed"), F.slice("full", 2, F.greatest(F.size("full") - 1, F.lit(0)))).alias("seen_window"),
+        F.concat(F.array("unnamed"), F.slice("full", 2, F.greatest(F.size("full") - 1, F.lit(0)))).alias("named"),
         F.slice("led", 2, F.size("led")).alias("seen"),
-    ).withColumn("hash", F.xxhash64("seen_window"))
-    hit = tried.join(shrink(windows, windows.count()), "hash").where(F.col("seen_window") == F.col("window"))
-    return hit.select("doc_id", "item_id", "n_words", "start", "width", "at", "window", "raw", "seen").distinct()
+    )
+    seen_forms = F.array_distinct(F.array("named", F.transform("seen", plain_word)))
+    tried = tried.select("doc_id", "at", "seen", F.explode(seen_forms).alias("seen_form")).withColumn("hash", F.xxhash64("seen_form"))
+    looked_up = windows.select("item_id", "n_words", "start", "width", "window", "raw", "has_plain", F.explode("forms").alias("form")).withColumn("hash", F.xxhash64("form"))
+    hit = tried.join(shrink(looked_up, looked_up.count()), "hash").where(F.col("seen_form") == F.col("form"))
+    return hit.select("doc_id", "item_id", "n_words", "start", "width", "at", "window", "raw", "seen", "has_plain").distinct()
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -164,9 +184,11 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = kept(matched_windows(docs, windows).withColumn("diagonal", F.col("at") - F.col("start")), "hits")
     key = ["doc_id", "item_id", "diagonal"]
     covered = (
-        hits.select(*key, "n_words", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("width") - 1)).alias("place"))
+        hits.select(*key, "n_words", "has_plain", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("width") - 1)).alias("place"))
         .groupBy(*key, "n_words")
-        .agg(F.count_distinct("place").alias("covered"))
+        .agg(F.count_distinct("place").alias("covered"), F.max("has_plain").alias("has_plain"))
+        # Placeholders alone do not count.
+        .where("has_plain")
     )
     # Slots: words whose template is a placeholder.
     pairs = F.transform(
