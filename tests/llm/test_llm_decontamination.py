@@ -81,3 +81,13 @@ def test_verbatim_copies_are_found_by_raw_words(spark):
     texts += ["\u8bf7\u95ee\u4e3a\u4ec0\u4e48\u5929\u7a7a\u662f\u84dd\u8272\u7684\uff0c\u8c22\u8c22", "Calculate 12 + 8 * 3 - 4"]
     got = leaks(docs_of(spark, texts), bench(spark, items)).collect()
     assert sorted((r["doc_id"], r["item_id"]) for r in got) == [(0, 1), (1, 2), (2, 3), (3, 4)]
+
+
+def test_one_changed_name_does_not_hide_a_long_copy(spark):
+    words = prose(5, 59).split()
+    words[10] = words[40] = "Boston"
+    changed = [*words[:40], "Madrid", *words[41:]]
+    apples = f"{prose(6, 25)} 2 apples {prose(7, 25)} 2 dollars {prose(8, 25)}"
+    other = apples.replace("2 apples", "3 apples").replace("2 dollars", "5 dollars")
+    got = leaks(docs_of(spark, [" ".join(changed), other]), bench(spark, [(1, " ".join(words)), (2, apples)])).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["reparameterised"]) for r in got) == [(0, 1, True), (1, 2, True)]

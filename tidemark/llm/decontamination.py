@@ -12,8 +12,9 @@ Of each window the longest plain word (of its raw words, where it has no templat
 the anchors; only around an anchor are templates made, hashed and joined with the windows, and
 compared word by word. Windows of one document and item that lie on one diagonal are then counted: the
 pair is a leak when they cover at least ``COVER`` words or the whole item, and its slots are consistent,
-i.e. each value of the item always meets the same value in the document. Values that differ show a
-re-parameterised question.
+i.e. each value of the item always meets the same value in the document. Where some are not, windows equal
+to the item's and windows with consistent slots alone must cover ``COVER`` + ``WINDOW`` words. Values that
+differ show a re-parameterised question.
 
 A benchmark is small beside the corpus, but not bounded: its tables are broadcast only when counted
 small and else joined by shuffle. Null or empty texts match nothing. Repeated items and documents give
@@ -183,13 +184,6 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     windows = kept(template_windows(benchmark), "windows")
     hits = kept(matched_windows(docs, windows).withColumn("diagonal", F.col("at") - F.col("start")), "hits")
     key = ["doc_id", "item_id", "diagonal"]
-    covered = (
-        hits.select(*key, "n_words", "has_plain", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("width") - 1)).alias("place"))
-        .groupBy(*key, "n_words")
-        .agg(F.count_distinct("place").alias("covered"), F.max("has_plain").alias("has_plain"))
-        # Placeholders alone do not count.
-        .where("has_plain")
-    )
     # Slots: words whose template is a placeholder.
     pairs = F.transform(
         F.filter(F.sequence(F.lit(0), F.size("window") - 1), lambda i: F.get("window", i).rlike(_SLOT)),
@@ -199,9 +193,22 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     # One value of the item, one value in the document.
     values = slots.groupBy(*key, "item").agg(F.count_distinct("doc").alias("docs"), F.max((F.col("item") != F.col("doc")).cast("int")).alias("differs"), F.count_distinct("place").alias("places"))
     slot = values.groupBy(*key).agg(F.max("docs").alias("most"), F.max("differs").alias("differs"), F.sum("places").alias("n_slots"))
+    # Windows without a changed slot, or without a value that meets several.
+    torn = values.where("docs > 1").groupBy(*key).agg(F.collect_set("item").alias("torn"))
+    held = lambda p: (p["item"] == p["doc"]) | ~F.array_contains("torn", p["item"])
+    steady = hits.join(torn, key, "left").withColumn("steady", F.col("torn").isNull() | F.forall(pairs, held))
+    covered = (
+        steady.select(*key, "n_words", "has_plain", "steady", F.explode(F.sequence(F.col("start"), F.col("start") + F.col("width") - 1)).alias("place"))
+        .groupBy(*key, "n_words")
+        .agg(F.count_distinct("place").alias("covered"), F.count_distinct(F.when(F.col("steady"), F.col("place"))).alias("steady"), F.max("has_plain").alias("has_plain"))
+        # Placeholders alone do not count.
+        .where("has_plain")
+    )
     counts = hits.groupBy(*key).agg(F.count_distinct("start").alias("n_windows"))
     rows = covered.join(counts, key).join(slot, key, "left")
-    rows = rows.where((F.col("covered") >= F.least(F.lit(COVER), F.col("n_words"))) & (F.coalesce("most", F.lit(1)) <= 1))
+    consistent = F.coalesce("most", F.lit(1)) <= 1
+    rows = rows.where(F.when(consistent, F.col("covered") >= F.least(F.lit(COVER), F.col("n_words"))).otherwise(F.col("steady") >= COVER + WINDOW))
+    rows = rows.withColumn("covered", F.when(consistent, F.col("covered")).otherwise(F.col("steady")))
     best = F.max(F.struct("covered", "n_windows", "n_words", F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("differs", F.lit(0)).alias("differs")))
     return rows.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
         "doc_id", "item_id",
