@@ -91,3 +91,12 @@ def test_one_changed_name_does_not_hide_a_long_copy(spark):
     other = apples.replace("2 apples", "3 apples").replace("2 dollars", "5 dollars")
     got = leaks(docs_of(spark, [" ".join(changed), other]), bench(spark, [(1, " ".join(words)), (2, apples)])).collect()
     assert sorted((r["doc_id"], r["item_id"], r["reparameterised"]) for r in got) == [(0, 1, True), (1, 2, True)]
+
+
+def test_capitals_of_names_do_not_hide_a_copy(spark):
+    words = prose(9, 40).split()
+    item = " ".join(w.capitalize() if k % 4 == 3 else w for k, w in enumerate(words))
+    texts = [item, item.lower(), item.upper()]
+    for texts, text in ((texts, item), (texts, item.lower())):
+        got = leaks(docs_of(spark, texts), bench(spark, [(1, text)])).collect()
+        assert sorted((r["doc_id"], r["covered_words"]) for r in got) == [(0, 40), (1, 40), (2, 40)]

@@ -5,7 +5,7 @@ digits is <num>, a unit after a number is <unit>, a capitalised word within a se
 others are lower-cased (A-Z) without the punctuation around them. Each letter of a script written without spaces
 is a word. Every run of ``WINDOW`` words of a benchmark item is a window (an item with fewer words is one
 window). It is looked up by its raw words, lower-cased, and, if it has at least ``PLAIN`` plain words with
-more in them than punctuation, by its template. Items of fewer than ``PLAIN`` words, and items of numbers,
+more in them than punctuation, by its template, both with <name> and with the names as words. Items of fewer than ``PLAIN`` words, and items of numbers,
 units and punctuation alone, match nothing.
 
 Of each window the longest plain word (of its raw words, where it has no template) is its anchor. Documents are read word by word and joined with
@@ -116,12 +116,14 @@ def template_windows(benchmark: DataFrame) -> DataFrame:
         _window(F.col("full"), F.col("unnamed"), F.col("start"), F.col("width")).alias("window"),
         *[F.slice(c, F.col("start") + 1, F.col("width")).alias(name) for c, name in (("w", "raw"), ("unnamed", "unnamed"), ("exact", "exact"))],
     )
-    windows = windows.withColumn("typed", F.size(F.filter("window", _is_plain)) >= PLAIN)
+    named = F.size(F.filter("window", _is_plain)) >= PLAIN
+    windows = windows.withColumn("named", named).withColumn("basis", F.when(named, F.col("window")).otherwise(F.col("unnamed")))
+    windows = windows.withColumn("typed", F.size(F.filter("basis", _is_plain)) >= PLAIN)
     # Without a template, any word can be the anchor.
-    is_plain = F.when(F.col("typed"), F.transform("window", _is_plain)).otherwise(F.transform("exact", lambda x: F.lit(True)))
+    is_plain = F.when(F.col("typed"), F.transform("basis", _is_plain)).otherwise(F.transform("exact", lambda x: F.lit(True)))
     places = F.filter(F.sequence(F.lit(0), F.size("window") - 1), lambda i: F.get(is_plain, i))
-    key = F.transform(F.when(F.col("typed"), F.col("window")).otherwise(F.col("exact")), _key)
-    forms = F.when(F.col("typed"), F.array("window", "exact")).otherwise(F.array("exact"))
+    key = F.transform(F.when(F.col("typed"), F.col("basis")).otherwise(F.col("exact")), _key)
+    forms = F.when(F.col("named"), F.array("window", "unnamed", "exact")).when(F.col("typed"), F.array("unnamed", "exact")).otherwise(F.array("exact"))
     best = F.array_max(F.transform(places, lambda i: F.struct(F.length(F.get(key, i)).alias("len"), F.get(key, i).alias("word"), (-i).alias("neg"))))
     # A plain word next to the anchor, if there is one: it is looked at before anything is typed.
     side = F.when(F.coalesce(F.get("is_plain", F.col("offset") + 1), F.lit(False)), 1).when(F.coalesce(F.get("is_plain", F.col("offset") - 1), F.lit(False)), -1).otherwise(0)
@@ -161,15 +163,16 @@ def matched_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     tried = kept(near.where(fits & beside).select("doc_id", at.alias("at"), led.alias("led")).distinct(), "near")
     tried = tried.select(
         "doc_id", "at", "led", templates(F.col("led"), True).alias("full"),
-        _typed(F.get("led", F.lit(1)), F.get("led", F.lit(0)), False).alias("unnamed"),
+        templates(F.col("led"), False).alias("unnamed"),
     )
     tried = tried.select(
         "doc_id",
         "at",
-        F.concat(F.array("unnamed"), F.slice("full", 2, F.greatest(F.size("full") - 1, F.lit(0)))).alias("named"),
+        "unnamed",
+        F.concat(F.slice("unnamed", 1, 1), F.slice("full", 2, F.greatest(F.size("full") - 1, F.lit(0)))).alias("named"),
         F.slice("led", 2, F.size("led")).alias("seen"),
     )
-    seen_forms = F.array_distinct(F.array("named", F.transform("seen", plain_word)))
+    seen_forms = F.array_distinct(F.array("named", "unnamed", F.transform("seen", plain_word)))
     tried = tried.select("doc_id", "at", "seen", F.explode(seen_forms).alias("seen_form")).withColumn("hash", F.xxhash64("seen_form"))
     looked_up = windows.select("item_id", "n_words", "start", "width", "window", "raw", "has_plain", F.explode("forms").alias("form")).withColumn("hash", F.xxhash64("form"))
     hit = tried.join(shrink(looked_up, looked_up.count()), "hash").where(F.col("seen_form") == F.col("form"))
