@@ -41,7 +41,8 @@ FAMILIES = (
     ("bsd", "bsd", ("bsd licen[cs]e", "(?:2|two|3|three|4|four) clause bsd(?: licen[cs]e)?"), ("2", "3", "4")),
     ("mpl", "mozilla", ("mozilla public licen[cs]e",), ("1.0", "1.1", "2.0")),
     ("epl", "eclipse", ("eclipse public licen[cs]e",), ("1.0", "2.0")),
-    ("cddl", "cddl", ("cddl", "common development and distribution licen[cs]e"), ("1.0", "1.1")),
+    ("cddl", "cddl", ("cddl",), ("1.0", "1.1")),
+    ("cddl", "distribution", ("common development and distribution licen[cs]e",), ("1.0", "1.1")),
     ("cpl", "common", ("common public licen[cs]e",), ("1.0",)),
     ("eupl", "european", ("european union public licen[cs]e",), ("1.0", "1.1", "1.2")),
     ("artistic", "artistic", ("artistic licen[cs]e",), ("1.0", "2.0")),
