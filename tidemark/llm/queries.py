@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import (
     decontamination,
     exact_dedup,
+    filter_audit,
     license_scan,
     mixing,
     ngram_join,
@@ -18,6 +19,7 @@ from tidemark.llm import (
     suffix_dedup,
     toxicity,
     url_filter,
+    whitening,
 )
 from tidemark.llm.tables import read
 
@@ -66,6 +68,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read(spark, sf_dir, "documents"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read(spark, sf_dir, "embeddings"))
+
+
 OP10_SQL = """
 WITH t AS (
   SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
@@ -128,6 +138,46 @@ FROM documents d LEFT JOIN n USING (doc_id)
 JOIN (SELECT node AS doc_id, min(root) AS component_id FROM r GROUP BY node) c USING (doc_id)
 """
 
+OP12_SQL = r"""
+WITH t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), m AS (
+  SELECT doc_id, max(quality) AS quality, max(toxic) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), w AS (
+  SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words, min(doc_id) OVER (PARTITION BY text) AS first_id FROM t
+), f AS (
+  SELECT part, coalesce(quality = 1, false) AS good, coalesce(toxic = 1, false) AS toxic,
+    CASE WHEN len(words) < 100 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * (length(text) - length(regexp_replace(text, '[A-Z]', '', 'g'))) > 10 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN doc_id > first_id THEN 'E' ELSE '' END AS fails
+  FROM w LEFT JOIN m USING (doc_id)
+), c AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM f GROUP BY part, fails
+), x AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+o AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM x a, x b, x c, x d, x e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5
+), p AS (
+  SELECT *, CASE WHEN fails = '' THEN 6 ELSE list_min(list_transform(string_split(fails, ''), lambda k: strpos(filter_order, k))) END AS falls
+  FROM c, o
+), r AS (
+  SELECT part, filter_order, CAST(step AS INTEGER) AS step, substr(filter_order, step, 1) AS own,
+    sum(CASE WHEN falls > step THEN n ELSE 0 END) AS kept,
+    sum(CASE WHEN falls = step THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN falls < step AND contains(fails, substr(filter_order, step, 1)) THEN n ELSE 0 END) AS redundant,
+    sum(CASE WHEN fails = substr(filter_order, step, 1) THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN falls = step THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN falls = step THEN toxic ELSE 0 END) AS toxic_lost
+  FROM p, (SELECT CAST(unnest(range(1, 6)) AS INTEGER) AS step) GROUP BY part, filter_order, step
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+  CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost,
+  CAST(toxic_lost AS BIGINT) AS toxic_lost, CAST(sum(removed) OVER (PARTITION BY part, own) AS BIGINT) AS shapley
+FROM r
+"""
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_mixing": op2_mixing,
@@ -139,6 +189,13 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_whitening": op13_whitening,
 }
 
-LLM_ORACLES: dict[str, str] = {"op4_url_filter": OP4_SQL, "op9_ngram_join": OP9_SQL, "op10_exact_dedup": OP10_SQL}
+LLM_ORACLES: dict[str, str] = {
+    "op4_url_filter": OP4_SQL,
+    "op9_ngram_join": OP9_SQL,
+    "op10_exact_dedup": OP10_SQL,
+    "op12_filter_audit": OP12_SQL,
+}

@@ -33,11 +33,12 @@ def shrink(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df.hint("shuffle_hash")
 
 
-def documents(docs: DataFrame) -> DataFrame:
-    """doc_id and text alone, so that no further column can clash."""
+def documents(docs: DataFrame, *more: str) -> DataFrame:
+    """doc_id and text (and the columns asked for) alone, so that no further column can clash."""
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"),
+        *more,
     )
 
 
