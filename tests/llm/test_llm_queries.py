@@ -20,7 +20,13 @@ COLUMNS = {
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],
     "op9_ngram_join": ["doc_id", "n_shingles", "component_id"],
     "op10_exact_dedup": ["doc_id", "keep_id", "group_size", "kept", "text_sha256"],
-}
+    "op11_embedding_dedup": ["vec_id", "n_links", "component_id", "kept"],
+    "op12_filter_audit": [
+        "part", "filter_order", "step", "kept", "removed", "redundant", "unique_fails", "good_lost", "toxic_lost", "shapley",
+    ],
+    "op13_whitening": ["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"],
+}
+TABLES = {"op4_url_filter": "pages", "op11_embedding_dedup": "embeddings"}
 
 
 def test_all_are_registered():
@@ -34,9 +40,12 @@ def test_all_are_registered():
 def test_query_gives_its_columns_and_rows(spark, name):
     got = LLM_QUERIES[name](spark, ROOT)
     assert got.columns == COLUMNS[name]
-    table = {"op4_url_filter": "pages"}.get(name, "documents")
-    if name != "op7_decontamination":
-        assert got.count() == spark.read.parquet(f"{ROOT}/{table}.parquet").count()
+    if name == "op12_filter_audit":
+        assert got.count() == 600 * spark.read.parquet(f"{ROOT}/documents.parquet").select("lang").distinct().count()
+    elif name == "op13_whitening":
+        assert got.count() == 32 * spark.read.parquet(f"{ROOT}/embeddings.parquet").count()
+    elif name != "op7_decontamination":
+        assert got.count() == spark.read.parquet(f"{ROOT}/{TABLES.get(name, 'documents')}.parquet").count()
 
 
 @needs_tables

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import (
     decontamination,
+    embedding_dedup,
     exact_dedup,
     filter_audit,
     license_scan,
@@ -68,6 +69,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup(read(spark, sf_dir, "documents"))
 
 
+def op11_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(read(spark, sf_dir, "embeddings"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -189,6 +194,7 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_ngram_join": op9_ngram_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_embedding_dedup": op11_embedding_dedup,
     "op12_filter_audit": op12_filter_audit,
     "op13_whitening": op13_whitening,
 }
