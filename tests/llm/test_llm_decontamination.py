@@ -21,7 +21,7 @@ def test_whole_passages_equal_brute_force(spark):
     wanted = set()
     for d, t in rows:
         for i, text in items:
-            if d is not None and i is not None and text and len(text.split()) >= WINDOW and f" {text.lower()} " in f" {t.lower()} ":
+            if i is not None and text and len(text.split()) >= WINDOW and f" {text.lower()} " in f" {t.lower()} ":
                 wanted.add((d, i))
     near = {(3, 6)}  # one word of 120 differs
     assert set(got) == wanted | near
@@ -59,9 +59,26 @@ def test_shuffled_joins_give_the_same(spark, monkeypatch):
     from tidemark.llm import decontamination
 
     monkeypatch.setattr(decontamination, "shrink", lambda df, rows: df.hint("shuffle_hash"))
+    monkeypatch.setattr(decontamination, "BROADCAST_ROWS", -1)
     assert as_rows(leaks(docs_of(spark, texts), bench(spark, [(9, ITEM)])), "doc_id", "item_id", "n_windows") == wanted
 
 
+def test_documents_without_an_id_are_searched(spark):
+    held = prose(1, 30) + ". " + ITEM
+    docs = spark.createDataFrame([(None, held), (None, prose(4, 50)), (None, None), (7, held), (None, held)], "doc_id BIGINT, text STRING")
+    items = bench(spark, [(9, ITEM)])
+    assert sorted(map(repr, (r["doc_id"] for r in leaks(docs, items).collect()))) == ["7", "None"]
+    assert sorted(map(repr, clean(docs, items).collect())) == sorted(map(repr, docs.where("doc_id IS NULL AND (text IS NULL OR NOT contains(text, 'Boston'))").collect()))
+
+
+def test_numbers_written_out_and_units_glued_on(spark):
+    item = "Water flows into the tank at 5.5 litres per second for thirty minutes, then a pump drains it at 60km/h of air speed until dusk falls"
+    other = item.replace("5.5", "five").replace("thirty", "45").replace("60km/h", "ninety-two km/h").replace("60km/h", "80 km/h")
+    glued = item.replace("60km/h", "75km/h").replace("thirty", "forty")
+    got = leaks(docs_of(spark, [other, glued, prose(3, 60)]), bench(spark, [(1, item)])).collect()
+    assert sorted((r["doc_id"], r["reparameterised"]) for r in got) == [(0, True), (1, True)]
+
+
 def test_main_path_is_native(spark, plan_of):
     from tidemark.llm.decontamination import matched_windows
 

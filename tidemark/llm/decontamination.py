@@ -1,7 +1,7 @@
 """Benchmark decontamination by canonical templates, with DataFrame functions only.
 
 Words are cut at white space. In a template, numbers, names and units are typed placeholders: a word of
-digits is <num>, a unit after a number is <unit>, a capitalised word within a sentence is <name>; all
+digits or a number written out is <num>, a unit after a number is <unit>, a capitalised word within a sentence is <name>; all
 others are lower-cased (A-Z) without the punctuation around them. Each letter of a script written without spaces
 is a word. Every run of ``WINDOW`` words of a benchmark item is a window (an item with fewer words is one
 window). It is looked up by its raw words, lower-cased, and, if it has at least ``PLAIN`` plain words with
@@ -18,7 +18,8 @@ differ show a re-parameterised question.
 
 A benchmark is small beside the corpus, but not bounded: its tables are broadcast only when counted
 small and else joined by shuffle. Null or empty texts match nothing. Repeated items and documents give
-one row per pair of ids; rows without an id are left out.
+one row per pair of ids. Documents without an id are known by their text: equal ones give one row (without
+a doc_id), and all go. Items without an id are left out.
 """
 
 from __future__ import annotations
@@ -26,11 +27,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import ascii_lower, documents, kept, shrink, without
+from tidemark.llm.tables import BROADCAST_ROWS, LOWER, UPPER, ascii_lower, documents, kept, shrink, without
 
 WINDOW = 8
 PLAIN = 4
 COVER = 13
+KEY = "__tm_document"
 
 # Units that follow a number.
 UNITS = (
@@ -39,6 +41,13 @@ UNITS = (
     " usd eur gbp dollar dollars euro euros cent cents percent % degree degrees mile miles meter meters metre metres"
     " inch inches foot feet pound pounds gram grams kilogram kilograms liter liters litre litres"
 ).split()
+# Numbers written out.
+NUMBER_WORDS = (
+    "zero two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen"
+    " eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion"
+).split()
+_TENS = "|".join(w for w in NUMBER_WORDS if w.endswith("ty"))
+_NUMBER = rf"(?i)^(?:[0-9]+(?:[.,:/][0-9]+)*%?|{'|'.join(NUMBER_WORDS)}|(?:{_TENS})-(?:one|{'|'.join(NUMBER_WORDS[1:9])}))$"
 _SLOT = "^<(num|name|unit|num><unit)>$"
 _EDGE = ".,;:!?()[]{}\"'`*_<>|~-/\\“”‘’„«»…¿¡"
 
@@ -50,9 +59,13 @@ _UNSPACED = (
 )
 
 
+# Every such letter is in these ranges; a text without any is not searched for scripts.
+_FAR_LETTERS = r"[\u0E00-\u1FFF\u2E80-\uFFFF\x{10000}-\x{10FFFF}]"
+
+
 def _words(text: Column) -> Column:
-    plain = F.regexp_replace(F.regexp_replace(text, _UNSPACED, " $1 "), r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$", "")
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, r"[\x20\x09-\x0D]+"))
+    spaced = F.when(text.rlike(_FAR_LETTERS), F.regexp_replace(text, _UNSPACED, " $1 ")).otherwise(text)
+    return F.array_remove(F.split(spaced, r"[\x20\x09-\x0D]+"), "")
 
 
 def plain_word(word: Column) -> Column:
@@ -62,17 +75,24 @@ def plain_word(word: Column) -> Column:
 
 
 def _key(word: Column) -> Column:
-    """What anchors are looked up by: coarser than :func:`plain_word`, and cheap; never null."""
-    return F.coalesce(F.btrim(F.lower(word), F.lit(_EDGE)), F.lit(""))
+    """What anchors are looked up by: coarser than :func:`plain_word`, and cheap; never null.
+
+    Lower-cased without any of the signs, wherever they stand, so that a whole text can be turned at once.
+    """
+    return F.coalesce(F.translate(word, UPPER + _EDGE, LOWER), F.lit(""))
+
+
+def _keys(words: Column) -> Column:
+    """The key of every word, in one pass over the text."""
+    return F.split(_key(F.array_join(words, " ")), " ")
 
 
 def _typed(word: Column, before: Column, named: bool) -> Column:
     bare = F.btrim(word, F.lit(_EDGE + "+$€£"))
-    number = r"^[0-9]+(?:[.,:/][0-9]+)*%?$"
-    attached = r"^[0-9]+(?:[.,][0-9]+)*(?:" + "|".join(u for u in UNITS if u.isalpha()) + ")$"
+    attached = r"^[0-9]+(?:[.,][0-9]+)*(?:" + "|".join(u for u in UNITS if u != "%") + ")$"
     low = ascii_lower(bare)
-    unit = low.isin(*UNITS) & F.coalesce(F.btrim(before, F.lit(_EDGE + "+$€£")).rlike(number), F.lit(False))
-    typed = F.when(bare.rlike(number), "<num>").when(low.rlike(attached), "<num><unit>").when(unit, "<unit>")
+    unit = low.isin(*UNITS) & F.coalesce(F.btrim(before, F.lit(_EDGE + "+$€£")).rlike(_NUMBER), F.lit(False))
+    typed = F.when(bare.rlike(_NUMBER), "<num>").when(low.rlike(attached), "<num><unit>").when(unit, "<unit>")
     if named:
         # Not at the start of a sentence: the word before ends in none of its marks.
         within = F.coalesce(~before.rlike(r"[.!?:…][\"'”’)»]*$"), F.lit(False))
@@ -143,15 +163,20 @@ def template_windows(benchmark: DataFrame) -> DataFrame:
 
 
 def matched_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
-    """(doc_id, item_id, n_words, start, width, at, window, raw, seen, has_plain): windows found, ``at`` in words."""
+    """(document, item_id, n_words, start, width, at, window, raw, seen, has_plain): windows found, ``at`` in words."""
     shape = F.struct("offset", "width", "side", "beside")
     anchors = kept(windows.groupBy("anchor").agg(F.collect_set(shape).alias("shapes")), "anchors")
-    words = documents(docs).where("doc_id IS NOT NULL").select("doc_id", _words(F.col("text")).alias("words"))
+    plain = documents(docs)
+    words = plain.select(document_key(plain).alias("document"), _words(F.col("text")).alias("words"))
     n, least = anchors.agg(F.count(F.lit(1)), F.coalesce(F.min(F.octet_length("anchor")), F.lit(1))).first()
-    every = words.select("doc_id", "words", F.posexplode("words").alias("pos", "word"))
-    # A word is at least as long as its key.
-    every = every.where(F.octet_length("word") >= least).select("doc_id", "words", "pos", _key(F.col("word")).alias("key"))
-    near = every.join(shrink(anchors, n), F.col("key") == F.col("anchor")).select("doc_id", "words", "pos", F.explode("shapes").alias("s"))
+    small = n <= BROADCAST_ROWS
+    beside = ["words"] if small else []
+    every = words.select("document", "words", _keys(F.col("words")).alias("keys")).select("document", *beside, F.posexplode("keys").alias("pos", "key"))
+    every = every.where(F.octet_length("key") >= least)
+    near = every.join(shrink(anchors, n), F.col("key") == F.col("anchor")).select("document", *beside, "pos", F.explode("shapes").alias("s"))
+    if not small:
+        # Only places and keys were shuffled; the words come back to the documents with an anchor.
+        near = kept(near, "anchored").join(words, "document")
     at = F.col("pos") - F.col("s.offset")
     fits = (at >= 0) & (at + F.col("s.width") <= F.size("words"))
     beside = (F.col("s.side") == 0) | (_key(F.get("words", F.col("pos") + F.col("s.side"))) == F.col("s.beside"))
@@ -160,23 +185,28 @@ def matched_windows(docs: DataFrame, windows: DataFrame) -> DataFrame:
     # (The optimizer may put this ahead of the filter, where a slice from 0 would fail.)
     led = F.concat(F.array(before), F.slice("words", F.greatest(at + 1, F.lit(1)), F.col("s.width")))
     # Kept, so that nothing is typed before the neighbour was looked at, and each window once.
-    tried = kept(near.where(fits & beside).select("doc_id", at.alias("at"), led.alias("led")).distinct(), "near")
+    tried = kept(near.where(fits & beside).select("document", at.alias("at"), led.alias("led")).distinct(), "near")
     tried = tried.select(
-        "doc_id", "at", "led", templates(F.col("led"), True).alias("full"),
+        "document", "at", "led", templates(F.col("led"), True).alias("full"),
         templates(F.col("led"), False).alias("unnamed"),
     )
     tried = tried.select(
-        "doc_id",
+        "document",
         "at",
         "unnamed",
         F.concat(F.slice("unnamed", 1, 1), F.slice("full", 2, F.greatest(F.size("full") - 1, F.lit(0)))).alias("named"),
         F.slice("led", 2, F.size("led")).alias("seen"),
     )
     seen_forms = F.array_distinct(F.array("named", "unnamed", F.transform("seen", plain_word)))
-    tried = tried.select("doc_id", "at", "seen", F.explode(seen_forms).alias("seen_form")).withColumn("hash", F.xxhash64("seen_form"))
+    tried = tried.select("document", "at", "seen", F.explode(seen_forms).alias("seen_form")).withColumn("hash", F.xxhash64("seen_form"))
     looked_up = windows.select("item_id", "n_words", "start", "width", "window", "raw", "has_plain", F.explode("forms").alias("form")).withColumn("hash", F.xxhash64("form"))
     hit = tried.join(shrink(looked_up, looked_up.count()), "hash").where(F.col("seen_form") == F.col("form"))
-    return hit.select("doc_id", "item_id", "n_words", "start", "width", "at", "window", "raw", "seen", "has_plain").distinct()
+    return hit.select("document", "item_id", "n_words", "start", "width", "at", "window", "raw", "seen", "has_plain").distinct()
+
+
+def document_key(docs: DataFrame) -> Column:
+    """A document's id as text; the digest of its text where it has none."""
+    return F.coalesce(F.col("doc_id").cast("long").cast("string"), F.concat(F.lit("sha256:"), F.sha2(docs["text"].cast("string"), 256)), F.lit(""))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -184,9 +214,16 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     doc_id, item_id, item_words, covered_words, n_windows, n_slots, reparameterised.
     """
+    found = _found(docs, benchmark)
+    own = F.when(~F.col("document").startswith("sha256:"), F.col("document")).cast("long")
+    return found.withColumn("document", own).withColumnRenamed("document", "doc_id")
+
+
+def _found(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows of :func:`leaks` by document key."""
     windows = kept(template_windows(benchmark), "windows")
     hits = kept(matched_windows(docs, windows).withColumn("diagonal", F.col("at") - F.col("start")), "hits")
-    key = ["doc_id", "item_id", "diagonal"]
+    key = ["document", "item_id", "diagonal"]
     # Slots: words whose template is a placeholder.
     pairs = F.transform(
         F.filter(F.sequence(F.lit(0), F.size("window") - 1), lambda i: F.get("window", i).rlike(_SLOT)),
@@ -213,8 +250,8 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = rows.where(F.when(consistent, F.col("covered") >= F.least(F.lit(COVER), F.col("n_words"))).otherwise(F.col("steady") >= COVER + WINDOW))
     rows = rows.withColumn("covered", F.when(consistent, F.col("covered")).otherwise(F.col("steady")))
     best = F.max(F.struct("covered", "n_windows", "n_words", F.coalesce("n_slots", F.lit(0)).alias("n_slots"), F.coalesce("differs", F.lit(0)).alias("differs")))
-    return rows.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
-        "doc_id", "item_id",
+    return rows.groupBy("document", "item_id").agg(best.alias("b")).select(
+        "document", "item_id",
         F.col("b.n_words").cast("long").alias("item_words"),
         F.col("b.covered").alias("covered_words"),
         F.col("b.n_windows").alias("n_windows"),
@@ -225,4 +262,5 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item."""
-    return without(docs, leaks(docs, benchmark).select("doc_id"))
+    named = docs.withColumn(KEY, document_key(docs))
+    return without(named, _found(docs, benchmark).select(F.col("document").alias(KEY))).drop(KEY)
