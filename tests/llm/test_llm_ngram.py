@@ -89,3 +89,18 @@ def test_components_of_chains_stars_and_rings(spark):
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(links, "a BIGINT, b BIGINT")).collect()}
     assert got == {**{k: 0 for k in range(1, 61)}, **{100 + k: 100 for k in range(1, 20)}, 203: 200, 205: 200}
     assert components(spark.createDataFrame([], "a BIGINT, b BIGINT")).count() == 0
+
+
+def test_an_id_of_several_texts_holds_their_groups_together(spark):
+    a, b = prose(1, 40), prose(2, 40)
+    rows = [(5, a), (2, a), (5, b), (3, b)]
+    assert as_rows(join(frame(spark, rows)), *COLUMNS) == [(2, 36, 2), (3, 36, 2), (5, 36, 2), (5, 36, 2)]
+
+
+def test_repeated_ids_over_many_texts_equal_brute_force(spark):
+    rng = random.Random(21)
+    texts = [prose(100 + k, 60) for k in range(25)]
+    near = [" ".join([*t.split()[:-2], "other", "end"]) for t in texts[:10]]
+    rows = [(rng.randint(1, 40), rng.choice(texts + near)) for _ in range(90)] + [(None, texts[0]), (7, "")]
+    got = [r for r in as_rows(join(frame(spark, rows)), *COLUMNS) if r[0] is not None and r[1]]
+    assert got == [r for r in expected(rows) if r[1]]

@@ -1,4 +1,4 @@
-"""N-gram Jaccard join as a blocked sparse product of the document by n-gram incidence matrix.
+"""N-gram Jaccard join over a blocked sparse document by n-gram incidence matrix.
 
 A document's set is its distinct shingles of five words (A-Z lower-cased); with fewer words, the whole
 sequence as one; without words, empty and linked with nothing. Two documents link when
@@ -13,7 +13,9 @@ sequence as one; without words, empty and linked with nothing. Two documents lin
 3. In every column the row with the fewest rarer n-grams is the hub. Rows are multiplied with their
    hubs: first by sketches of 256 counts, then by whole sets, accumulated stripe by stripe; a pair is
    discarded as soon as its overlap so far plus what is left falls below the bound of its sizes. What
-   remains is linked exactly.
+   remains is linked exactly. (So blocks of columns give the candidate pairs, and the overlap of a pair is
+   summed over its own two rows, not carried through the blocks: a product over all columns would emit every
+   pair of a group of copies once per block.)
 4. Pairs that share a column but are not yet in one component are multiplied the same way, so that
    no link is lost, while a group of copies never meets itself pair by pair.
 
@@ -43,7 +45,7 @@ CELLS = 1 << 22
 ENTRIES_PER_BLOCK = 1 << 19
 SPLIT_CLASS = 12  # columns with more than about 2^12 rows are split
 STRIPES = 4
-FLUSH = 1 << 20
+FLUSH = 1 << 18
 SKETCH = 256  # counts per row, by a part of the hash, each up to 255
 
 
@@ -71,7 +73,7 @@ _SURVEY = "doc_id long, n long, mark binary, sketch binary, part long, sums bina
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Size and fingerprint per document; at the end the task's n-gram counts."""
-    counts = np.zeros(CELLS, dtype=np.int64)
+    counts = np.zeros(CELLS, dtype=np.int32)
     waiting, held = [], 0
     names = ["doc_id", "n", "mark", "sketch", "part", "sums"]
     for batch in batches:
@@ -84,12 +86,12 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting.append(_cell(hashes))
             held += len(hashes)
             if held >= FLUSH:
-                counts += np.bincount(np.concatenate(waiting), minlength=CELLS)
+                _count(counts, waiting)
                 waiting, held = [], 0
         none = [pa.nulls(batch.num_rows, pa.int64()), pa.nulls(batch.num_rows, pa.binary())]
         yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(size), pa.array(mark, pa.binary()), pa.array(sketch, pa.binary()), *none], names)
     if waiting:
-        counts += np.bincount(np.concatenate(waiting), minlength=CELLS)
+        _count(counts, waiting)
     yield pa.RecordBatch.from_arrays(
         [
             pa.nulls(1, pa.int64()),
@@ -103,6 +105,15 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     )
 
 
+def _count(counts: np.ndarray, cells: list[np.ndarray]) -> None:
+    """Add to the one table in place; a task of more than 2^31 n-grams of one cell fails rather than wraps."""
+    filled, more = np.unique(np.concatenate(cells), return_counts=True)
+    sums = counts[filled] + more
+    if sums.max(initial=0) > np.iinfo(counts.dtype).max:
+        raise OverflowError("too many n-grams in one task")
+    counts[filled] = sums
+
+
 def _sketch(hashes: np.ndarray) -> bytes:
     counts = np.bincount((hashes >> np.uint64(48)).astype(np.int64) % SKETCH, minlength=SKETCH)
     return np.minimum(counts, 255).astype(np.uint8).tobytes()
@@ -373,7 +384,16 @@ def join(docs: DataFrame) -> DataFrame:
     total = sets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     reps = plain.where("doc_id IS NOT NULL").join(shrink(spare, spare.count()), F.col("doc_id") == F.col("spare"), "left_anti")
     sketches = known.select(F.col("doc_id").alias("doc"), "n", "sketch")
-    comps = components(jaccard_links(reps, sketches, total, classes))
+    links = jaccard_links(reps, sketches, total, classes)
+    # All sets of one id belong together, also where the id represents none of them.
+    several = known.groupBy("doc_id").agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo <> hi")
+    several = kept(several.select(F.col("doc_id").alias("several")), "several")
+    if n := several.count():
+        own = known.join(shrink(several, n), F.col("doc_id") == F.col("several")).select("doc_id", "mark").distinct()
+        own = kept(own.join(sets.select("mark", "rep"), "mark").select("doc_id", "rep"), "own-sets")
+        ties = own.join(own.groupBy("doc_id").agg(F.min("rep").alias("a")), "doc_id").select("a", F.col("rep").alias("b"))
+        links = links.unionByName(ties)
+    comps = components(links)
     return (
         rows.join(sets.select("mark", "rep"), "mark", "left")
         .join(comps, F.col("rep") == F.col("node"), "left")

@@ -11,23 +11,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import kept
+from tidemark.llm.textops import give_back
 
 FAN_IN = 16
 PART_SCHEMA = "part long, sums binary"
 
 
 def packed(table: np.ndarray) -> bytes:
-    """Compressed; by the filled cells alone where they are few."""
+    """Compressed; by the filled cells alone where they are few, in four bytes a cell where they do."""
     filled = np.flatnonzero(table)
     if len(filled) * 8 < len(table):
         return b"s" + zlib.compress(np.concatenate((filled, table[filled])).astype(np.int64).tobytes(), 1)
-    return b"d" + zlib.compress(table.astype(np.int64).tobytes(), 1)
+    if np.iinfo(np.int32).min <= table.min() and table.max() <= np.iinfo(np.int32).max:
+        return b"i" + zlib.compress(np.ascontiguousarray(table, dtype=np.int32), 1)
+    return b"d" + zlib.compress(np.ascontiguousarray(table, dtype=np.int64), 1)
 
 
 def add_to(total: np.ndarray, raw: bytes) -> None:
     """Add a packed table to ``total`` in place."""
-    values = np.frombuffer(zlib.decompress(raw[1:]), dtype=np.int64)
-    if raw[:1] == b"d":
+    values = np.frombuffer(zlib.decompress(raw[1:]), dtype=np.int32 if raw[:1] == b"i" else np.int64)
+    if raw[:1] in b"di":
         total += values
     else:
         half = len(values) // 2
@@ -52,6 +55,7 @@ def _adder(cells: int):
         sums = np.zeros(cells, dtype=np.int64)
         for raw in frame["sums"]:
             add_to(sums, raw)
+        give_back()
         return pd.DataFrame({"part": [int(frame["part"].min()) // FAN_IN], "sums": [packed(sums)]})
 
     return added

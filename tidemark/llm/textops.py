@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,10 +39,24 @@ def _power_table(base: int, n: int) -> np.ndarray:
             have[1:] = _U(base)
             with np.errstate(over="ignore"):
                 np.multiply.accumulate(have, out=have)
-        _powers[base] = have
+        # A longer text's table is not kept: workers live on.
+        _powers[base] = have[: CHUNK_BYTES + 1].copy() if size > CHUNK_BYTES + 1 else have
     return have[:n]
 
 
+_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def give_back() -> None:
+    """Return freed memory to the system.
+
+    Workers live on after a task; what Arrow and the C library keep for reuse would count against the executor.
+    """
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
 def text_column(column: pa.Array) -> pa.Array:
     """The column as large strings without nulls (null counts as empty)."""
     column = column.cast(pa.large_string())
@@ -65,8 +80,7 @@ def text_chunks(
         hi = min(max(hi, lo + 1), n)
         yield lo, hi, data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo]
         lo = hi
-    # Workers live on after a task; what Arrow keeps for reuse would count against the executor.
-    pa.default_memory_pool().release_unused()
+    give_back()
 
 
 def words_of(
