@@ -34,7 +34,21 @@ class MergeRules:
     honor_deletes: bool = False  # a delete row never inserts a version
     reopen: bool = False  # a key with only closed versions gets a new active one
     active_only_overwrite: bool = False  # closed versions are never overwritten
+    # Every change of a batch counts, not the newest of a key alone; needs the first three.
+    every_change: bool = False
+    # Changes are placed by their own time, whenever they arrive; needs ``every_change`` and keeps all changes
+    # in a table of their own.
+    by_time: bool = False
 
+    def __post_init__(self) -> None:
+        if self.by_time and not self.every_change:
+            raise ValueError("by_time needs every_change")
+        if self.every_change and not (self.null_safe and self.honor_deletes and self.reopen):
+            raise ValueError("every_change needs null_safe, honor_deletes and reopen")
+
+
+# All changes of a key, in the order of their time.
+TIMELINE = MergeRules(null_safe=True, honor_deletes=True, reopen=True, every_change=True)
 
 @dataclass(frozen=True)
 class CdcFeed:

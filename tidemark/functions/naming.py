@@ -24,6 +24,10 @@ def history_name(topic: str) -> str:
     return f"{base_name(topic)}_hist"
 
 
+def changes_name(topic: str) -> str:
+    return f"{base_name(topic)}_changes"
+
+
 def flat_name(topic: str) -> str:
     return f"fso.{base_name(topic)}"
 

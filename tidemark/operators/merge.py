@@ -22,7 +22,7 @@ from tidemark.operators.staging import (
 )
 
 # Clause numbers reported in the tag column.
-UNTOUCHED, CLOSED_CHANGED, CLOSED_DELETED, OVERWRITTEN, INSERTED = 0, 1, 2, 3, 4
+UNTOUCHED, CLOSED_CHANGED, CLOSED_DELETED, OVERWRITTEN, INSERTED, REMOVED = 0, 1, 2, 3, 4, 5
 CLAUSE = "_clause"
 ORIGIN = "_origin"
 

@@ -17,6 +17,7 @@ from tidemark.operators.merge import (
     INSERTED,
     ORIGIN,
     OVERWRITTEN,
+    REMOVED,
     UNTOUCHED,
     apply_clauses,
     inserted_rows,
@@ -33,6 +34,8 @@ from tidemark.operators.staging import (
     versions_of,
     versions_of_other_keys,
 )
+from tidemark.operators.timeline import changed_versions, fold, most_per_key, new_versions, open_versions
+from tidemark.plans.late_changes import of_keys, place_by_time, replace_versions
 from tidemark.plans.merge_into import merge_into, supports_merge
 from tidemark.plans.partitions import (
     Delivery,
@@ -44,7 +47,7 @@ from tidemark.plans.partitions import (
     replace_partitions,
     was_applied,
 )
-from tidemark.session import run_id
+from tidemark.session import remove_dir, run_dir, run_id
 from tidemark.sources.tables import TableRef
 
 
@@ -73,6 +76,14 @@ def scd2_step(target: DataFrame, batch: DataFrame, feed: CdcFeed) -> DataFrame:
     """The table after one batch, as a plain DataFrame (no storage involved)."""
     newest = newest_changes(batch, feed)
     scd, upd = column_sets(newest, feed)
+    if feed.rules.by_time:
+        raise ValueError("by_time needs the table of all changes")
+    if feed.rules.every_change:
+        matched = match_versions(target, newest)
+        folded = fold(batch, open_versions(matched, scd), scd, upd, feed.order_cols)
+        updated = changed_versions(matched, folded, target.dtypes, upd, feed.rules)
+        inserts = new_versions(folded, newest, upd, target.schema, feed.rules)
+        return versions_of_other_keys(newest, target).unionByName(updated.unionByName(inserts).drop(CLAUSE))
     staged = staged_updates(newest, target, scd, feed.rules)
     return merge(target, staged, scd, upd, feed.rules)
 
@@ -83,6 +94,7 @@ def apply_scd2_batch(
     table: TableRef,
     feed: CdcFeed,
     delivery: Delivery | None = None,
+    changes_table: TableRef | None = None,
 ) -> Scd2Report:
     """Merge a batch, rewriting only the partitions in which a row changes.
 
@@ -94,13 +106,23 @@ def apply_scd2_batch(
     5. rewrite those: rows of other keys unchanged, merged versions, new versions;
        then swap them in.
 
-    With a batch small enough to broadcast the table is never shuffled.
+    With a batch small enough to broadcast the table is never shuffled. With ``every_change`` step 1 keeps
+    all changes as well, and step 3 folds them; with ``by_time`` ``changes_table`` has those of earlier
+    batches.
     """
     stored = finish_pending(spark, table)
     delivery = delivery if feed.batch_ledger else None
     if was_applied(stored, delivery):
         return Scd2Report(skipped=True)
+    if feed.rules.every_change and supports_merge(table):
+        raise ValueError(f"every_change is not for {table.format} tables")
+    if feed.rules.by_time and changes_table is None:
+        raise ValueError("by_time needs the table of all changes")
 
+    work = run_dir(spark, "late-changes")
+    late, few = None, False
+    if feed.rules.by_time:
+        batch, late, few = place_by_time(spark, batch, changes_table, feed, work)
     newest = newest_changes(batch, feed).persist()
     kept = [newest]
     try:
@@ -134,18 +156,33 @@ def apply_scd2_batch(
         matched = match_versions(
             target.where(in_places(parts_of, touched)), newest, "inner", small, hot
         ).persist()
-        again = changed_among(matched, newest.columns, scd, feed.rules) if scd else None
-        if feed.rules.reopen:
-            closed = reopened_among(newest, matched, feed.rules, small)
-            again = closed if again is None else again.unionByName(closed)
-        inserts = inserted_rows(
-            stage(newest, again), matched, target.schema, feed.rules, small, table.key_buckets
-        ).persist()
-        kept += [matched, inserts]
+        kept.append(matched)
+        if feed.rules.every_change:
+            base = open_versions(matched, scd)
+            if late is not None:
+                base = of_keys(base, late, few, "left_anti")
+            folded = fold(batch, base, scd, upd, feed.order_cols, most_per_key(batch) >= feed.hot_versions).persist()
+            inserts = new_versions(folded, newest, upd, target.schema, feed.rules, small, table.key_buckets)
+            updated = changed_versions(matched, folded, target.dtypes, upd, feed.rules, part, small)
+            kept.append(folded)
+            if late is not None:
+                updated, inserts = replace_versions(updated, inserts.persist(), matched, late, few, part)
+                updated = updated.persist()
+                kept.append(updated)
+        else:
+            again = changed_among(matched, newest.columns, scd, feed.rules) if scd else None
+            if feed.rules.reopen:
+                closed = reopened_among(newest, matched, feed.rules, small)
+                again = closed if again is None else again.unionByName(closed)
+            inserts = inserted_rows(
+                stage(newest, again), matched, target.schema, feed.rules, small, table.key_buckets
+            )
+            updated = apply_clauses(matched, target.dtypes, scd, upd, feed.rules, origin=part)
+        inserts = inserts.persist()
+        kept.append(inserts)
 
         # Two actions on purpose: the first one fills the cache of ``matched``, which
         # the second reads in several stages that would otherwise compute it side by side.
-        updated = apply_clauses(matched, target.dtypes, scd, upd, feed.rules, origin=part)
         bucket = KEY_BUCKET if table.key_buckets else None
         effects = _changes(updated, part, bucket) + _arrivals(inserts, part, bucket)
         # Value(s) of the partition, and the same as text.
@@ -164,7 +201,7 @@ def apply_scd2_batch(
         if not small:
             # That join hashes rows by key, i.e. every task would hold every partition.
             carried = carried.hint("rebalance", *parts_of)
-        merged = updated.drop(ORIGIN).where(affected).unionByName(inserts).drop(CLAUSE)
+        merged = updated.where(f"{CLAUSE} <> {REMOVED}").drop(ORIGIN).where(affected).unionByName(inserts).drop(CLAUSE)
         folder = f"{table.location}/_versions/{run_id()}"
         rows = carried.unionByName(merged.hint("rebalance", *parts_of))
         written = Observation()
@@ -184,6 +221,8 @@ def apply_scd2_batch(
     finally:
         for df in kept:
             df.unpersist()
+        if feed.rules.by_time:
+            remove_dir(spark, work)
 
 
 def _report(keys: int, effects: list[Row], partitions: int) -> Scd2Report:
@@ -203,12 +242,12 @@ def _report(keys: int, effects: list[Row], partitions: int) -> Scd2Report:
 def _changes(updated: DataFrame, part: str, bucket: str | None) -> list[Row]:
     """Changed rows per clause and partition: at most a few rows per table partition.
 
-    A row that moves counts in both partitions, and ``lands`` in the second only.
+    A row that moves counts in both partitions, and ``lands`` in the second only; a removed one in none.
     """
     there = f"named_struct('part', `{part}`, 'lands', true)"
     gone = f"named_struct('part', {ORIGIN}, 'lands', false)"
     kept = bucket or "CAST(NULL AS INT)"
-    places = f"inline(IF({ORIGIN} <=> `{part}`, array({there}), array({gone}, {there})))"
+    places = f"inline(CASE WHEN {CLAUSE} = {REMOVED} THEN array({gone}) WHEN {ORIGIN} <=> `{part}` THEN array({there}) ELSE array({gone}, {there}) END)"
     changed = updated.where(f"{CLAUSE} <> {UNTOUCHED}")
     return _counted(changed.selectExpr(CLAUSE, f"{kept} AS bucket", places))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -116,6 +117,16 @@ def create_history_table(
     )
 
 
+def create_changes_table(
+    spark: SparkSession, name: str, row_schema: T.StructType, order_cols: Sequence[str], location: str
+) -> TableRef:
+    """Every change row as it came, key and order columns included, by day."""
+    missing = [c for c in order_cols if c not in row_schema.names]
+    if missing:
+        raise ValueError(f"changes are placed by {', '.join(missing)}, which the rows do not have")
+    return create_table(spark, name, row_schema, location, "ds")
+
+
 def open_table(spark: SparkSession, name: str) -> TableRef:
     """Look a table up in the catalog; what other sessions wrote is seen from here on."""
     spark.catalog.refreshTable(quoted(name))

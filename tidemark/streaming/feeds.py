@@ -17,7 +17,7 @@ from tidemark.functions.frames import (
     unwrap_flat,
 )
 from tidemark.functions.keys import with_business_key
-from tidemark.functions.naming import flat_name, history_name, scd2_name
+from tidemark.functions.naming import changes_name, flat_name, history_name, scd2_name
 from tidemark.operators.sizing import measure
 from tidemark.plans.history_step import HistoryReport, apply_history_batch
 from tidemark.plans.merge_into import MERGE_FORMATS
@@ -25,6 +25,7 @@ from tidemark.plans.partitions import Delivery
 from tidemark.plans.scd2_step import Scd2Report, apply_scd2_batch
 from tidemark.sources.tables import (
     TableRef,
+    create_changes_table,
     create_history_table,
     create_scd2_table,
     ensure_database,
@@ -39,6 +40,7 @@ PREVIEW_ROWS = 20
 class FeedTables:
     history: TableRef
     scd2: TableRef | None = None
+    changes: TableRef | None = None  # all changes as they came, for ``by_time``
 
 
 def change_rows(frames: DataFrame, feed: CdcFeed) -> DataFrame:
@@ -67,10 +69,14 @@ def _ensure_parent(spark: SparkSession, name: str, root: str) -> None:
 
 
 def prepare_tables(spark: SparkSession, rows: DataFrame, feed: CdcFeed, root: str) -> FeedTables:
-    """Both tables of a change feed, created below ``root`` if absent."""
+    """The tables of a change feed, created below ``root`` if absent."""
     schema = rows.drop(*feed.transport).schema
     hist, scd2 = history_name(feed.topic), scd2_name(feed.topic)
     _ensure_parent(spark, hist, root)
+    every = None
+    if feed.rules.by_time:
+        name = changes_name(feed.topic)
+        every = create_changes_table(spark, name, rows.schema, feed.order_cols, f"{root}/{name}")
     return FeedTables(
         history=create_history_table(
             spark, hist, schema, feed.history_partition, f"{root}/{hist}", feed.table_format
@@ -78,6 +84,7 @@ def prepare_tables(spark: SparkSession, rows: DataFrame, feed: CdcFeed, root: st
         scd2=create_scd2_table(
             spark, scd2, schema, feed.scd2_partition, f"{root}/{scd2}", feed.table_format, feed.key_buckets
         ),
+        changes=every,
     )
 
 
@@ -118,7 +125,7 @@ def apply_change_batch(
             size,
             delivery,
         )
-        return appended, apply_scd2_batch(spark, batch, tables.scd2, feed, delivery)
+        return appended, apply_scd2_batch(spark, batch, tables.scd2, feed, delivery, tables.changes)
     finally:
         batch.unpersist()
 
@@ -180,8 +187,9 @@ def start_change_feed(
     """
     if feed.batch_ledger and not checkpoint:
         raise ValueError("batch_ledger needs a checkpoint")
-    if feed.batch_ledger and feed.table_format in MERGE_FORMATS:
-        raise ValueError(f"batch_ledger is not for {feed.table_format} tables")
+    for setting, wanted in (("batch_ledger", feed.batch_ledger), ("every_change", feed.rules.every_change)):
+        if wanted and feed.table_format in MERGE_FORMATS:
+            raise ValueError(f"{setting} is not for {feed.table_format} tables")
     rows = change_rows(frames, feed)
     tables = prepare_tables(spark, rows, feed, root)
 
