@@ -82,8 +82,10 @@ def event_changes(
     return with_business_key(rows, ["user_id"])
 
 
-def event_batch(changes: DataFrame, number: int) -> DataFrame:
-    return changes.where(F.col("batch_no") == number).drop("batch_no")
+def event_batch(changes: DataFrame, number: int | tuple[int, ...]) -> DataFrame:
+    """One batch, or several as one."""
+    numbers = number if isinstance(number, tuple) else (number,)
+    return changes.where(F.col("batch_no").isin(*numbers)).drop("batch_no")
 
 
 def frame(payload: Column) -> Column:

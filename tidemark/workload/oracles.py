@@ -112,6 +112,26 @@ def _table(**settings) -> str:
     return f"{_chain(**settings)} SELECT * FROM s{last}"
 
 
+def _timeline(nulls: bool = False) -> str:
+    """All changes of every key in order of time, folded at once."""
+    window = '(PARTITION BY "JoinKey" ORDER BY ds NULLS FIRST, event_id)'
+    differs = "tier IS DISTINCT FROM p_tier"
+    return (
+        f"WITH {_changes(nulls)}, o AS (SELECT *, lag(op_type) OVER k AS p_op, lag(tier) OVER k AS p_tier, "
+        "lag(event_type) OVER k AS p_type, lead(event_id) OVER k IS NULL AS final, "
+        'last(event_type) OVER (PARTITION BY "JoinKey" ORDER BY ds NULLS FIRST, event_id '
+        f"ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS l_type FROM e WINDOW k AS {window}), "
+        "g AS (SELECT *, coalesce(p_op <> 'd', FALSE) AS was_open FROM o), "
+        f"h AS (SELECT *, op_type <> 'd' AND (NOT was_open OR {differs}) AS opens, "
+        f"was_open AND (op_type = 'd' OR {differs}) AS closes FROM g), "
+        "v AS (SELECT *, lead(ds) OVER k AS c_ds, lead(op_type) OVER k AS c_op, lead(final) OVER k AS c_final, "
+        f"lead(p_type) OVER k AS c_type FROM h WHERE opens OR closes WINDOW k AS {window}) "
+        'SELECT "JoinKey", user_id, tier, CASE WHEN c_final THEN c_type ELSE l_type END AS event_type, '
+        'c_op IS NULL AS "ActiveIndicator", ds AS "EffectiveDate", c_ds AS "EndDate", '
+        'coalesce(c_op, op_type) AS "Action" FROM v WHERE opens'
+    )
+
+
 _NEW_COLS = '"JoinKey", user_id, tier, event_type, op_type, ds'
 _CHANGED = (
     'SELECT {cols} FROM n3 n JOIN s2 t ON t."JoinKey" = n."JoinKey" '
@@ -223,6 +243,9 @@ ORACLES: dict[str, str] = {
     "scd2_honor_deletes": _table(honor_deletes=True),
     "scd2_reopen": _table(honor_deletes=True, reopen=True),
     "scd2_active_only": _table(active_only=True),
+    "scd2_all_changes": _timeline(),
+    "scd2_all_changes_one_batch": _timeline(nulls=True),
+    "scd2_late_events": _timeline(nulls=True),
     "scd2_partition_date": _table(day=True, upd=("event_type", "day", '"day_PARTITION"')),
     "scd2_replayed_batch": _table(batches=(1, 2, 3, 3)),
     "scd2_batch_ledger": _table(),

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import BOOKKEEPING, JOIN_KEY, KEY_BUCKET, MergeRules
+from tidemark.config import BOOKKEEPING, JOIN_KEY, KEY_BUCKET, TIMELINE, MergeRules
 from tidemark.functions.frames import (
     date_from_days,
     date_from_millis,
@@ -190,7 +191,7 @@ def _event_tables(
 def _events_scd2(
     spark: SparkSession,
     sf_dir: str,
-    batches: tuple[int, ...] = BATCHES,
+    batches: tuple[int | tuple[int, ...], ...] = BATCHES,
     nulls: bool = False,
     day: bool = False,
     **settings,
@@ -199,8 +200,8 @@ def _events_scd2(
     changes = inputs.event_changes(spark, sf_dir, nulls=nulls, day=day)
     feed, tables = _event_tables(spark, changes, **settings)
     for number in batches:
-        delivery = Delivery("events", number)
-        apply_scd2_batch(spark, inputs.event_batch(changes, number), tables.scd2, feed, delivery)
+        delivery = Delivery("events", number) if isinstance(number, int) else None
+        apply_scd2_batch(spark, inputs.event_batch(changes, number), tables.scd2, feed, delivery, tables.changes)
     return feed, tables.scd2, changes
 
 
@@ -268,6 +269,24 @@ def scd2_active_only(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, table)
 
 
+def scd2_all_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every change of the three batches counts, not the newest of a key alone."""
+    _, table, _ = _events_scd2(spark, sf_dir, rules=TIMELINE)
+    return _rows(spark, table)
+
+
+def scd2_all_changes_one_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes in one batch, with nulls and by shuffle; keys of five changes and more day by day."""
+    _, table, _ = _events_scd2(spark, sf_dir, ((1, 2, 3),), nulls=True, rules=TIMELINE, broadcast_bytes=0, hot_versions=5)
+    return _rows(spark, table)
+
+
+def scd2_late_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The batches in the order 3, 1, 2: late changes split the versions that cover them."""
+    _, table, _ = _events_scd2(spark, sf_dir, (3, 1, 2), nulls=True, rules=replace(TIMELINE, by_time=True))
+    return _rows(spark, table)
+
+
 def scd2_partition_date(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Partitioned by a payload date, which is overwritten in place: rows move."""
     _, table, _ = _events_scd2(
@@ -582,6 +601,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_honor_deletes": scd2_honor_deletes,
     "scd2_reopen": scd2_reopen,
     "scd2_active_only": scd2_active_only,
+    "scd2_all_changes": scd2_all_changes,
+    "scd2_all_changes_one_batch": scd2_all_changes_one_batch,
+    "scd2_late_events": scd2_late_events,
     "scd2_partition_date": scd2_partition_date,
     "scd2_replayed_batch": scd2_replayed_batch,
     "scd2_batch_ledger": scd2_batch_ledger,
