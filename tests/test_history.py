@@ -5,7 +5,9 @@ from tidemark.config import MergeRules
 from tidemark.functions.keys import history_columns
 from tidemark.operators.history import unseen_rows
 from tidemark.operators.sizing import measure
+from tidemark.plans import history_step
 from tidemark.plans.history_step import apply_history_batch
+from tidemark.plans.partitions import Delivery
 
 COMPARE = ["id", "price", "name", "op_type"]
 
@@ -102,3 +104,65 @@ def test_small_batch_does_not_shuffle_history(spark, tmp_path, plan_of):
     text = plan_of(unseen_rows(batch, spark.table(hist.sql_name), history_columns(batch.columns), small=True), "simple")
     assert "SortMergeJoin" not in text and "BroadcastHashJoin" in text
     assert measure(batch).rows == 1
+
+
+FIRST = [(1, "10", "a", "c", 1), (2, None, "b", "c", 1), (3, "7", "c", None, None)]
+SECOND = [(1, "10", "a", "c", 1), (2, None, "b", "c", 1), (2, None, "b", "c", 1), (4, "1", "d", "u", 5), (5, None, None, "u", None)]
+
+
+@pytest.mark.parametrize("lost_in", ["stage_rows", "add_staged", "_move_in", "rename"])
+@pytest.mark.parametrize("retry", ["same", "next"])
+def test_a_lost_driver_neither_loses_nor_repeats_rows(spark, tmp_path, monkeypatch, lost_in, retry):
+    """Before the rows are complete, before they are noted, before they are moved, and half way; with null rows."""
+    a_feed = feed(batch_ledger=True)
+    hist = tables(spark, rows(spark, *FIRST).drop("_offset"), a_feed, tmp_path).history
+
+    def apply(batch, number):
+        return apply_history_batch(
+            spark, rows(spark, *batch), hist, a_feed.transport, a_feed.key_cols, delivery=Delivery("q", number)
+        )
+
+    apply(FIRST, 0)
+
+    def die(*_):
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as broken:
+        if lost_in == "stage_rows":
+            written = history_step.stage_rows
+            broken.setattr(history_step, "stage_rows", lambda *a: die(written(*a)))
+        elif lost_in == "rename":
+            listed = history_step.add_partitions
+
+            def some_moved(session, table, folders):
+                listed(session, table, folders)
+                note = history_step.properties(session, table)[history_step.ADDING].partition("|")[2]
+                path = session._jvm.org.apache.hadoop.fs.Path
+                files = path(note).getFileSystem(session._jsc.hadoopConfiguration())
+                for place in folders[:1]:
+                    for name in [s.getPath().getName() for s in files.listStatus(path(f"{note}/{place}"))]:
+                        files.mkdirs(path(f"{table.location}/{place}"))
+                        assert files.rename(path(f"{note}/{place}/{name}"), path(f"{table.location}/{place}/{name}"))
+                die()
+
+            broken.setattr(history_step, "add_partitions", some_moved)
+        else:
+            broken.setattr(history_step, lost_in, die)
+        with pytest.raises(RuntimeError, match="driver lost"):
+            apply(SECOND, 1)
+
+    noted = lost_in in ("_move_in", "rename")
+    if retry == "same" or not noted:
+        assert apply(SECOND, 1).skipped == noted
+    apply([(9, "9", "z", "c", 9)], 2)
+    null_rows = [(2, None, "b", "c", 1)] * 3 + [(3, "7", "c", None, None), (5, None, None, "u", None)]
+    assert stored(spark, hist) == sorted([(1, "10", "a", "c", 1), (4, "1", "d", "u", 5), (9, "9", "z", "c", 9), *null_rows], key=repr)
+
+
+def test_staged_rows_of_an_unpartitioned_table(spark, tmp_path):
+    from tidemark.sources.tables import create_table
+
+    table = create_table(spark, f"plain_{tmp_path.name.replace('-', '_')}", "id BIGINT, price STRING, name STRING, op_type STRING, ds DATE", f"{tmp_path}/plain")
+    for number in (0, 0, 1):
+        apply_history_batch(spark, rows(spark, *FIRST), table, ("_offset",), delivery=Delivery("q", number))
+    assert len(stored(spark, table)) == 5  # the two rows with nulls come again in batch 1

@@ -1,8 +1,15 @@
-"""One micro-batch into a history table."""
+"""One micro-batch into a history table.
+
+With a ledger the rows of a batch are first written to a folder named after it, which no reader sees and a
+retry writes anew. Once they are complete the table takes note of the folder; from then on a retry, or the
+next batch, only moves its files into the table. So a lost driver neither loses rows nor adds any twice,
+whatever the rows hold.
+"""
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -13,9 +20,10 @@ from tidemark.operators.history import unseen_rows
 from tidemark.operators.sizing import Size, broadcast_if, measure
 from tidemark.plans.partitions import (
     Delivery,
+    add_partitions,
+    applied,
     distinct_values,
     in_partitions,
-    mark_applied,
     properties,
     set_properties,
     was_applied,
@@ -31,7 +39,8 @@ class HistoryReport:
     skipped: bool = False
 
 
-STARTED = "tidemark.started."
+ADDING = "tidemark.adding"
+_MOVERS = 8  # files renamed at a time
 
 
 def apply_history_batch(
@@ -51,17 +60,12 @@ def apply_history_batch(
     partition when the partition column is compared; otherwise a scan of key and
     partition column alone finds the partitions that can hold an equal row.
 
-    With ``delivery`` a batch that was applied is skipped; one that was started but not finished may
-    have left its rows, so it is compared with nulls equal, lest its null rows come in twice.
+    With ``delivery`` a batch that was applied is skipped, and one that was interrupted is added as if it
+    had not been.
     """
-    if delivery is not None:
-        stored = properties(spark, table)
-        if was_applied(stored, delivery):
-            return HistoryReport(batch_rows=0, inserted=0, skipped=True)
-        if stored.get(STARTED + delivery.query) == str(delivery.batch):
-            rules = replace(rules, null_safe=True)
-        else:
-            set_properties(spark, table, **{STARTED + delivery.query: str(delivery.batch)})
+    stored = finish_adding(spark, table)
+    if was_applied(stored, delivery):
+        return HistoryReport(batch_rows=0, inserted=0, skipped=True)
     # Another session may have appended: this one's file list is renewed before comparing.
     spark.catalog.refreshTable(table.sql_name)
     rows = batch.drop(JOIN_KEY, *transport)
@@ -94,13 +98,70 @@ def apply_history_batch(
         fresh = fresh.hint("rebalance", part)
     # Counted while writing, so no count of the table before and after is needed.
     written = Observation()
-    fresh.observe(written, F.count(F.lit(1)).alias("n")).write.insertInto(table.sql_name)
+    fresh = fresh.observe(written, F.count(F.lit(1)).alias("n"))
+    if delivery is None:
+        fresh.write.insertInto(table.sql_name)
+    else:
+        add_staged(spark, table, stage_rows(fresh, table, delivery), delivery)
     if not small:
         remove_dir(spark, work)
-    mark_applied(spark, table, delivery)
     return HistoryReport(batch_rows=size.rows, inserted=written.get["n"])
 
 
+def stage_rows(rows: DataFrame, table: TableRef, delivery: Delivery) -> str:
+    """Write a batch's rows, in the table's types, to its own folder; what an earlier try left there goes."""
+    spark = rows.sparkSession
+    folder = f"{table.location}/_staged/{delivery.query}-{delivery.batch}"
+    schema = spark.table(table.sql_name).schema
+    typed = rows.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema.fields])
+    by = [table.partition_col] if table.partition_col else []
+    typed.write.mode("overwrite").format(table.format).partitionBy(*by).save(folder)
+    return folder
+
+
+def add_staged(spark: SparkSession, table: TableRef, folder: str, delivery: Delivery) -> None:
+    """Take note of a complete folder, then move its files into the table."""
+    set_properties(spark, table, **{ADDING: f"{delivery.text}|{folder}"})
+    _move_in(spark, table, folder, delivery)
+
+
+def finish_adding(spark: SparkSession, table: TableRef) -> dict[str, str]:
+    """Add what a lost driver had noted but not moved; returns the table's properties."""
+    stored = properties(spark, table)
+    text, _, folder = stored.get(ADDING, "").partition("|")
+    if not folder:
+        return stored
+    delivery = Delivery.parse(text)
+    _move_in(spark, table, folder, delivery)
+    return stored | applied(delivery)
+
+
+def _move_in(spark: SparkSession, table: TableRef, folder: str, delivery: Delivery | None) -> None:
+    """Repeatable: partitions first, then every file still in the folder, by a name no other write uses."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    root = files.makeQualified(path(folder)).toString().rstrip("/") + "/"
+    found, listed = [], files.listFiles(path(folder), True) if files.exists(path(folder)) else None
+    while listed is not None and listed.hasNext():
+        place = listed.next().getPath().toString().removeprefix(root)
+        if not place.rpartition("/")[2].startswith(("_", ".")):
+            found.append(place)
+    if table.partition_col:
+        add_partitions(spark, table, sorted({place.rpartition("/")[0] for place in found}))
+
+    def move(place: str) -> None:
+        target = path(f"{table.location}/{place}")
+        files.mkdirs(target.getParent())
+        if not files.rename(path(f"{folder}/{place}"), target):
+            raise RuntimeError(f"cannot move {folder}/{place}")
+
+    with ThreadPoolExecutor(_MOVERS) as pool:
+        list(pool.map(move, found))
+    spark.catalog.refreshTable(table.sql_name)
+    set_properties(spark, table, **{ADDING: ""}, **applied(delivery))
+    remove_dir(spark, folder)
+
+
 def _compared_keys(key_cols: tuple[str, ...], compare: list[str]) -> list[str]:
     """The key columns that are compared, by the names of the rows; case does not matter."""
     wanted = {k.lower() for k in key_cols}

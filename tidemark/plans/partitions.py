@@ -11,9 +11,9 @@ when the table is next written.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,6 @@ PENDING = "tidemark.pending"
 APPLIED = "tidemark.applied."
 _MOVES = "_moves"
 _NULL_FOLDER = "__HIVE_DEFAULT_PARTITION__"
-_CATALOG_THREADS = 8
 
 
 @dataclass(frozen=True)
@@ -109,13 +108,21 @@ def was_applied(stored: dict[str, str], delivery: Delivery | None) -> bool:
     return delivery is not None and int(stored.get(APPLIED + delivery.query, -1)) >= delivery.batch
 
 
-def _applied(delivery: Delivery | None) -> dict[str, str]:
+def applied(delivery: Delivery | None) -> dict[str, str]:
     return {APPLIED + delivery.query: str(delivery.batch)} if delivery else {}
 
 
 def mark_applied(spark: SparkSession, table: TableRef, delivery: Delivery | None) -> None:
     if delivery is not None:
-        set_properties(spark, table, **_applied(delivery))
+        set_properties(spark, table, **applied(delivery))
+
+
+def add_partitions(spark: SparkSession, table: TableRef, folders: Sequence[str]) -> None:
+    """Register the partitions of ``folders`` (``column=value``) at their place below the table, if they are not."""
+    texts = [unquote(folder.partition("=")[2]) for folder in folders]
+    places = " ".join(_spec(table, None if text == _NULL_FOLDER else text) for text in texts)
+    if places:
+        spark.sql(f"ALTER TABLE {table.sql_name} ADD IF NOT EXISTS {places}")
 
 
 def _or_null(text: str | None) -> str:
@@ -153,7 +160,7 @@ def finish_pending(spark: SparkSession, table: TableRef) -> dict[str, str]:
     listed = spark.read.schema(schema).parquet(f"{folder}/{_MOVES}")
     moves = [Move(r["part"], r["emptied"], r["bucket"]) for r in listed.collect()]
     _move(spark, table, folder, moves, delivery)
-    return stored | _applied(delivery)
+    return stored | applied(delivery)
 
 
 def _move(
@@ -168,24 +175,50 @@ def _move(
         return f"{table.partition_col}={text}{below}"
 
     def location(move: Move) -> str:
-        return _text(f"{folder}/{folder_of(move)}")
+        return f"{folder}/{folder_of(move)}"
 
     existing = {r["partition"] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    added, statements = [], []
-    for move in moves:
-        spec = _spec(table, move.part, move.bucket)
-        if move.emptied:
-            statements.append(f"ALTER TABLE {name} DROP IF EXISTS {spec}")
-        elif folder_of(move) in existing:
-            statements.append(f"ALTER TABLE {name} {spec} SET LOCATION {location(move)}")
-        else:
-            added.append(f"{spec} LOCATION {location(move)}")
+    filled = [m for m in moves if not m.emptied]
+    moved = {(m.part, m.bucket): location(m) for m in filled if folder_of(m) in existing}
+    added = [m for m in filled if folder_of(m) not in existing]
+    emptied = [_spec(table, m.part, m.bucket) for m in moves if m.emptied]
+    # A catalog call each, however many partitions there are.
+    if moved:
+        _set_locations(spark, table, moved)
     if added:
-        statements.append(f"ALTER TABLE {name} ADD IF NOT EXISTS {' '.join(added)}")
-    # Catalog round trips, one per existing partition: overlap them.
-    with ThreadPoolExecutor(_CATALOG_THREADS) as pool:
-        list(pool.map(spark.sql, statements))
-    set_properties(spark, table, **{PENDING: ""}, **_applied(delivery))
+        places = " ".join(f"{_spec(table, m.part, m.bucket)} LOCATION {_text(location(m))}" for m in added)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {places}")
+    if emptied:
+        spark.sql(f"ALTER TABLE {name} DROP IF EXISTS {', '.join(emptied)}")
+    set_properties(spark, table, **{PENDING: ""}, **applied(delivery))
+
+
+def _set_locations(spark: SparkSession, table: TableRef, places: dict[tuple[str | None, str | None], str]) -> None:
+    """Move the catalog locations of existing partitions, all at once.
+
+    SQL moves one partition per statement; the session's catalog takes a list.
+    """
+    scala = spark._jvm.scala
+    state = spark._jsparkSession.sessionState()
+    catalog, ident = state.catalog(), state.sqlParser().parseTableIdentifier(table.sql_name)
+    some = getattr(scala, "Option").apply
+    uri = spark._jvm.org.apache.spark.sql.catalyst.catalog.CatalogUtils.stringToURI
+    columns = table.partition_cols
+    altered = spark._jvm.java.util.ArrayList()
+    for old in scala.jdk.javaapi.CollectionConverters.asJava(catalog.listPartitions(ident, some(None))):
+        values = [old.spec().apply(c) for c in columns]
+        part = None if values[0] in (None, _NULL_FOLDER) else values[0]
+        place = places.get((part, values[1] if len(columns) > 1 else None))
+        if place is not None:
+            storage = old.storage()
+            storage = storage.copy(
+                some(uri(place)), storage.inputFormat(), storage.outputFormat(), storage.serde(), storage.compressed(), storage.properties()
+            )
+            altered.add(old.copy(old.spec(), storage, old.parameters(), old.createTime(), old.lastAccessTime(), some(None)))
+    if altered.size() != len(places):
+        raise RuntimeError(f"{len(places)} partitions to move in {table.name}, {altered.size()} found")
+    catalog.alterPartitions(ident, scala.jdk.javaapi.CollectionConverters.asScala(altered).toSeq())
+    spark.catalog.refreshTable(table.sql_name)
 
 
 def stale_versions(spark: SparkSession, table: TableRef) -> list[str]:

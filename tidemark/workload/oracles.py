@@ -210,6 +210,7 @@ ORACLES: dict[str, str] = {
     "history_append": f"{_history(_THREE_STEPS)} SELECT * FROM h3",
     "history_shuffled": f"{_history(_THREE_STEPS)} SELECT * FROM h3",
     "history_replay": f"{_history(((1,), (1, 2, 3)), nulls=True)} SELECT * FROM h2",
+    "history_ledger": f"{_history(((1,), (1, 2, 3)), nulls=True)} SELECT * FROM h2",
     "history_replay_null_safe": (
         f"{_history(((1,), (1, 2, 3)), nulls=True, null_safe=True)} SELECT * FROM h2"
     ),

@@ -396,6 +396,17 @@ def history_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rows(spark, _events_history(spark, sf_dir, ((1,), (1, 2, 3)), nulls=True))
 
 
+def history_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The second batch delivered twice, with nulls: staged, noted and moved in once."""
+    changes = inputs.event_changes(spark, sf_dir, nulls=True)
+    feed, tables = _event_tables(spark, changes, batch_ledger=True)
+    for number, batches in ((0, (1,)), (1, BATCHES), (1, BATCHES)):
+        apply_history_batch(
+            spark, inputs.event_batch(changes, batches), tables.history, feed.transport, feed.key_cols, delivery=Delivery("events", number)
+        )
+    return _rows(spark, tables.history)
+
+
 def history_replay_null_safe(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _events_history(
         spark, sf_dir, ((1,), (1, 2, 3)), nulls=True, rules=MergeRules(null_safe=True)
@@ -585,6 +596,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "history_append": history_append,
     "history_shuffled": history_shuffled,
     "history_replay": history_replay,
+    "history_ledger": history_ledger,
     "history_replay_null_safe": history_replay_null_safe,
     "history_upper_case_key": history_upper_case_key,
     "history_sql": history_sql,
