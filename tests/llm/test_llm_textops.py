@@ -2,7 +2,7 @@ import numpy as np
 import pyarrow as pa
 
 from llm_fixtures import plain_texts
-from tidemark.llm.textops import shingles_of, text_chunks, word_hashes, words_of
+from tidemark.llm.textops import BLOCK_BYTES, hashes_in_order, shingles_of, text_chunks, word_hashes, words_of
 
 
 def shingle_ids(texts, limit):
@@ -44,3 +44,19 @@ def test_null_counts_as_empty_and_slices_work():
     column = pa.array(["skip", None, "b c", None])[1:]
     assert [(lo, hi, data.tobytes()) for lo, hi, data, _ in text_chunks(column)] == [(0, 3, b"b c")]
     assert list(text_chunks(pa.array([], pa.string()))) == []
+
+
+def test_hashes_by_blocks_equal_those_of_the_whole():
+    rng = np.random.default_rng(4)
+    words = ["".join(rng.choice(list("abcde"), rng.integers(1, 9))) for _ in range(60_000)] + ["x" * (BLOCK_BYTES + 9), "end"]
+    data = np.frombuffer(" ".join(words).encode(), dtype=np.uint8)
+    first, last, _ = words_of(data, np.array([0, len(data)]))
+    assert np.array_equal(hashes_in_order(data, first, last), word_hashes(data, first, last))
+
+
+def test_chunks_of_either_string_type_and_of_slices():
+    texts = ["one", None, "", "zwei drei", "\u6771\u4eac"]
+    for kind in (pa.string(), pa.large_string()):
+        column = pa.array(["skipped", *texts], kind).slice(1)
+        got = [bytes(data[offsets[k] : offsets[k + 1]]).decode() for lo, hi, data, offsets in text_chunks(column, 4) for k in range(hi - lo)]
+        assert got == [t or "" for t in texts]

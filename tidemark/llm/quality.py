@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from tidemark.llm import partsum
 from tidemark.llm.labelled import fold, training_texts
 from tidemark.llm.tables import documents, kept
-from tidemark.llm.textops import LOWER, mix, text_chunks, word_hashes
+from tidemark.llm.textops import LOWER, hashes_in_order, mix, text_chunks
 
 BUCKETS = 1 << 13
 DIM = 32
@@ -54,7 +54,7 @@ def tokens_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     full = kind[first] > 0
     first, last = first[full], last[full]
     row = np.searchsorted(offsets, first, side="right") - 1
-    return row, word_hashes(data, first, last)
+    return row, hashes_in_order(data, first, last)
 
 
 def _index_entries(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -10,6 +10,8 @@ import pyarrow as pa
 
 # Bytes of text worked on at once; a longer single text is its own chunk.
 CHUNK_BYTES = 1 << 20
+# Bytes that words are hashed of at once; hashing takes some forty bytes a byte.
+BLOCK_BYTES = 1 << 17
 
 _U = np.uint64
 LOWER = np.arange(256, dtype=np.uint8)
@@ -32,7 +34,7 @@ def mix(x: np.ndarray) -> np.ndarray:
 def _power_table(base: int, n: int) -> np.ndarray:
     have = _powers.get(base)
     if have is None or len(have) < n:
-        size = max(n, CHUNK_BYTES + 1)
+        size = next((s for s in (BLOCK_BYTES + 1, CHUNK_BYTES + 1) if n <= s), n)
         have = np.empty(size, dtype=np.uint64)
         have[0] = 1
         if size > 1:
@@ -67,12 +69,14 @@ def text_chunks(
     column: pa.Array, limit: int = CHUNK_BYTES
 ) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets from 0) of consecutive rows with about ``limit`` bytes."""
-    column = text_column(column)
+    # Read in place: a batch may hold tens of MB.
+    column = column.fill_null("") if column.null_count else column
     n = len(column)
     if n == 0:
         return
     _, raw, data = column.buffers()
-    offsets = np.frombuffer(raw, dtype=np.int64)[column.offset : column.offset + n + 1]
+    kind = np.int32 if pa.types.is_string(column.type) else np.int64
+    offsets = np.frombuffer(raw, dtype=kind)[column.offset : column.offset + n + 1].astype(np.int64)
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < n:
@@ -123,6 +127,19 @@ def word_hashes(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.nda
     return RangeHashes(data).of(first, last)
 
 
+def hashes_in_order(data: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+    """:func:`word_hashes` of ranges that do not overlap, in their order, block by block."""
+    out = np.empty(len(first), dtype=np.uint64)
+    k = 0
+    while k < len(first):
+        # A longer range is a block of its own.
+        end = max(int(np.searchsorted(last, first[k] + BLOCK_BYTES, side="right")), k + 1)
+        low, high = first[k], last[end - 1]
+        out[k:end] = word_hashes(data[low:high], first[k:end] - low, last[k:end] - low)
+        k = end
+    return out
+
+
 def shingles_of(
     data: np.ndarray, offsets: np.ndarray, width: int
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -134,7 +151,7 @@ def shingles_of(
     first, last, row = words_of(data, offsets)
     if not len(first):
         return row, np.zeros(0, np.uint64)
-    hashes = word_hashes(data, first, last)
+    hashes = hashes_in_order(data, first, last)
     counts = np.bincount(row, minlength=len(offsets) - 1)
     begin = np.concatenate(([0], np.cumsum(counts)[:-1]))
     length = np.minimum(counts[row], width)
