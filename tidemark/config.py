@@ -66,6 +66,11 @@ class CdcFeed:
     delete_image: str = "after"  # "before": take the key of deletes from the old image
     payload_format: str = "json"  # "avro" where Spark's avro package is loaded
     avro_schema: str | None = None  # envelope schema as JSON text, for "avro"
+    # Columns by the schema id in the frame, where messages of several schemas share the topic (JSON only);
+    # each is decoded with its own and brought to ``after_ddl``. An unknown id fails the batch.
+    schemas: tuple[tuple[int, str], ...] = ()
+    # Messages that cannot be decoded go to a table of their own instead of failing the batch (JSON only).
+    quarantine: bool = False
     table_format: str = "parquet"  # "delta"/"iceberg": the format's own MERGE is used
     # Versioned table only: a second partition level by a hash of the key, so that a merge rewrites
     # date x bucket instead of whole dates. Fixed when the table is created.
@@ -75,6 +80,10 @@ class CdcFeed:
     hot_versions: int = DEFAULT_HOT_VERSIONS
     rules: MergeRules = field(default_factory=MergeRules)
 
+    def __post_init__(self) -> None:
+        if (self.schemas or self.quarantine) and self.payload_format != "json":
+            raise ValueError("schemas and quarantine are for JSON payloads")
+
     @property
     def transport(self) -> tuple[str, ...]:
         return tuple(alias for _, alias in self.carry)

@@ -28,6 +28,10 @@ def changes_name(topic: str) -> str:
     return f"{base_name(topic)}_changes"
 
 
+def quarantine_name(topic: str) -> str:
+    return f"{base_name(topic)}_bad"
+
+
 def flat_name(topic: str) -> str:
     return f"fso.{base_name(topic)}"
 

@@ -108,6 +108,17 @@ def apply_history_batch(
     return HistoryReport(batch_rows=size.rows, inserted=written.get["n"])
 
 
+def append_rows(spark: SparkSession, rows: DataFrame, table: TableRef, delivery: Delivery | None = None) -> None:
+    """Append to a plain table; with ``delivery`` once, whenever the driver is lost."""
+    stored = finish_adding(spark, table)
+    if was_applied(stored, delivery):
+        return
+    if delivery is None:
+        rows.write.insertInto(table.sql_name)
+    else:
+        add_staged(spark, table, stage_rows(rows, table, delivery), delivery)
+
+
 def stage_rows(rows: DataFrame, table: TableRef, delivery: Delivery) -> str:
     """Write a batch's rows, in the table's types, to its own folder; what an earlier try left there goes."""
     spark = rows.sparkSession

@@ -204,17 +204,18 @@ def _set_locations(spark: SparkSession, table: TableRef, places: dict[tuple[str
     some = getattr(scala, "Option").apply
     uri = spark._jvm.org.apache.spark.sql.catalyst.catalog.CatalogUtils.stringToURI
     columns = table.partition_cols
+    # Partitions of a table differ in their place alone.
+    like = catalog.getTableMetadata(ident).storage()
+    formats = (like.inputFormat(), like.outputFormat(), like.serde(), like.compressed(), like.properties())
+    never, unknown = -1, some(None)
     altered = spark._jvm.java.util.ArrayList()
     for old in scala.jdk.javaapi.CollectionConverters.asJava(catalog.listPartitions(ident, some(None))):
-        values = [old.spec().apply(c) for c in columns]
+        spec = old.spec()
+        values = [spec.apply(c) for c in columns]
         part = None if values[0] in (None, _NULL_FOLDER) else values[0]
         place = places.get((part, values[1] if len(columns) > 1 else None))
         if place is not None:
-            storage = old.storage()
-            storage = storage.copy(
-                some(uri(place)), storage.inputFormat(), storage.outputFormat(), storage.serde(), storage.compressed(), storage.properties()
-            )
-            altered.add(old.copy(old.spec(), storage, old.parameters(), old.createTime(), old.lastAccessTime(), some(None)))
+            altered.add(old.copy(spec, like.copy(some(uri(place)), *formats), old.parameters(), old.createTime(), never, unknown))
     if altered.size() != len(places):
         raise RuntimeError(f"{len(places)} partitions to move in {table.name}, {altered.size()} found")
     catalog.alterPartitions(ident, scala.jdk.javaapi.CollectionConverters.asScala(altered).toSeq())

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.config import BOOKKEEPING, JOIN_KEY, KEY_BUCKET, SCD_COLUMNS
+from tidemark.functions.frames import widens
 from tidemark.functions.keys import ACTIVE, columns_except
 from tidemark.functions.naming import quoted
 
@@ -87,6 +88,24 @@ def create_table(
     return table
 
 
+def fit_columns(spark: SparkSession, name: str, schema: T.StructType) -> None:
+    """Bring an existing table to ``schema``: columns it lacks are added, null in the rows it has.
+
+    Refused are types the table's own would narrow, and rows without a column that the table has.
+    """
+    stored = {f.name.lower(): f for f in spark.table(quoted(name)).schema.fields if f.name != KEY_BUCKET}
+    wanted = {f.name.lower(): f for f in schema.fields if f.name != KEY_BUCKET}
+    for key, field in stored.items():
+        if key not in wanted:
+            raise ValueError(f"{name} has a column {field.name}, the rows do not")
+        if not widens(wanted[key].dataType, field.dataType):
+            have, want = wanted[key].dataType.simpleString(), field.dataType.simpleString()
+            raise ValueError(f"{name}: {field.name} is {want}, which cannot hold {have}")
+    added = [f"{quoted(f.name)} {f.dataType.simpleString()}" for key, f in wanted.items() if key not in stored]
+    if added:
+        spark.sql(f"ALTER TABLE {quoted(name)} ADD COLUMNS ({', '.join(added)})")
+
+
 def create_scd2_table(
     spark: SparkSession,
     name: str,
@@ -97,6 +116,8 @@ def create_scd2_table(
     key_buckets: int = 0,
 ) -> TableRef:
     schema = scd2_schema(row_schema)
+    if spark.catalog.tableExists(quoted(name)):
+        fit_columns(spark, name, schema)
     if key_buckets:
         schema = T.StructType([*schema.fields, T.StructField(KEY_BUCKET, T.IntegerType())])
     return create_table(
@@ -112,9 +133,10 @@ def create_history_table(
     location: str,
     table_format: str = "parquet",
 ) -> TableRef:
-    return create_table(
-        spark, name, history_schema(row_schema), location, partition_col, table_format
-    )
+    schema = history_schema(row_schema)
+    if spark.catalog.tableExists(quoted(name)):
+        fit_columns(spark, name, schema)
+    return create_table(spark, name, schema, location, partition_col, table_format)
 
 
 def create_changes_table(
@@ -124,6 +146,8 @@ def create_changes_table(
     missing = [c for c in order_cols if c not in row_schema.names]
     if missing:
         raise ValueError(f"changes are placed by {', '.join(missing)}, which the rows do not have")
+    if spark.catalog.tableExists(quoted(name)):
+        fit_columns(spark, name, row_schema)
     return create_table(spark, name, row_schema, location, "ds")
 
 

@@ -11,15 +11,18 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from tidemark.config import CdcFeed, FlatFeed
 from tidemark.functions.frames import (
+    FRAME,
+    REASON,
+    decode_changes,
     decode_topic,
     envelope_ddl,
     unwrap_change,
     unwrap_flat,
 )
 from tidemark.functions.keys import with_business_key
-from tidemark.functions.naming import changes_name, flat_name, history_name, scd2_name
+from tidemark.functions.naming import changes_name, flat_name, history_name, quarantine_name, scd2_name
 from tidemark.operators.sizing import measure
-from tidemark.plans.history_step import HistoryReport, apply_history_batch
+from tidemark.plans.history_step import HistoryReport, append_rows, apply_history_batch
 from tidemark.plans.merge_into import MERGE_FORMATS
 from tidemark.plans.partitions import Delivery
 from tidemark.plans.scd2_step import Scd2Report, apply_scd2_batch
@@ -28,6 +31,7 @@ from tidemark.sources.tables import (
     create_changes_table,
     create_history_table,
     create_scd2_table,
+    create_table,
     ensure_database,
 )
 
@@ -41,15 +45,26 @@ class FeedTables:
     history: TableRef
     scd2: TableRef | None = None
     changes: TableRef | None = None  # all changes as they came, for ``by_time``
+    bad: TableRef | None = None  # messages that could not be decoded, with ``quarantine``
+
+
+BAD_DDL = "value BINARY, topic STRING, partition INT, offset BIGINT, reason STRING"
 
 
 def change_rows(frames: DataFrame, feed: CdcFeed) -> DataFrame:
-    """Topic rows to normalised change rows with the business key."""
-    schema = feed.avro_schema or envelope_ddl(feed.after_ddl)
-    decoded = decode_topic(frames, schema, feed.payload_format, feed.carry)
+    """Topic rows to normalised change rows with the business key.
+
+    With ``quarantine`` rows of messages that could not be decoded are among them; :func:`split_bad` parts them.
+    """
+    extra = (REASON, FRAME) if feed.quarantine else ()
+    if feed.schemas or feed.quarantine:
+        decoded = decode_changes(frames, feed.after_ddl, dict(feed.schemas), feed.carry, feed.quarantine)
+    else:
+        schema = feed.avro_schema or envelope_ddl(feed.after_ddl)
+        decoded = decode_topic(frames, schema, feed.payload_format, feed.carry)
     rows = unwrap_change(
         decoded,
-        feed.transport,
+        (*feed.transport, *extra),
         feed.partition_col,
         feed.partition_in_millis,
         feed.delete_image,
@@ -57,6 +72,12 @@ def change_rows(frames: DataFrame, feed: CdcFeed) -> DataFrame:
     return with_business_key(rows, feed.key_cols, feed.key_sep)
 
 
+def split_bad(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(change rows, messages that could not be decoded) of a feed with ``quarantine``."""
+    bad = rows.where(F.col(REASON).isNotNull()).select(f"{FRAME}.*", F.col(REASON).alias("reason"))
+    return rows.where(F.col(REASON).isNull()).drop(REASON, FRAME), bad
+
+
 def flat_rows(frames: DataFrame, feed: FlatFeed) -> DataFrame:
     schema = feed.avro_schema or feed.record_ddl
     return unwrap_flat(decode_topic(frames, schema, feed.payload_format))
@@ -70,6 +91,7 @@ def _ensure_parent(spark: SparkSession, name: str, root: str) -> None:
 
 def prepare_tables(spark: SparkSession, rows: DataFrame, feed: CdcFeed, root: str) -> FeedTables:
     """The tables of a change feed, created below ``root`` if absent."""
+    rows = rows.drop(REASON, FRAME)
     schema = rows.drop(*feed.transport).schema
     hist, scd2 = history_name(feed.topic), scd2_name(feed.topic)
     _ensure_parent(spark, hist, root)
@@ -85,9 +107,15 @@ def prepare_tables(spark: SparkSession, rows: DataFrame, feed: CdcFeed, root: st
             spark, scd2, schema, feed.scd2_partition, f"{root}/{scd2}", feed.table_format, feed.key_buckets
         ),
         changes=every,
+        bad=_bad_table(spark, feed, root) if feed.quarantine else None,
     )
 
 
+def _bad_table(spark: SparkSession, feed: CdcFeed, root: str) -> TableRef:
+    name = quarantine_name(feed.topic)
+    return create_table(spark, name, BAD_DDL, f"{root}/{name}")
+
+
 def prepare_flat_table(
     spark: SparkSession, rows: DataFrame, feed: FlatFeed, root: str, name: str | None = None
 ) -> FeedTables:
@@ -108,11 +136,15 @@ def apply_change_batch(
 ) -> tuple[HistoryReport, Scd2Report]:
     """History first, then the versioned table; the batch is decoded once.
 
-    ``delivery`` counts with ``batch_ledger`` only. Returns what happened to each table.
+    ``delivery`` counts with ``batch_ledger`` only. Returns what happened to each table. With ``quarantine``
+    messages that could not be decoded are kept first.
     """
     delivery = delivery if feed.batch_ledger else None
-    batch = batch.persist()
+    decoded = batch = batch.persist()
     try:
+        if feed.quarantine:
+            batch, bad = split_bad(decoded)
+            append_rows(spark, bad, tables.bad, delivery)
         size = measure(batch)
         appended = apply_history_batch(
             spark,
@@ -127,7 +159,7 @@ def apply_change_batch(
         )
         return appended, apply_scd2_batch(spark, batch, tables.scd2, feed, delivery, tables.changes)
     finally:
-        batch.unpersist()
+        decoded.unpersist()
 
 
 def apply_flat_batch(

@@ -88,9 +88,40 @@ def event_batch(changes: DataFrame, number: int | tuple[int, ...]) -> DataFrame:
     return changes.where(F.col("batch_no").isin(*numbers)).drop("batch_no")
 
 
-def frame(payload: Column) -> Column:
+def frame(payload: Column, header: bytes = bytes(FRAME_HEADER)) -> Column:
     """JSON payload behind the five-byte header."""
-    return F.concat(F.lit(bytes(FRAME_HEADER)), F.encode(F.to_json(payload), "UTF-8"))
+    return F.concat(F.lit(header), F.encode(F.to_json(payload), "UTF-8"))
+
+
+# Schema ids of the feed of two schemas, by their columns; the first has no event type yet, and small user ids.
+TWO_SCHEMAS = ((1, "user_id INT, tier STRING"), (7, EVENTS_DDL))
+
+
+def two_schema_frames(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """Events of even id written with the first schema, the others with the second."""
+    rows = table(spark, sf_dir, "events").withColumn("tier", tier(F.col("value")))
+    parts = []
+    for rest, (number, ddl) in enumerate(TWO_SCHEMAS):
+        names = [part.split()[0] for part in ddl.split(", ")]
+        own = rows.where(F.col("event_id") % 2 == rest)
+        frames = change_frames(own, names, F.col("ts"), op_code(F.col("event_type")), F.col("event_id"), topic)
+        header = bytes([0]) + number.to_bytes(4, "big")
+        parts.append(frames.withColumn("value", F.concat(F.lit(header), F.substring("value", F.lit(6), F.length("value")))))
+    return parts[0].unionByName(parts[1])
+
+
+def damaged_frames(spark: SparkSession, sf_dir: str, topic: str) -> DataFrame:
+    """The feed of two schemas with messages that fit none, by the last digits of their offset."""
+    rest = F.col("offset") % 100
+    cut = F.substring("value", F.lit(1), F.length("value") - 9)
+    value = (
+        F.when(rest == 11, F.substring("value", F.lit(1), F.lit(3)))
+        .when(rest == 22, F.concat(F.lit(bytes([0, 0, 0, 0, 9])), F.substring("value", F.lit(6), F.length("value"))))
+        .when(rest == 33, cut)
+        .when(rest == 44, F.concat(F.lit(bytes([0, 0, 0, 0, 7])), F.encode(F.lit('{"after": {"user_id": "none"}, "op": "c"}'), "UTF-8")))
+        .otherwise(F.col("value"))
+    )
+    return two_schema_frames(spark, sf_dir, topic).withColumn("value", value)
 
 
 def change_frames(rows: DataFrame, after: list[str], ts: Column, op: Column, offset: Column,

@@ -13,7 +13,8 @@ _OP = "CASE event_type WHEN 'signup' THEN 'c' WHEN 'error' THEN 'd' ELSE 'u' END
 _BATCH = "CASE WHEN day(ts) <= 10 THEN 1 WHEN day(ts) <= 20 THEN 2 ELSE 3 END"
 
 
-def _changes(nulls: bool = False, day: bool = False) -> str:
+def _changes(nulls: bool = False, day: bool = False, later_type: bool = False) -> str:
+    kind = f"CASE WHEN {_BATCH} > 1 THEN event_type END AS event_type" if later_type else "event_type"
     tier = f"nullif({_TIER}, 'mid')" if nulls else _TIER
     extra = (
         "date_diff('day', DATE '1970-01-01', CAST(ts AS DATE))::INTEGER AS day, "
@@ -23,7 +24,7 @@ def _changes(nulls: bool = False, day: bool = False) -> str:
     )
     return (
         f"e AS (SELECT CAST(user_id AS VARCHAR) AS \"JoinKey\", user_id, {tier} AS tier, "
-        f"event_type, {extra}{_OP} AS op_type, CAST(ts AS DATE) AS ds, event_id, "
+        f"{kind}, {extra}{_OP} AS op_type, CAST(ts AS DATE) AS ds, event_id, "
         f"{_BATCH} AS batch_no FROM events)"
     )
 
@@ -38,6 +39,7 @@ def _chain(
     honor_deletes: bool = False,
     reopen: bool = False,
     active_only: bool = False,
+    later_type: bool = False,
 ) -> str:
     """CTE list ending in ``s<n>``, the table after the last batch."""
     payload = ["user_id", "tier", "event_type"] + (["day", '"day_PARTITION"'] if day else [])
@@ -48,7 +50,7 @@ def _chain(
         return "(" + " OR ".join(f"t.{c} {differ} n.{c}" for c in columns) + ")"
 
     ctes = [
-        _changes(nulls, day),
+        _changes(nulls, day, later_type),
         "s0 AS (SELECT "
         + ", ".join(cols)
         + ", TRUE AS \"ActiveIndicator\", ds AS \"EffectiveDate\", CAST(NULL AS DATE) AS \"EndDate\", "
@@ -276,6 +278,20 @@ ORACLES: dict[str, str] = {
         f"WITH {_changes()} SELECT user_id, tier, event_type, op_type, ds, event_id AS _offset, "
         '"JoinKey" FROM e ORDER BY event_id LIMIT 20'
     ),
+    "schema_ids": (
+        f"WITH {_changes()} SELECT user_id, tier, CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type, "
+        'op_type, ds, event_id AS _offset, "JoinKey" FROM e'
+    ),
+    "columns_that_appear": _table(later_type=True),
+    "quarantine_good": (
+        f"WITH {_changes()} SELECT user_id, tier, CASE WHEN event_id % 2 = 1 THEN event_type END AS event_type, "
+        "op_type, ds FROM e WHERE event_id % 100 NOT IN (11, 22, 33, 44)"
+    ),
+    "quarantine_bad": (
+        "SELECT 0 AS partition, event_id AS \"offset\", CASE event_id % 100 WHEN 11 THEN 'frame too short' "
+        "WHEN 22 THEN 'unknown schema id 9' ELSE 'payload does not fit its schema' END AS reason "
+        "FROM events WHERE event_id % 100 IN (11, 22, 33, 44)"
+    ),
     "stream_history": f"{_history(_THREE_STEPS)} SELECT * FROM h3",
     "stream_scd2": _table(),
     "stream_new_checkpoint": _table(batches=((1,), (1, 2), (3,))),
