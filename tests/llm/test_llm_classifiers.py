@@ -100,3 +100,13 @@ def test_temperature_makes_probabilities_honest():
     for lo in (0.1, 0.3, 0.5, 0.7):
         inside = (p >= lo) & (p < lo + 0.2)
         assert abs(p[inside].mean() - y[inside].mean()) < 0.08
+
+
+def test_an_id_of_many_texts_trains_once(spark):
+    from tidemark.llm.labelled import training_texts
+
+    docs = spark.createDataFrame([(1, f"text {k % 3}") for k in range(60)] + [(2, "b"), (None, "c")], "doc_id BIGINT, text STRING")
+    labels = spark.createDataFrame([(1, 0), (1, 1), (2, 0), (9, 1)], "doc_id BIGINT, toxic INT")
+    got = training_texts(docs, labels, "toxic", 4, 5).collect()
+    assert sorted((r["doc_id"], r["label"]) for r in got) == [(1, 1.0), (2, 0.0)]
+    assert got[0].asDict().keys() == {"doc_id", "text", "label"}

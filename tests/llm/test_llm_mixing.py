@@ -78,3 +78,24 @@ def test_apportionment_equals_seat_by_seat(spark, shares, n):
     df = spark.createDataFrame([(0, k, s, n) for k, s in enumerate(shares)], "g INT, k INT, share DOUBLE, seats INT")
     got = as_rows(apportion(df, ["g"], "share", "seats", ["k"], "won"), "k", "won")
     assert [w for _, w in got] == [w for _, w in sorted(enumerate(seats(shares, n)), key=repr)]
+
+
+def test_rows_without_an_id_spread_over_shards(spark):
+    from tidemark.llm import mixing
+
+    rows = [(None, "a b c", "s")] * 4000 + [(7, "a b", "s")] * 1000 + [(k, "w " * 5, "t") for k in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING, source STRING")
+    seen = []
+    plain = mixing._draw
+
+    def draw(seed, block, most):
+        inner = plain(seed, block, most)
+        return lambda key, frame: inner(key, frame).assign(taken=len(frame))
+
+    mixing._draw = draw
+    try:
+        seen = [r["taken"] for r in mixing.mix(docs, shard_rows=500).collect()]
+    finally:
+        mixing._draw = plain
+    assert len(seen) == len(rows) and max(seen) < 1000
+    assert as_rows(mix(docs, shard_rows=500), "doc_id", "size", "taken") == as_rows(mix(docs.repartition(7), shard_rows=500), "doc_id", "size", "taken")

@@ -14,7 +14,7 @@ COLUMNS = {
     "op2_mixing": ["doc_id", "size", "source_size", "target", "taken"],
     "op3_secret_scan": ["doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans"],
     "op4_url_filter": ["page_id", "host", "fetched", "suffix", "valid_from", "verdict"],
-    "op5_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+    "op5_suffix_dedup": ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "holds_repeats"],
     "op6_license_scan": ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score"],
     "op7_decontamination": ["doc_id", "item_id", "item_words", "covered_words", "n_windows", "n_slots", "reparameterised"],
     "op8_toxicity": ["doc_id", "held_out", "score", "predicted"],

@@ -53,3 +53,12 @@ def test_hosts(spark):
     urls = ["HTTPS://User@Host.Example:443/p", "host.example/p", "//x", "mailto:a@b", "https:///p"]
     df = spark.createDataFrame([(u,) for u in urls], "u STRING")
     assert [r[0] for r in df.select(host_of(df.u)).collect()][:2] == ["host.example", "host.example"]
+
+
+def test_long_hosts_and_stray_signs(spark):
+    """A blocked parent counts however many labels stand before it, and signs around a host do not hide it."""
+    deep = "http://" + "x." * 130 + "example.com/"
+    odd = [" http://bad.com", "bad.com..", "http://bad.com:80:80/", "http://u@bad.com.:80", "\thttps://BAD.com", deep]
+    captures, entries = frames(spark, [(k, u, "2020-06-01") for k, u in enumerate(odd)], [("bad.com", "2020-01-01", "block"), ("example.com", "2020-01-01", "block")])
+    assert [r["verdict"] for r in judge(captures, entries).orderBy("page_id").collect()] == ["block"] * len(odd)
+    assert {r["verdict"] for r in judge(captures, entries.limit(0)).collect()} == {"unlisted"}

@@ -22,7 +22,7 @@ def training_texts(
 ) -> DataFrame:
     """doc_id, text, label (0.0 or 1.0) of at most ``rows`` labelled documents outside the held-out fold.
 
-    Ids with several labels count as the largest; ids repeated in ``docs`` give one row per text.
+    Ids with several labels count as the largest; of an id with several texts the one of least hash counts.
     """
     chosen = (
         labels.select(F.col("doc_id").cast("long").alias("label_id"), F.col(label).cast("double").alias("label"))
@@ -34,4 +34,8 @@ def training_texts(
         .limit(rows)
     )
     chosen = kept(chosen, "chosen")
-    return documents(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).drop("label_id")
+    texts = documents(docs).join(F.broadcast(chosen), F.col("doc_id") == F.col("label_id")).drop("label_id")
+    if texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").isEmpty():
+        return texts
+    first = F.min(F.struct(F.xxhash64("text").alias("hash"), "text")).alias("first")
+    return texts.groupBy("doc_id", "label").agg(first).select("doc_id", F.col("first.text").alias("text"), "label")

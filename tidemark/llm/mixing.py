@@ -7,7 +7,7 @@ the highest quotients target / (2 q + 1), and a source's blocks to its shards li
 shard knows its quota before anything is drawn. A shard takes whole passes over its documents and then
 a seeded choice of its blocks; a document gets the words of it that lie in chosen blocks.
 
-Null or empty texts have size 0 and take 0. Repeated rows are separate documents. An empty table gives
+Null or empty texts have size 0 and take 0. Repeated rows are separate documents, dealt to shards each. An empty table gives
 no rows. A shard holds about ``SHARD_WORDS`` words and at most about ``SHARD_ROWS`` rows, so a source of
 any size is spread over many tasks.
 """
@@ -183,14 +183,17 @@ def mix(
     spread = F.ceil(F.greatest(F.col("source_size") / shard_words, F.col("source_rows") / shard_rows, F.lit(1)))
     sources = kept(sources.withColumn("shards", spread.cast("int")).drop("all", "blocks"), "sources")
     held = F.broadcast(sources) if sources.count() <= 1 << 16 else sources.hint("shuffle_hash")
+    # Rows alike in id, source and size are numbered, so that those of one id, or without one, spread as well.
+    alike = rows.groupBy("doc_id", "source", "size").agg(F.count(F.lit(1)).alias("k"))
+    numbered = alike.withColumn("nth", F.explode(F.sequence(F.lit(0).cast("long"), F.col("k") - 1))).drop("k")
     placed = (
-        rows.alias("r")
+        numbered.alias("r")
         .join(held.alias("s"), F.col("r.source").eqNullSafe(F.col("s.source")))
         .select(
             "r.doc_id",
             "r.size",
             "s.source_id",
-            F.pmod(F.xxhash64(F.coalesce("r.doc_id", F.lit(-1)), F.lit(seed)), F.col("s.shards")).cast("int").alias("shard"),
+            F.pmod(F.xxhash64(F.coalesce("r.doc_id", F.lit(-1)), "r.size", "r.nth", F.lit(seed)), F.col("s.shards")).cast("int").alias("shard"),
             "s.source_size",
             "s.target",
             "s.source_quota",

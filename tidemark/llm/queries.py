@@ -45,7 +45,8 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.deduplicate(read(spark, sf_dir, "documents"))
+    found = suffix_dedup.deduplicate(read(spark, sf_dir, "documents"))
+    return found.withColumn("holds_repeats", F.col("n_removed") > 0)
 
 
 def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -94,8 +95,8 @@ FROM t WINDOW w AS (PARTITION BY text_sha256)
 OP4_SQL = r"""
 WITH u AS (
   SELECT page_id, nullif(regexp_replace(regexp_replace(regexp_extract(regexp_replace(
-    translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^[a-z][a-z0-9+.-]*://', ''),
-    '^[^/?#]*', 0), '^.*@|:[0-9]*$', '', 'g'), '\.$', ''), '') AS host
+    translate(url, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^[\x20\x09-\x0D]*([a-z][a-z0-9+.-]*://)?', ''),
+    '^[^/?#\x20\x09-\x0D]*', 0), '^.*@', ''), '(:[0-9]*|\.)+$', ''), '') AS host
   FROM pages
 ), c AS (
   SELECT page_id, host, DATE '2020-01-01' + CAST((page_id * 7919) % 1461 AS INTEGER) AS fetched FROM u

@@ -5,8 +5,8 @@ its suffix. Intervals are laid out by suffix and month, so that a capture meets
 month, and a suffix with a long history or very many captures is spread over months. Of the suffixes of
 a host that have an active entry the longest decides.
 
-Urls are reduced to their host (scheme, user, port and path removed, A-Z lower-cased, a trailing dot
-dropped); null or hostless urls match nothing. Of entries on one suffix and day the action that comes
+Urls are reduced to their host (white space around them, scheme, user, ports and path removed, A-Z
+lower-cased, trailing dots dropped); null or hostless urls match nothing. Of entries on one suffix and day the action that comes
 last by name counts. Repeated captures are judged each; captures without a day match nothing.
 """
 
@@ -18,13 +18,12 @@ from pyspark.sql import functions as F
 from tidemark.llm.tables import ascii_lower, kept
 
 FOREVER = "9999-12-31"
-MOST_LABELS = 127  # a host name has at most 253 signs, and so at most 127 labels
 
 
 def host_of(url: Column) -> Column:
-    rest = F.regexp_replace(ascii_lower(url), r"^[a-z][a-z0-9+.-]*://", "")
-    plain = F.regexp_replace(F.regexp_extract(rest, r"^[^/?#]*", 0), r"^.*@|:[0-9]*$", "")
-    return F.nullif(F.regexp_replace(plain, r"\.$", ""), F.lit(""))
+    rest = F.regexp_replace(ascii_lower(url), r"^[\x20\x09-\x0D]*([a-z][a-z0-9+.-]*://)?", "")
+    plain = F.regexp_replace(F.regexp_extract(rest, r"^[^/?#\x20\x09-\x0D]*", 0), r"^.*@", "")
+    return F.nullif(F.regexp_replace(plain, r"(:[0-9]*|\.)+$", ""), F.lit(""))
 
 
 def _month(day: Column) -> Column:
@@ -58,10 +57,10 @@ def judge(captures: DataFrame, entries: DataFrame) -> DataFrame:
         .withColumn("month", F.explode(months))
     )
     labels = F.split("host", r"\.")
-    suffixes = F.transform(
-        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(MOST_LABELS))),
-        lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."),
-    )
+    # Suffixes of as many labels as some entry has; these numbers are few, whatever the list's length.
+    lengths = entries.where("suffix IS NOT NULL").select(F.size(F.split("suffix", r"\.")).alias("n")).distinct().orderBy("n").collect()
+    wanted = F.filter(F.array(*[F.lit(r["n"]) for r in lengths]).cast("array<int>"), lambda n: n <= F.size(labels))
+    suffixes = F.transform(wanted, lambda n: F.array_join(F.slice(labels, F.size(labels) - n + 1, n), "."))
     asked = (
         rows.where("host IS NOT NULL AND fetched IS NOT NULL")
         .groupBy("host", "fetched")
