@@ -11,7 +11,7 @@ from tidemark.plans import partitions as moves
 from tidemark.plans.merge_into import merge_into
 from tidemark.plans.partitions import Delivery, remove_stale_versions
 from tidemark.plans.scd2_step import apply_scd2_batch, newest_changes
-from tidemark.operators.staging import stage
+from tidemark.operators.staging import point_filter, stage
 from tidemark.sources.tables import open_table
 
 
@@ -164,3 +164,54 @@ def test_formats_with_their_own_merge_get_all_clauses(spark, tmp_path):
     staged = stage(newest_changes(second, a_feed), None)
     with pytest.raises(Exception, match="MERGE INTO TABLE"):
         merge_into(staged, table, ["price"], ["name"], a_feed.rules)
+
+
+def scanned(df):
+    """Rows that the scan below ``df`` read."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().collectLeaves().head().metrics().apply("numOutputRows").value()
+
+
+def test_row_groups_without_the_keys_are_not_read(spark, tmp_path, plan_of):
+    """Keys in the range of every file, but in few: only the Bloom filters can tell."""
+    a_feed = feed()
+    first = rows(spark, *[(k, "10", "a", "c", 1 + k % 10) for k in range(2000)])
+    table = tables(spark, first.drop("_offset"), a_feed, tmp_path).scd2
+    apply_scd2_batch(spark, first, table, a_feed)
+    wanted = point_filter(newest_changes(rows(spark, (777, "20", "a", "u", 12), (1007, "20", "a", "u", 12)), a_feed), 2)
+    found = spark.table(table.sql_name).where(wanted).select("JoinKey", "EffectiveDate")
+    text = plan_of(found)
+    assert "PushedFilters" in text and "EqualTo(JoinKey,777)" in text
+    assert found.count() == 2 and scanned(found) < 600  # one or two of ten days of 200 rows
+    assert point_filter(newest_changes(first, a_feed), 2000) is None
+
+
+def test_keys_with_quotes_are_found(spark, tmp_path):
+    a_feed = feed(after_ddl="id STRING, price STRING, name STRING")
+    odd = ["it's", 'a "b"', "c\\d", "e\\'f", "", "100%"]
+
+    def batch(price, day):
+        made = [(k, price, "n", "u", dt.date(2024, 1, day), i) for i, k in enumerate(odd)]
+        return with_business_key(spark.createDataFrame(made, "id STRING, price STRING, name STRING, op_type STRING, ds DATE, _offset BIGINT"), ["id"])
+
+    table = tables(spark, batch("1", 1).drop("_offset"), a_feed, tmp_path).scd2
+    for price, day in (("1", 1), ("2", 2)):
+        report = apply_scd2_batch(spark, batch(price, day), table, a_feed)
+    assert (report.inserted, report.closed) == (len(odd), len(odd))
+
+
+def test_moves_take_as_many_catalog_calls_for_many_partitions(spark, tmp_path, monkeypatch):
+    calls = []
+    plain = type(spark).sql
+    monkeypatch.setattr(type(spark), "sql", lambda self, text, *a, **b: (calls.append(text), plain(self, text, *a, **b))[1])
+    seen = []
+    for n in (3, 24):
+        a_feed = feed(key_buckets=2)
+        first = rows(spark, *[(k, "10", "a", "c", 1 + k % n) for k in range(60)])
+        table = tables(spark, first.drop("_offset"), a_feed, tmp_path).scd2
+        apply_scd2_batch(spark, first, table, a_feed)
+        calls.clear()
+        report = apply_scd2_batch(spark, rows(spark, *[(k, "20", "b", "u", 1 + k % n) for k in range(60)]), table, a_feed)
+        assert report.partitions >= n and report.closed == 60
+        seen.append(len(calls))
+    assert seen[0] == seen[1]

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.config import BOOKKEEPING, JOIN_KEY, SCD_COLUMNS, MergeRules
@@ -15,10 +16,25 @@ from tidemark.operators.skew import join_on_key
 MERGE_KEY = "mergeKey"
 DEFAULT_RULES = MergeRules()
 
+# A batch of at most this many keys looks for them by value.
+POINT_KEYS = 64
+
 # In a matched row the columns of the newest change carry this prefix.
 NEW = "_s_"
 
 
+def point_filter(newest: DataFrame, keys: int) -> Column | None:
+    """The keys of a small batch, spelled out: files and row groups without them are not read.
+
+    One equality per key, which Parquet tests against a row group's statistics, dictionary and Bloom filter;
+    a longer list would reach it as a mere range. None for more than ``POINT_KEYS`` keys.
+    """
+    if keys > POINT_KEYS:
+        return None
+    tests = [F.col(JOIN_KEY) == F.lit(r[0]) for r in newest.select(JOIN_KEY).collect()]
+    return reduce(lambda a, b: a | b, tests, F.lit(False))
+
+
 def versions_of(
     newest: DataFrame, target: DataFrame, small: bool = False, hot: DataFrame | None = None
 ) -> DataFrame:

@@ -28,6 +28,7 @@ from tidemark.operators.skew import hot_keys, versions_per_key
 from tidemark.operators.staging import (
     changed_among,
     match_versions,
+    point_filter,
     reopened_among,
     stage,
     staged_updates,
@@ -51,6 +52,10 @@ from tidemark.session import remove_dir, run_dir, run_id
 from tidemark.sources.tables import TableRef
 
 
+# Writer settings for a Bloom filter of the keys, as small as the row group allows.
+KEY_FILTERS = {f"parquet.bloom.filter.enabled#{JOIN_KEY}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
+
+
 @dataclass(frozen=True)
 class Scd2Report:
     keys: int = 0
@@ -132,7 +137,9 @@ def apply_scd2_batch(
         if not scd and not upd:
             mark_applied(spark, table, delivery)
             return Scd2Report(keys=size.rows)
-        target = spark.table(table.sql_name)
+        target = searched = spark.table(table.sql_name)
+        if small and (wanted := point_filter(newest, size.rows)) is not None:
+            searched = target.where(wanted)
 
         if supports_merge(table):
             staged = staged_updates(newest, target, scd, feed.rules, small)
@@ -141,7 +148,7 @@ def apply_scd2_batch(
             return Scd2Report(keys=size.rows)
 
         part, parts_of = table.partition_col, table.partition_cols
-        located = target.select(JOIN_KEY, *parts_of)
+        located = searched.select(JOIN_KEY, *parts_of)
         hot = None
         if small:
             touched = distinct_places(versions_of(newest, located, small), parts_of)
@@ -154,7 +161,7 @@ def apply_scd2_batch(
             if hot is not None:
                 kept.append(hot)
         matched = match_versions(
-            target.where(in_places(parts_of, touched)), newest, "inner", small, hot
+            searched.where(in_places(parts_of, touched)), newest, "inner", small, hot
         ).persist()
         kept.append(matched)
         if feed.rules.every_change:
@@ -205,7 +212,10 @@ def apply_scd2_batch(
         folder = f"{table.location}/_versions/{run_id()}"
         rows = carried.unionByName(merged.hint("rebalance", *parts_of))
         written = Observation()
-        rows.observe(written, F.count(F.lit(1)).alias("n")).write.partitionBy(*parts_of).parquet(folder)
+        rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
+        # In the order of the keys, which takes no more than the writer's own sort by partition.
+        rows = rows.sortWithinPartitions(*parts_of, JOIN_KEY)
+        rows.write.options(**KEY_FILTERS).partitionBy(*parts_of).parquet(folder)
         report = replace(report, rewritten=written.get["n"])
 
         # Only rows that moved between partitions can leave one empty. The folders are read with
