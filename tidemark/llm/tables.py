@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +15,9 @@ from tidemark.session import run_dir
 BROADCAST_ROWS = 1 << 18
 # The same for rows of a single number.
 BROADCAST_NUMBERS = 1 << 20
+# Bytes of a batch between the JVM and Python; both sides hold one or two per task.
+BATCH_BYTES = 8 << 20
+_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -20,11 +25,26 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Batches of at most ``BATCH_BYTES`` go to Python meanwhile, whatever texts a row holds."""
+    before = spark.conf.get(_BATCH_SETTING, None)
+    spark.conf.set(_BATCH_SETTING, BATCH_BYTES)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_BATCH_SETTING)
+        else:
+            spark.conf.set(_BATCH_SETTING, before)
+
+
 def kept(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: lineage ends here."""
     spark = df.sparkSession
     path = run_dir(spark, label)
-    df.write.parquet(path)
+    with small_batches(spark):
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
