@@ -115,3 +115,47 @@ def test_statements_without_the_word_license(spark):
     texts = ["released under MIT", "Distributed under Apache 2.0", "Apache version 2.0", "3-clause BSD", "CDDL 1.0", "in the public  domain", "submit a commit"]
     got = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING")).orderBy("doc_id").collect()
     assert [r["labels"] for r in got] == ["mit", "apache-2.0", "apache-2.0", "bsd", "cddl-1.0", "public-domain", ""]
+
+
+MIT = (
+    "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files "
+    '(the "Software"), to deal in the Software without restriction'
+)
+BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that"
+THIRD = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived"
+GPL = (
+    "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation, "
+    "either version {} of the License, or (at your option) any later version."
+)
+
+
+SIGNED = [
+    (MIT, "mit"),
+    (BSD, "bsd"),
+    (f"{BSD} {THIRD}", "bsd-3-clause"),
+    ("Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided", "isc"),
+    ("Licensed under the Apache License, Version 2.0 (the License); you may not use", "apache-2.0"),
+    ("http://www.apache.org/licenses/LICENSE-2.0", "apache-2.0"),
+    (GPL.format("General Public License", 2), "gpl-2.0-or-later"),
+    (GPL.format("Lesser General Public License", "2.1"), "lgpl-2.1-or-later"),
+    (GPL.format("Affero General Public License", 3), "agpl-3.0-or-later"),
+    ("This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.", "mpl-2.0"),
+    ("SPDX-License-Identifier: BSD-3-Clause", "bsd-3-clause"),
+    ("SPDX-License-Identifier: 0BSD", "0bsd"),
+    ("BSD 3-Clause License", "bsd-3-clause"),
+    ("see GPLv3 for more", "gpl-3.0"),
+    ("https://creativecommons.org/licenses/by/4.0/", "cc-by-4.0"),
+    ("https://creativecommons.org/licenses/by-nc-sa/3.0/", "cc-by-nc-sa-3.0"),
+    ("This is free and unencumbered software released into the public domain.", "unlicense"),
+]
+
+
+def test_texts_headers_tags_and_links(spark):
+    texts = ["some prose before " + text + " and more prose behind" for text, _ in SIGNED]
+    texts.append("hereby we were granted a charge for the neither here nor there")
+    got = scan(spark.createDataFrame(list(enumerate(texts)), "doc_id BIGINT, text STRING"))
+    found = {r["doc_id"]: set(r["labels"].split(",")) for r in got.collect()}
+    for k, (text, label) in enumerate(SIGNED):
+        assert label in found[k], text
+        assert method(texts[k]) | {x for x in base(texts[k])[-1].split(",") if x} == found[k], text
+    assert found[len(SIGNED)] == {""}

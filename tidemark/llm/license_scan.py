@@ -1,9 +1,9 @@
 """License scan by ordered signature rules, with DataFrame functions only.
 
 Words are runs of letters, digits and signs beyond ASCII, A-Z lower-cased. Base places are the fixed
-phrases of ``BASE``. On top, several hundred signature rules (built from ``FAMILIES`` by four shapes:
-tag, statement, name with version, bare name) run over the words joined by single spaces. A rule is
-tried only where its keyword occurs. A detection is dropped when one of at least its priority covers it;
+phrases of ``BASE``. On top, several hundred signature rules run over the words joined by single spaces:
+those of ``SIGNATURES`` (texts of licences, headers, tags, links), then names from ``FAMILIES`` in four
+shapes (tag, statement, name with version, bare name). A rule is tried only where its keyword occurs. A detection is dropped when one of at least its priority covers it;
 of equal ones the earlier rule stays. Everything happens within the row, so nothing is shuffled.
 
 Null and empty texts have no words, no labels and score 0.
@@ -68,6 +68,85 @@ CC_VERSIONS = ("1.0", "2.0", "2.5", "3.0", "4.0")
 # Labels whose name is a single word and yet counts by itself.
 SINGLE_WORDS = ("unlicense", "wtfpl", "cc0")
 
+# Signatures of licence texts, headers, tags and links, as label, words that a text must hold,
+# and pattern over lower-cased words. Of two on one place the earlier counts, so the narrower ones come first.
+_OR_LATER = "either version {} of the licen[cs]e or at your option any later version"
+_PUBLISHED = "licen[cs]e(?: version {0})? as published by the free software foundation"
+SIGNATURES = (
+    # texts of licences
+    ("mit", ("hereby", "granted"), "permission is hereby granted free of charge to any person obtaining a copy of this software"),
+    ("mit-0", ("hereby", "granted"), "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so the software is provided as is"),
+    ("bsd-4-clause", ("advertising", "acknowledg"), "all advertising materials mentioning features or use of this software must display the following acknowledge?ment"),
+    ("bsd-3-clause", ("neither", "endorse"), "neither the names? of (?:the )?(?:copyright holders?|authors?|company|university|organization|project) nor the names of (?:its|their|any) contributors may be used to endorse or promote products"),
+    ("bsd", ("redistribution", "binary"), "redistribution and use in source and binary forms with or without modification are permitted"),
+    ("isc", ("hereby", "granted"), "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc", ("hereby", "granted"), "permission to use copy modify and distribute this software for any purpose with or without fee is hereby granted"),
+    ("0bsd", ("hereby", "granted"), "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted the software is provided as is"),
+    ("zlib", ("altered", "misrepresented"), "altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("bsl-1.0", ("hereby", "granted"), "permission is hereby granted free of charge to any person or organization obtaining a copy of the software and accompanying documentation"),
+    ("unlicense", ("unencumbered",), "this is free and unencumbered software released into the public domain"),
+    ("wtfpl", ("fuck",), "you just do what the fuck you want to"),
+    ("postgresql", ("hereby", "granted"), "permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted"),
+    ("mpl-2.0", ("mozilla", "licen"), "this source code form is subject to the terms of the mozilla public licen[cs]e v 2 0"),
+    ("epl-2.0", ("eclipse", "licen"), "this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e(?: v)? 2 0"),
+    ("epl-1.0", ("eclipse", "licen"), "this program and the accompanying materials are made available under the terms of the eclipse public licen[cs]e v1 0"),
+    ("artistic-2.0", ("artistic", "licen"), "you (?:can|may) redistribute it and or modify it under the terms of the artistic licen[cs]e 2 0"),
+    ("cc0-1.0", ("extent", "copyright"), "to the extent possible under law (?:the authors?|the person who associated cc0 with this work) (?:has|have) (?:dedicated|waived) all copyright"),
+    ("psf-2.0", ("psf", "grants"), "psf hereby grants licensee a nonexclusive royalty free world wide licen[cs]e"),
+    # headers of the GNU licences
+    *[
+        (f"{label}-{version}-or-later", ("gnu", "licen"), f"gnu {name} {_PUBLISHED.format(n)} {_OR_LATER.format(n)}")
+        for label, name, versions in (
+            ("agpl", "affero general public", (("3.0", "3"),)),
+            ("lgpl", "lesser general public", (("2.1", "2 1"), ("3.0", "3"))),
+            ("gpl", "general public", (("2.0", "2"), ("3.0", "3"))),
+        )
+        for version, n in versions
+    ],
+    ("gpl-2.0-only", ("gnu", "licen"), "gnu general public licen[cs]e version 2 as published by the free software foundation"),
+    ("gpl-3.0-only", ("gnu", "licen"), "gnu general public licen[cs]e version 3 as published by the free software foundation"),
+    # tags
+    *[
+        (tag.lower(), ("spdx", "licen"), "spdx licen[cs]e identifier " + " ".join(re.split("[^a-z0-9]+", tag.lower())))
+        for tag in (
+            "BSD-3-Clause-Clear", "BSD-2-Clause-Patent", "BSD-2-Clause", "BSD-3-Clause",
+            "BSD-4-Clause", "0BSD", "MIT-0", "ISC", "Zlib", "Unlicense",
+            "BSL-1.0", "NCSA", "PostgreSQL", "Python-2.0", "X11", "HPND",
+            "OFL-1.1", "UPL-1.0", "BlueOak-1.0.0", "MulanPSL-2.0", "EUPL-1.2",
+            "CECILL-2.1", "ODbL-1.0", "MS-PL", "MS-RL", "SSPL-1.0", "BUSL-1.1",
+        )
+    ],
+    # short forms and links
+    *[
+        (f"{label}-{n}.0", ("gpl",), f"{label}v{n}(?: 0)?")
+        for label, versions in (("agpl", "3"), ("lgpl", "23"), ("gpl", "123"))
+        for n in versions
+    ],
+    ("bsd-2-clause", ("bsd",), "(?:bsd (?:2|two) clause|simplified bsd)(?: licen[cs]e)?"),
+    ("bsd-3-clause", ("bsd",), "bsd (?:3|three) clause(?: licen[cs]e)?"),
+    *[
+        (f"cc-{kind}-{version}", (" org ", "licenses"), f"creativecommons org licenses {kind.replace('-', ' ')} {version.replace('.', ' ')}")
+        for kind in ("by-nc-sa", "by-nc-nd", "by-sa", "by-nc", "by-nd", "by")
+        for version in ("1.0", "2.0", "2.5", "3.0", "4.0")
+    ],
+    ("cc0-1.0", (" org ", "publicdomain"), "creativecommons org publicdomain zero 1 0"),
+    ("apache-2.0", (" org ", "licenses"), "apache org licenses licen[cs]e 2 0"),
+    *[
+        (f"{label}-{version}", (" org ", "licenses"), f"gnu org licenses (?:old licenses )?{label} {version.replace('.', ' ')}")
+        for label, versions in (("agpl", ("3.0",)), ("lgpl", ("2.1", "3.0")), ("gpl", ("1.0", "2.0", "3.0")), ("fdl", ("1.3",)))
+        for version in versions
+    ],
+    *[
+        (label, (" org ", "licenses"), f"opensource org licenses {words}")
+        for label, words in (
+            ("mit", "mit"), ("isc", "isc"), ("bsd-2-clause", "bsd 2 clause"), ("bsd-3-clause", "bsd 3 clause"),
+            ("apache-2.0", "apache 2 0"), ("mpl-2.0", "mpl 2 0"), ("zlib", "zlib"), ("ecl-2.0", "ecl 2 0"),
+        )
+    ],
+    ("mpl-2.0", ("mozilla", "mpl"), "mozilla org mpl 2 0"),
+    ("unlicense", ("unlicense",), "unlicense org"),
+    ("bsl-1.0", ("boost", "txt"), "boost org licen[cs]e 1 0 txt"),
+)
 TAG, STATEMENT, VERSIONED, BARE = 3, 2, 1, 0
 CONFIDENCE = {TAG: 1.0, STATEMENT: 0.95, VERSIONED: 0.8, BARE: 0.5}
 _GRANT = "(?:licen[cs]ed|released|distributed|available|published|provided) under (?:the )?(?:terms of )?(?:the )?(?:an? )?"
@@ -99,6 +178,8 @@ def signature_rules() -> list[tuple[int, str, str, str, int]]:
             found.append((label, keyword, f"{_GRANT}{name}", STATEMENT))
             if " " in name or label in SINGLE_WORDS:
                 found.append((label, keyword, name, BARE))
+    # Written signatures come first: of equal detections the earlier rule stays.
+    found = [(label, max(needs, key=len), pattern, TAG) for label, needs, pattern in SIGNATURES] + found
     return [(k, label, keyword, f"(?<= ){pattern}(?= )", priority) for k, (label, keyword, pattern, priority) in enumerate(found)]
 
 
@@ -112,6 +193,7 @@ def text_needs() -> list[frozenset[str]]:
             needs |= {frozenset(own | {"spdx", "licen"}), frozenset(own | {" under "})}
             if versions or " " in name or label in SINGLE_WORDS:
                 needs.add(frozenset(own))
+    needs |= {frozenset(own) for _, own, _ in SIGNATURES}
     return sorted((n for n in needs if not any(m < n for m in needs)), key=sorted)
 
 
