@@ -68,13 +68,13 @@ def widens(have: T.DataType, want: T.DataType) -> bool:
     order = [T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()]
     if have == want:
         return True
+    if want == T.StringType() and isinstance(have, (T.NumericType, T.DateType, T.BooleanType)):
+        return True
     if have in order:
         exact = want == T.DoubleType() and have != T.LongType()
         return exact or (want in order and order.index(have) < order.index(want))
     if isinstance(have, T.StructType) and isinstance(want, T.StructType):
         return all(f.name in have.names and widens(have[f.name].dataType, f.dataType) for f in want.fields)
-    if want == T.StringType() and isinstance(have, (T.NumericType, T.DateType, T.BooleanType)):
-        return True
     return (have, want) == (T.FloatType(), T.DoubleType()) or (have, want) == (T.DateType(), T.TimestampType())
 
 
