@@ -24,6 +24,7 @@ from tidemark.plans.partitions import (
     applied,
     distinct_values,
     in_partitions,
+    mark_applied,
     properties,
     set_properties,
     was_applied,
@@ -169,7 +170,9 @@ def _move_in(spark: SparkSession, table: TableRef, folder: str, delivery: Delive
     with ThreadPoolExecutor(_MOVERS) as pool:
         list(pool.map(move, found))
     spark.catalog.refreshTable(table.sql_name)
-    set_properties(spark, table, **{ADDING: ""}, **applied(delivery))
+    # In this order: lost in between, the batch is marked once more, and nothing is left to move.
+    mark_applied(spark, table, delivery)
+    set_properties(spark, table, **{ADDING: ""})
     remove_dir(spark, folder)
 
 
