@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,15 +16,15 @@ TOPIC_DDL = "value BINARY, topic STRING, partition INT, offset BIGINT, timestamp
 
 def kafka_options(
     bootstrap_servers: str,
-    topic: str,
+    topic: str | Iterable[str],
     group_id: str | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> dict[str, str]:
-    """Reader options. ``extra`` takes e.g. ``maxOffsetsPerTrigger`` or ``minPartitions``,
+    """Reader options for a topic, or for several that share one subscription. ``extra`` takes e.g. ``maxOffsetsPerTrigger`` or ``minPartitions``,
     which keep the first batch of a long topic from being one huge batch."""
     options = {
         "kafka.bootstrap.servers": bootstrap_servers,
-        "subscribe": topic,
+        "subscribe": topic if isinstance(topic, str) else ",".join(topic),
         "startingOffsets": STARTING_OFFSETS,
         "kafkaConsumer.pollTimeoutMs": POLL_TIMEOUT_MS,
     }
@@ -37,7 +37,7 @@ def kafka_options(
 def read_kafka_topic(
     spark: SparkSession,
     bootstrap_servers: str,
-    topic: str,
+    topic: str | Iterable[str],
     group_id: str | None = None,
     extra: Mapping[str, str] | None = None,
 ) -> DataFrame:

@@ -163,7 +163,11 @@ def apply_change_batch(
 
 
 def apply_flat_batch(
-    spark: SparkSession, batch: DataFrame, feed: FlatFeed, tables: FeedTables
+    spark: SparkSession,
+    batch: DataFrame,
+    feed: FlatFeed,
+    tables: FeedTables,
+    delivery: Delivery | None = None,
 ) -> HistoryReport:
     batch = batch.persist()
     try:
@@ -174,6 +178,7 @@ def apply_flat_batch(
             key_cols=feed.key_cols,
             rules=feed.rules,
             broadcast_bytes=feed.broadcast_bytes,
+            delivery=delivery,
         )
     finally:
         batch.unpersist()
@@ -205,6 +210,15 @@ def _query_id(session: SparkSession) -> str:
     return found
 
 
+def check_settings(feed: CdcFeed, checkpoint: str | None) -> None:
+    """Refuse settings that do not go together."""
+    if feed.batch_ledger and not checkpoint:
+        raise ValueError("batch_ledger needs a checkpoint")
+    for setting, wanted in (("batch_ledger", feed.batch_ledger), ("every_change", feed.rules.every_change)):
+        if wanted and feed.table_format in MERGE_FORMATS:
+            raise ValueError(f"{setting} is not for {feed.table_format} tables")
+
+
 def start_change_feed(
     spark: SparkSession,
     frames: DataFrame,
@@ -217,11 +231,7 @@ def start_change_feed(
 
     The ledger goes by the id in the checkpoint, so it needs one; a new checkpoint starts anew.
     """
-    if feed.batch_ledger and not checkpoint:
-        raise ValueError("batch_ledger needs a checkpoint")
-    for setting, wanted in (("batch_ledger", feed.batch_ledger), ("every_change", feed.rules.every_change)):
-        if wanted and feed.table_format in MERGE_FORMATS:
-            raise ValueError(f"{setting} is not for {feed.table_format} tables")
+    check_settings(feed, checkpoint)
     rows = change_rows(frames, feed)
     tables = prepare_tables(spark, rows, feed, root)
 

@@ -167,12 +167,13 @@ def event_frames(
     return frames.withColumn("batch_no", batch_number(F.col("timestamp")))
 
 
-def order_changes_feed(topic: str) -> CdcFeed:
+def order_changes_feed(topic: str, **changes) -> CdcFeed:
     return events_feed(
         topic=topic,
         after_ddl="o_custkey BIGINT, o_orderpriority STRING, o_orderkey BIGINT",
         key_cols=("o_custkey",),
         scd_cols=("o_orderpriority",),
+        **changes,
     )
 
 

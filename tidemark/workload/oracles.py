@@ -163,6 +163,15 @@ def _history(steps: Sequence[Sequence[int]], nulls: bool = False, null_safe: boo
 
 _THREE_STEPS = ((1,), (2,), (3,))
 
+_TWO_STATES = (
+    f"WITH {_changes()}, n AS (SELECT * FROM e QUALIFY row_number() OVER "
+    '(PARTITION BY "JoinKey" ORDER BY ds DESC NULLS LAST, event_id DESC) = 1), '
+    "o AS (SELECT *, CAST(o_orderdate AS DATE) AS ds FROM orders QUALIFY row_number() OVER "
+    "(PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC NULLS LAST, o_orderkey DESC) = 1) "
+    "SELECT 'events' AS feed, \"JoinKey\", tier AS versioned, ds AS \"EffectiveDate\" FROM n UNION ALL "
+    "SELECT 'orders', CAST(o_custkey AS VARCHAR), o_orderpriority, ds FROM o"
+)
+
 ORACLES: dict[str, str] = {
     "frame_roundtrip": (
         f"SELECT event_id, user_id, event_type, value, props, {_OP} AS op_type, "
@@ -295,14 +304,8 @@ ORACLES: dict[str, str] = {
     "stream_history": f"{_history(_THREE_STEPS)} SELECT * FROM h3",
     "stream_scd2": _table(),
     "stream_new_checkpoint": _table(batches=((1,), (1, 2), (3,))),
-    "two_change_feeds": (
-        f"WITH {_changes()}, n AS (SELECT * FROM e QUALIFY row_number() OVER "
-        '(PARTITION BY "JoinKey" ORDER BY ds DESC NULLS LAST, event_id DESC) = 1), '
-        "o AS (SELECT *, CAST(o_orderdate AS DATE) AS ds FROM orders QUALIFY row_number() OVER "
-        "(PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC NULLS LAST, o_orderkey DESC) = 1) "
-        "SELECT 'events' AS feed, \"JoinKey\", tier AS versioned, ds AS \"EffectiveDate\" FROM n UNION ALL "
-        "SELECT 'orders', CAST(o_custkey AS VARCHAR), o_orderpriority, ds FROM o"
-    ),
+    "two_change_feeds": _TWO_STATES,
+    "one_source_feeds": _TWO_STATES,
     "multi_feed_counts": (
         "SELECT 'events_hist' AS feed_table, count(*) AS rows FROM events UNION ALL "
         "SELECT 'events_scd2', count(DISTINCT user_id) FROM events UNION ALL "

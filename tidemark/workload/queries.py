@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.config import BOOKKEEPING, JOIN_KEY, KEY_BUCKET, TIMELINE, MergeRules
+from tidemark.config import BOOKKEEPING, JOIN_KEY, KEY_BUCKET, TIMELINE, CdcFeed, MergeRules
 from tidemark.functions.frames import (
     date_from_days,
     date_from_millis,
@@ -60,6 +60,7 @@ from tidemark.streaming.feeds import (
     start_feeds,
     table_count,
 )
+from tidemark.streaming.shared import start_shared_feed
 from tidemark.workload import inputs
 
 BATCHES = (1, 2, 3)
@@ -579,6 +580,31 @@ def two_change_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     for query in started:
         query.awaitTermination()
+    return _two_states(spark, events, orders)
+
+
+def one_source_feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same two feeds by one query, over one source that holds both topics."""
+    root, name = _workspace(spark)
+    events = inputs.events_feed(topic=f"{name}.dbo.events", batch_ledger=True)
+    orders = inputs.order_changes_feed(topic=f"{name}.dbo.orders", batch_ledger=True)
+    source = f"{root}/topics"
+    write_topic_files(inputs.event_frames(spark, sf_dir, events.topic).drop("batch_no"), source)
+    write_topic_files(inputs.order_frames(spark, sf_dir, orders.topic), source)
+    query = start_shared_feed(
+        spark,
+        read_topic_files(spark, source),
+        [events, orders],
+        root,
+        f"{root}/checkpoint",
+        {"availableNow": True},
+        name,
+    )
+    query.awaitTermination()
+    return _two_states(spark, events, orders)
+
+
+def _two_states(spark: SparkSession, events: CdcFeed, orders: CdcFeed) -> DataFrame:
     parts = [
         active_rows(spark, scd2_name(feed.topic)).select(
             F.lit(label).alias("feed"), JOIN_KEY, F.col(feed.scd_cols[0]).alias("versioned"), "EffectiveDate"
@@ -677,5 +703,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_scd2": stream_scd2,
     "stream_new_checkpoint": stream_new_checkpoint,
     "two_change_feeds": two_change_feeds,
+    "one_source_feeds": one_source_feeds,
     "multi_feed_counts": multi_feed_counts,
 }
