@@ -75,6 +75,9 @@ class CdcFeed:
     # Versioned table only: a second partition level by a hash of the key, so that a merge rewrites
     # date x bucket instead of whole dates. Fixed when the table is created.
     key_buckets: int = 0
+    # Versioned table only: active and closed versions in files of their own, so that the current state is read
+    # without opening a file of closed ones. Fixed when the table is created.
+    split_active: bool = False
     batch_ledger: bool = False  # apply a batch of a checkpoint once, in both tables
     broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     hot_versions: int = DEFAULT_HOT_VERSIONS

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import JOIN_KEY, KEY_BUCKET, CdcFeed
-from tidemark.functions.keys import key_first, overwrite_columns
+from tidemark.functions.keys import ACTIVE, key_first, overwrite_columns
 from tidemark.operators.latest import latest_per_key
 from tidemark.operators.merge import (
     CLAUSE,
@@ -49,12 +49,19 @@ from tidemark.plans.partitions import (
     was_applied,
 )
 from tidemark.session import remove_dir, run_dir, run_id
-from tidemark.sources.tables import TableRef
+from tidemark.sources.tables import CLOSED_FILES, OPEN_FILES, TableRef, not_in_files
 
 
 # Writer settings for a Bloom filter of the keys, as small as the row group allows.
 KEY_FILTERS = {f"parquet.bloom.filter.enabled#{JOIN_KEY}": "true", "parquet.bloom.filter.adaptive.enabled": "true"}
 
+# By the first name of files: the rows they hold, and the files that hold none of them.
+ALL_FILES = {"part": ("true", None)}
+SPLIT_FILES = {
+    OPEN_FILES: (ACTIVE, CLOSED_FILES),
+    CLOSED_FILES: (f"NOT ({ACTIVE}) OR ActiveIndicator IS NULL", OPEN_FILES),
+}
+
 
 @dataclass(frozen=True)
 class Scd2Report:
@@ -204,19 +211,20 @@ def apply_scd2_batch(
 
         # Rows of other keys are carried over; the merged versions replace the rest.
         affected = in_places(parts_of, parts)
-        carried = versions_of_other_keys(newest, target.where(affected), small, hot)
-        if not small:
-            # That join hashes rows by key, i.e. every task would hold every partition.
-            carried = carried.hint("rebalance", *parts_of)
         merged = updated.where(f"{CLAUSE} <> {REMOVED}").drop(ORIGIN).where(affected).unionByName(inserts).drop(CLAUSE)
         folder = f"{table.location}/_versions/{run_id()}"
-        rows = carried.unionByName(merged.hint("rebalance", *parts_of))
-        written = Observation()
-        rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
-        # In the order of the keys, which takes no more than the writer's own sort by partition.
-        rows = rows.sortWithinPartitions(*parts_of, JOIN_KEY)
-        rows.write.options(**KEY_FILTERS).partitionBy(*parts_of).parquet(folder)
-        report = replace(report, rewritten=written.get["n"])
+        written = 0
+        for files, (kind, others) in (SPLIT_FILES if table.split_active else ALL_FILES).items():
+            stays = target.where(affected)
+            if others:
+                stays = stays.where(kind).where(not_in_files(others))
+            carried = versions_of_other_keys(newest, stays, small, hot)
+            if not small:
+                # That join hashes rows by key, i.e. every task would hold every partition.
+                carried = carried.hint("rebalance", *parts_of)
+            rows = carried.unionByName(merged.where(kind).hint("rebalance", *parts_of))
+            written += _write(rows, folder, files, parts_of)
+        report = replace(report, rewritten=written)
 
         # Only rows that moved between partitions can leave one empty. The folders are read with
         # the table's own types, whatever the session infers.
@@ -235,6 +243,17 @@ def apply_scd2_batch(
             remove_dir(spark, work)
 
 
+def _write(rows: DataFrame, folder: str, files: str, parts_of: list[str]) -> int:
+    """Add rows to a folder of partitions, in files of the given first name; returns their number."""
+    written = Observation()
+    rows = rows.observe(written, F.count(F.lit(1)).alias("n"))
+    # In the order of the keys, which takes no more than the writer's own sort by partition.
+    rows = rows.sortWithinPartitions(*parts_of, JOIN_KEY)
+    named = {"mapreduce.output.basename": files}
+    rows.write.mode("append").options(**KEY_FILTERS, **named).partitionBy(*parts_of).parquet(folder)
+    return written.get["n"]
+
+
 def _report(keys: int, effects: list[Row], partitions: int) -> Scd2Report:
     counts = dict.fromkeys((INSERTED, CLOSED_CHANGED, CLOSED_DELETED, OVERWRITTEN), 0)
     for r in effects:

@@ -22,6 +22,7 @@ class TableRef:
     location: str
     format: str = "parquet"
     key_buckets: int = 0
+    split_active: bool = False
 
     @property
     def partition_cols(self) -> list[str]:
@@ -40,6 +41,9 @@ def _text(value: str) -> str:
 
 # Table property holding the number of key buckets.
 BUCKETS = "tidemark.key_buckets"
+# Table property: active and closed versions are in files of their own; and how the names of those begin.
+SPLIT = "tidemark.split_active"
+OPEN_FILES, CLOSED_FILES = "open", "closed"
 
 
 def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
@@ -72,14 +76,17 @@ def create_table(
     table_format: str = "parquet",
     comment: str | None = None,
     key_buckets: int = 0,
+    split_active: bool = False,
 ) -> TableRef:
     """Table with an explicit schema at a location, unless it exists."""
     if spark.catalog.tableExists(quoted(name)):
         return open_table(spark, name)
     ddl = schema if isinstance(schema, str) else schema.toDDL()
-    table = TableRef(name, partition_col, location, table_format, key_buckets)
+    table = TableRef(name, partition_col, location, table_format, key_buckets, split_active)
     by = f" PARTITIONED BY ({', '.join(map(quoted, table.partition_cols))})" if partition_col else ""
-    kept = f" TBLPROPERTIES ({_text(BUCKETS)} = {_text(str(key_buckets))})" if key_buckets else ""
+    settings = {BUCKETS: key_buckets, SPLIT: "true" if split_active else ""}
+    pairs = ", ".join(f"{_text(k)} = {_text(str(v))}" for k, v in settings.items() if v)
+    kept = f" TBLPROPERTIES ({pairs})" if pairs else ""
     note = f" COMMENT {_text(comment)}" if comment else ""
     spark.sql(
         f"CREATE TABLE IF NOT EXISTS {quoted(name)} ({ddl}) USING {table_format}"
@@ -114,6 +121,7 @@ def create_scd2_table(
     location: str,
     table_format: str = "parquet",
     key_buckets: int = 0,
+    split_active: bool = False,
 ) -> TableRef:
     schema = scd2_schema(row_schema)
     if spark.catalog.tableExists(quoted(name)):
@@ -121,7 +129,7 @@ def create_scd2_table(
     if key_buckets:
         schema = T.StructType([*schema.fields, T.StructField(KEY_BUCKET, T.IntegerType())])
     return create_table(
-        spark, name, schema, location, partition_col, table_format, key_buckets=key_buckets
+        spark, name, schema, location, partition_col, table_format, None, key_buckets, split_active
     )
 
 
@@ -161,24 +169,33 @@ def open_table(spark: SparkSession, name: str) -> TableRef:
         .where(F.col("col_name").isin("Location", "Provider"))
         .collect()
     }
+    stored = _settings(spark, name)
     return TableRef(
         name=name,
         partition_col=partitions[0] if partitions else None,
         location=detail["Location"],
         format=detail["Provider"].lower(),
-        key_buckets=_key_buckets(spark, name) if KEY_BUCKET in partitions else 0,
+        key_buckets=int(stored[BUCKETS]) if KEY_BUCKET in partitions else 0,
+        split_active=SPLIT in stored,
     )
 
 
-def _key_buckets(spark: SparkSession, name: str) -> int:
-    rows = spark.sql(f"SHOW TBLPROPERTIES {quoted(name)} ({_text(BUCKETS)})").collect()
-    return int(rows[0]["value"])
+def _settings(spark: SparkSession, name: str) -> dict[str, str]:
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {quoted(name)}").collect()}
+
+
+def not_in_files(first_name: str) -> str:
+    """Leaves files out by their name, which is decided while they are listed: none of them is opened."""
+    return f"NOT startswith(_metadata.file_name, '{first_name}-')"
 
 
 def active_rows(spark: SparkSession, name: str) -> DataFrame:
-    """Current state of a versioned table."""
+    """Current state of a versioned table; with ``split_active`` files of closed versions are not opened."""
     spark.catalog.refreshTable(quoted(name))
-    return spark.table(quoted(name)).where(ACTIVE).drop(KEY_BUCKET)
+    rows = spark.table(quoted(name)).where(ACTIVE)
+    if SPLIT in _settings(spark, name):
+        rows = rows.where(not_in_files(CLOSED_FILES))
+    return rows.drop(KEY_BUCKET)
 
 
 def query_table(spark: SparkSession, name: str, columns: str = "*") -> DataFrame:

@@ -104,7 +104,8 @@ def prepare_tables(spark: SparkSession, rows: DataFrame, feed: CdcFeed, root: st
             spark, hist, schema, feed.history_partition, f"{root}/{hist}", feed.table_format
         ),
         scd2=create_scd2_table(
-            spark, scd2, schema, feed.scd2_partition, f"{root}/{scd2}", feed.table_format, feed.key_buckets
+            spark, scd2, schema, feed.scd2_partition, f"{root}/{scd2}", feed.table_format, feed.key_buckets,
+            feed.split_active,
         ),
         changes=every,
         bad=_bad_table(spark, feed, root) if feed.quarantine else None,
@@ -214,7 +215,12 @@ def check_settings(feed: CdcFeed, checkpoint: str | None) -> None:
     """Refuse settings that do not go together."""
     if feed.batch_ledger and not checkpoint:
         raise ValueError("batch_ledger needs a checkpoint")
-    for setting, wanted in (("batch_ledger", feed.batch_ledger), ("every_change", feed.rules.every_change)):
+    settings = {
+        "batch_ledger": feed.batch_ledger,
+        "every_change": feed.rules.every_change,
+        "split_active": feed.split_active,
+    }
+    for setting, wanted in settings.items():
         if wanted and feed.table_format in MERGE_FORMATS:
             raise ValueError(f"{setting} is not for {feed.table_format} tables")
 

@@ -262,6 +262,7 @@ ORACLES: dict[str, str] = {
     "scd2_replayed_batch": _table(batches=(1, 2, 3, 3)),
     "scd2_batch_ledger": _table(),
     "active_rows": f'{_chain()} SELECT * FROM s3 WHERE "ActiveIndicator"',
+    "active_split_files": f'{_chain()} SELECT * FROM s3 WHERE "ActiveIndicator"',
     "delete_edge_cases": (
         f'{_chain()} SELECT "JoinKey", count(*) AS versions, '
         'count(*) FILTER (WHERE "ActiveIndicator") AS active_versions, '

@@ -245,6 +245,12 @@ def active_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return active_rows(spark, table.name)
 
 
+def active_split_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same from a table that keeps active and closed versions in files of their own."""
+    _, table, _ = _events_scd2(spark, sf_dir, split_active=True)
+    return active_rows(spark, table.name)
+
+
 def scd2_null_default(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, table, _ = _events_scd2(spark, sf_dir, nulls=True)
     return _rows(spark, table)
@@ -690,6 +696,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_replayed_batch": scd2_replayed_batch,
     "scd2_batch_ledger": scd2_batch_ledger,
     "active_rows": active_state,
+    "active_split_files": active_split_files,
     "delete_edge_cases": delete_edge_cases,
     "partitioned_read": partitioned_read,
     "explicit_schema_table": explicit_schema_table,
