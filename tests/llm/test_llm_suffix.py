@@ -4,21 +4,26 @@ from collections import Counter
 import numpy as np
 
 from llm_fixtures import as_rows, empty, messy, plain_texts, prose
+from tidemark.llm import suffix_dedup, tables
 from tidemark.llm.suffix_dedup import LENGTH, buckets_of, deduplicate
 
 COLUMNS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def strings(raw):
+    """Every string of 400 bytes, by a digest, so that those of a long text fit in memory."""
+    return [hashlib.blake2b(raw[i : i + LENGTH], digest_size=16).digest() for i in range(len(raw) - LENGTH + 1)]
+
+
 def expected(rows):
     seen = Counter()
     for _, text in rows:
-        raw = text.encode()
-        seen.update(raw[i : i + LENGTH] for i in range(len(raw) - LENGTH + 1))
+        seen.update(strings((text or "").encode()))
     out = []
     for doc, text in rows:
-        raw, spans = text.encode(), []
-        for i in range(len(raw) - LENGTH + 1):
-            if seen[raw[i : i + LENGTH]] > 1:
+        raw, spans = (text or "").encode(), []
+        for i, name in enumerate(strings(raw)):
+            if seen[name] > 1:
                 if spans and i <= spans[-1][1]:
                     spans[-1][1] = i + LENGTH
                 else:
@@ -38,8 +43,6 @@ def check(spark, rows):
 
 def test_messy_table_equals_brute_force(spark):
     rows = [(d, t) for d, t, _ in plain_texts()]
-    # The long text of one word would need all its strings in memory here: shorter in both.
-    rows = [(d, t[:9000] if len(t) > 9000 else t) for d, t in rows]
     check(spark, rows)
     assert deduplicate(messy(spark)).count() == len(rows)
     assert deduplicate(empty(spark)).count() == 0
@@ -58,6 +61,32 @@ def test_repeats_at_every_place_and_length(spark):
     check(spark, rows)
 
 
+def test_a_text_above_a_megabyte(spark):
+    """Passages far apart in one very long text, and one that it shares with a short text."""
+    parts = [prose(k, 9000) for k in range(20)]
+    parts.insert(15, parts[2][500:1700])
+    long = " ".join(parts)
+    assert len(long.encode()) > 1 << 20
+    check(spark, [(1, long), (2, parts[7][40:900]), (3, prose(77, 100)), (4, None)])
+
+
+def test_texts_that_make_up_much_of_the_table(spark, monkeypatch):
+    """Rows of crowded texts, long, short and empty ones, give what those of rare texts give."""
+    long, short = prose(1, 200), prose(2, 20)
+    rows = [(k, long) for k in range(40)] + [(100 + k, short) for k in range(40)] + [(200 + k, None) for k in range(30)]
+    rows += [(None, long), (7, long), (300, long[:500] + prose(4, 30)), (301, prose(5, 90)), (302, prose(5, 90)), (303, "")]
+    for crowd in (1, 4, 1000):  # none, some and all of the repeated texts are crowds
+        monkeypatch.setattr(suffix_dedup, "_CROWD", crowd)
+        check(spark, rows)
+
+
+def test_texts_move_where_lists_are_too_long_to_broadcast(spark, monkeypatch):
+    base = prose(1, 300)
+    rows = [(k, base[50 * k : 50 * k + 700] + prose(20 + k, 40)) for k in range(8)] + [(50, base)]
+    monkeypatch.setattr(tables, "BROADCAST_BYTES", -1)
+    check(spark, rows)
+
+
 def test_bucket_names_mean_the_same_everywhere():
     raw = np.frombuffer(prose(3, 300).encode(), dtype=np.uint8)
     names = buckets_of(raw, LENGTH)

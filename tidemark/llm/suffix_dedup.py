@@ -18,7 +18,8 @@ another are carried on:
 4. Repeating strings are merged to spans, cut out, and what is left is digested.
 
 All groups are counts or extremes, combined before the shuffle; no group is gathered. Texts move by
-shuffle only when the runs to refine, or the texts to cut, are too many to broadcast.
+shuffle only when the runs to refine, or the spans to cut, have too many bytes to broadcast. Rows of a text
+that makes up more than a thousandth of the table (fewer than a thousand such texts) stay where they are.
 
 Null and empty texts have 0 bytes and no spans. Rows with equal texts of 400 bytes or more lose all.
 Rows without doc_id and repeated ids are treated like any other row.
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import BROADCAST_NUMBERS, documents, kept, shrink
+from tidemark.llm.tables import BROADCAST_NUMBERS, documents, kept, shrink, shrink_lists
 from tidemark.llm.textops import mix, text_chunks, text_column, word_hashes
 
 LENGTH = 400
@@ -43,6 +44,7 @@ Q = 8
 BLOCK = 16  # neighbouring strings that are tested together
 HALF = 256  # bytes of the last bucket that all places get
 _POSITION_BITS = 30
+_CROWD = 1000  # a text with more than this part of all rows is a hot key
 _U = np.uint64
 _PAIR = _U(0x9DDFEA08EB382D69)
 
@@ -229,7 +231,7 @@ def _texts(docs: DataFrame) -> DataFrame:
 def _of_texts(docs: DataFrame, listed: DataFrame) -> DataFrame:
     """text, runs: the texts that ``listed`` (sha, run) names, each with all its runs."""
     wanted = kept(listed.groupBy(F.col("sha").alias("wanted")).agg(F.collect_list("run").alias("runs")), "wanted")
-    return _texts(docs).join(shrink(wanted, wanted.count()), F.col("sha") == F.col("wanted")).select("text", "runs")
+    return _texts(docs).join(shrink_lists(wanted, "runs"), F.col("sha") == F.col("wanted")).select("text", "runs")
 
 
 def repeated_spans(docs: DataFrame, survey: DataFrame) -> DataFrame:
@@ -284,16 +286,21 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per document."""
     plain = documents(docs)
     survey = kept(plain.mapInArrow(_survey, _SURVEY), "suffixes")
-    copies = survey.groupBy("sha").agg(F.count(F.lit(1)).alias("copies"))
+    copies = kept(survey.groupBy("sha").agg(F.count(F.lit(1)).alias("copies")), "copies")
     spans = repeated_spans(plain, survey)
     spans = kept(
         spans.groupBy("sha").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"), F.sum(F.col("hi") - F.col("lo")).alias("removed"), F.count(F.lit(1)).alias("n_spans")),
         "spans",
     )
     alone = kept(spans.join(copies.where("copies = 1"), "sha", "left_semi").select(F.col("sha").alias("wanted"), "spans"), "partly")
-    cut = kept(_texts(plain).join(shrink(alone, alone.count()), F.col("sha") == F.col("wanted")).select("sha", "text", "spans").mapInArrow(_cut, "sha binary, kept_sha256 string"), "cut")
+    cut = kept(_texts(plain).join(shrink_lists(alone, "spans"), F.col("sha") == F.col("wanted")).select("sha", "text", "spans").mapInArrow(_cut, "sha binary, kept_sha256 string"), "cut")
     facts = copies.join(spans.drop("spans"), "sha", "left").join(cut, "sha", "left")
-    rows = survey.select("doc_id", "sha", "n_bytes").join(facts, "sha")
+    rows = survey.select("doc_id", "sha", "n_bytes")
+    # Fewer than _CROWD texts by their definition. A text that occurs twice has no facts but that.
+    hot = kept(copies.where((F.col("copies") > 1) & (F.col("copies") * _CROWD > survey.count())), "hot")
+    crowds = rows.join(F.broadcast(hot), "sha")
+    others = rows.join(F.broadcast(hot.select("sha")), "sha", "left_anti").join(facts, "sha")
+    rows = others.unionByName(crowds, allowMissingColumns=True)
     gone = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     zero = F.lit(0).cast("long")
     return rows.select(

@@ -15,6 +15,8 @@ from tidemark.session import run_dir
 BROADCAST_ROWS = 1 << 18
 # The same for rows of a single number.
 BROADCAST_NUMBERS = 1 << 20
+# The same in bytes, for rows that hold lists.
+BROADCAST_BYTES = 64 << 20
 # Bytes of a batch between the JVM and Python; both sides hold one or two per task.
 BATCH_BYTES = 8 << 20
 _BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
@@ -53,6 +55,13 @@ def shrink(df: DataFrame, rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if rows <= limit else df.hint("shuffle_hash")
 
 
+def shrink_lists(df: DataFrame, column: str) -> DataFrame:
+    """As :func:`shrink` for rows with a list of flat structs: its items are counted, not the rows alone."""
+    item = 16 + 8 * len(df.schema[column].dataType.elementType.fields)
+    size = df.agg(F.sum(F.size(column) * item + 64)).first()[0] or 0
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df.hint("shuffle_hash")
+
+
 def documents(docs: DataFrame, *more: str) -> DataFrame:
     """doc_id and text (and the columns asked for) alone, so that no further column can clash."""
     return docs.select(
