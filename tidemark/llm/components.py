@@ -42,6 +42,7 @@ def components(links: DataFrame, most_rounds: int = 64) -> DataFrame:
     for _ in range(most_rounds):
         if _settled(stars):
             return stars.select(F.col("b").alias("node"), F.col("a").alias("component"))
-        stars = kept(_small_star(_large_star(stars)), "links")
+        # Kept between the two, as the small star needs its links three times.
+        stars = kept(_small_star(kept(_large_star(stars), "large-star")), "links")
     raise RuntimeError("components did not settle")
 

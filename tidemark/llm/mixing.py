@@ -88,6 +88,8 @@ def apportion(shares: DataFrame, group: list[str], share: str, seats: str, tie:
     With n rows and N seats the result lies between share / total * (N - n/2) and (N + n/2), both
     rounded, so that only about 2 n quotients have to be ranked; the seats below are certain. Ties go by
     ``tie``. A group without shares gets nothing.
+
+    The bounds are kept, as they are needed twice: a plan that held them twice would grow with every step before.
     """
     w = Window.partitionBy(*group)
     n, total = F.count(F.lit(1)).over(w), F.sum(share).over(w)
@@ -99,6 +101,7 @@ def apportion(shares: DataFrame, group: list[str], share: str, seats: str, tie:
         .withColumn("__high", F.when(F.col("__total") > 0, F.ceil(ratio * (F.col(seats) + F.col("__n") / 2) + 0.5)).otherwise(0))
         .withColumn("__open", F.col(seats) - F.sum("__low").over(w))
     )
+    bounded = kept(bounded, "bounds")
     quotients = bounded.where("__high > __low").withColumn("__q", F.explode(F.sequence(F.col("__low"), F.col("__high") - 1)))
     best = Window.partitionBy(*group).orderBy((F.col(share) / (2 * F.col("__q") + 1)).desc(), *tie, "__q")
     keys = [*group, *[t for t in tie if t not in group]]
@@ -168,7 +171,8 @@ def mix(
 ) -> DataFrame:
     """doc_id, size, source_size, target, taken: one row per document."""
     rows = kept(word_counts(docs), "sizes")
-    totals = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
+    # What is needed more than once is kept: short plans, and little of them on the driver at once.
+    totals = kept(rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows")), "totals")
     targets = source_targets(totals.drop("source_rows"), weights, max_repeats)
     same_source = F.col("t.source").eqNullSafe(F.col("s.source"))
     sources = (
@@ -199,6 +203,7 @@ def mix(
             "s.source_quota",
         )
     )
+    placed = kept(placed, "placed")
     shards = placed.groupBy("source_id", "shard", "source_quota").agg(F.sum("size").alias("shard_size"))
     quotas = apportion(shards, ["source_id"], "shard_size", "source_quota", ["shard"], "quota")
     quotas = quotas.select("source_id", "shard", "quota")
