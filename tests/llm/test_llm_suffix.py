@@ -1,10 +1,12 @@
 import hashlib
+import re
 from collections import Counter
 
 import numpy as np
 
 from llm_fixtures import as_rows, empty, messy, plain_texts, prose
 from tidemark.llm import suffix_dedup, tables
+from tidemark.llm.queries import LLM_QUERIES
 from tidemark.llm.suffix_dedup import LENGTH, buckets_of, deduplicate
 
 COLUMNS = ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -93,3 +95,55 @@ def test_bucket_names_mean_the_same_everywhere():
     assert len(names) == len(raw) - LENGTH + 1 and len(set(names.tolist())) == len(names)
     assert (buckets_of(raw[100:], LENGTH) == names[100:]).all()
     assert len(buckets_of(raw[: LENGTH - 1], LENGTH)) == 0
+
+
+def sharing(rows):
+    """The rows with 51 words in a row that another row has too."""
+    sets = []
+    for _, text in rows:
+        words = re.findall("[^\x20\x09-\x0d]+", text or "")
+        sets.append({tuple(words[i : i + 51]) for i in range(len(words) - 50)})
+    seen = Counter(passage for found in sets for passage in found)
+    return sorted([(doc, any(seen[x] > 1 for x in found)) for (doc, _), found in zip(rows, sets, strict=True)], key=repr)
+
+
+def check_passages(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id BIGINT, text STRING").repartition(3)
+    assert as_rows(deduplicate(docs), "doc_id", "shares_passage") == sharing(rows)
+
+
+def passage_rows():
+    rows = [(d, t) for d, t, _ in plain_texts() if d not in (12, 13)]
+    base, twice = prose(200, 400).split(), " ".join(prose(201, 60).split())
+    for k, (lo, size) in enumerate([(0, 50), (0, 51), (1, 51), (60, 52), (120, 60), (125, 57), (200, 90), (300, 51), (349, 51)]):
+        part = base[lo : lo + size]
+        gap = "\n" if k % 2 else " "
+        rows.append((100 + 3 * k, gap.join(part) + " " + prose(210 + k, 80)))
+        rows.append((101 + 3 * k, prose(230 + k, 60) + "  " + "\t ".join(part)))
+        rows.append((102 + 3 * k, prose(250 + k, 51) + " " + " ".join(part[:-1]) + "x"))
+    # Within one text alone; many texts around one passage; one word, over and over.
+    rows += [(200, twice + " between " + twice), (201, "ab " * 300), (202, "ab " * 51), (203, "ab " * 50), (204, "ab " * 50 + "c")]
+    rows += [(300 + k, prose(300 + k, 20) + " " + prose(299, 53) + " " + prose(400 + k, 20)) for k in range(30)]
+    return rows
+
+
+def test_passages_of_over_50_words_equal_brute_force(spark, monkeypatch):
+    rows = passage_rows()
+    assert {b for _, b in sharing(rows)} == {True, False}
+    check_passages(spark, rows)
+    monkeypatch.setattr(suffix_dedup, "BROADCAST_NUMBERS", -1)
+    monkeypatch.setattr(tables, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(suffix_dedup, "_CROWD", 40)
+    check_passages(spark, rows)
+
+
+def test_query_marks_short_passages_that_repeat_across_documents(spark, tmp_path):
+    """60 words of under 400 bytes in two texts: nothing is removed, both are marked, the others are not."""
+    passage = " ".join(w[:4] for w in prose(500, 60).split())
+    assert len(passage) < 320
+    rows = [(1, prose(501, 70) + " " + passage), (2, passage + "\n" + prose(502, 70)), (3, prose(503, 140)), (4, passage[:150]), (5, None)]
+    rows += [(6, " ".join([prose(504, 80)] * 2))]  # repeats within itself
+    spark.createDataFrame(rows, "doc_id BIGINT, text STRING").write.parquet(f"{tmp_path}/documents.parquet")
+    got = as_rows(LLM_QUERIES["op5_suffix_dedup"](spark, str(tmp_path)), "doc_id", "n_removed", "holds_repeats")
+    whole = len(rows[5][1])
+    assert got == [(1, 0, True), (2, 0, True), (3, 0, False), (4, 0, False), (5, 0, False), (6, whole - 1, True)]

@@ -17,11 +17,18 @@ another are carried on:
    strings, of 400 bytes; shared ones repeat.
 4. Repeating strings are merged to spans, cut out, and what is left is digested.
 
+Many passages of over 50 words are shorter than 400 bytes, so nothing of them is removed; texts that share one
+with another row are marked. The same steps run over words in place of bytes (the gaps between words do not
+count): buckets of single words become those of 16 words, among which the anchors are, and of 51. A run whose
+whole is shared marks its texts; runs that share only the anchor give the buckets of their 51-word strings, if one
+of their texts is not marked yet.
+
 All groups are counts or extremes, combined before the shuffle; no group is gathered. Texts move by
 shuffle only when the runs to refine, or the spans to cut, have too many bytes to broadcast. Rows of a text
 that makes up more than a thousandth of the table (fewer than a thousand such texts) stay where they are.
 
-Null and empty texts have 0 bytes and no spans. Rows with equal texts of 400 bytes or more lose all.
+Null and empty texts have 0 bytes and no spans. Rows with equal texts of 400 bytes or more lose all; of over 50
+words, they share a passage.
 Rows without doc_id and repeated ids are treated like any other row.
 """
 
@@ -32,17 +39,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.tables import BROADCAST_NUMBERS, documents, kept, shrink, shrink_lists
-from tidemark.llm.textops import mix, text_chunks, text_column, word_hashes
+from tidemark.llm.textops import hashes_in_order, mix, text_chunks, text_column, word_hashes, words_of
 
 LENGTH = 400
 GRAM = 128
 Q = 8
 BLOCK = 16  # neighbouring strings that are tested together
 HALF = 256  # bytes of the last bucket that all places get
+WORDS = 51  # of the shortest passage that marks a text
+WORD_GRAM = 16
 _POSITION_BITS = 30
 _CROWD = 1000  # a text with more than this part of all rows is a hot key
 _U = np.uint64
@@ -75,15 +84,14 @@ def buckets_of(data: np.ndarray, length: int) -> np.ndarray:
     return out
 
 
-def anchors_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _anchored(grams: np.ndarray, gram: int, length: int, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(row, anchor place, first window, last window, anchor bucket) of every run of windows with one anchor.
 
     A window's anchor is the place in it whose gram's bucket is least (the first of equals).
     """
     none = np.zeros(0, np.int64)
-    spread = LENGTH - GRAM + 1
-    grams = buckets_of(data, GRAM)
-    if len(data) < LENGTH:
+    spread = length - gram + 1
+    if offsets[-1] < length:
         return none, none, none, none, none.astype(np.uint64)
     packed = (grams >> _U(_POSITION_BITS) << _U(_POSITION_BITS)) | np.arange(len(grams), dtype=np.uint64)
     low, have = packed, 1
@@ -95,7 +103,7 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     ends = offsets[1:]
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[: len(anchor)]
     start = np.arange(len(anchor))
-    valid = start + LENGTH <= ends[row]
+    valid = start + length <= ends[row]
     start, anchor, row = start[valid], anchor[valid], row[valid]
     if not len(start):
         return none, none, none, none, none.astype(np.uint64)
@@ -106,6 +114,36 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return row[begin], anchor[begin], start[begin], start[stop], grams[anchor[begin]]
 
 
+def anchors_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """:func:`_anchored` for strings of ``LENGTH`` bytes."""
+    return _anchored(buckets_of(data, GRAM), GRAM, LENGTH, offsets)
+
+
+def _word_grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every row's first word among all words, and the bucket of the ``WORD_GRAM`` words at every word."""
+    first, last, row = words_of(data, offsets)
+    out, have = hashes_in_order(data, first, last), 1
+    while have < WORD_GRAM:
+        out, have = refined(out, have, 2 * have), 2 * have
+    return np.searchsorted(row, np.arange(len(offsets))), out
+
+
+def _passage_names(grams: np.ndarray) -> np.ndarray:
+    """The bucket of the ``WORDS`` words at every word."""
+    return refined(refined(grams, WORD_GRAM, 2 * WORD_GRAM), 2 * WORD_GRAM, WORDS)
+
+
+def passages_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(words per row; row, first passage, last passage, anchor bucket, whole bucket) of the runs of ``WORDS`` words."""
+    begin, grams = _word_grams(data, offsets)
+    row, _, first, last, names = _anchored(grams, WORD_GRAM, WORDS, begin)
+    passages = _passage_names(grams)
+    # The first and the last passage of a run overlap, so that they hold all of its words.
+    with np.errstate(over="ignore"):
+        whole = mix(passages[first] * _PAIR + passages[last] + (last - first).astype(np.uint64))
+    return np.diff(begin), row, first - begin[row], last - begin[row], names, whole
+
+
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.astype(np.uint64).view(np.int64))
 
@@ -115,11 +153,17 @@ def _encoded(column: pa.Array) -> Iterator[bytes]:
         yield text.as_buffer().to_pybytes() if text.as_buffer() is not None else b""
 
 
-_SURVEY = "doc_id long, sha binary, n_bytes long, anchor array<long>, whole array<long>, at array<int>, first array<int>, last array<int>"
+_SURVEY = (
+    "doc_id long, sha binary, n_bytes long, anchor array<long>, whole array<long>, at array<int>, first array<int>, last array<int>, "
+    "n_words long, word_anchor array<long>, word_whole array<long>, word_first array<int>, word_last array<int>"
+)
+
+
+_SURVEY_NAMES = [column.split()[0] for column in _SURVEY.split(", ")]
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Digest, size and runs of every text."""
+    """Digest, size and runs of every text, by bytes and by words."""
     for batch in batches:
         column = batch.column("text")
         for lo, hi, data, offsets in text_chunks(column):
@@ -131,7 +175,11 @@ def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             sha = [hashlib.sha256(data[offsets[k] : offsets[k + 1]].tobytes()).digest() for k in range(hi - lo)]
             arrays = [batch.column("doc_id").slice(lo, hi - lo), pa.array(sha, pa.binary()), pa.array(np.diff(offsets))]
             arrays += [pa.ListArray.from_arrays(cut, x) for x in lists]
-            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "sha", "n_bytes", "anchor", "whole", "at", "first", "last"])
+            n_words, row, first, last, names, whole = passages_of(data, offsets)
+            cut = pa.array(np.searchsorted(row, np.arange(hi - lo + 1)).astype(np.int32))
+            lists = [_signed(names), _signed(whole), *[pa.array(x.astype(np.int32)) for x in (first, last)]]
+            arrays += [pa.array(n_words.astype(np.int64)), *[pa.ListArray.from_arrays(cut, x) for x in lists]]
+            yield pa.RecordBatch.from_arrays(arrays, _SURVEY_NAMES)
 
 
 def _at(buckets: np.ndarray, have: int, places: np.ndarray, want: int) -> np.ndarray:
@@ -141,13 +189,16 @@ def _at(buckets: np.ndarray, have: int, places: np.ndarray, want: int) -> np.nda
 
 
 def _listed(batch: pa.RecordBatch, lo: int, hi: int, offsets: np.ndarray) -> dict[str, np.ndarray]:
-    """The struct fields listed for rows lo..hi-1, flat, places shifted to the chunk; with ``row``."""
+    """The struct fields listed for rows lo..hi-1, flat, places shifted to the chunk; with ``row``.
+
+    ``offsets`` are the rows' starts in the unit of the places, bytes or words.
+    """
     lists = batch.column("runs").slice(lo, hi - lo)
     counts = np.diff(lists.offsets.to_numpy())
     row = np.repeat(np.arange(hi - lo), counts)
     flat = lists.flatten()
     out = {f.name: flat.field(k).to_numpy(zero_copy_only=False) for k, f in enumerate(flat.type)}
-    for name in ("at", "first", "last"):
+    for name in out.keys() & {"at", "first", "last"}:
         out[name] = out[name].astype(np.int64) + offsets[row]
     out["row"] = row
     return out
@@ -210,6 +261,23 @@ def _strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(arrays, ["whole", "start", "core", "string"])
 
 
+_PASSAGES = "text long, passage long"
+
+
+def _passages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per passage of ``WORDS`` words of the runs listed for a text."""
+    for batch in batches:
+        for lo, hi, data, offsets in text_chunks(batch.column("text")):
+            begin, grams = _word_grams(data, offsets)
+            runs = _listed(batch, lo, hi, begin)
+            if not len(runs["first"]):
+                continue
+            many = runs["last"] - runs["first"] + 1
+            run = np.repeat(np.arange(len(many)), many)
+            start = runs["first"][run] + np.arange(len(run)) - np.repeat(np.cumsum(many) - many, many)
+            yield pa.RecordBatch.from_arrays([pa.array(runs["text"][run]), _signed(_passage_names(grams)[start])], ["text", "passage"])
+
+
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         kept_sha = []
@@ -282,8 +350,42 @@ def repeated_spans(docs: DataFrame, survey: DataFrame) -> DataFrame:
     return marked.groupBy("sha", "span").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi")).drop("span")
 
 
+def _named_text() -> Column:
+    """64 bits of a text's digest."""
+    return F.xxhash64("sha").alias("text")
+
+
+def shared_passages(docs: DataFrame, survey: DataFrame) -> DataFrame:
+    """(text): names of the texts that share ``WORDS`` words in a row with a different text."""
+    apart = F.min("text") != F.max("text")
+    live = survey.select(_named_text(), F.explode("word_anchor").alias("anchor")).groupBy("anchor").agg(apart.alias("met"))
+    live = kept(live.where("met").select(F.col("anchor").alias("name")), "word_live")
+    runs = survey.select("sha", F.explode(F.arrays_zip("word_anchor", "word_whole", "word_first", "word_last")).alias("r"))
+    runs = runs.select("sha", _named_text(), F.col("r.word_anchor").alias("anchor"), F.col("r.word_whole").alias("whole"), F.col("r.word_first").alias("first"), F.col("r.word_last").alias("last"))
+    runs = kept(runs.join(shrink(live, live.count(), BROADCAST_NUMBERS), F.col("anchor") == F.col("name")).drop("name"), "word_runs")
+    wholes = kept(
+        runs.groupBy("anchor", "whole").agg(apart.alias("met"), F.min(F.struct("text", "sha", "first", "last")).alias("r")).select("anchor", "whole", "met", "r.*"),
+        "word_wholes",
+    )
+    met = kept(wholes.where("met").select(F.col("whole").alias("name")).distinct(), "word_met")
+    sure = kept(runs.join(shrink(met, met.count(), BROADCAST_NUMBERS), F.col("whole") == F.col("name"), "left_semi").select("text").distinct(), "word_sure")
+    # A whole that is not shared has one text.
+    marked = shrink(sure.select(F.col("text").alias("name")), sure.count(), BROADCAST_NUMBERS)
+    crowded = wholes.where("NOT met").join(marked, F.col("text") == F.col("name"), "left_anti").select(F.col("anchor").alias("name")).distinct()
+    crowded = kept(crowded, "word_crowded")
+    places = wholes.join(shrink(crowded, crowded.count(), BROADCAST_NUMBERS), F.col("anchor") == F.col("name"), "left_semi")
+    passages = kept(_of_texts(docs, places.select("sha", F.struct("text", "first", "last").alias("run"))).mapInArrow(_passages, _PASSAGES), "passages")
+    same = passages.groupBy("passage").agg(apart.alias("met")).where("met").select(F.col("passage").alias("name"))
+    same = kept(same, "passages_met")
+    more = passages.join(shrink(same, same.count(), BROADCAST_NUMBERS), F.col("passage") == F.col("name"), "left_semi").select("text")
+    return sure.unionByName(more).distinct()
+
+
 def deduplicate(docs: DataFrame) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per document."""
+    """doc_id, n_bytes, n_removed, n_spans, kept_sha256, shares_passage: one row per document.
+
+    ``shares_passage``: ``WORDS`` words in a row also stand in another row.
+    """
     plain = documents(docs)
     survey = kept(plain.mapInArrow(_survey, _SURVEY), "suffixes")
     copies = kept(survey.groupBy("sha").agg(F.count(F.lit(1)).alias("copies")), "copies")
@@ -294,8 +396,10 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     )
     alone = kept(spans.join(copies.where("copies = 1"), "sha", "left_semi").select(F.col("sha").alias("wanted"), "spans"), "partly")
     cut = kept(_texts(plain).join(shrink_lists(alone, "spans"), F.col("sha") == F.col("wanted")).select("sha", "text", "spans").mapInArrow(_cut, "sha binary, kept_sha256 string"), "cut")
+    shared = kept(shared_passages(plain, survey).select(F.col("text").alias("name"), F.lit(True).alias("shared")), "shared")
     facts = copies.join(spans.drop("spans"), "sha", "left").join(cut, "sha", "left")
-    rows = survey.select("doc_id", "sha", "n_bytes")
+    facts = facts.join(shrink(shared, shared.count(), BROADCAST_NUMBERS), _named_text() == F.col("name"), "left").drop("name")
+    rows = survey.select("doc_id", "sha", "n_bytes", "n_words")
     # Fewer than _CROWD texts by their definition. A text that occurs twice has no facts but that.
     hot = kept(copies.where((F.col("copies") > 1) & (F.col("copies") * _CROWD > survey.count())), "hot")
     crowds = rows.join(F.broadcast(hot), "sha")
@@ -309,4 +413,5 @@ def deduplicate(docs: DataFrame) -> DataFrame:
         F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("removed", zero)).cast("long").alias("n_removed"),
         F.when(gone, F.lit(1)).otherwise(F.coalesce("n_spans", zero)).cast("long").alias("n_spans"),
         F.when(gone, F.lit(hashlib.sha256(b"").hexdigest())).otherwise(F.coalesce("kept_sha256", F.lower(F.hex("sha")))).alias("kept_sha256"),
+        (((F.col("copies") > 1) & (F.col("n_words") >= WORDS)) | F.coalesce("shared", F.lit(False))).alias("shares_passage"),
     )
